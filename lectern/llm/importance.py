@@ -62,7 +62,7 @@ def importance(docs: DataFrame, ratios: np.ndarray, seed: int = 0, key: str = "d
             bucket, row = grams(*text_buffer(batch.column(batch_text)), len(shared.value), rolling)
             total = np.bincount(row, shared.value[bucket], batch.num_rows)
             n = np.bincount(row, minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:batch_text], pa.array(n, pa.int64()), pa.array(total)], [*batch.schema.names[:batch_text], "n_grams", "log_weight"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:batch_text], pa.array(n, pa.int64()), pa.array(total.astype(float))], [*batch.schema.names[:batch_text], "n_grams", "log_weight"])
 
     batch_text = len(docs.columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_grams long, log_weight double"

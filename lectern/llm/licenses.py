@@ -105,13 +105,14 @@ def banded(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tup
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, gram: int = 3, window: int = 2, coverage: float = 0.8, band: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per match: key, template, n_words (of the template), matched_words, coverage (their ratio, at least `coverage`), start, end (code points in the text).
 
-    A template is looked for wherever the text shares a fingerprint with it; hits within a band of one diagonal are one candidate, aligned once. Of
+    A template is looked for wherever the text shares a fingerprint with it; hits within a band (at most a quarter of the template) of one diagonal are one candidate, aligned once. Of
     overlapping matches of one template the one with most matched words stays (then the first). Null and empty texts match nothing;
     repeated rows are each reported; templates of fewer than gram + window - 1 words may be missed. `templates` is a bounded
     parameter that goes to every task; an empty one, like an empty table, gives an empty result. Other columns are left out.
     """
     kind = docs.schema[key].dataType.simpleString()
     index = build_index(templates, gram, window)
+    bands = [max(1, min(band, len(w) // 4)) for w in index.words]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling, prints = Rolling(lower=True), index.prints
@@ -128,14 +129,16 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, gram:
                 r = int(np.searchsorted(before, place[i], "right")) - 1
                 a = at[i]
                 while a < len(prints) and prints[a] == h[i]:
-                    candidates.add((r, int(index.template[a]), int(place[i] - before[r] - index.place[a]) // band))
+                    t = int(index.template[a])
+                    candidates.add((r, t, int(place[i] - before[r] - index.place[a]) // bands[t]))
                     a += 1
             found: dict[tuple[int, int], list] = {}
             for r, t, diagonal in sorted(candidates):
                 own, template = w[before[r] : before[r + 1]], index.words[t]
-                shift = diagonal * band + band // 2
-                low = max(0, shift - 2 * band)
-                matched, a, b = banded(template, own[low : shift + len(template) + 2 * band].tolist(), shift - low, 2 * band)
+                wide = bands[t]
+                shift = diagonal * wide + wide // 2
+                low = max(0, shift - 2 * wide)
+                matched, a, b = banded(template, own[low : shift + len(template) + 2 * wide].tolist(), shift - low, 2 * wide)
                 if matched >= coverage * len(template):
                     found.setdefault((r, t), []).append((-matched, a + low, b + low))
             for (r, t), spans in sorted(found.items()):
