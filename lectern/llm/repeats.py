@@ -116,7 +116,7 @@ def sampled(docs: DataFrame, least: int, k: int) -> DataFrame:
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling, seen, texts = Rolling(), {}, set()
         for batch in slices(batches, 2):
-            keys, hashes = batch.column(0), batch.column(1).to_numpy()
+            keys, hashes, short = batch.column(0), batch.column(1).to_numpy(), batch.column(3)
             fresh = np.ones(len(hashes), bool)
             for i, h in enumerate(hashes.tolist()):  # a copy of a text met before is found by its hash alone
                 fresh[i] = h not in texts
@@ -141,7 +141,7 @@ def sampled(docs: DataFrame, least: int, k: int) -> DataFrame:
                     pa.array(route.view(np.int64)),
                     pa.array(context.view(np.int64)),
                     keys.take(pa.array(row)),
-                    pa.array(hashes[row]),
+                    short.take(pa.array(row)),
                     pa.array((at - origin).astype(np.int32)),
                     pa.array((low - origin).astype(np.int32)),
                     pa.array((high - origin).astype(np.int32)),
@@ -150,18 +150,12 @@ def sampled(docs: DataFrame, least: int, k: int) -> DataFrame:
                 ["route", "context", "key", "h", "at", "low", "high", "done"],
             )
 
-    return docs.select("key", "h", "text").mapInArrow(sample, "route long, context long, key long, h long, at int, low int, high int, done boolean")
+    return docs.select("key", F.xxhash64("text"), "text", "h").mapInArrow(sample, "route long, context long, key long, h int, at int, low int, high int, done boolean")
 
 
-def repeats(docs: DataFrame, least: int = 200, k: int = 64, most_contexts: int = 50_000) -> tuple[DataFrame, DataFrame]:
-    """(spans, groups) of `docs` (key and h, 64-bit hashes of the row's id and its text; text as binary; none null).
-
-    spans: (key, h, start, end) whose union is every byte in a string of `least` bytes that starts anywhere else, but for texts that are copies of others.
-    groups: (anchor, group, length, key, h, start): the maximal repeats around one anchor with all their distinct contexts; a context that occurs
-    more often stands for all of its places.
-
-    An anchor with more than `most_contexts` different contexts is not sorted in one task: its strings' hashes are counted instead.
-    """
+def contexts_of(docs: DataFrame, least: int, k: int) -> tuple[DataFrame, DataFrame]:
+    """(whole, open) of `docs`: spans (key, h, start, end) of contexts that occur again as they are, and one row (route, key, h, at, low, high, same, contexts, right, left)
+    for each different context of the anchors that have several: the bytes from the anchor on and those before it."""
     found = sampled(docs, least, k)
     anchor = Window.partitionBy("route")
     ordered = anchor.orderBy("context")
@@ -182,53 +176,77 @@ def repeats(docs: DataFrame, least: int = 200, k: int = 64, most_contexts: int =
     contexts = placed.select("key", "h", "text", "p.*").select(
         "route", "key", "h", "at", "low", "high", "same", "contexts", piece("at", "high").alias("right"), piece("low", "at").alias("left")
     )
-    contexts = cut(contexts)
-    few = contexts.where(F.col("contexts") <= most_contexts).repartition("route").sortWithinPartitions("route", "right")
+    return whole, cut(contexts)
+
+
+def interval_scan(contexts: DataFrame, least: int, as_groups: bool) -> DataFrame:
+    """The contexts of each anchor, sorted by Spark as suffixes from the anchor on, scanned for maximal repeats.
+
+    as_groups: (anchor, group, length, key, h, start), a row for each member of each repeat. Else (key, h, start, end): for each context the
+    union of its repeats, one span as all of them hold the anchor.
+    """
+    ordered = contexts.select("route", "key", "h", "at", "same", "right", "left").repartition("route").sortWithinPartitions("route", "right")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list[pa.RecordBatch] = []  # the rows of the anchor that the last batch ended with
         for batch in batches:
             if not batch.num_rows:
                 continue
             route = batch.column(0).to_numpy()
             ends = np.flatnonzero(route[1:] != route[:-1]) + 1
             if held and held[-1].column(0)[0].as_py() != route[0]:
-                yield from solve(held)
+                yield solve(held)
                 held = []
-            if not len(ends):
-                held.append(batch)
-                continue
-            yield from solve([*held, batch.slice(0, int(ends[-1]))])
-            held = [batch.slice(int(ends[-1]))]
+            if len(ends):
+                yield solve([*held, batch.slice(0, int(ends[-1]))])
+                held = []
+            held.append(batch.slice(int(ends[-1]) if len(ends) else 0))
         if held:
-            yield from solve(held)
+            yield solve(held)
 
-    def solve(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        route, at, low = (rows.column(c).to_numpy() for c in (0, 3, 4))
-        right, left = rows.column(6).to_pylist(), [x[::-1] for x in rows.column(7).to_pylist()]
-        edges = np.concatenate([[0], np.flatnonzero(route[1:] != route[:-1]) + 1, [len(route)]])
-        member, group, start, length = [], [], [], []
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            if b - a < 2:
-                continue
-            for n, (before, behind, inside) in enumerate(maximal_repeats(right[a:b], left[a:b], least)):
-                for i in inside:
-                    member.append(a + i)
-                    group.append(n)
-                    start.append(int(at[a + i]) - before)
-                    length.append(before + behind)
-        if member:
-            take = pa.array(member, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0).take(take), pa.array(group, pa.int32()), pa.array(length, pa.int32()), rows.column(1).take(take), rows.column(2).take(take), pa.array(start, pa.int32()), rows.column(5).take(take)],
-                ["anchor", "group", "length", "key", "h", "start", "same"],
-            )
+        route, at = rows.column(0).to_numpy(), rows.column(3).to_numpy()
+        right, left = rows.column(5).to_pylist(), [x[::-1] for x in rows.column(6).to_pylist()]
+        edges = np.concatenate([[0], np.flatnonzero(route[1:] != route[:-1]) + 1, [len(route)]]).tolist()
+        members: list[tuple[int, int, int, int]] = []  # row, group, left, right
+        for a, b in zip(edges, edges[1:], strict=False):
+            if b - a > 1:
+                found = maximal_repeats(right[a:b], left[a:b], least)
+                if as_groups:
+                    members += [(a + i, n, before, behind) for n, (before, behind, inside) in enumerate(found) for i in inside]
+                else:
+                    reach: dict[int, tuple[int, int]] = {}
+                    for before, behind, inside in found:
+                        for i in inside:
+                            x, y = reach.get(i, (0, 0))
+                            reach[i] = max(x, before), max(y, behind)
+                    members += [(a + i, 0, x, y) for i, (x, y) in reach.items()]
+        row, group, before, behind = (np.array(x, np.int64) for x in zip(*members, strict=True)) if members else [np.zeros(0, np.int64)] * 4
+        take = pa.array(row)
+        key, h, start = rows.column(1).take(take), rows.column(2).take(take), pa.array((at[row] - before).astype(np.int32))
+        if as_groups:
+            return pa.RecordBatch.from_arrays([rows.column(0).take(take), pa.array(group.astype(np.int32)), pa.array((before + behind).astype(np.int32)), key, h, start], ["anchor", "group", "length", "key", "h", "start"])
+        return pa.RecordBatch.from_arrays([key, h, start, pa.array((at[row] + behind).astype(np.int32))], ["key", "h", "start", "end"])
+
+    return ordered.mapInArrow(scan, "anchor long, group int, length int, key long, h int, start int" if as_groups else "key long, h int, start int, end int")
+
+
+def repeat_groups(docs: DataFrame, least: int = 200, k: int = 40) -> DataFrame:
+    """(anchor, group, length, key, h, start): the maximal repeats of `least` bytes or more around each anchor with all their different contexts, not only
+    neighbours. `docs` as in repeats(); a context that occurs more often stands for all of its places, and a repeat over several anchors is given at each."""
+    return interval_scan(contexts_of(docs, least, k)[1], least, as_groups=True)
 
-    # Bytes of contexts are at most 2 * least a row, so a batch is small.
-    groups = few.select("route", "key", "h", "at", "low", "same", "right", "left").mapInArrow(scan, "anchor long, group int, length int, key long, h long, start int, same boolean")
-    groups = cut(groups)
-    partial = groups.where("not same").select("key", "h", "start", (F.col("start") + F.col("length")).alias("end"))
+
+def repeats(docs: DataFrame, least: int = 200, k: int = 40, most_contexts: int = 50_000) -> DataFrame:
+    """Spans (key, h, start, end) whose union is every byte in a string of `least` bytes that starts anywhere else, but for texts that are copies of others.
+
+    `docs`: key (a 64-bit number for the row's id), h (a 32-bit checksum of its text), text (binary); none null. Rows equal in key and h share their spans.
+
+    An anchor with more than `most_contexts` different contexts is not sorted in one task: its strings' hashes are counted instead.
+    """
+    whole, contexts = contexts_of(docs, least, k)
+    partial = interval_scan(contexts.where(F.col("contexts") <= most_contexts), least, as_groups=False)
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
@@ -242,10 +260,10 @@ def repeats(docs: DataFrame, least: int = 200, k: int = 64, most_contexts: int =
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32))], ["value", "key", "h", "start"])
 
     many = contexts.where(F.col("contexts") > most_contexts).select("key", "h", "low", F.concat("left", "right").alias("text"))
-    every = many.mapInArrow(strings, "value long, key long, h long, start int")
+    every = many.mapInArrow(strings, "value long, key long, h int, start int")
     twice = every.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value")
     crowded = every.join(twice, "value", "left_semi").select("key", "h", "start", (F.col("start") + least).alias("end"))
-    return whole.unionByName(partial).unionByName(crowded), groups
+    return whole.unionByName(partial).unionByName(crowded)
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -267,13 +285,14 @@ def remove_repeats(docs: DataFrame, least: int = 200, key: str = "doc_id", text:
     goes only if all its bytes go, so what is left is text. An empty table gives an empty result; all columns are kept.
     """
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.withColumn("_raw", raw).withColumn("_key", F.xxhash64(F.col(key))).withColumn("_h", F.xxhash64("_raw"))
-    signed = cut(rows.select("_key", "_h", F.xxhash64(F.lit(1), "_raw").alias("h2"), F.octet_length("_raw").alias("n")))
-    copies = signed.groupBy("_h", "h2", "n").agg(F.count("*").alias("copies")).where((F.col("copies") > 1) & (F.col("n") >= least))
+    integral = docs.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
+    number = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))) if integral else F.xxhash64(F.col(key))
+    rows = docs.withColumn("_raw", raw).withColumn("_key", number).withColumn("_h", F.hash("_raw"))
+    signed = cut(rows.select("_key", "_h", F.xxhash64("_raw").alias("h1"), F.xxhash64(F.lit(1), "_raw").alias("h2"), F.octet_length("_raw").alias("n")))
+    copies = signed.groupBy("h1", "h2", "n").agg(F.count("*").alias("copies")).where((F.col("copies") > 1) & (F.col("n") >= least))
     nothing = F.array().cast("array<struct<start:int,end:int>>")
-    copied = signed.join(copies, ["_h", "h2", "n"]).select("_key", "_h", F.lit(True).alias("copied"), nothing.alias("spans")).distinct()
-    base = rows.select(F.col("_key").alias("key"), F.col("_h").alias("h"), F.col("_raw").alias("text"))
-    spans, _ = repeats(base, least)
+    copied = signed.join(copies, ["h1", "h2", "n"]).select("_key", "_h", F.lit(True).alias("copied"), nothing.alias("spans")).distinct()
+    spans = repeats(rows.select(F.col("_key").alias("key"), F.col("_h").alias("h"), F.col("_raw").alias("text")), least)
     by_doc = spans.groupBy("key", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans")).select(F.col("key").alias("_key"), F.col("h").alias("_h"), F.lit(False).alias("copied"), "spans")
     actions = by_doc.unionByName(copied).groupBy("_key", "_h").agg(F.max("copied").alias("_copied"), F.flatten(F.collect_list("spans")).alias("_spans"))
     joined = rows.join(actions, ["_key", "_h"], "left")
