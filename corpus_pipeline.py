@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, table
+from lectern.llm.common import cut, small, table
 from lectern.llm.importance import classify
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.packing import pack
@@ -21,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component (five-word shingles, similarity 0.8 or more); texts without a word and rows without an id all stay."""
     found = jaccard_components(docs, n=5, num=4, den=5)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    gone = small(cut(found.where("component_id <> doc_id").select("doc_id").distinct()))
     kept = docs.join(gone, "doc_id", "left_anti")
     return kept.select(*docs.columns)
 

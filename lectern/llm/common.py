@@ -27,6 +27,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small(keys: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A checkpointed table of keys, marked for broadcast if it has at most `most` rows (of 8 bytes or so), else as it is, for a shuffle."""
+    return F.broadcast(keys) if keys.count() <= most else keys
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lectern.llm.common import Rolling, cut, list_array, mix, slices, text_buffer, text_column, words
+from lectern.llm.common import Rolling, cut, list_array, mix, slices, small, text_buffer, text_column, words
 from lectern.llm.components import components
 
 _U = np.uint64
@@ -123,11 +123,21 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     frequency = spark.sparkContext.broadcast(token_counts(base, n, buckets, "text"))  # 4 * buckets bytes
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, often = Rolling(lower=True), frequency.value
+        rolling, often, met = Rolling(lower=True), frequency.value, {}
         usual = float(np.median(often[often > 0])) if (often > 0).any() else 0.0
         typical = usual + 3 * usual**0.5
         for batch in slices(batches, 1):
             value, counts = shingles(*text_buffer(batch.column(1)), n, rolling)
+            at = np.concatenate([np.zeros(1, int), np.cumsum(counts)])
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(value.view(np.uint64)))])
+            keys = batch.column(0).to_numpy()
+            for r, sign in enumerate((sums[at[1:]] - sums[at[:-1]]).tolist()):
+                if met.setdefault(sign, keys[r]) < keys[r]:  # an equal set with a smaller key was met in this task
+                    counts[r] *= -1
+            if len(met) > 1 << 20:
+                met.clear()
+            value = value[np.repeat(counts > 0, np.abs(counts))]
+            counts = np.maximum(counts, 0)
             estimate = np.maximum(often[value.view(np.uint64) % _U(buckets)] - typical, 1)  # what stands out of a bucket's usual load
             rank = np.floor(np.log2(estimate)).astype(np.int64)
             owner = np.repeat(np.arange(len(counts)), counts)
@@ -152,8 +162,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
                 ["token", "key", "size", "need"],
             )
 
-    unique = base.where("key is not null").join(reps, "key", "left_semi")
-    postings = unique.mapInArrow(prefixes, "token long, key long, size int, need byte")
+    everyone = base.where("key is not null").mapInArrow(prefixes, "token long, key long, size int, need byte")
+    postings = everyone.join(reps, "key", "left_semi")  # of equal sets one goes on; texts are not shuffled
     by_size = Window.partitionBy("token").orderBy("size", "key")
     chained = postings.select(
         "*", *[f(c).over(by_size).alias(f"{name}_{c}") for c in ("key", "size", "need") for f, name in ((F.lag, "before"),)], F.lead("key").over(by_size).alias("after")
@@ -167,7 +177,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     ).where(enough)
     chain = ask(chain)
     ordered = Window.partitionBy("b").orderBy(F.desc("shared"), "a")
-    chain = chain.withColumn("r", F.row_number().over(ordered)).where("r <= 2")  # step 4 looks at all others
+    chain = chain.withColumn("r", F.row_number().over(ordered)).where("r = 1")  # step 4 looks at all others
     near = cut(verified(base, chain.select("a", "b"), n, num, den))
     found = components(near.select("a", "b"))
     labelled = lists.select("token", "key", "size", "need").join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
@@ -205,7 +215,7 @@ def verified(base: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> D
                 good[i] = shared >= shared_needed(len(a), len(b), num, den)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    keys = small(cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()))
     tokens = base.where("key is not null").join(keys, "key", "left_semi").mapInArrow(sets, "key long, tokens array<bigint>")
     one = pairs.join(tokens.select(F.col("key").alias("a"), F.col("tokens").alias("left")), "a")
     two = one.join(tokens.select(F.col("key").alias("b"), F.col("tokens").alias("right")), "b")
