@@ -76,23 +76,41 @@ def harmonic_pack(pieces: DataFrame, capacity: int = 1024, buckets: int = 64) ->
 
     Class j takes lengths over capacity / (j + 1), up to capacity / j; each of its bins takes j pieces in turn. Workers number the
     pieces of a class in their own buckets (hashes of the key) and need only the counts of the buckets before them, so a
-    class leaves one bin unfilled, not one for each worker. Sequence ids are gapless. Equal rows are interchangeable.
+    class leaves one bin unfilled, not one for each worker. These last bins (one a class) are put together, largest first, where they fit.
+    Sequence ids are gapless. Equal rows are interchangeable.
     """
     sorted_by = ("key", "start", "ids_crc32")
     classed = pieces.withColumn("class", F.expr(f"cast({capacity} div length as int)")).withColumn("bucket", F.pmod(F.xxhash64("key", "start"), F.lit(buckets)))
     counts = classed.groupBy("class", "bucket").agg(F.count("*").alias("n"))  # at most capacity * buckets rows
     before = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = counts.select("class", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    bins = counts.groupBy("class").agg(F.ceil(F.sum("n") / F.col("class")).cast("long").alias("bins"))
-    first = bins.select("class", F.coalesce(F.sum("bins").over(Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    numbered = (
+    sums = counts.select("class", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(Window.partitionBy("class")).alias("n"))
+    placed = (
         classed.withColumn("own", F.row_number().over(Window.partitionBy("class", "bucket").orderBy(*sorted_by)) - 1)
-        .join(F.broadcast(sums.join(F.broadcast(first), "class")), ["class", "bucket"])
+        .join(F.broadcast(sums), ["class", "bucket"])
         .withColumn("ordinal", F.col("before") + F.col("own"))
-        .withColumn("sequence_id", F.col("first") + F.expr("ordinal div class"))
+        .withColumn("bin", F.expr("ordinal div class"))
+        .withColumn("last", F.expr("bin = n div class"))
     )
-    inside = Window.partitionBy("sequence_id").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
-    return numbered.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long")).drop("own", "before", "first", "ordinal", "bucket")
+    numbered = cut(placed.drop("own", "before", "bucket"))
+    # A row per class: at most `capacity` of them reach the driver.
+    known = numbered.groupBy("class").agg(F.first("n").alias("n"), F.sum(F.when(F.col("last"), F.col("length")).otherwise(0)).alias("rest")).collect()
+    full, first, open_, starts = 0, {}, [], {}
+    for r in sorted(known, key=lambda r: r["class"]):
+        first[r["class"]] = full
+        full += r["n"] // r["class"]
+    for r in sorted(known, key=lambda r: (-r["rest"], r["class"])):
+        if r["rest"]:
+            at = next((i for i, used in enumerate(open_) if used + r["rest"] <= capacity), len(open_))
+            open_[at:] = open_[at:] or [0]
+            starts[r["class"]] = (full + at, open_[at])
+            open_[at] += r["rest"]
+    schema = "class int, first long, last_id long, last_offset long"
+    where = pieces.sparkSession.createDataFrame([(c, f, *map(int, starts.get(c, (0, 0)))) for c, f in first.items()], schema)
+    inside = Window.partitionBy("class", "bin").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
+    done = numbered.withColumn("within", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long")).join(F.broadcast(where), "class")
+    return done.withColumn("sequence_id", F.when(F.col("last"), F.col("last_id")).otherwise(F.col("first") + F.col("bin"))).withColumn(
+        "offset", F.col("within") + F.when(F.col("last"), F.col("last_offset")).otherwise(0)
+    ).drop("n", "ordinal", "bin", "last", "first", "last_id", "last_offset", "within")
 
 
 def pack(docs: DataFrame, ranks: str, pattern: str, capacity: int = 1024, least: int = 64, end: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
