@@ -232,13 +232,13 @@ def interval_scan(contexts: DataFrame, least: int, as_groups: bool) -> DataFrame
     return ordered.mapInArrow(scan, "anchor long, group int, length int, key long, h int, start int" if as_groups else "key long, h int, start int, end int")
 
 
-def repeat_groups(docs: DataFrame, least: int = 200, k: int = 40) -> DataFrame:
+def repeat_groups(docs: DataFrame, least: int = 200, k: int = 32) -> DataFrame:
     """(anchor, group, length, key, h, start): the maximal repeats of `least` bytes or more around each anchor with all their different contexts, not only
     neighbours. `docs` as in repeats(); a context that occurs more often stands for all of its places, and a repeat over several anchors is given at each."""
     return interval_scan(contexts_of(docs, least, k)[1], least, as_groups=True)
 
 
-def repeats(docs: DataFrame, least: int = 200, k: int = 40, most_contexts: int = 50_000) -> DataFrame:
+def repeats(docs: DataFrame, least: int = 200, k: int = 32, most_contexts: int = 50_000) -> DataFrame:
     """Spans (key, h, start, end) whose union is every byte in a string of `least` bytes that starts anywhere else, but for texts that are copies of others.
 
     `docs`: key (a 64-bit number for the row's id), h (a 32-bit checksum of its text), text (binary); none null. Rows equal in key and h share their spans.
@@ -290,14 +290,13 @@ def remove_repeats(docs: DataFrame, least: int = 200, key: str = "doc_id", text:
     rows = docs.withColumn("_raw", raw).withColumn("_key", number).withColumn("_h", F.hash("_raw"))
     signed = cut(rows.select("_key", "_h", F.xxhash64("_raw").alias("h1"), F.xxhash64(F.lit(1), "_raw").alias("h2"), F.octet_length("_raw").alias("n")))
     copies = signed.groupBy("h1", "h2", "n").agg(F.count("*").alias("copies")).where((F.col("copies") > 1) & (F.col("n") >= least))
-    nothing = F.array().cast("array<struct<start:int,end:int>>")
-    copied = signed.join(copies, ["h1", "h2", "n"]).select("_key", "_h", F.lit(True).alias("copied"), nothing.alias("spans")).distinct()
+    copied = signed.join(copies, ["h1", "h2", "n"]).select("_key", "_h", F.lit(True).alias("copied"), F.array().cast("array<bigint>").alias("spans")).distinct()
     spans = repeats(rows.select(F.col("_key").alias("key"), F.col("_h").alias("h"), F.col("_raw").alias("text")), least)
-    by_doc = spans.groupBy("key", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans")).select(F.col("key").alias("_key"), F.col("h").alias("_h"), F.lit(False).alias("copied"), "spans")
+    by_doc = spans.groupBy("key", "h").agg(F.collect_set(F.shiftleft(F.col("start").cast("long"), 32) + F.col("end")).alias("spans")).select(F.col("key").alias("_key"), F.col("h").alias("_h"), F.lit(False).alias("copied"), "spans")
     actions = by_doc.unionByName(copied).groupBy("_key", "_h").agg(F.max("copied").alias("_copied"), F.flatten(F.collect_list("spans")).alias("_spans"))
     joined = rows.join(actions, ["_key", "_h"], "left")
     names = docs.columns
-    arranged = joined.select(*names, "_raw", F.coalesce("_copied", F.lit(False)).alias("_copied"), F.expr("transform(_spans, x -> x.start)").alias("_a"), F.expr("transform(_spans, x -> x.end)").alias("_b"))
+    arranged = joined.select(*names, "_raw", F.coalesce("_copied", F.lit(False)).alias("_copied"), "_spans")
     at = len(names)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +307,8 @@ def remove_repeats(docs: DataFrame, least: int = 200, key: str = "doc_id", text:
                 if batch.column(at + 1)[i].as_py():
                     spans = [(0, len(body))]
                 elif batch.column(at + 2)[i].is_valid:
-                    spans = merged(batch.column(at + 2)[i].values.to_numpy(), batch.column(at + 3)[i].values.to_numpy())
+                    both = batch.column(at + 2)[i].values.to_numpy()
+                    spans = merged(both >> 32, both & 0xFFFFFFFF)
                 else:
                     spans = []
                 if whole_characters:
