@@ -45,7 +45,7 @@ def discover_schemas(tables: DataFrame, cells: DataFrame) -> DataFrame:
     """(document_id, start, count, weeks, spans): of each document the first table whose heading names semesters. start is where they begin (0..1), weeks a map from
     semester, spans a map from field to (left, right) in 0..1."""
     ours = tables.where("section = 'curriculum'").select("table_id", "document_id", "ordinal", F.col("x0").alias("t0"), F.col("x1").alias("t1"))
-    head = cells.where(F.col("row_index") < HEADER_ROWS).join(ours, "table_id").withColumn("h", F.lower(clean(F.col("text"))))
+    head = cells.where(F.col("row_index") < HEADER_ROWS).select("table_id", "row_index", "text", "x0", "x1").join(ours, "table_id").withColumn("h", F.lower(clean(F.col("text"))))
     box = head.groupBy("table_id").agg(
         F.coalesce(F.first("t0"), F.min("x0"), F.lit(0.0)).alias("left"), F.coalesce(F.first("t1"), F.max("x1"), F.lit(1.0)).alias("right")
     ).select("table_id", "left", F.greatest(F.col("right") - F.col("left"), F.lit(1.0)).alias("width"))
@@ -82,7 +82,8 @@ def band_texts(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: D
     A word belongs to every band that holds its middle within the slack. Cell texts stand in only for rows without words.
     """
     ours = tables.where("section = 'curriculum'").select("table_id", "document_id", "page_number", "ordinal", F.col("x0").alias("t0"), F.col("x1").alias("t1"))
-    data = cells.where(F.col("row_index") >= HEADER_ROWS).join(ours, "table_id")
+    own = cells.select("table_id", "row_index", "column_index", "cell_id", "text", "x0", "x1", "word_ids")
+    data = own.where(F.col("row_index") >= HEADER_ROWS).join(ours, "table_id")
     key = ["table_id", "row_index"]
     rows = data.groupBy(*key, "document_id", "page_number", "ordinal").agg(
         F.coalesce(F.first("t0"), F.min("x0"), F.lit(0.0)).alias("a"), F.coalesce(F.first("t1"), F.max("x1"), F.lit(1.0)).alias("b"),
