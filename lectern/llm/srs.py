@@ -38,7 +38,7 @@ def chi_square_quantile(p: float, m: int) -> float:
 class KdTree:
     """A kd-tree over points in m dimensions with buckets of `leaf` points; nearest() gives buckets in the order of their box's distance."""
 
-    def __init__(self, points: np.ndarray, leaf: int = 128):
+    def __init__(self, points: np.ndarray, leaf: int = 512):
         self.leaf, self.points = leaf, points
         self.order = np.arange(len(points))
         self.nodes: list[tuple] = []
@@ -58,8 +58,8 @@ class KdTree:
             self.nodes[at] = (low, high, a, b, left, self._build(a + mid, b))
         return at
 
-    def nearest(self, q: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
-        """(squared distance of a bucket's box, its points), nearest box first."""
+    def nearest(self, q: np.ndarray) -> Iterator[tuple[float, slice]]:
+        """(squared distance of a bucket's box, the places of its points in `order`), nearest box first."""
 
         def gap(node: int) -> float:
             d = np.maximum(np.maximum(self.nodes[node][0] - q, q - self.nodes[node][1]), 0)
@@ -70,7 +70,7 @@ class KdTree:
             distance, node = heapq.heappop(heap)
             _, _, a, b, left, right = self.nodes[node]
             if left < 0:
-                yield distance, self.order[a:b]
+                yield distance, slice(a, b)
             else:
                 heapq.heappush(heap, (gap(left), left))
                 heapq.heappush(heap, (gap(right), right))
@@ -140,20 +140,20 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
 def search(vectors: np.ndarray, ids: np.ndarray, tree: KdTree, query: np.ndarray, query_id: int, flat: np.ndarray, norm2: float, stop: float, k: int, known: float) -> tuple[np.ndarray, np.ndarray]:
     """ids and inner products of the k nearest found in one cell; `known` is a kth product already found elsewhere (or -inf).
 
-    Buckets come in the order of their projected distance. A candidate at squared distance d keeps its projected squared
-    distance over d below `stop` with the test's probability, so when the next bucket lies beyond stop times the kth distance
-    the rest is given up.
+    `vectors` and `ids` lie in the tree's order. Buckets come in the order of their projected distance. A candidate at squared distance d keeps its projected
+    squared distance over d below `stop` with the test's probability, so when the next bucket lies beyond stop times the kth distance the rest is given
+    up. A matrix product picks the rows worth an exact sum.
     """
     best, found = np.full(k, -np.inf), np.full(k, np.iinfo(np.int64).max)
     for distance, rows in tree.nearest(flat):
         kth = max(best[-1], known)
         if kth > -np.inf and distance > stop * max(0.0, norm2 - 2 * kth):
             break
-        rows = rows[ids[rows] != query_id]
-        score = (vectors[rows] * query).sum(1)
-        if not len(score) or score.max() < best[-1]:
+        near = np.flatnonzero(vectors[rows] @ query >= kth - 1e-9) + rows.start
+        near = near[ids[near] != query_id]
+        if not len(near):
             continue
-        all_scores, all_ids = np.concatenate([best, score]), np.concatenate([found, ids[rows]])
+        all_scores, all_ids = np.concatenate([best, (vectors[near] * query).sum(1)]), np.concatenate([found, ids[near]])
         first = np.lexsort((all_ids, -all_scores))[:k]
         best, found = all_scores[first], all_ids[first]
     there = best > -np.inf
@@ -236,6 +236,7 @@ def nearest_products(
         if left.num_rows and right.num_rows:
             ids, x = left.column("vec_id").to_numpy(), matrix(left.column("v").combine_chunks(), dims)
             tree = KdTree(lifted(x))
+            ids, x = ids[tree.order], x[tree.order]
             queries, known = matrix(right.column("v").combine_chunks(), dims), right.column("known").to_numpy()
             flat = np.concatenate([queries, np.zeros((len(queries), 1))], 1) @ weights
             out = [search(x, ids, tree, q, qids[i], flat[i], float(q @ q) + largest, stop, k, known[i]) for i, q in enumerate(queries)]
