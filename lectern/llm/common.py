@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +20,11 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
+def worker_memory() -> dict:
+    """A dictionary that lasts as long as the Python worker, which runs many tasks; the functions themselves come anew with each task."""
+    return sys.modules.setdefault("_lectern_worker_memory", types.ModuleType("_lectern_worker_memory")).__dict__
+
+
 def cut(df: DataFrame) -> DataFrame:
     """checkpoint() to the folder in spark.checkpoint.dir; a folder of our own only where it is unset."""
     spark = df.sparkSession
@@ -128,9 +135,3 @@ def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray | None = None
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     return start, end, np.searchsorted(start, offsets)
 
-
-def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """A list column whose row i holds the next counts[i] values."""
-    offsets = np.zeros(len(counts) + 1, np.int32)
-    np.cumsum(counts, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lectern.llm.common import Rolling, cut, list_array, mix, slices, small, text_buffer, text_column, words
+from lectern.llm.common import Rolling, cut, mix, slices, small, text_buffer, text_column, words
 from lectern.llm.components import components
 
 _U = np.uint64
@@ -42,6 +42,50 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int, rolling: Rolling) ->
     return value[new], np.bincount(owner[new], minlength=len(counts))
 
 
+#: 64-bit words of a set's bitmap.
+MAP_WORDS = 8
+_MAP = [f"m{i}" for i in range(MAP_WORDS)]
+
+
+def bitmaps(value: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each row MAP_WORDS 64-bit words; a bit says whether an odd number of its shingles hash to it. Two maps differ in no more bits than the sets differ in shingles."""
+    bits = 64 * MAP_WORDS
+    place = np.repeat(np.arange(len(counts)), counts) * bits + (mix(value.view(np.uint64) ^ _U(0x94D049BB133111EB)) % _U(bits)).astype(np.int64)
+    odd = (np.bincount(place, minlength=bits * len(counts)) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(len(counts), bits), axis=1).view(np.int64)
+
+
+def maybe_similar(num: int, den: int, size: str = "size", other_size: str = "other_size", other: str = "o_") -> str:
+    """SQL: the sizes and bitmaps of two sets allow a similarity of num / den."""
+    differ = " + ".join(f"bit_count({m} ^ {other}{m})" for m in _MAP)
+    sizes = f"least({size}, {other_size}) * {den} >= greatest({size}, {other_size}) * {num}"
+    return f"{sizes} and ({size} + {other_size} - ({differ})) * {num + den} >= 2 * {num} * ({size} + {other_size})"
+
+
+def likely_similar(num: int, den: int) -> str:
+    """SQL: the estimate of the similarity by the bitmaps is num / den or more."""
+    bits = 64 * MAP_WORDS
+    differ = " + ".join(f"bit_count({m} ^ o_{m})" for m in _MAP)
+    sets = f"(ln(greatest(1.0 - 2.0 * ({differ}) / {bits}, 0.01)) / ln(1.0 - 2.0 / {bits}))"  # shingles in which the sets differ
+    return f"(size + other_size - {sets}) * {den} >= (size + other_size + {sets}) * {num}"
+
+
+def packed(value: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Each row's sorted hashes to 48 bits, six bytes each."""
+    short = value.view(np.uint64) >> _U(16)
+    order = np.lexsort((short, np.repeat(np.arange(len(counts)), counts)))
+    data = short[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    offsets = np.zeros(len(counts) + 1, np.int32)
+    np.cumsum(6 * counts, out=offsets[1:])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def unpacked(data: pa.Buffer) -> np.ndarray:
+    out = np.zeros((data.size // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8")
+
+
 def shared_needed(a, b, num: int, den: int):
     """The least intersection of sets of sizes a and b with den * intersection >= num * union."""
     return -(-num * (a + b) // (num + den))
@@ -84,7 +128,7 @@ def token_counts(docs: DataFrame, n: int, buckets: int, text: str) -> np.ndarray
     return out
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, key: str = "doc_id", text: str = "text", most_needed: int = 4, buckets: int = 1 << 18) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, key: str = "doc_id", text: str = "text", most_needed: int = 4, merges: int = 3, buckets: int = 1 << 18) -> DataFrame:
     """One row per row of `docs`: key, n_shingles, component_id (the smallest key reachable by links of similarity >= num / den, itself included).
 
     A document's set is its distinct n-word shingles; fewer words are one shingle; no words or a null text is the empty set,
@@ -94,25 +138,28 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     1. Documents with the same set join at once and one of them goes on.
     2. Shingles are ordered by their estimated frequency, then hash. A record asks for l shared tokens and gives out the prefix for l, l chosen
        by estimated cost: two records that ask for l and l' and are similar share min(l, l') prefix tokens or more.
-    3. Neighbours in each token's list (by size) are verified first; those found similar grow into components.
-    4. Of all pairs in a list, only those of different components are made and, if they share enough tokens, verified. So a large group
-       of near copies costs about its size, and no link between components is lost.
+    3. In each token's list neighbours by size, and each record with the one whose tokens are best known to others (in a group of near copies the one with the
+       fewest changes), are proposed if their components differ; the most alike pair a component is verified if the bitmaps make it likely, and those found similar grow
+       into components; this `merges` times.
+    4. Of all pairs in a list, only those of different components are made and, if they share enough tokens, verified. No link between components is lost.
+    Before a pair is verified, sizes and bitmaps of both sets bound its similarity from above; sets are only fetched for pairs that pass.
     """
     kind = docs.schema[key].dataType
     base = docs.select(F.col(key).cast("long").alias("key"), text_column(text).alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling(lower=True)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 1 << 20):
             value, counts = shingles(*text_buffer(batch.column(1)), n, rolling)
             signs = []
             for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(value.view(np.uint64) + _U(salt)))])
                 at = np.concatenate([np.zeros(1, int), np.cumsum(counts)])
                 signs.append((sums[at[1:]] - sums[at[:-1]]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(signs[0]), pa.array(signs[1])], ["key", "size", "s1", "s2"])
+            maps = bitmaps(value, counts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), *map(pa.array, signs), *(pa.array(maps[:, i]) for i in range(MAP_WORDS))], ["key", "size", "s1", "s2", *_MAP])
 
-    signed = cut(base.mapInArrow(sign, "key long, size long, s1 long, s2 long"))
+    signed = cut(base.mapInArrow(sign, "key long, size long, s1 long, s2 long, " + ", ".join(f"{m} long" for m in _MAP)))
     filled = signed.where("size > 0 and key is not null")
     groups = filled.groupBy("size", "s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"))
     groups = cut(groups)
@@ -126,7 +173,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
         rolling, often, met = Rolling(lower=True), frequency.value, {}
         usual = float(np.median(often[often > 0])) if (often > 0).any() else 0.0
         typical = usual + 3 * usual**0.5
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 1 << 20):
             value, counts = shingles(*text_buffer(batch.column(1)), n, rolling)
             at = np.concatenate([np.zeros(1, int), np.cumsum(counts)])
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(value.view(np.uint64)))])
@@ -134,7 +181,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
             for r, sign in enumerate((sums[at[1:]] - sums[at[:-1]]).tolist()):
                 if met.setdefault(sign, keys[r]) < keys[r]:  # an equal set with a smaller key was met in this task
                     counts[r] *= -1
-            if len(met) > 1 << 20:
+            if len(met) > 1 << 18:
                 met.clear()
             value = value[np.repeat(counts > 0, np.abs(counts))]
             counts = np.maximum(counts, 0)
@@ -162,61 +209,80 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
                 ["token", "key", "size", "need"],
             )
 
-    everyone = base.where("key is not null").mapInArrow(prefixes, "token long, key long, size int, need byte")
-    postings = everyone.join(reps, "key", "left_semi")  # of equal sets one goes on; texts are not shuffled
+    postings = base.where("key is not null").mapInArrow(prefixes, "token long, key long, size int, need byte")
     by_size = Window.partitionBy("token").orderBy("size", "key")
-    chained = postings.select(
-        "*", *[f(c).over(by_size).alias(f"{name}_{c}") for c in ("key", "size", "need") for f, name in ((F.lag, "before"),)], F.lead("key").over(by_size).alias("after")
-    ).where("before_key is not null or after is not null")
-    lists = cut(chained.drop("after"))  # tokens that one record alone gives out are gone
-
-    enough = f"least(size, other_size) * {den} >= greatest(size, other_size) * {num}"
-    ask = lambda pairs: pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("size").alias("size"), F.first("other_size").alias("other_size"), F.first("need").alias("need"))
-    chain = lists.where("before_key is not null and before_key <> key").select(
-        F.col("before_key").alias("a"), F.col("key").alias("b"), "size", F.col("before_size").alias("other_size"), F.least("need", "before_need").alias("need")
-    ).where(enough)
-    chain = ask(chain)
-    ordered = Window.partitionBy("b").orderBy(F.desc("shared"), "a")
-    chain = chain.withColumn("r", F.row_number().over(ordered)).where("r = 1")  # step 4 looks at all others
-    near = cut(verified(base, chain.select("a", "b"), n, num, den))
-    found = components(near.select("a", "b"))
-    labelled = lists.select("token", "key", "size", "need").join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    mixed = labelled.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
-    labelled = cut(labelled.join(mixed, "token", "left_semi"))
-    right = labelled.select("token", F.col("key").alias("other"), F.col("size").alias("other_size"), F.col("need").alias("other_need"), F.col("component").alias("other_component"))
-    crossing = labelled.join(right, "token").where("key < other and component <> other_component").where(enough)
-    crossing = ask(crossing.select(F.col("key").alias("a"), F.col("other").alias("b"), "size", "other_size", F.least("need", "other_need").alias("need"))).where("shared >= need")
-    rest = cut(verified(base, crossing.select("a", "b"), n, num, den))
+    around = postings.withColumn("before", F.lag("key").over(by_size)).withColumn("after", F.lead("key").over(by_size))
+    lists = around.where("before is not null or after is not null").drop("before", "after")  # tokens that one record alone gives out are gone
+    lists = cut(one_of_equal(lists.join(reps, "key", "left_semi")))  # of equal sets one goes on
+    lists = lists.withColumn("known", F.sum("weight").over(Window.partitionBy("key")))
+
+    maps = filled.select("key", "size", *_MAP)
+    other_maps = maps.select(F.col("key").alias("b"), F.col("size").alias("other_size"), *[F.col(m).alias(f"o_{m}") for m in _MAP])
+    similar = maybe_similar(num, den)
+    differ = F.expr("(" + " + ".join(f"bit_count({m} ^ o_{m})" for m in _MAP) + ") / (size + other_size)")
+    by_known = Window.partitionBy("token").orderBy(F.desc("known"), "key")
+    near = found = tried = None
+    for _ in range(merges):
+        here = lists.withColumn("component", F.col("key")) if found is None else labelled(lists, found)
+        beside = {f"{c}{i}": f(c).over(w) for i, (f, w) in enumerate(((F.lag, by_size), (F.first, by_known))) for c in ("key", "component")}
+        beside = here.select("key", "component", *[c.alias(name) for name, c in beside.items()])
+        either = F.explode(F.array(*[F.struct(F.col(f"key{i}").alias("a"), F.col(f"component{i}").alias("other")) for i in (0, 1)]))
+        met = beside.select("key", "component", either.alias("x")).where("x.a is not null and x.other <> component")
+        pairs = met.groupBy(F.least("x.a", "key").alias("a"), F.greatest("x.a", "key").alias("b")).agg(F.min("component").alias("component"))
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = pairs.join(maps.withColumnRenamed("key", "a"), "a").join(other_maps, "b").where(similar).where(likely_similar(num, den)).select("a", "b", "component", differ.alias("differ"))
+        pairs = pairs.withColumn("r", F.row_number().over(Window.partitionBy("component").orderBy("differ", "b", "a"))).where("r = 1")  # step 4 looks at all others
+        pairs = cut(pairs.select("a", "b"))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        more = verified(base, pairs, n, num, den)
+        near = cut(more if near is None else near.unionByName(more))
+        found = components(near)
+    here = labelled(lists.drop("size", "known"), found)
+    mixed = here.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
+    here = cut(here.join(mixed, "token", "left_semi").join(maps, "key"))
+    right = here.select("token", F.col("key").alias("other"), F.col("need").alias("other_need"), F.col("component").alias("other_component"), F.col("size").alias("other_size"), *[F.col(m).alias(f"o_{m}") for m in _MAP])
+    crossing = here.join(right, "token").where(f"key < other and component <> other_component and {similar}")
+    crossing = crossing.groupBy(F.col("key").alias("a"), F.col("other").alias("b")).agg(F.sum("weight").alias("shared"), F.min(F.least("need", "other_need")).alias("need")).where("shared >= need")
+    rest = cut(verified(base, cut(crossing.select("a", "b")), n, num, den))
     links = same.unionByName(near.select("a", "b")).unionByName(rest.select("a", "b"))
     final = components(links)
     out = signed.join(final, F.col("key") == F.col("node"), "left")
     return out.select(F.col("key").cast(kind).alias(key), F.col("size").alias("n_shingles"), F.coalesce("component", "key").cast(kind).alias("component_id"))
 
 
+def one_of_equal(lists: DataFrame) -> DataFrame:
+    """Of tokens with the same list one goes on, with their number as weight; lists of one record go."""
+    token = lists.groupBy("token").agg(*[F.sum(F.xxhash64(F.lit(i), "key").cast("decimal(20,0)")).alias(f"s{i}") for i in (0, 1)], F.count("*").alias("n")).where("n > 1")
+    one = token.groupBy("s0", "s1", "n").agg(F.min("token").alias("token"), F.count("*").alias("weight")).select("token", "weight")
+    return lists.join(one, "token")
+
+
+def labelled(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """The lists with each record's component, itself where it has no link yet."""
+    return lists.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+
+
 def verified(base: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of keys whose documents' sets are similar. Sets are made anew from the texts of the documents that occur."""
-    pairs = cut(pairs)
+    """The pairs (a, b) of keys whose documents' sets are similar. Sets are made anew from the texts of the documents that occur, as 48-bit hashes."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling(lower=True)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 1 << 20):
             value, counts = shingles(*text_buffer(batch.column(1)), n, rolling)
-            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(value, counts, pa.int64())], ["key", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed(value, counts)], ["key", "tokens"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right, good = batch.column(2), batch.column(3), np.zeros(batch.num_rows, bool)
-            lo, ro = left.offsets.to_numpy(), right.offsets.to_numpy()
-            lv, rv = left.values.to_numpy(), right.values.to_numpy()
+            good = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
-                a, b = lv[lo[i] : lo[i + 1]], rv[ro[i] : ro[i + 1]]
+                a, b = unpacked(batch.column(2)[i].as_buffer()), unpacked(batch.column(3)[i].as_buffer())
                 at = np.searchsorted(b, a)
                 shared = int((b[np.minimum(at, len(b) - 1)] == a).sum()) if len(b) else 0
                 good[i] = shared >= shared_needed(len(a), len(b), num, den)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     keys = small(cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()))
-    tokens = base.where("key is not null").join(keys, "key", "left_semi").mapInArrow(sets, "key long, tokens array<bigint>")
+    tokens = base.where("key is not null").join(keys, "key", "left_semi").mapInArrow(sets, "key long, tokens binary")
     one = pairs.join(tokens.select(F.col("key").alias("a"), F.col("tokens").alias("left")), "a")
     two = one.join(tokens.select(F.col("key").alias("b"), F.col("tokens").alias("right")), "b")
     return two.select("a", "b", "left", "right").mapInArrow(check, "a long, b long").distinct()

@@ -93,7 +93,9 @@ def test_prefix_arithmetic():
 
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 50)] + [(100, 90), (90, 95), (7, 7)] + [(200, 200 + i) for i in range(1, 40)]
-    got = {tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    df = spark.createDataFrame(links, "a long, b long")
+    got = {tuple(r) for r in components(df).collect()}
+    assert got == {tuple(r) for r in components(df.repartition(4), partition_rows=20).collect()}
     assert got == {(i, 0) for i in range(51)} | {(90, 90), (95, 90), (100, 90)} | {(200 + i, 200) for i in range(40)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
