@@ -11,16 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import slices, text_column
-
-_RANKS: dict[str, dict[bytes, int]] = {}
+from lectern.llm.common import slices, text_column, worker_memory
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
-    if path not in _RANKS:
-        with open(path, "rb") as lines:
-            _RANKS[path] = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return _RANKS[path]
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
 def merge_one(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -138,7 +134,7 @@ def replay(words: list[bytes], pairs: Pairs) -> list[bytes]:
 class Coder:
     """Encodes texts word by word with a memory of at most `most_words` words, and decodes."""
 
-    def __init__(self, path: str, pattern: str, most_words: int = 1 << 19):
+    def __init__(self, path: str, pattern: str, most_words: int = 800_000):
         import regex
 
         self.pairs, self.split, self.memory, self.most_words = Pairs(load_ranks(path)), regex.compile(pattern).findall, {}, most_words
@@ -150,14 +146,14 @@ class Coder:
         if len(memory) > self.most_words:
             memory.clear()
             self.pairs.known.clear()
-        new = list({w for words in split for w in words if w not in memory})
+        new = list(set().union(*split).difference(memory))
         if new:
             memory.update(zip(new, replay([w.encode() for w in new], self.pairs), strict=True))
-        return [b"".join([memory[w] for w in words]) for words in split]
+        return [b"".join(map(memory.__getitem__, words)) for words in split]
 
     def decode(self, ids: bytes) -> bytes:
         name = self.pairs.bytes_
-        return b"".join([name[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return b"".join(map(name.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -169,7 +165,9 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(path, pattern)
+        memory = worker_memory()
+        coder = memory.get(("coder", path, pattern)) or Coder(path, pattern)
+        memory["coder", path, pattern] = coder
         for batch in slices(batches, 1, 1 << 22):
             ids = coder.encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([coder.decode(x) for x in ids], pa.binary())], ["key", "ids", "decoded"])
