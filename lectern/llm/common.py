@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy step works on at once; bounds a Python worker's memory.
-SLICE = 1 << 21
+SLICE = 1 << 20
 
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _U = np.uint64

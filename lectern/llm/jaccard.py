@@ -109,26 +109,27 @@ def adaptive_prefix(cost: np.ndarray, least: int, most: int, verify: float) -> i
     return at
 
 
-def token_counts(docs: DataFrame, n: int, buckets: int, text: str) -> np.ndarray:
-    """Counts of all documents' shingles in hash buckets (bounded, whatever the corpus): an estimate from above of each shingle's frequency."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, rolling = np.zeros(buckets, np.int64), Rolling(lower=True)
-        for batch in slices(batches):
-            value, _ = shingles(*text_buffer(batch.column(0)), n, rolling)
-            own += np.bincount(value.view(np.uint64) % _U(buckets), minlength=buckets)
-        there = np.flatnonzero(own)
-        for a in range(0, len(there), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(there[a : a + (1 << 16)], pa.int32()), pa.array(own[there[a : a + (1 << 16)]])], ["bucket", "n"])
-
-    counts = docs.select(text_column(text).alias("text")).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+#: Buckets of the frequency estimate in one row.
+CHUNK = 4096
+
+
+def total_counts(chunks: DataFrame, buckets: int) -> np.ndarray:
+    """The sum of the tasks' bucket counts, from rows (chunk, counts as 32-bit integers); `buckets` is fixed, whatever the corpus."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for c, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[c] = sums.get(c, 0) + np.frombuffer(data.as_buffer(), "<u4").astype(np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["chunk", "counts"])
+
     out = np.zeros(buckets, np.float32)
-    got = counts.toPandas()
-    out[got["bucket"].to_numpy(int)] = got["n"]
+    for c, data in chunks.repartition("chunk").mapInArrow(add, "chunk long, counts binary").collect():
+        out[c * CHUNK : (c + 1) * CHUNK] = np.frombuffer(bytes(data), np.float64)
     return out
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, key: str = "doc_id", text: str = "text", most_needed: int = 4, merges: int = 3, buckets: int = 1 << 18) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, key: str = "doc_id", text: str = "text", most_needed: int = 4, merges: int = 8, buckets: int = 1 << 18) -> DataFrame:
     """One row per row of `docs`: key, n_shingles, component_id (the smallest key reachable by links of similarity >= num / den, itself included).
 
     A document's set is its distinct n-word shingles; fewer words are one shingle; no words or a null text is the empty set,
@@ -140,7 +141,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
        by estimated cost: two records that ask for l and l' and are similar share min(l, l') prefix tokens or more.
     3. In each token's list neighbours by size, and each record with the one whose tokens are best known to others (in a group of near copies the one with the
        fewest changes), are proposed if their components differ; the most alike pair a component is verified if the bitmaps make it likely, and those found similar grow
-       into components; this `merges` times.
+       into components; this goes on while links grow by 2 % or more, `merges` times at most.
     4. Of all pairs in a list, only those of different components are made and, if they share enough tokens, verified. No link between components is lost.
     Before a pair is verified, sizes and bitmaps of both sets bound its similarity from above; sets are only fetched for pairs that pass.
     """
@@ -148,18 +149,26 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     base = docs.select(F.col(key).cast("long").alias("key"), text_column(text).alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = Rolling(lower=True)
+        rolling, often = Rolling(lower=True), np.zeros(buckets, np.int64)
         for batch in slices(batches, 1, 1 << 20):
             value, counts = shingles(*text_buffer(batch.column(1)), n, rolling)
+            often += np.bincount(value.view(np.uint64) % _U(buckets), minlength=buckets)
             signs = []
             for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(value.view(np.uint64) + _U(salt)))])
                 at = np.concatenate([np.zeros(1, int), np.cumsum(counts)])
                 signs.append((sums[at[1:]] - sums[at[:-1]]).view(np.int64))
             maps = bitmaps(value, counts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), *map(pa.array, signs), *(pa.array(maps[:, i]) for i in range(MAP_WORDS))], ["key", "size", "s1", "s2", *_MAP])
-
-    signed = cut(base.mapInArrow(sign, "key long, size long, s1 long, s2 long, " + ", ".join(f"{m} long" for m in _MAP)))
+            nothing = pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), *map(pa.array, signs), *(pa.array(maps[:, i]) for i in range(MAP_WORDS)), *nothing], names)
+        parts = [np.minimum(often[a : a + CHUNK], (1 << 32) - 1).astype("<u4").tobytes() for a in range(0, buckets, CHUNK)] if often.any() else []
+        empty = [pa.nulls(len(parts), pa.int64())] * (4 + MAP_WORDS)
+        yield pa.RecordBatch.from_arrays([*empty, pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], names)
+
+    # One pass gives each document's set in short, and each task's counts of all its shingles in rows of their own (`chunk` is not null).
+    names = ["key", "size", "s1", "s2", *_MAP, "chunk", "counts"]
+    passed = cut(base.mapInArrow(sign, ", ".join(f"{c} long" for c in names[:-1]) + ", counts binary"))
+    signed = passed.where("chunk is null").drop("chunk", "counts")
     filled = signed.where("size > 0 and key is not null")
     groups = filled.groupBy("size", "s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"))
     groups = cut(groups)
@@ -167,7 +176,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     same = filled.join(groups.where("copies > 1"), ["size", "s1", "s2"]).where("key <> rep").select(F.col("rep").alias("a"), F.col("key").alias("b"))
 
     spark = docs.sparkSession
-    frequency = spark.sparkContext.broadcast(token_counts(base, n, buckets, "text"))  # 4 * buckets bytes
+    frequency = spark.sparkContext.broadcast(total_counts(passed.where("chunk is not null").select("chunk", "counts"), buckets))  # 4 * buckets bytes
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling, often, met = Rolling(lower=True), frequency.value, {}
@@ -222,6 +231,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     differ = F.expr("(" + " + ".join(f"bit_count({m} ^ o_{m})" for m in _MAP) + ") / (size + other_size)")
     by_known = Window.partitionBy("token").orderBy(F.desc("known"), "key")
     near = found = tried = None
+    links = 0
     for _ in range(merges):
         here = lists.withColumn("component", F.col("key")) if found is None else labelled(lists, found)
         beside = {f"{c}{i}": f(c).over(w) for i, (f, w) in enumerate(((F.lag, by_size), (F.first, by_known))) for c in ("key", "component")}
@@ -236,7 +246,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
         tried = pairs if tried is None else tried.unionByName(pairs)
         more = verified(base, pairs, n, num, den)
         near = cut(more if near is None else near.unionByName(more))
-        found = components(near)
+        found, before, links = components(near), links, near.count()
+        if links - before < 0.02 * links + 1:
+            break
     here = labelled(lists.drop("size", "known"), found)
     mixed = here.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token")
     here = cut(here.join(mixed, "token", "left_semi").join(maps, "key"))

@@ -115,7 +115,7 @@ def sampled(docs: DataFrame, least: int, k: int) -> DataFrame:
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling, seen, texts = Rolling(), {}, set()
-        for batch in slices(batches, 2):
+        for batch in slices(batches, 2, 1 << 20):
             keys, hashes, short = batch.column(0), batch.column(1).to_numpy(), batch.column(3)
             fresh = np.ones(len(hashes), bool)
             for i, h in enumerate(hashes.tolist()):  # a copy of a text met before is found by its hash alone
@@ -130,9 +130,9 @@ def sampled(docs: DataFrame, least: int, k: int) -> DataFrame:
                 times = seen.get(c, 0)
                 done[i] = times >= 2
                 seen[c] = times + 1
-            if len(seen) > 1 << 19:
+            if len(seen) > 1 << 18:
                 seen.clear()
-            if len(texts) > 1 << 20:
+            if len(texts) > 1 << 18:
                 texts.clear()
             route = np.where(done, (anchor * _U(0xD6E8FEB86659FD93)) ^ hashes.view(np.uint64)[row] ^ at.astype(np.uint64), anchor)
             origin = offsets[row]
