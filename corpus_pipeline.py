@@ -19,11 +19,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component (five-word shingles, similarity 0.8 or more); texts without a word and rows without an id all stay."""
-    found = jaccard_components(docs, n=5, num=4, den=5)
-    gone = small(cut(found.where("component_id <> doc_id").select("doc_id").distinct()))
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.select(*docs.columns)
+    """One row of each component (five-word shingles, similarity 0.8 or more): the one with the smallest id, null ids last; of rows that repeat an id in a component one. Texts without a word all stay.
+
+    Rows are told apart by a number of their own, not by doc_id, so repeated rows and rows without an id are members like all others.
+    """
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
+    found = cut(jaccard_components(rows, n=5, num=4, den=5, key="_row").where("n_shingles > 0").select("_row", "component_id"))
+    own = found.join(rows.select("_row", "doc_id"), "_row")
+    best = own.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best"), F.count("*").alias("n"))
+    best = small(cut(best.where("n > 1").select("component_id", F.col("best._row").alias("stays"))))
+    gone = small(cut(found.join(best, "component_id").where("_row <> stays").select("_row")))
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -190,3 +190,20 @@ def test_pipeline_with_odd_rows(spark, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             at = spark.createDataFrame(stage(spark, at, str(tmp_path)).collect(), stage(spark, at, str(tmp_path)).schema)
         assert (at.count() > 0) == (start is docs)
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    t, u, v, w, x, y, z = (" ".join(f"{c}{rng.randrange(10_000)}" for _ in range(80)) for c in "tuvwxyz")
+    near = f"{z} changed"
+    rows = [(1, t), (1, t), (2, u), (None, u), (None, v), (None, v), (5, w), (7, w), (7, x), (9, y), (9, y), (None, y), (12, z), (12, near), (11, near), (20, ""), (20, ""), (None, None)]
+    docs = spark.createDataFrame([(i, s, "en", "s", 0) for i, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    alone = [(1, t), (2, u), (None, v), (5, w), (7, x), (9, y), (11, near), (20, ""), (20, ""), (None, None)]
+    by = lambda r: (str(r[0]), str(r[1]))
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=by) == sorted(alone, key=by)
+    left = corpus_pipeline.passages(spark, kept, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text or "") for r in left), key=by) == sorted(((i, s or "") for i, s in alone), key=by)
