@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -16,6 +17,9 @@ from lectern.llm.common import cut, slices, text_column
 
 PIECES = "key {key}, start long, length int, ids_crc32 long, doc_tokens long"
 _ENCODERS: dict[tuple[str, str], object] = {}
+#: From some 500,000 white-space characters in a row on tiktoken's regex overflows its stack and panics.
+LONG_SPACE = 10_000
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
 
 
 def encoder(path: str, pattern: str):
@@ -29,6 +33,16 @@ def encoder(path: str, pattern: str):
     return _ENCODERS[path, pattern]
 
 
+def token_ids(path: str, pattern: str, text: str) -> list[int]:
+    """The text's ids. A text with a long run of white space is split by `regex`, which has no such limit, and its words are encoded one by one."""
+    encode = encoder(path, pattern)
+    if len(text) < LONG_SPACE or not _LONG_SPACE.search(text):
+        return encode.encode_ordinary(text)
+    import regex
+
+    return [i for word in regex.finditer(pattern, text) for i in encode._encode_single_piece(word.group())]
+
+
 def cuts(tokens: int, capacity: int, least: int) -> list[int]:
     """Lengths of a document's pieces: full sequences, then the powers of two (from capacity / 2 to `least`) in the rest, then what is left.
 
@@ -50,11 +64,10 @@ def tokenize(docs: DataFrame, ranks: str, pattern: str, capacity: int = 1024, le
     kind = docs.schema[key].dataType
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks, pattern)
         for batch in slices(batches, 1):
             keys, start, length, crc, total = [], [], [], [], []
             for k, body in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                ids = np.asarray([*encode.encode_ordinary(body), end], "<u4")
+                ids = np.asarray([*token_ids(ranks, pattern, body), end], "<u4")
                 raw, at = memoryview(ids).cast("B"), 0
                 for n in cuts(len(ids), capacity, least):
                     keys.append(k)

@@ -217,6 +217,21 @@ def test_same_ids_as_the_tokenizer():
         assert fast.encode_ordinary(text) == plain.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("run", [" " * 1_000_000, "\n" * 1_000_000, "\u00a0 \t" * 400_000, "a  b " + "\r\n" * 500_000])
+def test_long_white_space(spark, run):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json"))
+    plain.encode_special_tokens = True
+    rows = [(1, run + "x <|endoftext|>"), (2, "x  y" + run), (3, "short")]
+    got = pack(frame(spark, rows), queries.vocabulary("byte_bpe_50k.tiktoken"), queries.pattern()).collect()
+    for i, text in rows:
+        ids = np.array([*plain.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        own = sorted((r.start, r.length, r.ids_crc32) for r in got if r.doc_id == i)
+        assert sum(n for _, n, _ in own) == len(ids)
+        assert all(crc == zlib.crc32(ids[a : a + n].tobytes()) for a, n, crc in own)
+
+
 def test_cuts():
     for n in range(1, 4000):
         own = cuts(n, 1024, 64)
