@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lectern.llm.common import cut
+from lectern.llm.common import cut, small
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -171,7 +171,7 @@ def nearest_products(
     every row is indexed, in its cell's own kd-tree. A query is searched in its own cell first; with the kth distance
     found there it goes on only to cells that the chi-square test does not rule out at `confidence`.
 
-    Of vectors that are equal only the k + 1 with the smallest ids can be results, so only these are indexed; queries are
+    Of vectors that are equal only those of the k + 1 smallest different ids can be results, and of one id's only k, so only these are indexed; queries are
     never left out. Rows that are null, zero, hold null or non-finite components, have another length than the longest, or
     have a null id take no part. A row with the query's own id is no candidate. An empty table gives an empty result.
     """
@@ -207,8 +207,12 @@ def nearest_products(
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(assign(lifted(x), nodes)), pa.array(home)], ["vec_id", "v", "q", "cell", "home"])
 
     indexed = cut(rows.mapInArrow(index, "vec_id long, v array<double>, q boolean, cell int, home int"))
-    copies = Window.partitionBy("cell", "h", "v").orderBy("vec_id")
-    data = indexed.select("vec_id", "v", "cell", F.xxhash64("v").alias("h")).withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
+    hashed = indexed.select("vec_id", "v", "cell", F.xxhash64("v").alias("h"))
+    often = small(cut(hashed.groupBy("vec_id", "h").agg(F.count("*").alias("n")).where(F.col("n") > k).select("vec_id", "h")))
+    repeated = hashed.join(often, ["vec_id", "h"], "left_semi").withColumn("copy", F.row_number().over(Window.partitionBy("cell", "h", "v", "vec_id").orderBy("vec_id")))
+    data = hashed.join(often, ["vec_id", "h"], "left_anti").unionByName(repeated.where(F.col("copy") <= k).drop("copy"))
+    by_id = Window.partitionBy("cell", "h", "v").orderBy("vec_id")
+    data = data.withColumn("place", F.dense_rank().over(by_id)).where(F.col("place") <= k + 1)
 
     sizes = dict(data.groupBy("cell").count().collect())  # a row per cell, most_cells at most
     parts = {c: -(-size // (4 * cell_rows)) for c, size in sizes.items()}  # a crowded cell is dealt to several tasks

@@ -60,16 +60,15 @@ def scan(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.n
     about = middle @ queries.T.astype(np.float64)  # multiples of a half below 2**53: exact
     for q in range(len(query_ids)):
         upper = about[:, q] + slack[q]
-        keep = min(k + 1, len(ids))  # the query's own row may be one
-        kth = np.partition(about[:, q], len(ids) - keep)[len(ids) - keep] - slack[q]
-        left = np.flatnonzero(upper >= kth)
+        other = np.flatnonzero(ids != query_ids[q])  # the query's own rows, however many, are no candidates
+        keep = min(k, len(other))
+        kth = np.partition(about[other, q], len(other) - keep)[len(other) - keep] - slack[q] if keep else np.inf
+        left = other[upper[other] >= kth]
         left = left[np.argsort(-upper[left], kind="stable")]
-        best_ids, best, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 4 * (k + 1)
+        best_ids, best, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 4 * k
         while at < len(left) and (len(best) < k or upper[left[at]] >= best[-1]):
             part = left[at : at + step]
-            part_ids, score = ids[part], data[part] @ queries[q]
-            other = part_ids != query_ids[q]
-            best_ids, best = np.concatenate([best_ids, part_ids[other]]), np.concatenate([best, score[other]])
+            best_ids, best = np.concatenate([best_ids, ids[part]]), np.concatenate([best, data[part] @ queries[q]])
             first = np.lexsort((best_ids, -best))[:k]
             best_ids, best, at = best_ids[first], best[first], at + step
         yield int(query_ids[q]), best_ids, best

@@ -207,3 +207,16 @@ def test_pipeline_keeps_one_row_of_each_group(spark, tmp_path):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=by) == sorted(alone, key=by)
     left = corpus_pipeline.passages(spark, kept, str(tmp_path)).collect()
     assert sorted(((r.doc_id, r.text or "") for r in left), key=by) == sorted(((i, s or "") for i, s in alone), key=by)
+
+
+@pytest.mark.parametrize("search", [top_products, nearest_products])
+def test_repeated_query_rows(spark, search):
+    own = [(0, [1.0, 0.0])]
+    rows = [*own * 2, *[(i, [s / 100, 0.1]) for i, s in enumerate((90, 80, 70, 60, 50, 40), 1)]]
+    got = search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 0, 5).collect()
+    assert sorted((r["rank"], r.vec_id) for r in got) == [(i, i) for i in range(1, 6)]
+    rows = [*own * 40, *[(i, own[0][1]) for i in range(1, 9)], *[(i, [0.1, 0.9]) for i in range(20, 30)]]
+    got = search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 0, 5).collect()
+    assert sorted((r["rank"], r.vec_id) for r in got) == [(i, i) for i in range(1, 6)]
+    got = search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 3, 5).collect()
+    assert [r.vec_id for r in got] == [0] * 5
