@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy step works on at once; bounds a Python worker's memory.
@@ -48,6 +48,17 @@ def text_column(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def finite(vector: Column) -> Column:
+    """The vector has components, all finite."""
+    return vector.isNotNull() & (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+
+
+def usual_size(vectors: DataFrame, vector: str) -> int:
+    """The number of components that most rows have (of equally frequent ones the largest); 0 without rows."""
+    found = vectors.groupBy(F.size(vector).alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
+    return found["size"] if found else 0
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int = 0, most: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows whose values in the string column take about `most` bytes; a longer text makes a run by itself."""
     for batch in batches:

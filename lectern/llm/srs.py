@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lectern.llm.common import cut, small
+from lectern.llm.common import cut, finite, small, usual_size
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -172,17 +172,17 @@ def nearest_products(
     found there it goes on only to cells that the chi-square test does not rule out at `confidence`.
 
     Of vectors that are equal only those of the k + 1 smallest different ids can be results, and of one id's only k, so only these are indexed; queries are
-    never left out. Rows that are null, zero, hold null or non-finite components, have another length than the longest, or
-    have a null id take no part. A row with the query's own id is no candidate. An empty table gives an empty result.
+    never left out. Rows that are null, zero, hold null or non-finite components, or have a null id take no part;
+    of the others those whose length differs from the most frequent one take no part either. A row with the query's own id is no candidate. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dims = vectors.agg(F.max(F.size(vector))).first()[0] or 0
+    v = F.col(vector)
+    good = vectors.where(F.col(key).isNotNull() & finite(v) & F.exists(v, lambda x: x != 0))
+    dims = usual_size(good, vector)
     if dims <= 0:
         return empty
-    v = F.col(vector)
-    good = F.col(key).isNotNull() & v.isNotNull() & (F.size(v) == dims) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.where(good).select(F.col(key).cast("long").alias("vec_id"), v.cast("array<double>").alias("v"), is_query.alias("q"))
+    rows = good.where(F.size(v) == dims).select(F.col(key).cast("long").alias("vec_id"), v.cast("array<double>").alias("v"), is_query.alias("q"))
     norm2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     n, largest = rows.agg(F.count("*"), F.max(norm2)).first()
     if not n:

@@ -9,24 +9,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut
+from lectern.llm.common import cut, finite, usual_size
 
 RESULT = "query_id long, vec_id long, score long"
 
 
-def usable(vector: Column, dims: int) -> Column:
-    """The vector has `dims` components, all finite."""
-    return vector.isNotNull() & (F.size(vector) == dims) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+#: Components must lie within this; the bounds' arithmetic stays within 64 bits.
+MOST = 1 << 61
 
 
-def blocks(vectors: DataFrame, name: str, rows: int, n: int) -> DataFrame:
-    """(name, ids, data): vectors (vec_id, v array of integers) packed into `n` blocks of about `rows` by a hash of the id; data holds little-endian 32-bit integers."""
+def blocks(vectors: DataFrame, name: str, rows: int, n: int, kind: str = "<i8") -> DataFrame:
+    """(name, ids, data): vectors (vec_id, v array of integers) packed into `n` blocks of about `rows` by a hash of the id; data holds integers of `kind`."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         for batch in batches:
             block, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            data = batch.column(2).flatten().to_numpy().astype("<i4").reshape(len(ids), -1)
+            data = batch.column(2).flatten().to_numpy().astype(kind).reshape(len(ids), -1)
             for b in np.unique(block):
                 held.setdefault(int(b), []).append((ids[block == b], data[block == b]))
                 if sum(len(i) for i, _ in held[int(b)]) >= rows:
@@ -47,6 +46,13 @@ def approximate(data: np.ndarray, low: np.ndarray, width: np.ndarray) -> np.ndar
     return np.minimum((data - low) // width, 255).astype(np.uint8)
 
 
+def products(data: np.ndarray, query: np.ndarray, reach: float) -> np.ndarray:
+    """Exact inner products; `reach` bounds their size. Those that 64 bits can't hold raise OverflowError."""
+    if reach < 2.0**62:
+        return data @ query
+    return np.array([sum(map(int.__mul__, row, query.tolist())) for row in data.tolist()], np.int64)
+
+
 def scan(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, low: np.ndarray, width: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query, vec_ids, scores) of the k best of one block for each query, by the two steps of a VA-file.
 
@@ -56,8 +62,9 @@ def scan(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.n
     """
     cells = approximate(data, low, width)
     middle = low + cells.astype(np.float64) * width + (width - 1) / 2
-    slack = np.abs(queries) @ ((width - 1) / 2)
-    about = middle @ queries.T.astype(np.float64)  # multiples of a half below 2**53: exact
+    reach = np.abs(queries).astype(np.float64) @ (np.maximum(np.abs(low), np.abs(low + 256 * width)) + width).astype(np.float64)
+    slack = np.abs(queries) @ ((width - 1) / 2) + np.where(reach < 2.0**52, 0, reach * (len(low) + 8) * 2.0**-51)
+    about = middle @ queries.T.astype(np.float64)  # multiples of a half below 2**53 are exact; slack holds the rounding of others
     for q in range(len(query_ids)):
         upper = about[:, q] + slack[q]
         other = np.flatnonzero(ids != query_ids[q])  # the query's own rows, however many, are no candidates
@@ -66,9 +73,9 @@ def scan(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.n
         left = other[upper[other] >= kth]
         left = left[np.argsort(-upper[left], kind="stable")]
         best_ids, best, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 4 * k
-        while at < len(left) and (len(best) < k or upper[left[at]] >= best[-1]):
+        while at < len(left) and (len(best) < k or upper[left[at]] >= float(best[-1])):
             part = left[at : at + step]
-            best_ids, best = np.concatenate([best_ids, ids[part]]), np.concatenate([best, data[part] @ queries[q]])
+            best_ids, best = np.concatenate([best_ids, ids[part]]), np.concatenate([best, products(data[part], queries[q], reach[q])])
             first = np.lexsort((best_ids, -best))[:k]
             best_ids, best, at = best_ids[first], best[first], at + step
         yield int(query_ids[q]), best_ids, best
@@ -77,33 +84,36 @@ def scan(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.n
 def top_products(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", scale: int = 256, block_rows: int = 8192, query_rows: int = 256) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k largest integer inner products among all other rows; ties to the smaller id.
 
-    Components x become floor(scale * x) as doubles. Rows that are null, hold null or non-finite components, differ in
-    length from most rows' largest length, or have a null id take no part. Repeated ids keep all their rows as candidates and are one query (the smallest vector); a row with the
+    Components x become floor(scale * x) as doubles. Rows that are null, hold null or non-finite components, or have a null id take no part;
+    of the others those whose length differs from the most frequent one take no part either. Components beyond 2**61 or scores beyond 64 bits raise OverflowError. Repeated ids keep all their rows as candidates and are one query (the smallest vector); a row with the
     query's own id is never its candidate. An empty table gives an empty result.
 
     Vectors and queries are packed into blocks of bounded size; each query block meets each vector block once, in a task of its
     own, which emits k rows a query at most. Nothing is broadcast but each dimension's range.
     """
-    dims = vectors.agg(F.max(F.size(vector))).first()[0] or 0
     spark = vectors.sparkSession
+    good = vectors.where(F.col(key).isNotNull() & finite(F.col(vector)))
+    dims = usual_size(good, vector)
     if dims <= 0:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    good = vectors.where(F.col(key).isNotNull() & usable(F.col(vector), dims))
-    ints = good.select(F.col(key).cast("long").alias("vec_id"), F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("int")).alias("v"), is_query.alias("q"))
+    ints = good.where(F.size(vector) == dims).select(F.col(key).cast("long").alias("vec_id"), F.transform(vector, lambda x: F.floor(x.cast("double") * scale)).alias("v"), is_query.alias("q"))
     ints = cut(ints)
     bounds = ints.agg(F.count("*"), F.sum(F.col("q").cast("long")), *[f(F.get("v", F.lit(d))) for f in (F.min, F.max) for d in range(dims)]).first()
     n, n_queries = bounds[0], bounds[1] or 0
     if not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    if max(map(abs, bounds[2:])) > MOST:
+        raise OverflowError(f"{vector}: components beyond 2**61 after scaling")
     low, high = np.array(bounds[2 : 2 + dims], np.int64), np.array(bounds[2 + dims :], np.int64)
     width = (high - low) // 256 + 1
+    kind = "<i4" if max(map(abs, bounds[2:])) < 1 << 31 else "<i8"
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, data, qids, queries = (batch.column(c)[i].as_buffer() for c in range(4))
                 ids, qids = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
-                data, queries = np.frombuffer(data, "<i4").reshape(-1, dims).astype(np.int64), np.frombuffer(queries, "<i4").reshape(-1, dims).astype(np.int64)
+                data, queries = np.frombuffer(data, kind).reshape(-1, dims).astype(np.int64), np.frombuffer(queries, kind).reshape(-1, dims).astype(np.int64)
                 found = list(scan(ids, data, qids, queries, low, width, k))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -115,8 +125,8 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "v
                 )
 
     n_blocks, n_query_blocks = -(-n // block_rows), -(-n_queries // query_rows)
-    data = blocks(ints, "block", block_rows, n_blocks)
-    queries = blocks(ints.where("q").groupBy("vec_id").agg(F.min("v").alias("v")), "query_block", query_rows, n_query_blocks).withColumnsRenamed({"ids": "query_ids", "data": "queries"})
+    data = blocks(ints, "block", block_rows, n_blocks, kind)
+    queries = blocks(ints.where("q").groupBy("vec_id").agg(F.min("v").alias("v")), "query_block", query_rows, n_query_blocks, kind).withColumnsRenamed({"ids": "query_ids", "data": "queries"})
     everywhere = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<int>")))  # a stated query set against all rows, in blocks
     met = data.join(everywhere.hint("shuffle_hash"), "block").select("ids", "data", "query_ids", "queries")
     found = met.repartition(max(1, n_blocks * n_query_blocks // 4)).mapInArrow(search, RESULT)

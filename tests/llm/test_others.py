@@ -1,6 +1,7 @@
 """Classifier, vectors, chats, pipeline."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -220,3 +221,27 @@ def test_repeated_query_rows(spark, search):
     assert sorted((r["rank"], r.vec_id) for r in got) == [(i, i) for i in range(1, 6)]
     got = search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 3, 5).collect()
     assert [r.vec_id for r in got] == [0] * 5
+
+
+@pytest.mark.parametrize("search", [top_products, nearest_products])
+def test_longer_vectors_do_not_displace_the_others(spark, search):
+    rows = [(i, [1.0, i / 10]) for i in range(6)]
+    odd = [(10, [1.0, None, 1.0]), (11, [1.0, 1.0, 1.0]), (12, [float("nan")] * 9), (13, [])] + [(20 + i, [None] * 4) for i in range(9)]
+    got = [search(spark.createDataFrame(x, "vec_id long, embedding array<float>"), F.col("vec_id") == 1, 3).collect() for x in (rows, rows + odd)]
+    assert [(r["rank"], r.vec_id) for r in sorted(got[0])] == [(1, 5), (2, 4), (3, 3)]
+    assert sorted(got[0]) == sorted(got[1])
+
+
+def test_top_products_of_large_components(spark):
+    rows = [(i, [9e6 + (i * 37 % 300) * 1e-2, float(-i), 2.0 * (i % 3)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = top_products(df, F.col("vec_id") % 50 == 0, 5, block_rows=64).collect()
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    product = lambda a, b: sum(x * y for x, y in zip(ints[a], ints[b], strict=True))
+    expected = []
+    for q in range(0, 300, 50):
+        best = sorted((-product(q, i), i) for i in ints if i != q)[:5]
+        expected += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(expected)
+    with pytest.raises(OverflowError):
+        top_products(spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>"), F.col("vec_id") == 0)
