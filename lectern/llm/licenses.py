@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,16 +51,34 @@ def winnow(hashes: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.n
 
 @dataclass
 class Index:
-    """The templates' words, and an inverted index from fingerprint to (template, place)."""
+    """The templates' words, and inverted indexes from fingerprint and from anchor word to (template, place)."""
 
     names: list[str]
     words: list[np.ndarray]
     prints: np.ndarray
     template: np.ndarray
     place: np.ndarray
+    anchors: np.ndarray
+    anchor_template: np.ndarray
+    anchor_place: np.ndarray
 
 
-def build_index(templates: dict[str, str], gram: int, window: int) -> Index:
+#: Below so many words a match may share no fingerprint with its template, so some of the template's words are looked for by themselves.
+SHORT = 16
+
+
+def anchored(words: list[np.ndarray], coverage: float) -> list[tuple[int, int]]:
+    """(template, place) of one word more than a match of `coverage` may miss, for each short template: every match has one of them. Words of the fewest templates come first."""
+    often = Counter(x for w in words for x in set(w.tolist()))
+    out = []
+    for t, w in enumerate(words):
+        if 0 < len(w) < SHORT:
+            missed = len(w) - next(m for m in range(len(w) + 1) if m >= coverage * len(w))
+            out += [(t, i) for i in sorted(range(len(w)), key=lambda i: (often[int(w[i])], i))[: missed + 1]]
+    return out
+
+
+def build_index(templates: dict[str, str], gram: int, window: int, coverage: float) -> Index:
     rolling, names, all_words, prints, owner, places = Rolling(lower=True), sorted(templates), [], [], [], []
     for t, name in enumerate(names):
         data = np.frombuffer(templates[name].encode(), np.uint8)
@@ -72,7 +91,9 @@ def build_index(templates: dict[str, str], gram: int, window: int) -> Index:
         places.append(place)
     prints, owner, places = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (prints, owner, places))
     order = np.argsort(prints, kind="stable")
-    return Index(names, all_words, prints[order], owner[order], places[order])
+    anchors = sorted((int(all_words[t][i]), t, i) for t, i in anchored(all_words, coverage))
+    own = np.array([a for a, _, _ in anchors], np.uint64), np.array([t for _, t, _ in anchors], np.int64), np.array([i for _, _, i in anchors], np.int64)
+    return Index(names, all_words, prints[order], owner[order], places[order], *own)
 
 
 def banded(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tuple[int, int, int]:
@@ -107,11 +128,12 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, gram:
 
     A template is looked for wherever the text shares a fingerprint with it; hits within a band (at most a quarter of the template) of one diagonal are one candidate, aligned once. Of
     overlapping matches of one template the one with most matched words stays (then the first). Null and empty texts match nothing;
-    repeated rows are each reported; templates of fewer than gram + window - 1 words may be missed. `templates` is a bounded
+    repeated rows are each reported. Templates of fewer than SHORT words are also looked for at single words of theirs, one of which every match has;
+    a longer one's match that misses words or holds others so close together that no gram + window - 1 words in a row are left may be missed. `templates` is a bounded
     parameter that goes to every task; an empty one, like an empty table, gives an empty result. Other columns are left out.
     """
     kind = docs.schema[key].dataType.simpleString()
-    index = build_index(templates, gram, window)
+    index = build_index(templates, gram, window, coverage)
     bands = [max(1, min(band, len(w) // 4)) for w in index.words]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,16 +144,17 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, gram:
             w = rolling.load(data).spans(start, end)
             out: list[tuple] = []
             h, place = winnow(w, gram, window)
-            at = np.searchsorted(prints, h)
-            hit = np.flatnonzero(prints[np.minimum(at, len(prints) - 1)] == h) if len(prints) and len(h) else np.zeros(0, int)
             candidates: set[tuple[int, int, int]] = set()
-            for i in hit:
-                r = int(np.searchsorted(before, place[i], "right")) - 1
-                a = at[i]
-                while a < len(prints) and prints[a] == h[i]:
-                    t = int(index.template[a])
-                    candidates.add((r, t, int(place[i] - before[r] - index.place[a]) // bands[t]))
-                    a += 1
+            for known, template_of, place_of, hashes, places in ((index.prints, index.template, index.place, h, place), (index.anchors, index.anchor_template, index.anchor_place, w, np.arange(len(w)))):
+                at = np.searchsorted(known, hashes)
+                hit = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == hashes) if len(known) and len(hashes) else np.zeros(0, int)
+                for i in hit:
+                    r = int(np.searchsorted(before, places[i], "right")) - 1
+                    a = at[i]
+                    while a < len(known) and known[a] == hashes[i]:
+                        t = int(template_of[a])
+                        candidates.add((r, t, int(places[i] - before[r] - place_of[a]) // bands[t]))
+                        a += 1
             found: dict[tuple[int, int], list] = {}
             for r, t, diagonal in sorted(candidates):
                 own, template = w[before[r] : before[r + 1]], index.words[t]

@@ -298,3 +298,17 @@ def test_every_notice_is_found(spark):
     got = {(r.doc_id, r.template): r.coverage for r in licenses.scan_licenses(frame(spark, rows)).collect()}
     for i, name in enumerate(licenses.TEMPLATES):
         assert got[i, name] == 1.0
+
+
+def test_every_notice_is_found_with_any_word_changed(spark):
+    spoken = {name: re.findall(r"[^\W_]+", t) for name, t in licenses.TEMPLATES.items()}
+    changed = [(name, [*w[:i], "zzz", *w[i + 1 :]]) for name, w in spoken.items() for i in range(len(w))]
+    inserted = [("mit-notice", "Released right under the new MIT big License".split()), ("cc-by-nc-4.0-notice", "Licensed truly under CC then BY NC now 4 0".split())]
+    cases = [*changed, *inserted]
+    got = {(r.doc_id, r.template): r.matched_words for r in licenses.scan_licenses(frame(spark, [(i, " ".join(["before", "it", *w, "behind"])) for i, (_, w) in enumerate(cases)])).collect()}
+    for i, (name, w) in enumerate(cases):
+        template, text = (np.array([hash(x.lower()) for x in side]) for side in (spoken[name], ["before", "it", *w, "behind"]))
+        band = 2 * max(1, min(8, len(template) // 4))
+        best = max(licenses.banded(template, text.tolist(), shift, band)[0] for shift in range(-2, 6))
+        assert best >= 0.8 * len(template)
+        assert got.get((i, name)) == best, (name, w)
