@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import sys
 import tempfile
 import types
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,11 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy step works on at once; bounds a Python worker's memory.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
 
 
 def worker_memory() -> dict:
@@ -25,15 +27,52 @@ def worker_memory() -> dict:
     return sys.modules.setdefault("_lectern_worker_memory", types.ModuleType("_lectern_worker_memory")).__dict__
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """checkpoint() to the folder in spark.checkpoint.dir; a folder of our own only where it is unset."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, or the one set in the context. Where neither is set: one of our own in local mode, else an error, as executors don't share local folders."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        at = spark.conf.get("spark.checkpoint.dir", None)
+        if at is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """checkpoint() to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read back: cuts lineage like checkpoint(), in a fraction of the space. forget() deletes it."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}.parquet"
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._lectern_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables made by written(), once nothing that is still to run reads them."""
+    for df in tables:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._lectern_path)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def set_aside(docs: DataFrame, *used: str) -> DataFrame:
+    """`docs` as the columns in `used` and one struct of all others, so that no name of theirs can clash with an operator's own."""
+    others = [c for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("others"))
+
+
+def given_back(df: DataFrame, columns: list[str], *used: str) -> list[Column]:
+    """The columns of a frame made by set_aside(), under their old names and in their old order."""
+    others = [c for c in columns if c not in used]
+    return [df[c] if c in used else df["others"][f"c{others.index(c)}"].alias(c) for c in columns]
+
+
 def small(keys: DataFrame, most: int = 1_000_000) -> DataFrame:
     """A checkpointed table of keys, marked for broadcast if it has at most `most` rows (of 8 bytes or so), else as it is, for a shuffle."""
     return F.broadcast(keys) if keys.count() <= most else keys
@@ -93,36 +132,41 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def byte_table(lower: bool) -> np.ndarray:
-    """A random 64-bit number for each byte; A-Z take those of a-z if `lower`."""
-    t = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
-    if lower:
-        t[65:91] = t[97:123]
-    return t
-
-
-class Rolling:
-    """Hashes of any span of a byte buffer: prefix sums of table[byte] * base**i modulo 2**64, times the inverse power."""
-
-    def __init__(self, lower: bool = False):
-        self.table = byte_table(lower)
-        self.power = self.inverse = np.zeros(0, np.uint64)
-
-    def load(self, data: np.ndarray) -> Rolling:
-        n = len(data) + 1
-        if len(self.power) < n:
-            size = max(n, SLICE + 1)
-            full = np.full(size, _BASE, np.uint64)
-            full[0] = 1
-            self.power = np.multiply.accumulate(full)
-            full[1:] = _U(pow(_BASE, -1, 1 << 64))
-            self.inverse = np.multiply.accumulate(full)
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum(self.table[data] * self.power[: n - 1], out=self.sums[1:])
-        return self
-
-    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64) * _U(0xA24BAED4963EE407))
+#: Spans up to this many bytes are hashed all at once, eight bytes a step; longer ones one by one.
+_LONG = 64
+_KEEP = np.array([(1 << 8 * i) - 1 for i in range(9)], _U)
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """For every place (and the end) the eight bytes from there on as one number, zeros beyond the end; a view of a copy of the bytes."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of a byte buffer, equal for equal bytes. Every eight bytes are mixed in one after another; a span over 64 bytes takes its BLAKE2 digest."""
+    length = end - start
+    out = mix(length.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+    who = np.flatnonzero(length <= _LONG)
+    if len(who):
+        eight, at, left = eights(data), start[who], length[who]
+        while len(who):
+            out[who] = mix(out[who] ^ (eight[at] & _KEEP[np.minimum(left, 8)]))
+            more = left > 8
+            who, at, left = who[more], at[more] + 8, left[more] - 8
+    long = np.flatnonzero(length > _LONG)
+    if len(long):
+        raw = data.tobytes()
+        out[long] = [int.from_bytes(hashlib.blake2b(raw[a:b], digest_size=8).digest(), "little") for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)]
+    return out
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z as a-z."""
+    table = np.arange(256, dtype=np.uint8)
+    table[65:91] += 32
+    return table[data]
 
 
 def between(*more: int) -> np.ndarray:

@@ -33,8 +33,8 @@ def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame, most_rounds: int = 64, partition_rows: int = 100_000) -> DataFrame:
     """(node, component): for every node of `links` (a, b; 64-bit ids) that has a link the smallest node reachable.
 
-    Links are dealt to partitions of about `partition_rows`, which bounds a task's memory. Where there is more than one, each round is a join and an aggregate on the
-    node, both of which split a hot node.
+    Links are dealt to partitions of about `partition_rows`, which bounds a task's memory. Where there is more than one, each round is an aggregate on the node, which
+    adds up before the shuffle, and a join, in which a hub's links are rows of one key that adaptive execution splits.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     parts = 1 + edges.count() // partition_rows

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import Rolling, between, mix, slices, text_buffer, text_column, words
+from lectern.llm.common import between, lowered, mix, slices, span_hashes, text_buffer, text_column, words
 
 _U = np.uint64
 #: Everything but letters, digits and bytes of other scripts parts words, so punctuation and line breaks don't matter.
@@ -79,11 +79,11 @@ def anchored(words: list[np.ndarray], coverage: float) -> list[tuple[int, int]]:
 
 
 def build_index(templates: dict[str, str], gram: int, window: int, coverage: float) -> Index:
-    rolling, names, all_words, prints, owner, places = Rolling(lower=True), sorted(templates), [], [], [], []
+    names, all_words, prints, owner, places = sorted(templates), [], [], [], []
     for t, name in enumerate(names):
         data = np.frombuffer(templates[name].encode(), np.uint8)
         start, end, _ = words(data, np.array([0, len(data)]), _SPACE)
-        w = rolling.load(data).spans(start, end)
+        w = span_hashes(lowered(data), start, end)
         h, place = winnow(w, gram, window)
         all_words.append(w)
         prints.append(h)
@@ -137,11 +137,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, gram:
     bands = [max(1, min(band, len(w) // 4)) for w in index.words]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, prints = Rolling(lower=True), index.prints
         for batch in slices(batches, 1):
             data, offsets = text_buffer(batch.column(1))
             start, end, before = words(data, offsets, _SPACE)
-            w = rolling.load(data).spans(start, end)
+            w = span_hashes(lowered(data), start, end)
             out: list[tuple] = []
             h, place = winnow(w, gram, window)
             candidates: set[tuple[int, int, int]] = set()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lectern.llm.bpe import encode
 from lectern.llm.chat import CHATML, format_chats, loss_text, read_turns
 from lectern.llm.common import table
-from lectern.llm.importance import classify
+from lectern.llm.importance import resampled
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.licenses import scan_licenses
 from lectern.llm.packing import pack
@@ -34,7 +34,7 @@ def pattern() -> str:
 
 def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return classify(docs.select("doc_id", "text"), labels).select("doc_id", "n_grams", "log_weight", "gumbel_key", "keep")
+    return resampled(docs, labels)
 
 
 def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), pattern())
 
 
 def op4_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
