@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,48 +11,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lectern.llm.common import Rolling, cut, slices, text_buffer
+from lectern.llm.common import cut, eights, forget, given_back, mix, set_aside, slices, small, span_hashes, text_buffer, text_column, written
 
 _U = np.uint64
 #: Low bits that hold a position while minima are taken; a slice of text must be shorter than this many bytes.
 _AT = 28
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, least: int, k: int, rolling: Rolling) -> tuple[np.ndarray, ...]:
-    """(row, at, low, high, hash, context) of the sampled suffixes of the rows.
+def anchors(data: np.ndarray, offsets: np.ndarray, least: int, k: int) -> tuple[np.ndarray, ...]:
+    """(row, at, low, high, hash) of the sampled suffixes of the rows; k is a multiple of 8.
 
     Every string of `least` bytes takes as its anchor the smallest hash of its k-byte substrings (the first of equal ones), so equal strings have
     equal anchors at equal places. The strings of one anchor are those that start in a run of places; low and high (exclusive)
-    are the bytes from the first place of the run to the end of the last string: the anchor's context, hashed in `context`.
+    are the bytes from the first place of the run to the end of the last string: the anchor's context.
     """
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64))
     w, n = least - k + 1, len(data)
     if n < least:
         return none
     if n >> _AT:
         raise ValueError("a text is longer than 256 MB")
-    rolling.load(data)
-    at = np.arange(n - k + 1)
-    full = rolling.spans(at, at + k)
+    eight, full = eights(data), np.zeros(n - k + 1, np.uint64)
+    for i in range(0, k, 8):
+        full += eight[i : i + n - k + 1] * _U(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64))
+    full = mix(full)
     low_bits = _U((1 << _AT) - 1)
-    window = (full & ~low_bits) | at.astype(np.uint64)
+    window = (full & ~low_bits) | np.arange(n - k + 1, dtype=np.uint64)
     size = 1
     while 2 * size <= w:
         window = np.minimum(window[: len(window) - size], window[size:])
         size *= 2
     window = np.minimum(window[: n - least + 1], window[w - size : w - size + n - least + 1])
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: n - least + 1]
+    row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))[: n - least + 1]
     start = np.flatnonzero(np.arange(n - least + 1) + least <= offsets[1:][row])
     if not len(start):
         return none
-    place = (window[start] & low_bits).astype(np.int64)
+    place, row = (window[start] & low_bits).astype(np.int64), row[start]
     new = np.ones(len(place), bool)
-    new[1:] = (place[1:] != place[:-1]) | (row[start[1:]] != row[start[:-1]])
+    new[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(place)) - 1
     low, high, place = start[first], start[last] + least, place[first]
-    context = rolling.spans(low, high) ^ ((place - low).astype(np.uint64) * _U(0x9FB21C651E98DF25))
-    return row[low], place, low, high, full[place], context
+    return row[first].astype(np.int64), place, low, high, full[place]
 
 
 def common(rows: list[bytes]) -> list[int]:
@@ -110,82 +111,90 @@ def maximal_repeats(right: list[bytes], left: list[bytes], least: int) -> Iterat
                 yield depth, length, inside[c:d]
 
 
-def sampled(docs: DataFrame, least: int, k: int) -> DataFrame:
-    """Anchors of all texts, ready to be dealt by `route`: route, context, key, h, at, low, high, done. Of an anchor and context met in one task over and over, only two go on; the others are known to repeat (done) and are dealt out anywhere."""
+def identified(docs: DataFrame, text: str) -> DataFrame:
+    """h1, h2, text: 128 bits that tell texts apart (null is the empty text), rows with equal texts not."""
+    body = text_column(text)
+    return docs.select(*hashes(body), body.alias("text"))
+
+
+def hashes(body) -> list:
+    return [F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(1), body).alias("h2")]
+
+
+def placed(bits: int) -> list:
+    """at, left (bytes of the context before it), right (from it on) and done, out of one number."""
+    mask = (1 << bits) - 1
+    return [F.expr(f"cast(place >> {2 * bits + 1} as int) as at"), F.expr(f"cast((place >> {bits + 1}) & {mask} as int) as before_at"), F.expr(f"cast((place >> 1) & {mask} as int) as from_at"), F.expr("place & 1 = 1 as done")]
+
+
+def sampled(texts: DataFrame, least: int, k: int) -> DataFrame:
+    """Anchors of all texts, ready to be dealt by `route`: route, context, h1, h2, place. Of a context met in one task over and over, only two go on; the others are known to repeat (done) and are dealt out anywhere."""
+    bits = least.bit_length()
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, seen, texts = Rolling(), {}, set()
-        for batch in slices(batches, 2, 1 << 20):
-            keys, hashes, short = batch.column(0), batch.column(1).to_numpy(), batch.column(3)
-            fresh = np.ones(len(hashes), bool)
-            for i, h in enumerate(hashes.tolist()):  # a copy of a text met before is found by its hash alone
-                fresh[i] = h not in texts
-                texts.add(h)
+        seen, met = {}, set()
+        for batch in slices(batches, 2):
+            h1, h2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            fresh = np.ones(len(h1), bool)
+            for i, h in enumerate(zip(h1.tolist(), h2.tolist(), strict=True)):  # a text met before gives the same rows
+                fresh[i] = h not in met
+                met.add(h)
             data, offsets = text_buffer(batch.column(2))
-            row, at, low, high, anchor, context = anchors(data, offsets, least, k, rolling)
-            use = fresh[row]
-            row, at, low, high, anchor, context = (x[use] for x in (row, at, low, high, anchor, context))
+            row, at, low, high, anchor = anchors(data, offsets, least, k)
+            row, at, low, high, anchor = (x[fresh[row]] for x in (row, at, low, high, anchor))
+            context = mix(span_hashes(data, low, high) + (at - low).astype(np.uint64))
             done = np.zeros(len(row), bool)
             for i, c in enumerate((anchor ^ context).tolist()):
                 times = seen.get(c, 0)
                 done[i] = times >= 2
                 seen[c] = times + 1
-            if len(seen) > 1 << 18:
+            if len(seen) > 1 << 16:
                 seen.clear()
-            if len(texts) > 1 << 18:
-                texts.clear()
-            route = np.where(done, (anchor * _U(0xD6E8FEB86659FD93)) ^ hashes.view(np.uint64)[row] ^ at.astype(np.uint64), anchor)
-            origin = offsets[row]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(route.view(np.int64)),
-                    pa.array(context.view(np.int64)),
-                    keys.take(pa.array(row)),
-                    short.take(pa.array(row)),
-                    pa.array((at - origin).astype(np.int32)),
-                    pa.array((low - origin).astype(np.int32)),
-                    pa.array((high - origin).astype(np.int32)),
-                    pa.array(done),
-                ],
-                ["route", "context", "key", "h", "at", "low", "high", "done"],
-            )
-
-    return docs.select("key", F.xxhash64("text"), "text", "h").mapInArrow(sample, "route long, context long, key long, h int, at int, low int, high int, done boolean")
-
-
-def contexts_of(docs: DataFrame, least: int, k: int) -> tuple[DataFrame, DataFrame]:
-    """(whole, open) of `docs`: spans (key, h, start, end) of contexts that occur again as they are, and one row (route, key, h, at, low, high, same, contexts, right, left)
-    for each different context of the anchors that have several: the bytes from the anchor on and those before it."""
-    found = sampled(docs, least, k)
+            if len(met) > 1 << 16:
+                met.clear()
+            route = np.where(done, mix(anchor ^ h1.view(np.uint64)[row] ^ at.astype(np.uint64)), anchor)
+            place = ((((at - offsets[row] << bits) + at - low) << bits) + high - at << 1) + done
+            yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(context.view(np.int64)), pa.array(h1[row]), pa.array(h2[row]), pa.array(place)], ["route", "context", "h1", "h2", "place"])
+
+    return texts.select("h1", "h2", "text").mapInArrow(sample, "route long, context long, h1 long, h2 long, place long")
+
+
+def fetched(texts: DataFrame, wanted: DataFrame, pieces: list) -> DataFrame:
+    """`wanted` (h1, h2, ...) with the columns in `pieces`, made of `raw`, the bytes of the text with these hashes. Of equal texts one is moved."""
+    by_text = wanted.groupBy("h1", "h2").agg(F.collect_list(F.struct(*[c for c in wanted.columns if c not in ("h1", "h2")])).alias("places"))
+    keys = small(cut(wanted.select("h1", "h2").distinct()))
+    once = texts.join(keys, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+    spread = once.join(by_text, ["h1", "h2"]).select("h1", "h2", F.col("text").cast("binary").alias("raw"), F.explode("places").alias("p"))
+    return spread.select("h1", "h2", "raw", "p.*").select("h1", "h2", *[c for c in wanted.columns if c not in ("h1", "h2")], *pieces)
+
+
+def piece(start: str, end: str, name: str):
+    return F.expr(f"substring(raw, {start} + 1, {end} - ({start})) as {name}")
+
+
+def contexts_of(texts: DataFrame, least: int, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(whole, open, table) of texts (h1, h2, text): spans (h1, h2, start, end) of contexts that occur again as they are, and one row (route, h1, h2, at, low, high, same, contexts, right, left)
+    for each different context of the anchors that have several: the bytes from the anchor on and those before it. `table` is to be forgotten at the end."""
     anchor = Window.partitionBy("route")
     ordered = anchor.orderBy("context")
     marked = (
-        found.withColumn("before", F.lag("context").over(ordered))
+        sampled(texts, least, k)
+        .withColumn("before", F.lag("context").over(ordered))
         .withColumn("after", F.lead("context").over(ordered))
-        .where("done or before is not null or after is not null")
-        .withColumn("same", F.expr("done or coalesce(before = context, false) or coalesce(after = context, false)"))
+        .where("place & 1 = 1 or before is not null or after is not null")
+        .withColumn("same", F.expr("place & 1 = 1 or coalesce(before = context, false) or coalesce(after = context, false)"))
         .withColumn("first", F.expr("not coalesce(before = context, false)"))
     )
-    marked = marked.withColumn("contexts", F.sum(F.expr("if(first, 1, 0)")).over(anchor)).withColumn("lone", F.max(~F.col("same")).over(anchor)).drop("before", "after")
-    marked = cut(marked.where("same or contexts > 1"))
-    whole = marked.where("same").select("key", "h", F.col("low").alias("start"), F.col("high").alias("end"))
-    open_ = marked.where("contexts > 1 and lone and first").select("route", "key", "h", "at", "low", "high", "same", "contexts")
-    wanted = open_.groupBy("key", "h").agg(F.collect_list(F.struct("route", "at", "low", "high", "same", "contexts")).alias("places"))
-    placed = docs.select("key", "h", "text").join(wanted, ["key", "h"]).select("key", "h", "text", F.explode("places").alias("p"))
-    piece = lambda a, b: F.substr("text", F.col(a) + 1, F.col(b) - F.col(a))
-    contexts = placed.select("key", "h", "text", "p.*").select(
-        "route", "key", "h", "at", "low", "high", "same", "contexts", piece("at", "high").alias("right"), piece("low", "at").alias("left")
-    )
-    return whole, cut(contexts)
+    marked = marked.withColumn("contexts", F.sum(F.expr("if(first, 1, 0)")).over(anchor)).withColumn("lone", F.max(~F.col("same")).over(anchor)).drop("before", "after", "context")
+    table = written(marked.where("same or contexts > 1"))
+    found = table.select("*", *placed(least.bit_length())).withColumn("low", F.expr("at - before_at")).withColumn("high", F.expr("at + from_at"))
+    whole = found.where("same").select("h1", "h2", F.col("low").alias("start"), F.col("high").alias("end"))
+    open_ = found.where("contexts > 1 and lone and first").select("route", "h1", "h2", "at", "low", "high", "same", "contexts")
+    return whole, written(fetched(texts, open_, [piece("at", "high", "right"), piece("low", "at", "left")])), table
 
 
-def interval_scan(contexts: DataFrame, least: int, as_groups: bool) -> DataFrame:
-    """The contexts of each anchor, sorted by Spark as suffixes from the anchor on, scanned for maximal repeats.
-
-    as_groups: (anchor, group, length, key, h, start), a row for each member of each repeat. Else (key, h, start, end): for each context the
-    union of its repeats, one span as all of them hold the anchor.
-    """
-    ordered = contexts.select("route", "key", "h", "at", "same", "right", "left").repartition("route").sortWithinPartitions("route", "right")
+def in_anchors(rows: DataFrame, solve, schema: str) -> DataFrame:
+    """solve(record batch of the rows of whole anchors, the edges of the anchors in it) over `rows` (route, right, ...), sorted by Spark by route and suffix."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []  # the rows of the anchor that the last batch ended with
@@ -195,75 +204,124 @@ def interval_scan(contexts: DataFrame, least: int, as_groups: bool) -> DataFrame
             route = batch.column(0).to_numpy()
             ends = np.flatnonzero(route[1:] != route[:-1]) + 1
             if held and held[-1].column(0)[0].as_py() != route[0]:
-                yield solve(held)
+                yield whole(held)
                 held = []
             if len(ends):
-                yield solve([*held, batch.slice(0, int(ends[-1]))])
+                yield whole([*held, batch.slice(0, int(ends[-1]))])
                 held = []
             held.append(batch.slice(int(ends[-1]) if len(ends) else 0))
         if held:
-            yield solve(held)
+            yield whole(held)
 
-    def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def whole(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        route, at = rows.column(0).to_numpy(), rows.column(3).to_numpy()
-        right, left = rows.column(5).to_pylist(), [x[::-1] for x in rows.column(6).to_pylist()]
-        edges = np.concatenate([[0], np.flatnonzero(route[1:] != route[:-1]) + 1, [len(route)]]).tolist()
-        members: list[tuple[int, int, int, int]] = []  # row, group, left, right
+        route = rows.column(0).to_numpy()
+        return solve(rows, np.concatenate([[0], np.flatnonzero(route[1:] != route[:-1]) + 1, [len(route)]]).tolist())
+
+    return rows.repartition("route").sortWithinPartitions("route", "right").mapInArrow(scan, schema)
+
+
+def interval_scan(contexts: DataFrame, least: int) -> DataFrame:
+    """(h1, h2, start, end): for each context the union of the maximal repeats found by the scan of its anchor's suffixes, one span as all of them hold the anchor."""
+
+    def solve(rows: pa.RecordBatch, edges: list[int]) -> pa.RecordBatch:
+        at, right, left = rows.column(3).to_numpy(), rows.column(4).to_pylist(), [x[::-1] for x in rows.column(5).to_pylist()]
+        spans: list[tuple[int, int, int]] = []  # row, left, right
         for a, b in zip(edges, edges[1:], strict=False):
-            if b - a > 1:
-                found = maximal_repeats(right[a:b], left[a:b], least)
-                if as_groups:
-                    members += [(a + i, n, before, behind) for n, (before, behind, inside) in enumerate(found) for i in inside]
-                else:
-                    reach: dict[int, tuple[int, int]] = {}
-                    for before, behind, inside in found:
-                        for i in inside:
-                            x, y = reach.get(i, (0, 0))
-                            reach[i] = max(x, before), max(y, behind)
-                    members += [(a + i, 0, x, y) for i, (x, y) in reach.items()]
-        row, group, before, behind = (np.array(x, np.int64) for x in zip(*members, strict=True)) if members else [np.zeros(0, np.int64)] * 4
+            reach: dict[int, tuple[int, int]] = {}
+            for before, behind, inside in maximal_repeats(right[a:b], left[a:b], least) if b - a > 1 else ():
+                for i in inside:
+                    x, y = reach.get(i, (0, 0))
+                    reach[i] = max(x, before), max(y, behind)
+            spans += [(a + i, x, y) for i, (x, y) in reach.items()]
+        row, before, behind = (np.array(x, np.int64) for x in zip(*spans, strict=True)) if spans else [np.zeros(0, np.int64)] * 3
         take = pa.array(row)
-        key, h, start = rows.column(1).take(take), rows.column(2).take(take), pa.array((at[row] - before).astype(np.int32))
-        if as_groups:
-            return pa.RecordBatch.from_arrays([rows.column(0).take(take), pa.array(group.astype(np.int32)), pa.array((before + behind).astype(np.int32)), key, h, start], ["anchor", "group", "length", "key", "h", "start"])
-        return pa.RecordBatch.from_arrays([key, h, start, pa.array((at[row] + behind).astype(np.int32))], ["key", "h", "start", "end"])
+        return pa.RecordBatch.from_arrays([rows.column(1).take(take), rows.column(2).take(take), pa.array((at[row] - before).astype(np.int32)), pa.array((at[row] + behind).astype(np.int32))], ["h1", "h2", "start", "end"])
 
-    return ordered.mapInArrow(scan, "anchor long, group int, length int, key long, h int, start int" if as_groups else "key long, h int, start int, end int")
+    return in_anchors(contexts.select("route", "h1", "h2", "at", "right", "left"), solve, "h1 long, h2 long, start int, end int")
 
 
-def repeat_groups(docs: DataFrame, least: int = 200, k: int = 32) -> DataFrame:
-    """(anchor, group, length, key, h, start): the maximal repeats of `least` bytes or more around each anchor with all their different contexts, not only
-    neighbours. `docs` as in repeats(); a context that occurs more often stands for all of its places, and a repeat over several anchors is given at each."""
-    return interval_scan(contexts_of(docs, least, k)[1], least, as_groups=True)
+def by_cores(contexts: DataFrame, least: int, step: int = 8) -> DataFrame:
+    """The contexts of crowded anchors as contexts of finer ones: the strings that start in one run of `step` places have most bytes in common, and only contexts equal in these meet again. The bytes go no further than these strings."""
 
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for route, h1, h2, at, low, high, right, left in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = left + right
+                for run in range(max(0, at - high + least) // step, (at - low) // step + 1):
+                    core = at - run * step - low
+                    a, b = max(low, at - run * step - step + 1), min(high, at - run * step + least)
+                    if b - a >= least:
+                        own = hashlib.blake2b(b"%d %d " % (route, run) + raw[core : core + least - step + 1], digest_size=8).digest()
+                        out.append((int.from_bytes(own, "little", signed=True), h1, h2, at, a, b, raw[at - low : b - low], raw[a - low : at - low]))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, batch.schema.types, strict=True)], batch.schema.names)
+
+    columns = "route long, h1 long, h2 long, at int, low int, high int, right binary, left binary"
+    return contexts.select("route", "h1", "h2", "at", "low", "high", "right", "left").mapInArrow(split, columns)
+
+
+def repeats(texts: DataFrame, least: int = 200, k: int = 32, most_contexts: int = 20_000) -> tuple[DataFrame, list[DataFrame]]:
+    """Spans (h1, h2, start, end) whose union is every byte in a string of `least` bytes that starts anywhere else, but for texts that are copies of others; and tables to forget once they are used.
+
+    `texts` as from identified(). An anchor with more than `most_contexts` different contexts, too many for one task, is split by longer shared strings; the scan is the same.
+    """
+    whole, contexts, table = contexts_of(texts, least, k)
+    few = interval_scan(contexts.where(F.col("contexts") <= most_contexts), least)
+    finer = by_cores(contexts.where(F.col("contexts") > most_contexts), least)
+    alike = finer.groupBy("route", "left", "right").agg(F.min(F.struct("h1", "h2", "at", "low", "high")).alias("one"), F.count("*").alias("n"))
+    often = finer.join(alike.where("n > 1"), ["route", "left", "right"], "left_semi").select("h1", "h2", F.col("low").alias("start"), F.col("high").alias("end"))
+    many = interval_scan(alike.select("route", "one.*", "right", "left"), least)
+    return whole.unionByName(few).unionByName(often).unionByName(many), [contexts, table]
 
-def repeats(docs: DataFrame, least: int = 200, k: int = 32, most_contexts: int = 50_000) -> DataFrame:
-    """Spans (key, h, start, end) whose union is every byte in a string of `least` bytes that starts anywhere else, but for texts that are copies of others.
 
-    `docs`: key (a 64-bit number for the row's id), h (a 32-bit checksum of its text), text (binary); none null. Rows equal in key and h share their spans.
+def repeat_groups(docs: DataFrame, least: int = 200, k: int = 32, reach: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(anchor, group, length, open, key, start): every maximal repeat of `least` bytes or more, a row for each of its places, in equal texts too.
 
-    An anchor with more than `most_contexts` different contexts is not sorted in one task: its strings' hashes are counted instead.
+    A maximal repeat is a string with two places or more whose neighbours differ on either side, a text's ends counting as such. It belongs to the anchor of its first
+    `least` bytes, so each is given once. Suffixes are compared over `reach` bytes; a repeat that goes on beyond is cut there and `open`. Equal contexts of an anchor
+    are scanned as one, and their places joined afterwards. Texts are UTF-8 bytes, null is empty, repeated rows are places of their own; an empty table gives an empty result.
     """
-    whole, contexts = contexts_of(docs, least, k)
-    partial = interval_scan(contexts.where(F.col("contexts") <= most_contexts), least, as_groups=False)
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = Rolling()
-        for batch in slices(batches, 3, 1 << 16):
-            data, offsets = text_buffer(batch.column(3))
-            row = np.repeat(np.arange(batch.num_rows), np.maximum(0, np.diff(offsets) - least + 1))
-            first = np.concatenate([np.arange(a, b - least + 1) for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
-            value = rolling.load(data).spans(first, first + least)
-            start = first - offsets[row] + batch.column(2).to_numpy()[row]
+    texts = identified(docs, text)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2):
+            data, offsets = text_buffer(batch.column(2))
+            row, at, low, high, anchor = anchors(data, offsets, least, k)
+            first, last = np.maximum(low - 1, offsets[row]), np.minimum(at + reach, offsets[row + 1])
+            context = mix(mix(span_hashes(data, first, last) + (at - first).astype(np.uint64)) + (last == offsets[row + 1]).astype(np.uint64))
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32))], ["value", "key", "h", "start"])
+            places = [(x - offsets[row]).astype(np.int32) for x in (at, low, high)]
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), *map(pa.array, places)], ["route", "context", "h1", "h2", "at", "low", "high"])
+
+    places = cut(texts.mapInArrow(find, "route long, context long, h1 long, h2 long, at int, low int, high int").distinct())
+    rows = cut(docs.select(F.col(key).alias("key"), *hashes(text_column(text))))
+    held = rows.groupBy("h1", "h2").count()
+    alike = places.join(held, ["h1", "h2"]).groupBy("route", "context").agg(F.min(F.struct("h1", "h2", "at", "low", "high")).alias("one"), F.sum("count").alias("n"))
+    several = alike.groupBy("route").agg(F.sum("n").alias("all")).where("all > 1").select("route")
+    wanted = alike.join(several, "route").select("route", "context", "one.*", "n")
+    pieces = [piece("at", f"(at + {reach})", "right"), piece("greatest(low - 1, 0)", "at", "left"), F.expr(f"at + {reach} < octet_length(raw)").alias("goes_on")]
+
+    def solve(rows: pa.RecordBatch, edges: list[int]) -> pa.RecordBatch:
+        route, context, at, low, high = (rows.column(i).to_numpy() for i in (0, 1, 2, 3, 8))
+        right, left = rows.column(4).to_pylist(), [x[::-1] for x in rows.column(5).to_pylist()]
+        times, goes_on = rows.column(6).to_pylist(), rows.column(7).to_pylist()
+        out: list[tuple] = []
+        for a, b in zip(edges, edges[1:], strict=False):
+            own = [i for i in range(a, b) for _ in range(min(2, times[i]))]  # a context with several places meets itself
+            found = maximal_repeats([right[i] for i in own], [left[i] for i in own], least) if len(own) > 1 else ()
+            for n, (before, behind, inside) in enumerate(found):
+                members = sorted({own[i] for i in inside})
+                if all(low[i] <= at[i] - before <= high[i] - least for i in members):  # else its first bytes have another anchor
+                    ends_here = any(len(right[i]) == behind and not goes_on[i] for i in members)
+                    out += [(route[i], context[i], n, before + behind, behind == reach and not ends_here, before) for i in members]
+        columns = list(zip(*out, strict=True)) if out else [[]] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["route", "context", "group", "length", "open", "before"])
 
-    many = contexts.where(F.col("contexts") > most_contexts).select("key", "h", "low", F.concat("left", "right").alias("text"))
-    every = many.mapInArrow(strings, "value long, key long, h int, start int")
-    twice = every.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value")
-    crowded = every.join(twice, "value", "left_semi").select("key", "h", "start", (F.col("start") + least).alias("end"))
-    return whole.unionByName(partial).unionByName(crowded)
+    scanned = in_anchors(fetched(texts, wanted, pieces).select("route", "context", "at", "low", "right", "left", "n", "goes_on", "high"), solve, "route long, context long, group int, length int, open boolean, before int")
+    return scanned.join(places, ["route", "context"]).join(rows, ["h1", "h2"]).select(F.col("route").alias("anchor"), "group", "length", "open", F.col("key").alias(key), (F.col("at") - F.col("before")).alias("start"))
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -281,33 +339,35 @@ def remove_repeats(docs: DataFrame, least: int = 200, key: str = "doc_id", text:
     """`docs` with kept (binary), n_bytes, n_removed, n_spans: each byte covered by a string of `least` bytes that also starts anywhere else is removed.
 
     Texts are UTF-8 bytes, null is empty; matches do not cross rows; the place may be in the same text, and strings may overlap.
-    Strings are judged on the input. A row that repeats another counts as another place. With `whole_characters` a character
-    goes only if all its bytes go, so what is left is text. An empty table gives an empty result; all columns are kept.
+    Strings are judged on the input. A row that repeats another counts as another place, whatever its key, which takes no part. With `whole_characters` a character
+    goes only if all its bytes go, so what is left is text. An empty table gives an empty result; all columns are kept, but columns of the four names are
+    replaced. A text of more than 256 MB raises an error.
+
+    Rows are told apart by 128 bits of their text, so rows with equal texts are one; such a text of `least` bytes or more goes as a whole.
     """
-    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    integral = docs.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
-    number = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))) if integral else F.xxhash64(F.col(key))
-    rows = docs.withColumn("_raw", raw).withColumn("_key", number).withColumn("_h", F.hash("_raw"))
-    signed = cut(rows.select("_key", "_h", F.xxhash64("_raw").alias("h1"), F.xxhash64(F.lit(1), "_raw").alias("h2"), F.octet_length("_raw").alias("n")))
-    copies = signed.groupBy("h1", "h2", "n").agg(F.count("*").alias("copies")).where((F.col("copies") > 1) & (F.col("n") >= least))
-    copied = signed.join(copies, ["h1", "h2", "n"]).select("_key", "_h", F.lit(True).alias("copied"), F.array().cast("array<bigint>").alias("spans")).distinct()
-    spans = repeats(rows.select(F.col("_key").alias("key"), F.col("_h").alias("h"), F.col("_raw").alias("text")), least)
-    by_doc = spans.groupBy("key", "h").agg(F.collect_set(F.shiftleft(F.col("start").cast("long"), 32) + F.col("end")).alias("spans")).select(F.col("key").alias("_key"), F.col("h").alias("_h"), F.lit(False).alias("copied"), "spans")
-    actions = by_doc.unionByName(copied).groupBy("_key", "_h").agg(F.max("copied").alias("_copied"), F.flatten(F.collect_list("spans")).alias("_spans"))
-    joined = rows.join(actions, ["_key", "_h"], "left")
-    names = docs.columns
-    arranged = joined.select(*names, "_raw", F.coalesce("_copied", F.lit(False)).alias("_copied"), "_spans")
-    at = len(names)
+    names = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans")]
+    rows = set_aside(docs.select(*[F.col(f"`{c}`") for c in names]), text)
+    texts = identified(rows, text)
+    signed = texts.select("h1", "h2", F.octet_length("text").alias("n"))
+    copied = signed.where(F.col("n") >= least).groupBy("h1", "h2").count().where("count > 1").select("h1", "h2", F.lit(True).alias("copied"), F.array().cast("array<bigint>").alias("spans"))
+    spans, tables = repeats(texts, least)
+    joined_spans = F.collect_set(F.shiftleft(F.col("start").cast("long"), 32) + F.col("end")).alias("spans")
+    by_text = spans.groupBy("h1", "h2").agg(joined_spans).select("h1", "h2", F.lit(False).alias("copied"), "spans")
+    actions = written(by_text.unionByName(copied).groupBy("h1", "h2").agg(F.max("copied").alias("copied"), F.flatten(F.collect_list("spans")).alias("spans")))
+    forget(*tables)
+    body = text_column(text)
+    joined = rows.select(*hashes(body), text, "others").join(actions, ["h1", "h2"], "left")
+    arranged = joined.select(text, "others", text_column(text).cast("binary").alias("raw"), F.coalesce("copied", F.lit(False)).alias("copied"), "spans")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, at, 1 << 24):
+        for batch in slices(batches, 2, 1 << 20):
             kept, sizes, removed, runs = [], [], [], []
             for i in range(batch.num_rows):
-                body = batch.column(at)[i].as_py()
-                if batch.column(at + 1)[i].as_py():
+                body = batch.column(2)[i].as_py()
+                if batch.column(3)[i].as_py():
                     spans = [(0, len(body))]
-                elif batch.column(at + 2)[i].is_valid:
-                    both = batch.column(at + 2)[i].values.to_numpy()
+                elif batch.column(4)[i].is_valid:
+                    both = batch.column(4)[i].values.to_numpy()
                     spans = merged(both >> 32, both & 0xFFFFFFFF)
                 else:
                     spans = []
@@ -321,10 +381,11 @@ def remove_repeats(docs: DataFrame, least: int = 200, key: str = "doc_id", text:
                 sizes.append(len(body))
                 removed.append(len(body) - len(kept[-1]))
                 runs.append(len(spans))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64())], [*names, "kept", "n_bytes", "n_removed", "n_spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64())], ["body", "others", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return arranged.mapInArrow(strip, schema + ", kept binary, n_bytes long, n_removed long, n_spans long")
+    schema = f"body {rows.schema[text].dataType.simpleString()}, others {rows.schema['others'].dataType.simpleString()}, kept binary, n_bytes long, n_removed long, n_spans long"
+    done = arranged.mapInArrow(strip, schema).withColumnRenamed("body", text)
+    return done.select(*given_back(done, names, text), "kept", "n_bytes", "n_removed", "n_spans")
 
 
 def inward(body: bytes, at: int, step: int) -> int:
