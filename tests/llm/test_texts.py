@@ -1,6 +1,7 @@
 """Operators over documents against brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 
 from lectern.llm import licenses, queries
 from lectern.llm.bpe import Coder, encode, merge_one
+from lectern.llm.common import span_hashes
 from lectern.llm.components import components
 from lectern.llm.jaccard import adaptive_prefix, jaccard_components, shared_needed
-from lectern.llm.packing import cuts, encoder, pack
-from lectern.llm.repeats import intervals, maximal_repeats, remove_repeats, repeat_groups, repeats
+from lectern.llm.packing import Ids, cuts, pack
+from lectern.llm.repeats import identified, intervals, maximal_repeats, remove_repeats, repeat_groups, repeats
 from lectern.llm.sharding import shard_by_bytes
 from tests.llm.fixtures import CLASHING, DOCS, clash, documents
 
@@ -81,6 +83,39 @@ def test_jaccard_null_key_and_empty_table(spark):
     assert jaccard_components(frame(spark, [])).count() == 0
 
 
+def test_jaccard_words_that_a_polynomial_hash_confuses(spark):
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate({97: 98, 98: 97})
+    rows = [(1, word), (2, word.translate({97: 98, 98: 97})), (3, word)]
+    assert {(r.doc_id, r.component_id) for r in jaccard_components(frame(spark, rows)).collect()} == {(1, 1), (2, 2), (3, 1)}
+
+
+def test_jaccard_crowded_lists(spark):
+    """Lists dealt to several tasks lose no link."""
+    rows = documents(1)
+    common = [f"c{i}" for i in range(40)]
+    rows += [(5000 + i, " ".join([*common[: i % 40], f"z{i}", *common[i % 40 + 1 :]])) for i in range(60)]
+    got = jaccard_components(frame(spark, rows), 4, 85, 100, buckets=64, crowd=3).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 4, 85, 100)
+
+
+def test_jaccard_id_of_two_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (3, c), (9, f"{b} more"), (0, a), (0, a)]
+    got = jaccard_components(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 5, 4, 5)
+
+
+def test_span_hashes():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 99, 3000).astype(np.uint8)
+    start = rng.integers(0, 2900, 4000)
+    end = start + rng.integers(0, 90, 4000)
+    spans = [data[a:b].tobytes() for a, b in zip(start, end, strict=True)]
+    assert len(set(zip(spans, span_hashes(data, start, end).tolist(), strict=True))) == len(set(spans)) == len(set(span_hashes(data, start, end).tolist()))
+
+
 def test_prefix_arithmetic():
     for a in range(1, 40):
         for b in range(1, 40):
@@ -134,17 +169,22 @@ def test_remove_repeats_small_alphabet(spark):
 
 
 def test_remove_repeats_crowded_anchor(spark):
-    rows = documents(3)
-    raw = frame(spark, rows).select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).withColumn("h", F.hash("text"))
-    few, many = (repeats(raw, 200, most_contexts=m) for m in (50_000, 1))
+    """Anchors split by longer shared strings give the same bytes."""
+    rng = np.random.default_rng(5)
+    line = "".join(rng.choice(list("abcdefgh"), 190))
+    rows = [*documents(3), *[(1000 + i, f"{''.join(rng.choice(list('xyz'), 40))}{line}{'q' * (i % 9)}{''.join(rng.choice(list('uvw'), 40))}") for i in range(60)]]
+    raw = identified(frame(spark, rows), "text")
+    texts = {(r.h1, r.h2): r.text.encode() for r in raw.collect()}
 
-    def covered(spans):
+    def covered(most):
         out = defaultdict(set)
-        for r in spans.collect():
-            out[r.key, r.h] |= set(range(r.start, r.end))
+        for r in repeats(raw, 200, most_contexts=most)[0].collect():
+            out[r.h1, r.h2] |= set(range(r.start, r.end))
         return out
 
-    assert covered(few) == covered(many)
+    few, many = covered(50_000), covered(1)
+    assert few == many
+    assert any(line.encode() in texts[h] for h in few)
 
 
 def test_remove_repeats_empty_and_null_key(spark):
@@ -153,6 +193,16 @@ def test_remove_repeats_empty_and_null_key(spark):
     assert sorted(r.n_removed for r in remove_repeats(frame(spark, [(None, text), (1, text), (None, "y" + text)])).collect()) == [300, 300, 300]
 
 
+def test_remove_repeats_names_and_many_null_keys(spark):
+    names = ("kept", "n_bytes", "raw", "others", "h1", "_key", "body", "spans", "copied")
+    rows = documents(2)
+    df = frame(spark, [(None, t) for _, t in rows]).select("*", *[F.lit(7).alias(n) for n in names])
+    got = remove_repeats(df, 200).withColumn("sha", F.sha2("kept", 256))
+    assert got.columns == [c for c in df.columns if c not in ("kept", "n_bytes")] + ["kept", "n_bytes", "n_removed", "n_spans", "sha"]
+    expected = sorted((None, *r[1:]) for r in brute_repeats([(0, t) for _, t in rows], 200))
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.sha) for r in got.collect()) == expected
+
+
 def test_maximal_repeats():
     texts = ["xabcdefg1", "yabcdefg2", "zabcdeh", "zabcdei"]
     at = 3  # the anchor is "cd"
@@ -162,28 +212,65 @@ def test_maximal_repeats():
     assert [(n, a, b) for n, a, b, _ in intervals([0, 2, 3, 1], 1)] == [(3, 1, 3), (2, 0, 3), (1, 0, 4)]
 
 
-def test_repeat_groups(spark):
-    """Every group's members hold the same string at the places given, and no byte more on either side."""
-    rows = documents(1)
-    raw = frame(spark, rows).select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).withColumn("h", F.hash("text"))
-    texts = {(r.key, r.h): bytes(r.text) for r in raw.collect()}
+def brute_groups(rows, least):
+    """{(string, places)}: all maximal repeats by definition."""
+    places = defaultdict(set)
+    texts = [(i, n, (t or "").encode()) for n, (i, t) in enumerate(rows)]
+    for i, n, t in texts:
+        for a in range(len(t)):
+            for b in range(a + least, len(t) + 1):
+                places[t[a:b]].add((i, n, a))
+    known = {n: t for _, n, t in texts}
+    out = Counter()
+    for string, at in places.items():
+        if len(at) > 1:
+            before = {known[n][a - 1 : a] or n for _, n, a in at}
+            behind = {known[n][a + len(string) : a + len(string) + 1] or n for _, n, a in at}
+            if len(before) > 1 and len(behind) > 1:
+                out[string, tuple(sorted((i, a) for i, _, a in at))] += 1
+    return out
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_repeat_groups(spark, seed):
+    """All maximal repeats with all their places, exact copies and repeats of many anchors included."""
+    rng = random.Random(seed)
+    blocks = ["".join(rng.choice("ab") for _ in range(rng.randrange(5, 30))) for _ in range(5)]
+    rows = [(i, "".join(rng.choice(blocks) for _ in range(rng.randrange(1, 5))) + rng.choice(["", "c", "é"])) for i in range(14)]
+    rows += [(50, rows[0][1]), (50, rows[0][1]), (51, "x" + rows[1][1]), (52, None), (53, ""), (54, "a" * 30), (55, "".join(blocks) + "z"), (56, "".join(blocks))]
+    texts = defaultdict(list)
+    for i, t in rows:
+        texts[i].append((t or "").encode())
     groups = defaultdict(list)
-    for r in repeat_groups(raw, 200).collect():
-        groups[r.anchor, r.group, r.length].append((texts[r.key, r.h], r.start))
-    assert groups
-    for (_, _, length), members in groups.items():
-        assert len(members) > 1
-        assert len({t[s : s + length] for t, s in members}) == 1
-        assert length >= 200
+    for r in repeat_groups(frame(spark, rows), 16, 8).collect():
+        assert not r.open
+        groups[r.anchor, r.group, r.length].append((r.doc_id, r.start))
+    got = Counter()
+    for (_, _, length), at in groups.items():
+        strings = {t[s : s + length] for i, s in at for t in texts[i] if len(t) >= s + length}
+        assert len(strings) == 1
+        got[strings.pop(), tuple(sorted(at))] += 1
+    assert got == brute_groups(rows, 16)
+    assert repeat_groups(frame(spark, []), 16, 8).count() == 0
+
+
+def test_repeat_groups_beyond_reach(spark):
+    rng = random.Random(1)
+    text = "".join(rng.choice("abcdefgh") for _ in range(900))
+    rows = [(1, "1" + text), (2, "2" + text + "y"), (3, text[100:])]
+    groups = defaultdict(set)
+    for r in repeat_groups(frame(spark, rows), 200, 32).collect():
+        groups[r.length, r.open].add((r.doc_id, r.start))
+    assert groups == {(900, False): {(1, 1), (2, 1)}, (800, False): {(1, 101), (2, 101), (3, 0)}}
+    assert {r.open for r in repeat_groups(frame(spark, rows), 200, 32, reach=300).collect()} == {True}
 
 
 def test_pack(spark):
     from tokenizers import Tokenizer
 
-    rows = documents(1)
-    got = pack(frame(spark, rows, clashing=True), queries.vocabulary("byte_bpe_50k.tiktoken"), queries.pattern()).toPandas()
+    rows = [*documents(1), (900, "a <|endoftext|> b<|endoftext|>"), (901, "<|endoftext|>" * 700)]
+    got = pack(frame(spark, rows, clashing=True), queries.vocabulary("byte_bpe_50k.json"), queries.pattern()).toPandas()
     plain = Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     expected = Counter((i, tuple([*plain.encode(t or "", add_special_tokens=False).ids, 0])) for i, t in rows)
     for (i, ids), times in expected.items():
         own = got[got.doc_id == i]
@@ -204,17 +291,20 @@ def test_pack(spark):
         assert used <= 1024
         padding += 0 if used & (used - 1) == 0 else 1024 - used
     assert padding < 0.02 * got.length.sum()
-    assert pack(frame(spark, []), queries.vocabulary("byte_bpe_50k.tiktoken"), queries.pattern()).count() == 0
+    assert pack(frame(spark, []), queries.vocabulary("byte_bpe_50k.json"), queries.pattern()).count() == 0
 
 
 def test_same_ids_as_the_tokenizer():
     from tokenizers import Tokenizer
 
-    plain = Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
-    fast = encoder(queries.vocabulary("byte_bpe_50k.tiktoken"), queries.pattern())
-    for text in ["", " ", "a  b\n\n c\t d", "<|endoftext|>", "I'll we've 'S", "日本語 текст ñ😀​", "x" * 3000, " " * 500, "\r\n\x00\x1f", "١٢٣ ½ Ⅷ"]:
-        assert fast.encode_ordinary(text) == plain.encode(text, add_special_tokens=False).ids
+    path = queries.vocabulary("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    for added in (True, False):
+        plain.encode_special_tokens = not added
+        ids = Ids(path, queries.pattern(), added)
+        for text in ["", " ", "a  b\n\n c\t d", "a <|endoftext|> b", "<|endoftext|>", "<|endof", "I'll we've 'S", "日本語 текст ñ😀​", "x" * 3000, " " * 500, "\r\n\x00\x1f", "١٢٣ ½ Ⅷ"]:
+            assert ids(text) == plain.encode(text, add_special_tokens=False).ids
+    assert Ids(path, queries.pattern())("a <|endoftext|> b") == [64, 220, 50256, 275]
 
 
 @pytest.mark.parametrize("run", [" " * 1_000_000, "\n" * 1_000_000, "\u00a0 \t" * 400_000, "a  b " + "\r\n" * 500_000])
@@ -222,9 +312,8 @@ def test_long_white_space(spark, run):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     rows = [(1, run + "x <|endoftext|>"), (2, "x  y" + run), (3, "short")]
-    got = pack(frame(spark, rows), queries.vocabulary("byte_bpe_50k.tiktoken"), queries.pattern()).collect()
+    got = pack(frame(spark, rows), queries.vocabulary("byte_bpe_50k.json"), queries.pattern()).collect()
     for i, text in rows:
         ids = np.array([*plain.encode(text, add_special_tokens=False).ids, 0], "<u4")
         own = sorted((r.start, r.length, r.ids_crc32) for r in got if r.doc_id == i)
