@@ -11,26 +11,25 @@ from pyspark.sql.window import Window
 from lectern.functions.text import canonical_url, normalize_key
 
 
-def stable_part(c: Column, ascii_only: bool = False) -> Column:
-    """Web addresses in canonical form, other values normalised; numbers as their text, null as ""."""
+def stable_part(c: Column) -> Column:
+    """Web addresses in canonical form, other values normalised; numbers as their text, null as "". Only addresses and texts beyond ASCII go to Python."""
     text = F.coalesce(c.cast("string"), F.lit(""))
-    if ascii_only:
-        return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
-    return F.when(text.rlike(r"(?i)^\s*https?://"), canonical_url(text)).otherwise(normalize_key(text))
+    web = text.rlike(r"(?i)^\s*https?://")
+    return F.when(web, canonical_url(F.when(web, text))).otherwise(normalize_key(F.when(~web, text)))
 
 
-def stable_id(scope: str, kind: str, *parts: Column, ascii_only: bool = False) -> Column:
-    """scope:kind:24 hex digits of SHA-256 over scope, kind and the parts, joined by "|"."""
-    if not scope.strip() or not kind.strip():
+def stable_id(scope: str, kind: str, *parts: Column, prefix: str = "university") -> Column:
+    """prefix:scope:kind:24 hex digits of SHA-256 over scope, kind and the parts, joined by "|". An empty prefix is left out."""
+    scope, kind = " ".join(scope.split()).casefold(), "_".join(kind.split()).casefold()
+    if not scope or not kind:
         raise ValueError("scope and kind must not be empty")
-    kind = "_".join(kind.strip().lower().split())
-    text = F.concat_ws("|", F.lit(scope.strip().lower()), F.lit(kind), *[stable_part(p, ascii_only) for p in parts])
-    return F.concat(F.lit(f"{scope.strip().lower()}:{kind}:"), F.substr(F.sha2(text, 256), F.lit(1), F.lit(24)))
+    text = F.concat_ws("|", F.lit(scope), F.lit(kind), *[stable_part(p) for p in parts])
+    return F.concat(F.lit(":".join(filter(None, (prefix, scope, kind))) + ":"), F.substr(F.sha2(text, 256), F.lit(1), F.lit(24)))
 
 
 def legacy_id(scope: str, kind: str, *parts: Column) -> Column:
     """The older form: 20 hex digits of SHA-1 over kind and the parts."""
-    text = F.concat_ws("|", F.lit(kind), *[stable_part(p, True) for p in parts])
+    text = F.concat_ws("|", F.lit(kind), *[stable_part(p) for p in parts])
     return F.concat(F.lit(f"{scope}:{kind}:"), F.substr(F.sha1(text), F.lit(1), F.lit(20)))
 
 
@@ -46,20 +45,22 @@ def source_keys(df: DataFrame, key: Sequence[str], payload: Sequence[str], posit
     their number from 1 in the order of `position`. Numbers restart for each payload, so two repeating payloads under one key
     get the same keys; `strict` adds the variant before the number and so keeps them apart.
     """
-    base = F.concat_ws("|", *[F.nullif(stable_part(F.col(c), ascii_only=True), F.lit("")) for c in key])
-    marked = df.withColumn("_base", base).withColumn("_payload", signature(payload))
+    base = F.concat_ws("|", *[F.nullif(stable_part(F.col(c)), F.lit("")) for c in key])
+    based = df.withColumn("_base", base)
+    often = based.groupBy("_base").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("_base").alias("_often"))
+    # Only rows of repeated keys are signed and numbered.
+    marked = based.join(often, F.col("_base") == F.col("_often"), "left")
+    once = marked.where("_often is null").withColumn("source_key", F.col("_base"))
+    signed = marked.where("_often is not null").withColumn("_payload", signature(payload))
     by_payload = Window.partitionBy("_base", "_payload")
-    marked = (
-        marked.withColumn("_n", F.count("*").over(Window.partitionBy("_base")))
-        .withColumn("_same", F.count("*").over(by_payload))
-        .withColumn("_row", F.row_number().over(by_payload.orderBy(*position)))
-    )
+    signed = signed.withColumn("_same", F.count("*").over(by_payload)).withColumn("_row", F.row_number().over(by_payload.orderBy(*position)))
     variant = F.concat(F.lit("|variant:"), F.substr("_payload", F.lit(1), F.lit(16)))
     repeat = F.concat(F.lit("|duplicate:"), F.col("_row").cast("string"))
-    suffix = F.when(F.col("_n") == 1, "").when(F.col("_same") == 1, variant).otherwise(F.concat(variant, repeat) if strict else repeat)
-    return marked.withColumn("source_key", F.concat("_base", suffix)).drop("_base", "_payload", "_n", "_same", "_row")
+    suffix = F.when(F.col("_same") == 1, variant).otherwise(F.concat(variant, repeat) if strict else repeat)
+    out = once.unionByName(signed.withColumn("source_key", F.concat("_base", suffix)).drop("_payload", "_same", "_row"))
+    return out.drop("_base", "_often")
 
 
-def record_ids(df: DataFrame, scope: str, kind: str, key: Sequence[str], payload: Sequence[str], position: Sequence[str | Column]) -> DataFrame:
+def record_ids(df: DataFrame, scope: str, kind: str, key: Sequence[str], payload: Sequence[str], position: Sequence[str | Column], prefix: str = "university") -> DataFrame:
     """`df` with source_key and record_id, the hashed form of it."""
-    return source_keys(df, key, payload, position).withColumn("record_id", stable_id(scope, kind, F.col("source_key"), ascii_only=True))
+    return source_keys(df, key, payload, position).withColumn("record_id", stable_id(scope, kind, F.col("source_key"), prefix=prefix))

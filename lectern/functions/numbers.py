@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 NULL_MARKERS = ("-", "—", "–", "нет", "н/д", "н.д.", "none", "null")
 
 
+def stands_for_none(c: Column) -> Column:
+    """Null, blank, or one of the texts that say that there is no number."""
+    return c.isNull() | F.lower(F.trim(c)).isin("", *NULL_MARKERS)
+
+
 def number_text(c: Column) -> Column:
-    """A number as plain text, null where there is none. All but digits, separators and signs is cut; the last of "," and "." is the decimal
+    """A number as plain text, null for texts that stand for none. All but digits, separators and signs is cut; the last of "," and "." is the decimal
     sign if both occur; a lone comma is one before one or two digits, other commas part thousands."""
     text = F.regexp_replace(c, r"[^0-9,.+-]", "")
     both = F.contains(text, F.lit(",")) & F.contains(text, F.lit("."))
@@ -20,12 +25,11 @@ def number_text(c: Column) -> Column:
         .when(text.rlike(r"^[^,]*,[^,]{1,2}$") & ~both, F.translate(text, ",", "."))
         .otherwise(F.replace(text, F.lit(","), F.lit("")))
     )
-    nothing = c.isNull() | F.lower(F.trim(c)).isin(*NULL_MARKERS) | text.isin("", "-", "+", ".", ",")
-    return F.when(~nothing, plain)
+    return F.when(~stands_for_none(c), plain)
 
 
 def parse_decimal(c: Column) -> Column:
-    """struct(value decimal(38,10), raw, warning): warning is "invalid_number" where the text is no number; texts that stand for no number give a null value without one."""
+    """struct(value decimal(38,10), raw, warning): warning is "invalid_number" where the text is no number, words included; texts that stand for no number give a null value without one."""
     text = number_text(c)
     value = F.when(text.rlike(r"^[-+]?(\d+(\.\d*)?|\.\d+)([eE][-+]?\d+)?$"), text.try_cast("decimal(38,10)"))
     return F.struct(value.alias("value"), c.alias("raw"), F.when(text.isNotNull() & value.isNull(), "invalid_number").alias("warning"))

@@ -6,6 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from lectern.functions.ids import legacy_id
+from lectern.functions.text import normalize_key
 
 #: Largest difference that still counts as equal.
 TOLERANCE = 0.01
@@ -27,7 +31,7 @@ def dataset_counts(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """(dataset, n_rows, n_ids, n_missing) of each table, in one pass over each."""
     out = None
     for name, (df, key) in tables.items():
-        one = df.agg(F.count("*").alias("n_rows"), F.count_distinct(key).alias("n_ids"), missing_ids(df, key).alias("n_missing")).select(F.lit(name).alias("dataset"), "*")
+        one = df.agg(F.count("*").alias("n_rows"), F.count_distinct(F.when(F.col(key).cast("string") != "", F.col(key))).alias("n_ids"), missing_ids(df, key).alias("n_missing")).select(F.lit(name).alias("dataset"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -45,20 +49,60 @@ def reconcile(declared: DataFrame, key: str, detail: DataFrame, foreign: str, me
     return joined.withColumn("class", F.when(~off, "exact").when(F.col("n_active") == 0, "unallocated").otherwise("mismatch"))
 
 
+def first_values(df: DataFrame, key: Sequence[str], value: str, most: int, alias: str = "examples") -> DataFrame:
+    """(key, n, alias): the number of different values of each key, nulls left out, and the first `most` of them in order. Only these are collected."""
+    once = df.where(F.col(value).isNotNull()).select(*key, value).distinct()
+    few = once.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(value))).where(F.col("_r") <= most)
+    listed = few.groupBy(*key).agg(F.sort_array(F.collect_list(value)).alias(alias))
+    return once.groupBy(*key).agg(F.count("*").alias("n")).join(listed, list(key))
+
+
 def code_collisions(df: DataFrame, code: str, name: str, most: int = 20) -> DataFrame:
     """(code, n_names, names): codes with several different names, and the first `most` names."""
-    distinct = df.where(F.col(code).isNotNull() & (F.col(code) != "")).select(code, name).distinct()
-    return distinct.groupBy(code).agg(F.count(name).alias("n_names"), F.slice(F.sort_array(F.collect_list(name)), 1, most).alias("names")).where("n_names > 1")
+    return first_values(df.where(F.col(code).isNotNull() & (F.col(code) != "")), [code], name, most, "names").where("n > 1").withColumnRenamed("n", "n_names")
 
 
-def entity_resolution(df: DataFrame, identity: str, code: Column, name: Column, place: Column) -> DataFrame:
-    """(kind, value, n, first_id, last_id): rows that are one entity by code and name, else by name and department, else alone."""
+def entity_key(identity: str, code: Column, name: Column, place: Column) -> tuple[Column, Column]:
+    """(kind, value) of the entity that a row belongs to: by code and name, else by name and department, else the row alone."""
     has = lambda c: c.isNotNull() & (c != "")
     kind = F.when(has(code) & has(name), "code_name").when(has(name) & has(place), "name_department").otherwise("source")
     value = F.when(kind == "code_name", F.concat_ws("|", code, name)).when(kind == "name_department", F.concat_ws("|", name, place)).otherwise(F.col(identity).cast("string"))
+    return kind, value
+
+
+def entity_resolution(df: DataFrame, identity: str, code: Column, name: Column, place: Column) -> DataFrame:
+    """(kind, value, n, first_id, last_id): rows that are one entity by code and name, else by name and department, else alone."""
+    kind, value = entity_key(identity, code, name, place)
     return df.groupBy(kind.alias("kind"), value.alias("value")).agg(F.count_distinct(identity).alias("n"), F.min(identity).alias("first_id"), F.max(identity).alias("last_id"))
 
 
+def entity_index(rows: DataFrame, scope: str, most: int = 20) -> dict[str, DataFrame]:
+    """entities, aliases, conflicts, collisions and the one-row verification of rows (id, code, name, department, document_id).
+
+    entities: id, kind, value, code, name, status, n (rows), n_documents, names (aliases), conflicts. Keys are compared after normalising, names as they are written, so an entity may have several
+    names or codes: it is then ambiguous, and a conflict for each of the two. aliases: source id to entity. collisions: codes that stand for several names, with
+    the first `most` names; they are hints and merge nothing. Lists hold names and codes, a few for each entity; ids stay rows, in `aliases`.
+    """
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    kind, value = entity_key("id", normalize_key(text("code")), normalize_key(text("name")), normalize_key(text("department")))
+    keyed = rows.select("id", text("code").alias("code"), text("name").alias("name"), "document_id", kind.alias("kind"), value.alias("value"))
+    keyed = keyed.withColumn("entity_id", legacy_id(scope, "entity", F.col("kind"), F.col("value")))
+    lists = {c: F.sort_array(F.collect_set(F.nullif(F.col(c), F.lit("")))).alias(f"{c}s") for c in ("name", "code")}
+    grouped = keyed.groupBy("entity_id", "kind", "value").agg(*lists.values(), F.count("*").alias("n"), F.count_distinct("document_id").alias("n_documents"))
+    clash = F.array_compact(F.array(*[F.when(F.size(f"{c}s") > 1, F.struct(F.lit(f"{c}_conflict").alias("kind"), F.col(f"{c}s").alias("values"))) for c in ("name", "code")]))
+    entities = grouped.select(
+        F.col("entity_id").alias("id"), "kind", "value", F.coalesce(F.get("codes", F.lit(0)), F.lit("")).alias("code"), F.coalesce(F.get("names", F.lit(0)), F.lit("")).alias("name"), "n", "n_documents",
+        F.col("names").alias("aliases"), clash.alias("conflicts"), F.when(F.size(clash) > 0, "ambiguous").otherwise("resolved").alias("status"),
+    )
+    aliases = keyed.select(F.col("id").alias("source_id"), "entity_id").join(entities.select(F.col("id").alias("entity_id"), "status"), "entity_id")
+    conflicts = entities.select(F.col("id").alias("entity_id"), F.explode("conflicts").alias("c")).select("entity_id", "c.kind", "c.values")
+    collisions = code_collisions(keyed, "code", "name", most)
+    counted = rows.select(F.lit(1).alias("rows"), F.lit(0).alias("mapped"), F.lit(0).alias("doubtful")).unionByName(aliases.select(F.lit(0).alias("rows"), F.lit(1).alias("mapped"), F.when(F.col("status") == "ambiguous", 1).otherwise(0).alias("doubtful")))
+    sums = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counted.columns])
+    verified = sums.select((F.col("rows") == F.col("mapped")).alias("all_mapped"), (F.col("doubtful") == 0).alias("no_ambiguous_entities"), (F.col("rows") == F.col("mapped")).alias("passed"))
+    return {"entities": entities, "aliases": aliases, "conflicts": conflicts, "collisions": collisions, "verification": verified}
+
+
 def histogram(df: DataFrame, c: str, dataset: str) -> DataFrame:
     return df.groupBy(F.col(c).cast("string").alias("value")).agg(F.count("*").alias("n")).select(F.lit(dataset).alias("dataset"), "value", "n")
 
@@ -71,7 +115,7 @@ def all_true(c: Column) -> Column:
 def gate(counts: DataFrame, checks: DataFrame, required: Sequence[str] = ()) -> dict:
     """The verdict over small tables: `counts` (dataset, n_rows, n_ids, n_missing), `checks` (name, passed). Errors block, so passed means none."""
     seen = {r.dataset: r for r in counts.collect()}
-    errors = [f"{d}: missing ids" for d, r in seen.items() if r.n_missing] + [f"{d}: duplicate ids" for d, r in seen.items() if r.n_ids + r.n_missing < r.n_rows and not r.n_missing]
+    errors = [f"{d}: missing ids" for d, r in seen.items() if r.n_missing] + [f"{d}: duplicate ids" for d, r in seen.items() if r.n_ids + r.n_missing < r.n_rows]
     errors += [f"{d}: no rows" for d in required if d not in seen or not seen[d].n_rows]
     errors += [f"check {r.name} failed" for r in checks.collect() if r.passed is False]
     return {"passed": not errors, "errors": sorted(errors), "records": {d: r.n_rows for d, r in seen.items()}}

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,8 +18,17 @@ def section_path(df: DataFrame, group: Sequence[str], order: Sequence[str], name
     named = df.withColumn("_name", F.when(is_group & name.isNotNull() & (name != ""), name))
     before = F.last("_name", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     added = named.withColumn("_added", F.when(F.col("_name").isNotNull() & ~F.col("_name").eqNullSafe(before), F.col("_name")))
-    path = F.array_join(F.collect_list("_added").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)), separator)
-    return added.withColumn("section_path", path).drop("_name", "_added")
+    # Paths are made at the rows that add a name, and carried to the rows below.
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = added.withColumn("_n", F.count("_added").over(upto))
+    own = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    path = F.array_join(F.collect_list("_added").over(Window.partitionBy(*group).orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)), separator)
+    paths = numbered.where("_added is not null").select(*own, F.col("_n").alias("_m"), path.alias("section_path"))
+    met = F.col("_n") == F.col("_m")
+    for i, g in enumerate(group):
+        met = met & numbered[g].eqNullSafe(F.col(f"_g{i}"))
+    out = numbered.join(paths, met, "left").withColumn("section_path", F.coalesce("section_path", F.lit("")))
+    return out.drop("_name", "_added", "_n", "_m", *[f"_g{i}" for i in range(len(group))])
 
 
 def carry_forward(df: DataFrame, group: Sequence[str], order: Sequence[str], own: Column, state: Column, default: str, alias: str = "state") -> DataFrame:
@@ -59,26 +69,56 @@ def equal_bands(left: Column, right: Column, n: Column, parts: int = 5) -> Colum
     return F.when(n > 0, cells).otherwise(F.array().cast("array<struct<band:int,part:int,left:double,right:double>>"))
 
 
+def line_numbers(df: DataFrame, group: str, value: str, tolerance: float = 1.6) -> DataFrame:
+    """(group, value, line): cluster_lines() for groups of any size. Spark sorts the rows; each task goes through its groups once and holds a line's first value only. Nulls are left out."""
+    kinds = [df.schema[c].dataType.simpleString() for c in (group, value)]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, first, line = None, None, 0
+        for batch in batches:
+            lines = []
+            for g, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if first is None or g != now:
+                    now, first, line = g, v, 0
+                elif v - first > tolerance:
+                    first, line = v, line + 1
+                lines.append(line)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lines, pa.int32())], ["a", "b", "line"])
+
+    ordered = df.select(F.col(group).alias("a"), F.col(value).alias("b")).where("b is not null").repartition("a").sortWithinPartitions("a", "b")
+    return ordered.mapInArrow(scan, f"a {kinds[0]}, b {kinds[1]}, line int").withColumnsRenamed({"a": group, "b": value})
+
+
 def in_bands(points: DataFrame, x: str, bands: DataFrame, on: Sequence[str] = (), slack: float = 0.15) -> DataFrame:
-    """Each point with every band (left, right) that holds it within `slack`; a point may lie in two. `bands` is a small table, broadcast; without `on` columns the
-    band's range is the only condition."""
-    within = (F.col(x) >= F.col("left") - slack) & (F.col(x) <= F.col("right") + slack)
-    condition = within
-    other = F.broadcast(bands.withColumnsRenamed({c: f"_b_{c}" for c in on}))
-    for c in on:
-        condition = condition & (points[c] == F.col(f"_b_{c}"))
-    return points.join(other, condition).drop(*[f"_b_{c}" for c in on])
+    """Each point with every band (left, right) that holds it within `slack`; a point may lie in two. With `on` columns these are equal, too. Sides of any size: the join is on cells as wide as
+    the widest band."""
+    widest = bands.agg(F.max(F.col("right") - F.col("left"))).first()[0]
+    return range_join(points, x, bands, max(widest or 0.0, 0.0) + 2 * slack or 1.0, slack, on)
 
 
-def range_join(points: DataFrame, x: str, spans: DataFrame, width: float, slack: float = 0.0) -> DataFrame:
+def range_join(points: DataFrame, x: str, spans: DataFrame, width: float, slack: float = 0.0, on: Sequence[str] = ()) -> DataFrame:
     """Each point with every span (left, right) that holds it within `slack`, for large sides: spans are dealt to all cells of `width` that they touch, points to one, and the
-    join is on the cell."""
+    join is on the cell and the `on` columns."""
     cell = lambda c: F.floor(c / width).cast("long")
-    dealt = spans.withColumn("_cell", F.explode(F.sequence(cell(F.col("left") - slack), cell(F.col("right") + slack))))
-    met = points.withColumn("_cell", cell(F.col(x))).join(dealt, "_cell")
+    dealt = spans.where(F.col("left") - slack <= F.col("right") + slack).withColumn("_cell", F.explode(F.sequence(cell(F.col("left") - slack), cell(F.col("right") + slack))))
+    met = points.withColumn("_cell", cell(F.col(x))).join(dealt, [*on, "_cell"])
     return met.where((F.col(x) >= F.col("left") - slack) & (F.col(x) <= F.col("right") + slack)).drop("_cell")
 
 
+def words_in_cells(words: DataFrame, cells: DataFrame, on: Sequence[str], slack: float = 0.6, width: float = 50.0) -> DataFrame:
+    """Each word (x0, x1, top, bottom) with every cell (left, right, upper, lower) of the same `on` columns that holds its middle within `slack` on both axes. The join is on the `on`
+    columns and on strips of `width`, so a page or sheet of any number of words is not one group."""
+    middle = words.withColumn("_x", (F.col("x0") + F.col("x1")) / 2).withColumn("_y", (F.col("top") + F.col("bottom")) / 2)
+    met = range_join(middle, "_x", cells, width, slack, on)
+    return met.where((F.col("_y") >= F.col("upper") - slack) & (F.col("_y") <= F.col("lower") + slack)).drop("_x", "_y")
+
+
+def line_envelopes(words: DataFrame, line: Sequence[str]) -> DataFrame:
+    """(line, x0, top, x1, bottom, text, n_words): the box around the words of each line, and their texts from left to right."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "top", "text"))), lambda w: w["text"]), " ")
+    return words.groupBy(*line).agg(F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom"), text.alias("text"), F.count("*").alias("n_words"))
+
+
 def overlapping(left: DataFrame, right: DataFrame, on: Sequence[str], least: float = 0.1) -> DataFrame:
     """Pairs with equal `on` columns whose spans (left, right and other_left, other_right) share more than `least`."""
     return left.join(right, list(on)).withColumn("shared", overlap(F.col("left"), F.col("right"), F.col("other_left"), F.col("other_right"))).where(F.col("shared") > least)

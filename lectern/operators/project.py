@@ -20,12 +20,12 @@ def field_meta(**columns: Column) -> Column:
     return F.create_map(*[x for name, c in columns.items() for x in (F.lit(name), published_meta(c))])
 
 
-def relation_id(key: Column, scope: str, kind: str, enabled: bool) -> tuple[Column, Column]:
-    """(id, unresolved): "" for an empty key, or with the key as unresolved where the target isn't enabled, else the hashed id."""
+def relation_id(key: Column, scope: str, kind: str, enabled: bool, prefix: str = "university") -> tuple[Column, Column]:
+    """(id, unresolved): "" for an empty key, or with the key as unresolved where the target isn't enabled, else the hashed id, as the target's own row has it."""
     empty, text = ~is_present(key), key.cast("string")
     if not enabled:
         return F.lit(""), F.when(~empty, text)
-    return F.when(empty, "").otherwise(stable_id(scope, kind, key, ascii_only=True)), F.lit(None).cast("string")
+    return F.when(empty, "").otherwise(stable_id(scope, kind, key, prefix=prefix)), F.lit(None).cast("string")
 
 
 def extensions(scope: str, raw: Column, legacy: Column, unresolved: Column) -> Column:

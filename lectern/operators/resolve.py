@@ -8,8 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 RESOLUTION = "struct<value:double,status:string,method:string,confidence:double,warnings:array<string>>"
+#: What warnings say (fixed values).
+NOT_NUMERIC, COMPONENTS_NOT_NUMERIC, FROM_CREDITS = "{} is not numeric", "hour components contain non-numeric values", "hours derived from credits"
 
 
+def is_number(c: Column) -> Column:
+    """The column's type is a number's; text is none, even if it reads like one."""
+    return F.typeof(c).rlike("^(tinyint|smallint|int|bigint|float|double|decimal.*)$")
+
 
 def resolution(value: Column | float | None, status: str, method: str, confidence: float, *warnings: str) -> Column:
     told = F.array(*[F.lit(w) for w in warnings]).cast("array<string>")
@@ -18,11 +24,11 @@ def resolution(value: Column | float | None, status: str, method: str, confidenc
 
 
 def direct(c: Column, numeric: Column | None = None, field: str = "total_hours") -> Column:
-    """A published value as it is; `numeric` says whether what was read is a number."""
-    numeric = F.lit(True) if numeric is None else numeric
+    """A published number as it is; `numeric` says whether what was read is a number, else the column's type does."""
+    numeric = is_number(c) if numeric is None else numeric
     return (
         F.when(c.isNull() | (c.cast("string") == ""), resolution(None, "not_published", "direct", 0.0))
-        .when(~numeric, resolution(None, "invalid", "direct", 0.0, f"{field} is not numeric"))
+        .when(~numeric, resolution(None, "invalid", "direct", 0.0, NOT_NUMERIC.format(field)))
         .otherwise(resolution(c.try_cast("double"), "published", "direct", 1.0))
     )
 
@@ -33,14 +39,17 @@ def sum_components(components: Column) -> Column:
     total = F.aggregate(values, F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
     return (
         F.when(F.coalesce(F.size(components), F.lit(0)) <= 0, resolution(None, "not_published", "sum_components", 0.0))
-        .when(F.exists(values, lambda x: x.isNull()), resolution(None, "invalid", "sum_components", 0.0, "hour components contain non-numeric values"))
+        .when(F.exists(values, lambda x: x.isNull()), resolution(None, "invalid", "sum_components", 0.0, COMPONENTS_NOT_NUMERIC))
         .otherwise(resolution(total, "derived", "sum_components", 1.0))
     )
 
 
-def credits_to_hours(c: Column, hours: float = 36) -> Column:
-    return F.when(c.isNull(), resolution(None, "not_published", "credits_to_hours", 0.0)).otherwise(
-        resolution(c.cast("double") * hours, "derived", "credits_to_hours", 0.7, "hours derived from credits")
+def credits_to_hours(c: Column, hours: float = 36, numeric: Column | None = None) -> Column:
+    """Hours from credits, with less confidence; text is invalid."""
+    return (
+        F.when(c.isNull() | (c.cast("string") == ""), resolution(None, "not_published", "credits_to_hours", 0.0))
+        .when(~(is_number(c) if numeric is None else numeric), resolution(None, "invalid", "credits_to_hours", 0.0, NOT_NUMERIC.format("credits")))
+        .otherwise(resolution(c.try_cast("double") * hours, "derived", "credits_to_hours", 0.7, FROM_CREDITS))
     )
 
 

@@ -166,3 +166,12 @@ def id_aliases(previous: DataFrame, current: DataFrame, existing: DataFrame | No
     every = every.where(is_present(F.col("legacy_id")) & is_present(F.col("canonical_id")) & (F.col("legacy_id") != F.col("canonical_id")))
     grouped = every.groupBy("entity_type", "legacy_id").agg(F.min("canonical_id").alias("canonical_id"), F.count_distinct("canonical_id").alias("n"))
     return grouped.where("n = 1").drop("n"), grouped.where("n > 1").select("entity_type", "legacy_id", "n")
+
+
+def checked_aliases(previous: DataFrame, current: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """The aliases of id_aliases(); an error that names some conflicts, if there are any."""
+    aliases, conflicts = id_aliases(previous, current, existing)
+    some = [f"{r.entity_type} {r.legacy_id}" for r in conflicts.orderBy("entity_type", "legacy_id").limit(20).collect()]
+    if some:
+        raise ValueError(f"aliases with several targets: {', '.join(some)}")
+    return aliases

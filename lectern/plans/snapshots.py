@@ -20,16 +20,17 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, written beside and then renamed over its place."""
+    """A small file, written beside and then renamed over its place in one step, so that readers see the old or the new one."""
     fs, p = _fs(spark, path)
+    p = fs.makeQualified(p)
     temporary = p.suffix(".part")
     out = fs.create(temporary, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(temporary, p):
-        raise OSError(f"cannot write {path}")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rename = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    rename[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), conf).rename(temporary, p, rename)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -68,15 +69,22 @@ def publish(spark: SparkSession, root: str, run_id: str, datasets: dict[str, Dat
     fs.mkdirs(to.getParent())
     if not fs.rename(at, to):
         raise OSError(f"cannot publish {run_id}")
-    write_text(spark, f"{final}/manifest.json", json.dumps({"run_id": run_id, **report}, sort_keys=True))
-    write_text(spark, f"{root}/current", run_id)
+    try:
+        write_text(spark, f"{final}/manifest.json", json.dumps({"run_id": run_id, **report}, sort_keys=True))
+        write_text(spark, f"{root}/current", run_id)
+    except Exception:
+        fs.delete(to, True)  # the pointer is as it was
+        raise
     return report
 
 
 def active(spark: SparkSession, root: str) -> str | None:
-    """The path of the current snapshot, None before the first."""
+    """The path of the current snapshot, None before the first or if the snapshot that the pointer names is gone."""
     run_id = (read_text(spark, f"{root}/current") or "").strip()
-    return f"{root}/snapshots/{checked_run_id(run_id)}" if run_id else None
+    if not run_id:
+        return None
+    fs, p = _fs(spark, f"{root}/snapshots/{checked_run_id(run_id)}")
+    return f"{root}/snapshots/{run_id}" if fs.exists(p) else None
 
 
 def config_hash(config: dict) -> str:

@@ -90,7 +90,7 @@ def last_wins_dedupe(spark, d):
 SELECT p_partkey, 'shop:part:' || substr(sha256('shop|part|' || lower(trim(regexp_replace(p_name, '\\s+', ' ', 'g'))) || '|' || p_size), 1, 24) AS id FROM part
 """)
 def stable_ids(spark, d):
-    return t(spark, d, "part").select("p_partkey", ids.stable_id("Shop", "part", F.col("p_name"), F.col("p_size"), ascii_only=True).alias("id"))
+    return t(spark, d, "part").select("p_partkey", ids.stable_id("Shop", "part", F.col("p_name"), F.col("p_size"), prefix="").alias("id"))
 
 
 @query("SELECT c_custkey, 'shop:customer:' || substr(sha1('customer|' || lower(c_name)), 1, 20) AS id FROM customer")
@@ -132,7 +132,7 @@ NUMBER_SAMPLES = ["1 234,50 ₽", "1,234.50", "1.234,50", "12,5", "1,234", "не
 @query("""
 SELECT p_partkey, CASE p_partkey % 13 WHEN 0 THEN 1234.5 WHEN 1 THEN 1234.5 WHEN 2 THEN 1234.5 WHEN 3 THEN 12.5 WHEN 4 THEN 1234 WHEN 9 THEN 7 WHEN 10 THEN -3.25 WHEN 11 THEN 123 WHEN 12 THEN 5 END::DOUBLE AS value,
   CAST(CASE p_partkey % 13 WHEN 4 THEN 1234 WHEN 9 THEN 7 WHEN 11 THEN 123 WHEN 12 THEN 5 END AS BIGINT) AS int_value,
-  CASE WHEN p_partkey % 13 IN (0, 1, 2, 3, 10) THEN 'not_integral' END AS warning
+  CASE WHEN p_partkey % 13 IN (0, 1, 2, 3, 10) THEN 'not_integral' WHEN p_partkey % 13 = 7 THEN 'invalid_number' END AS warning
 FROM part
 """)
 def parse_numbers(spark, d):
@@ -172,7 +172,7 @@ SELECT c_custkey, CASE WHEN c_nationkey % 4 = 0 THEN '' ELSE 'shop:nation:' || s
 FROM customer
 """)
 def relation_ids(spark, d):
-    nation, _ = project.relation_id(F.when(F.col("c_nationkey") % 4 != 0, F.col("c_nationkey")), "shop", "nation", True)
+    nation, _ = project.relation_id(F.when(F.col("c_nationkey") % 4 != 0, F.col("c_nationkey")), "shop", "nation", True, prefix="")
     segment, unresolved = project.relation_id(F.col("c_mktsegment"), "shop", "segment", False)
     return t(spark, d, "customer").select("c_custkey", nation.alias("nation_id"), segment.alias("segment_id"), unresolved.alias("unresolved"))
 
@@ -357,10 +357,17 @@ def overlapping_spans(spark, d):
     return ordered.overlapping(one, other, ["l_orderkey"]).select("l_orderkey", "a", "b", "shared")
 
 
-@query()
+@query("""
+WITH RECURSIVE starts AS (
+  SELECT user_id, min(value) AS s, 1 AS line FROM events GROUP BY 1
+  UNION ALL
+  SELECT starts.user_id, min(events.value), max(starts.line) + 1 FROM starts JOIN events ON events.user_id = starts.user_id AND events.value - starts.s > 1.6 GROUP BY starts.user_id
+)
+SELECT e.user_id, e.n, CAST(l.n_lines AS INTEGER) AS n_lines FROM (SELECT user_id, count(value) AS n FROM events GROUP BY 1) AS e JOIN (SELECT user_id, max(line) AS n_lines FROM starts GROUP BY 1) AS l USING (user_id)
+""")
 def cluster_lines(spark, d):
-    values = t(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list("value")).alias("v"))
-    return values.select("user_id", F.size("v").alias("n"), (F.array_max(ordered.cluster_lines(F.col("v"))) + 1).alias("n_lines"))
+    lines = ordered.line_numbers(t(spark, d, "events"), "user_id", "value")
+    return lines.groupBy("user_id").agg(F.count("*").alias("n"), (F.max("line") + 1).alias("n_lines"))
 
 
 @query("""

@@ -24,7 +24,10 @@ def test_normalize_key(spark):
 def test_canonical_url(spark):
     cases = {
         "HTTP://Example.COM:80/Path/": "http://example.com/Path",
-        "https://example.com:443": "https://example.com",
+        "https://example.com:443": "https://example.com/",
+        "https://example.com?x=1": "https://example.com/?x=1",
+        "https://u@Example.com/x": "https://u:@example.com/x",
+        "https:///x": "https:///x",
         "https://u:P@Example.com:8443/a//?b=2&a=1&c=#frag": "https://u:P@example.com:8443/a?a=1&b=2&c=",
         "http://example.com/": "http://example.com/",
         "  Plain  Text ": "plain text",
@@ -37,10 +40,13 @@ def test_canonical_url(spark):
 def test_html_text(spark):
     page = "<p>One&nbsp;<b>two</b></p><div>three &amp;amp; four</div><script>x</script>\n\n<br>five"
     assert values(spark, [page, None, ""], text.html_text) == ["One two\nthree & four\nx\nfive", "", ""]
+    ends = ["a\rb c", "a\r\nb\u2028c\u0085d\x0be", "\u2003 a\t \tb\u2003", "<p>Первый&nbsp;текст</p><ul><li>Второй</li></ul>", "&amp;lt;b&amp;gt;", "<p>a"]
+    assert values(spark, ends, text.html_text) == ["a\nb c", "a\nb\nc\nd\ne", "a b", "Первый текст\nВторой", "<b>", "a"]
 
 
 def test_small_text_functions(spark):
     assert values(spark, ["да", " YES ", "0", "maybe", None], text.bool_or_none) == [True, True, False, None, None]
+    assert values(spark, [2.0, 0.0, None], text.bool_or_none, "double") == [True, False, None]
     assert values(spark, [" a  b ", None], text.clean) == ["a b", ""]
     assert values(spark, ["..Имя файла?.pdf", "", None], text.slug) == ["Имя_файла_.pdf", "file", "file"]
     assert values(spark, ['a<b>:c "d" ', None], text.safe_filename) == ["a_b__c _d_", "file"]
@@ -54,7 +60,7 @@ def test_small_text_functions(spark):
 
 @pytest.mark.parametrize(
     ("raw", "value", "warning"),
-    [("40", "40", None), ("699 000", "699000", None), ("1.234,50 ₽", "1234.5", None), ("12,5", "12.5", None), ("1,234", "1234", None), ("неизвестно", None, None), ("1-2", None, "invalid_number"), (None, None, None), ("н/д", None, None), ("1.2.3", None, "invalid_number")],
+    [("40", "40", None), ("699 000", "699000", None), ("1.234,50 ₽", "1234.5", None), ("12,5", "12.5", None), ("1,234", "1234", None), ("неизвестно", None, "invalid_number"), ("abc", None, "invalid_number"), ("", None, None), ("-", None, None), ("1-2", None, "invalid_number"), (None, None, None), ("н/д", None, None), ("1.2.3", None, "invalid_number")],
 )
 def test_parse_decimal(spark, raw, value, warning):
     got = values(spark, [raw], lambda c: F.struct(numbers.wire(numbers.parse_decimal(c)["value"]).alias("v"), numbers.parse_decimal(c)["raw"].alias("r"), numbers.parse_decimal(c)["warning"].alias("w")))[0]
@@ -72,7 +78,8 @@ def test_other_numbers(spark):
 def test_ids(spark):
     digest = hashlib.sha256("u|kind_a|straße x|http://h/a".replace("straße", "strasse").encode()).hexdigest()[:24]
     df = spark.createDataFrame([("Straße  X", "HTTP://H/a/")], "a string, b string")
-    assert df.select(ids.stable_id("U", "Kind A", F.col("a"), F.col("b"))).first()[0] == f"u:kind_a:{digest}"
+    assert df.select(ids.stable_id("U", "Kind A", F.col("a"), F.col("b"))).first()[0] == f"university:u:kind_a:{digest}"
+    assert df.select(ids.stable_id(" U", "Kind A", F.col("a"), F.col("b"), prefix="")).first()[0] == f"u:kind_a:{digest}"
     with pytest.raises(ValueError):
         ids.stable_id(" ", "x", F.col("a"))
 
@@ -86,7 +93,7 @@ def test_source_keys(spark):
     assert got[4] == got[6] == "c|duplicate:1"  # two repeating payloads share keys, as defined
     strict = {r.pos: r.source_key for r in ids.source_keys(df, ["k"], ["v"], ["pos"], strict=True).collect()}
     assert len(set(strict.values())) == len(rows)
-    assert ids.record_ids(df, "u", "row", ["k"], ["v"], ["pos"]).where("record_id like 'u:row:%'").count() == len(rows)
+    assert ids.record_ids(df, "u", "row", ["k"], ["v"], ["pos"]).where("record_id like 'university:u:row:%'").count() == len(rows)
 
 
 def test_tokens(spark):
