@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.chat import CHATML, escape, format_chats, loss_text, read_turns, unescape
 from lectern.llm.importance import classify, resampled, top_k, wanted_rows
-from lectern.llm.srs import KdTree, candidates, chi_square_quantile, nearest_products
+from lectern.llm.srs import candidates, chi_square_quantile, nearest_products, search
 from lectern.llm.vafile import top_products
 
 SF = "/root/testdata/sf0.001"
@@ -147,15 +147,19 @@ def test_nearest_products(spark, cell_rows):
     assert nearest_products(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_incremental_neighbours():
+def test_search_in_a_leaf():
+    """Without a stop all vectors are read; with one, those in the order of their projected distance up to it."""
     x = np.random.default_rng(2).standard_normal((1000, 5))
     x[300:400] = x[0]
-    tree = KdTree(x, 32)
-    for q in (x[0], x[700], np.full(5, 9.0)):
-        d, at = (np.concatenate(p) for p in zip(*tree.incremental(q, 50), strict=True))
-        assert sorted(at) == list(range(1000))
-        assert (np.diff(d) >= 0).all()
-        assert np.allclose(d, ((x[at] - q) ** 2).sum(1))
+    ids, n2 = np.arange(1000), (x * x).sum(1)
+    for i in (0, 700):
+        away = np.random.default_rng(3).random(1000)
+        expected = sorted((-float((x[j] * x[i]).sum()), j) for j in range(1000) if j != i)[:7]
+        found, scores, read = search(x, ids, away, x[i], i, n2[i] + n2.max(), np.inf, 7, -np.inf, 64)
+        assert ([-s for s in scores.tolist()], found.tolist(), read) == ([s for s, _ in expected], [j for _, j in expected], 1000)
+        kth = -expected[-1][0]
+        stop = 0.3 / (n2[i] + n2.max() - 2 * kth)
+        assert search(x, ids, away, x[i], i, n2[i] + n2.max(), stop, 7, kth, 64)[2] == (away <= 0.3).sum()
 
 
 @pytest.mark.parametrize("kind", ["sphere", "clusters"])
