@@ -5,15 +5,21 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """checkpoint() to the folder in spark.checkpoint.dir; where none is set to one of our own in local mode, else an error, as executors don't share local folders."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; where none is set one of our own in local mode, else an error, as executors don't share local folders."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        at = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        at = spark.conf.get("spark.checkpoint.dir", None)
         if at is None and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(at or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """checkpoint() to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -2,35 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import ids, numbers, text, tokens
 from lectern.operators import integrity, ordered, paging, project, relations, resolve
+from lectern.registry import QUERIES, SQL, query, t  # noqa: F401
 from lectern.sources import catalog
 from lectern.streaming import ingest
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 @query("""
 SELECT o_orderkey, round(coalesce(s.x, 0), 2) AS sum_total, round(coalesce(s.x, 0) - o.declared, 2) AS diff_total, coalesce(s.n, 0) AS n_active,
   CASE WHEN o.declared IS NULL OR abs(coalesce(s.x, 0) - o.declared) <= 0.01 THEN 'exact' WHEN coalesce(s.n, 0) = 0 THEN 'unallocated' ELSE 'mismatch' END AS class
@@ -103,12 +82,24 @@ def normalized_keys(spark, d):
     return t(spark, d, "part").select("p_partkey", text.normalize_key("p_name").alias("name_key"))
 
 
-@query()
+@query(r"""
+SELECT page_id, regexp_extract(u, '^([a-z]+://[^/?#]+)', 1) || CASE WHEN path IN ('', '/') THEN '/' ELSE rtrim(path, '/') END ||
+  CASE WHEN q = '' THEN '' ELSE '?' || array_to_string(list_sort(string_split(q, '&')), '&') END AS address
+FROM (SELECT page_id, u, regexp_extract(u, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path, regexp_extract(u, '[?]([^#]*)', 1) AS q FROM (SELECT page_id, trim(url) AS u FROM pages))
+""")
 def canonical_urls(spark, d):
     return t(spark, d, "pages").select("page_id", text.canonical_url("url").alias("address"))
 
 
-@query()
+_SCRIPT = "regexp_replace(html, '<script>var t=\"</p>\";(.*?)</script>', 'var t=\"' || chr(1) || 'p>\";\\1')"
+_BLOCKS = f"regexp_replace(regexp_replace({_SCRIPT}, '<!--.*?-->', '', 'gs'), '</?({'|'.join(text.BLOCK_TAGS)})([ ][^>]*)?>', chr(10), 'g')"
+_READ = "replace(replace(replace(replace({}, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')"
+
+
+@query(f"""
+SELECT page_id, array_to_string(list_filter(list_transform(string_split(replace(x, chr(1), '</'), chr(10)), lambda l: trim(regexp_replace(l, '[ \t]+', ' ', 'g'))), lambda l: l <> ''), chr(10)) AS text
+FROM (SELECT page_id, {_READ.format(_READ.format(f"regexp_replace({_BLOCKS}, '<[^>]*>', '', 'g')"))} AS x FROM pages)
+""")
 def html_text(spark, d):
     return t(spark, d, "pages").select("page_id", text.html_text("html").alias("text"))
 
