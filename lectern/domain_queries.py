@@ -286,12 +286,13 @@ def _sha(kind: str, key: str) -> str:
     return f"'university:shop:{kind}:' || substr(sha256('shop|{kind}|' || {key}), 1, 24)"
 
 
-_PROVENANCE = F.struct(F.lit("k").alias("source_key"), F.lit("https://h.example.com").alias("source_url"), F.lit("raw/x").alias("raw_snapshot_path"))
+def _provenance():
+    return F.struct(F.lit("k").alias("source_key"), F.lit("https://h.example.com").alias("source_url"), F.lit("raw/x").alias("raw_snapshot_path"))
 
 
 def _programs(spark: SparkSession, d: str, on: bool = True) -> tuple[DataFrame, DataFrame]:
     part = t(spark, d, "part").select(F.concat(F.lit("HTTPS://Shop.example.com:443/Part/"), F.col("p_partkey"), F.lit("/?b=2&a=1#x")).alias("source_key"), F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("code"),
-                                     F.concat(F.lit(" Straße  "), "p_brand").alias("study_direction_key"), F.col("p_type").alias("study_direction_name"), F.lit("").alias("study_direction_code"), "p_partkey", _PROVENANCE.alias("provenance"))
+                                     F.concat(F.lit(" Straße  "), "p_brand").alias("study_direction_key"), F.col("p_type").alias("study_direction_name"), F.lit("").alias("study_direction_code"), "p_partkey", _provenance().alias("provenance"))
     return canonical.programs(part, "Shop", ["p_partkey"], {"study_direction": on})
 
 
@@ -317,8 +318,8 @@ def unresolved_references(spark, d):
 def _graph(spark: SparkSession, d: str) -> dict[str, tuple[str, DataFrame]]:
     """Nations with odd keys are departments, customers name theirs; ids are made of web addresses and letters beyond ASCII."""
     key = lambda c: F.concat(F.lit("https://X.example/Straße/"), c)
-    nation = t(spark, d, "nation").where("n_nationkey % 2 = 1").select(key("n_nationkey").alias("source_key"), F.col("n_name").alias("name"), _PROVENANCE.alias("provenance"))
-    customer = t(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("source_key"), F.col("c_name").alias("name"), F.when(F.col("c_nationkey") > 0, key("c_nationkey")).alias("nation_key"), _PROVENANCE.alias("provenance"))
+    nation = t(spark, d, "nation").where("n_nationkey % 2 = 1").select(key("n_nationkey").alias("source_key"), F.col("n_name").alias("name"), _provenance().alias("provenance"))
+    customer = t(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("source_key"), F.col("c_name").alias("name"), F.when(F.col("c_nationkey") > 0, key("c_nationkey")).alias("nation_key"), _provenance().alias("provenance"))
     return {
         "departments": ("department", canonical.materialize(nation, "Shop", "department", ["name"])),
         "teachers": ("teacher", canonical.materialize(customer, "Shop", "teacher", ["name"], {"department_id": ("nation_key", "department")})),
@@ -360,7 +361,7 @@ def _curricula(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     rows = t(spark, d, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("curriculum_key"), F.concat_ws("-", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast("string"), "l_linenumber").alias("code"), F.lit(None).cast("string").alias("discipline"), F.col("l_returnflag").alias("name"),
         F.lit("").alias("department"), F.lit("").alias("section_path"), F.when(F.col("l_linenumber") < 6, F.col("l_linenumber").cast("string")).otherwise("x").alias("semester"), F.when(kind == 0, F.col("l_extendedprice").cast("double")).alias("total_hours"), F.col("l_quantity").cast("double").alias("credits"),
-        F.when(kind == 1, F.create_map(F.lit("a"), F.col("l_quantity").cast("double"), F.lit("b"), F.lit(1.0))).alias("components"), F.lit(None).cast(canonical.LOADS).alias("semester_loads"), _PROVENANCE.alias("provenance"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.when(kind == 1, F.create_map(F.lit("a"), F.col("l_quantity").cast("double"), F.lit("b"), F.lit(1.0))).alias("components"), F.lit(None).cast(canonical.LOADS).alias("semester_loads"), _provenance().alias("provenance"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
     )
     return canonical.curricula(rows, "Shop", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
