@@ -321,6 +321,45 @@ def test_long_white_space(spark, run):
         assert all(crc == zlib.crc32(ids[a : a + n].tobytes()) for a, n, crc in own)
 
 
+def test_pipeline_by_brute_force(spark, tmp_path):
+    """run() against near copies, repeated passages and token ids from their definitions; labels of both kinds decide nothing here, as none are given."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    rows = documents(5)
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    numbered = list(enumerate(rows))
+    component = {n: c for n, _, c in brute_components([(n, t) for n, (_, t) in numbered], 5, 4, 5)}
+    best = {}
+    for n, (i, text) in numbered:
+        if SPACE.search(text or ""):
+            best[component[n]] = min(best.get(component[n], (i, n)), (i, n))
+    kept = [(i, text) for n, (i, text) in numbered if not SPACE.search(text or "") or best[component[n]] == (i, n)]
+    assert 20 < len(kept) < len(rows) - 10
+    raw = [(i, (t or "").encode()) for i, t in kept]
+    seen = Counter(t[p : p + 200] for _, t in raw for p in range(len(t) - 199))
+    plain, expected = Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json")), Counter()
+    for i, t in raw:
+        gone = bytearray(len(t))
+        for p in range(len(t) - 199):
+            if seen[t[p : p + 200]] > 1:
+                gone[p : p + 200] = b"\x01" * 200
+        chars = [(p, len(c.encode())) for p, c in zip(np.cumsum([0, *[len(c.encode()) for c in t.decode()]]).tolist(), t.decode(), strict=False)]
+        left = "".join(t[p : p + n].decode() for p, n in chars if not all(gone[p : p + n]))
+        expected[i, tuple([*plain.encode(left, add_special_tokens=False).ids, 0])] += 1
+    assert any(len(ids) > 1 for _, ids in expected)
+    pieces = defaultdict(list)
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        pieces[r.doc_id].append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+    for (i, ids), times in expected.items():
+        data = np.array(ids, "<u4")
+        own = [x for x in pieces[i] if x[3] == len(ids) and x[2] == zlib.crc32(data[x[0] : x[0] + x[1]].tobytes())]
+        assert sum(x[1] for x in own) >= times * len(ids)
+    assert sum(x[1] for own in pieces.values() for x in own) == sum(len(ids) * n for (_, ids), n in expected.items())
+
+
 def test_cuts():
     for n in range(1, 4000):
         own = cuts(n, 1024, 64)
@@ -382,6 +421,34 @@ def test_license_scan(spark):
     assert licenses.scan_licenses(frame(spark, rows), templates={}).count() == 0
 
 
+def test_license_scan_by_brute_force(spark):
+    """Against all templates aligned at all places, without fingerprints, on texts with changed, missing and added words."""
+    rng = random.Random(8)
+    spoken = {name: re.findall(r"[^\W_]+", t.lower()) for name, t in licenses.TEMPLATES.items()}
+    rows = []
+    for i in range(40):
+        text = []
+        for name in rng.sample(sorted(spoken), 2):
+            text += [f"w{rng.randrange(50)}" for _ in range(rng.randrange(12))]
+            for w in spoken[name]:
+                change = rng.random() if i % 4 else 1.0
+                text += [] if change < 0.04 else ["zzz"] if change < 0.08 else [w, "added"] if change < 0.1 else [w]
+        rows.append((i, text))
+    got = {(r.doc_id, r.template): 0 for r in licenses.scan_licenses(frame(spark, [(i, " ".join(w)) for i, w in rows])).collect()}
+    for r in licenses.scan_licenses(frame(spark, [(i, " ".join(w)) for i, w in rows])).collect():
+        got[r.doc_id, r.template] = max(got[r.doc_id, r.template], r.matched_words)
+    expected = {}
+    for i, words in rows:
+        text = [hash(w) for w in words]
+        for name, own in spoken.items():
+            template, wide = np.array([hash(w) for w in own]), 2 * max(1, min(8, len(own) // 4))
+            best = max(licenses.banded(template, text, shift, wide)[0] for shift in range(-len(own), len(text), max(1, wide // 2)))
+            if best >= 0.8 * len(own):
+                expected[i, name] = best
+    assert set(got) == set(expected)
+    assert all(got[k] >= 0.8 * len(spoken[k[1]]) and got[k] <= expected[k] for k in got)
+
+
 def test_every_notice_is_found(spark):
     rows = [(i, f"some words before. {t} and some words behind") for i, t in enumerate(licenses.TEMPLATES.values())]
     got = {(r.doc_id, r.template): r.coverage for r in licenses.scan_licenses(frame(spark, rows)).collect()}
