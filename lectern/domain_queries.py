@@ -545,3 +545,98 @@ def extension_maps(spark, d):
     made = project.extensions("shop", F.create_map(F.lit("segment"), F.col("c_mktsegment"), F.lit("nothing"), F.lit(None)), legacy, F.create_map(F.lit("segment_id"), F.col("c_mktsegment")))
     x = F.col("e.shop")
     return t(spark, d, "customer").withColumn("e", made).select("c_custkey", F.get_json_object(x["unresolved_references"], "$.segment_id").alias("unresolved"), x["legacy_ids"].alias("legacy"), F.size(x).alias("n"))
+
+
+@query(f"""
+SELECT s_name AS major_slug, 'Full ' || k AS major_name, CAST(k AS VARCHAR) AS major_code, 'p' || k AS program_id, 'Program ' || k AS program_name,
+  'http://plan.example.com/' || n_name AS plan_url, CASE WHEN n_name < 'M' THEN 'ok' ELSE 'error' END AS plan_status, CASE WHEN n_name < 'M' THEN 7 END::BIGINT AS size FROM {_SUPPLIERS} WHERE odd
+""")
+def plan_manifest(spark, d):
+    resolved = t(spark, d, "nation").where("n_name < 'M'").select(F.concat(F.lit("http://plan.example.com/"), "n_name").alias("plan_url"), F.lit("ok").alias("plan_status"), F.lit("x").alias("resolved_url"), F.lit("y").alias("local_path"), F.lit(7).cast("long").alias("size"), F.lit("z").alias("sha256"), F.lit("pdf").alias("mime_type"))
+    found = cards.plan_manifest(_cards(spark, d), resolved)
+    return found.select("major_slug", "major_name", "major_code", "program_id", "program_name", "plan_url", "plan_status", "size")
+
+
+def _level(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as disciplines, their lines as loads."""
+    n = lambda c, k: F.when(F.col(c) % k > 0, (F.col(c) % k).cast("double"))
+    orders = t(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("document_id"), F.col("o_orderstatus").alias("code"), F.col("o_orderpriority").alias("name"), F.lit("").alias("department"), F.lit(1.0).alias("credits"), F.lit(36.0).alias("hours"), n("o_orderkey", 2).alias("lecture"), n("o_orderkey", 3).alias("seminar"), F.lit(None).cast("double").alias("lab"), n("o_custkey", 2).alias("independent_or_other"))
+    lines = t(spark, d, "lineitem").select(F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast("string")).alias("id"), F.col("l_orderkey").cast("string").alias("discipline_id"), F.col("l_linenumber").alias("semester"), F.col("l_quantity").cast("double").alias("hours"), F.lit(1.0).alias("credits"))
+    return orders, lines
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS source_key, CAST(o_custkey AS VARCHAR) AS document_id, CAST(n AS INTEGER) AS n_loads, first AS semester, CAST(o_orderkey % 2 > 0 AS INTEGER) + CAST(o_orderkey % 3 > 0 AS INTEGER) + CAST(o_custkey % 2 > 0 AS INTEGER) AS n_components
+FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, min(l_linenumber) AS first FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey WHERE n IS NOT NULL
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), 0, NULL, CAST(o_orderkey % 2 > 0 AS INTEGER) + CAST(o_orderkey % 3 > 0 AS INTEGER) + CAST(o_custkey % 2 > 0 AS INTEGER) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+""")
+def semantic_source_rows(spark, d):
+    return semantic.source_rows(*_level(spark, d)).select("source_key", "document_id", F.size("semester_loads").alias("n_loads"), "semester", F.size("components").alias("n_components"))
+
+
+@query("""
+SELECT type, source_url IS NOT NULL AS located, n FROM (
+  SELECT 'discipline' AS type, CASE WHEN o_custkey % 4 > 0 THEN 'u' END AS source_url, count(*) AS n FROM orders GROUP BY 2
+  UNION ALL SELECT 'semester_load', CASE WHEN o_custkey % 4 > 0 THEN 'u' END, count(*) FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey GROUP BY 2
+  UNION ALL SELECT 'discipline_entity', CASE WHEN c % 4 > 0 THEN 'u' END, count(*) FROM (SELECT o_orderpriority, arg_min(o_custkey, CAST(o_orderkey AS VARCHAR)) AS c FROM orders GROUP BY 1) GROUP BY 2)
+UNION ALL SELECT 'load_of', true, count(*) FROM lineitem JOIN orders ON o_orderkey = l_orderkey UNION ALL SELECT 'resolved_to', true, count(*) FROM orders
+""")
+def semantic_graph(spark, d):
+    disciplines, loads = _level(spark, d)
+    aliases = disciplines.select(F.col("id").alias("source_id"), F.col("name").alias("entity_id"))
+    known = t(spark, d, "customer").where("c_custkey % 4 > 0").select(F.col("c_custkey").cast("string").alias("document_id"), F.lit("u").alias("source_url"))
+    objects, links = semantic.objects_and_links(disciplines, loads, aliases, known)
+    counted = objects.groupBy("type", F.col("source_url").isNotNull().alias("located")).agg(F.count("*").alias("n"))
+    return counted.unionByName(links.groupBy(F.col("relation").alias("type")).agg(F.count("*").alias("n")).withColumn("located", F.lit(True)))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0")
+def semantic_subset(spark, d):
+    made = F.create_map(F.lit("a"), F.create_map(F.lit("x"), F.lit("1")), F.lit("b"), F.create_map(F.lit("semantic_source_id"), F.when(F.col("c_custkey") % 3 == 0, "s").when(F.col("c_custkey") % 3 == 1, "")))
+    return semantic.of_semantic_source(t(spark, d, "customer").withColumn("extensions", made)).select("c_custkey")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS legacy_id, CAST(o_custkey AS VARCHAR) AS canonical_id, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS reason FROM orders")
+def migrated_aliases(spark, d):
+    rows = t(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("legacy_id"), F.col("o_custkey").cast("string").alias("canonical_id"))
+    old = rows.where("cast(legacy_id as long) % 3 <> 0 or cast(legacy_id as long) % 2 = 0").withColumn("reason", F.lit("old"))
+    return relations.alias_union(old, rows.where("cast(legacy_id as long) % 3 = 0").withColumn("reason", F.lit("new")))
+
+
+@query("SELECT o_orderstatus, CASE WHEN count(x) > 0 THEN bool_and(x) END AS verdict, CAST(NULL AS DOUBLE) AS of_text, sum(o_totalprice) AS of_number FROM (SELECT *, CASE WHEN o_orderstatus = 'O' THEN o_orderkey > 0 WHEN o_orderstatus = 'F' THEN o_orderkey % 2 = 0 END AS x FROM orders) GROUP BY 1")
+def known_verdicts(spark, d):
+    known = F.when(F.col("o_orderstatus") == "O", F.col("o_orderkey") > 0).when(F.col("o_orderstatus") == "F", F.col("o_orderkey") % 2 == 0)
+    return t(spark, d, "orders").groupBy("o_orderstatus").agg(integrity.verdict(known).alias("verdict"), F.sum(numbers.strict_number(F.col("o_orderstatus"))).alias("of_text"), F.sum(numbers.strict_number(F.col("o_totalprice"))).alias("of_number"))
+
+
+@query("SELECT 'customer' AS entity_type, 'old' || c_custkey AS legacy_id, CAST(c_custkey AS VARCHAR) AS canonical_id FROM customer WHERE c_custkey % 2 = 0")
+def stored_aliases(spark, d):
+    at = scratch(spark)
+    rows = t(spark, d, "customer").select(F.lit(" customer").alias("entity_type"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("old"), "c_custkey")).alias("legacy_id"), F.col("c_custkey").cast("string").alias("canonical_id"))
+    text_of = rows.agg(F.to_json(F.struct(F.collect_list(F.struct("*")).alias("aliases")))).first()[0]
+    snapshots.write_text(spark, f"{at}/id_aliases.json", text_of)
+    return snapshots.read_aliases(spark, at).unionByName(snapshots.read_aliases(spark, f"{at}/absent"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'second' ELSE 'first' END AS fingerprint, CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END AS run FROM orders")
+def merged_ledger(spark, d):
+    at, orders = scratch(spark), t(spark, d, "orders").select("o_orderkey")
+    snapshots.mark(orders.withColumn("fingerprint", F.lit("first")), at, "o_orderkey", "fingerprint", 1)
+    snapshots.mark(orders.where("o_orderkey % 2 = 0").withColumn("fingerprint", F.lit("second")), at, "o_orderkey", "fingerprint", 2)
+    return snapshots.read_ledger(spark, at, "o_orderkey")
+
+
+@query("SELECT r_name, 'r' || r_regionkey || '.json' AS file, (SELECT count(*) FROM region) AS n_files FROM region")
+def replayed_files(spark, d):
+    at = scratch(spark)
+    for r in t(spark, d, "region").collect():  # a file for each of the five regions
+        snapshots.write_text(spark, f"{at}/r{r.r_regionkey}.json", f'{{"r_name": "{r.r_name}"}}')
+    return files.replayed(spark, f"{at}/*.json", "r_name string").join(F.broadcast(files.folder_stats(spark, at).select("n_files")))
+
+
+@query("SELECT p_partkey, p_name, p_brand, p_size FROM part WHERE CAST(p_size AS VARCHAR) LIKE '1%' ORDER BY p_partkey LIMIT 100")
+def row_search_json(spark, d):
+    from lectern.operators import paging
+
+    found = paging.search(t(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size"), '"P_SIZE":1')
+    return paging.page(found, ["p_partkey"], 0, 100, with_total=False)

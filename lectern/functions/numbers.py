@@ -75,3 +75,8 @@ def clamp(left: Column, right: Column) -> Column:
     """struct(left, right) in order and within 0..1."""
     inside = lambda c: F.least(F.lit(1.0), F.greatest(F.lit(0.0), c))
     return F.struct(inside(F.least(left, right)).alias("left"), inside(F.greatest(left, right)).alias("right"))
+
+
+def strict_number(c: Column) -> Column:
+    """The column as a double if its type is a number's; text is null, even if it reads like one."""
+    return F.when(F.typeof(c).rlike("^(tinyint|smallint|int|bigint|float|double|decimal.*)$"), c.try_cast("double"))

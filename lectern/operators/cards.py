@@ -104,3 +104,14 @@ def study_plan_files(cards: DataFrame) -> DataFrame:
 def with_files(manifest: DataFrame, resolved: DataFrame) -> DataFrame:
     """Manifest rows with what their address was resolved to; an address is resolved once, and one that failed is a row with status error."""
     return manifest.join(resolved, "plan_url", "left").withColumn("plan_status", F.coalesce("plan_status", F.lit("error")))
+
+
+def plan_manifest(cards: DataFrame, resolved: DataFrame) -> DataFrame:
+    """A row for each program of each card that names a plan, with what its address was resolved to: `resolved` (plan_url, plan_status, resolved_url, local_path, size, sha256, mime_type)."""
+    own = majors(cards).select(F.col("id").alias("major_id"), "slug", F.col("code").alias("major_code"), F.col("name").alias("major_name"))
+    programs = educational_programs(cards).where("plan_url <> ''").select("slug", F.col("program_key").alias("program_id"), F.col("code").alias("program_code"), F.col("name").alias("program_name"), "plan_url")
+    found = with_files(programs.join(own, "slug"), resolved)
+    identity = legacy_id("card", "study-plan", F.col("major_id"), F.col("program_id"), F.col("plan_url")).alias("id")
+    return found.select(
+        identity, "local_path", "major_id", F.col("slug").alias("major_slug"), "major_code", "major_name", "program_id", "program_code", "program_name", "plan_url", "plan_status", F.col("plan_url").alias("source_url"), "resolved_url", "size", "sha256", "mime_type"
+    )

@@ -119,3 +119,8 @@ def gate(counts: DataFrame, checks: DataFrame, required: Sequence[str] = ()) ->
     errors += [f"{d}: no rows" for d in required if d not in seen or not seen[d].n_rows]
     errors += [f"check {r.name} failed" for r in checks.collect() if r.passed is False]
     return {"passed": not errors, "errors": sorted(errors), "records": {d: r.n_rows for d, r in seen.items()}}
+
+
+def verdict(c: Column) -> Column:
+    """Whether all known checks passed; null if none is known."""
+    return F.bool_and(c)

@@ -141,3 +141,9 @@ def tree(edges: DataFrame, roots: DataFrame, most_depth: int = 8) -> DataFrame:
             break
         found = found.unionByName(level)
     return found
+
+
+def alias_union(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Two tables of aliases (legacy_id, canonical_id, ...) as one; of a pair that both have, the later table's row."""
+    both = before.withColumn("_later", F.lit(0)).unionByName(after.withColumn("_later", F.lit(1)))
+    return last_wins(both, ["legacy_id", "canonical_id"], ["_later"]).drop("_later")

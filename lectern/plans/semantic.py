@@ -108,3 +108,47 @@ def failures(curricula: DataFrame) -> DataFrame:
     bad = reports.where(F.from_json("detail", "verification struct<passed:boolean>")["verification"]["passed"] == F.lit(False)).select("id", "namespace", F.lit("report").alias("kind"), "detail")
     warned = spaces.where(F.size(F.from_json(of("semantic_warnings"), "array<string>")) > 0).select("id", "namespace", F.lit("warnings").alias("kind"), of("semantic_warnings").alias("detail"))
     return bad.unionByName(warned)
+
+
+COMPONENTS = ("lecture", "seminar", "lab", "independent_or_other")
+
+
+def source_rows(disciplines: DataFrame, loads: DataFrame) -> DataFrame:
+    """Disciplines (id, document_id, code, name, department, credits, hours and the COMPONENTS) as source rows of a curriculum: components as a map without nulls, semester_loads in order of the semester, and
+    the first load's semester. A discipline has as many loads as semesters."""
+    nested = loads.groupBy(F.col("discipline_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct(F.col("semester").cast("int").alias("semester"), "hours", "credits"))).alias("semester_loads"))
+    parts = F.map_filter(F.create_map(*[x for c in COMPONENTS for x in (F.lit(c), F.col(c))]), lambda k, v: v.isNotNull())
+    joined = disciplines.join(nested, "id", "left")
+    none = F.array().cast("array<struct<semester:int,hours:double,credits:double>>")
+    return joined.select(
+        F.col("id").alias("source_key"), "document_id", "code", "name", "department", "credits", F.col("hours").alias("total_hours"), parts.alias("components"), F.coalesce("semester_loads", none).alias("semester_loads"),
+        F.get("semester_loads", F.lit(0))["semester"].alias("semester"),
+    )
+
+
+def of_semantic_source(rows: DataFrame, extensions: str = "extensions", field: str = "semantic_source_id") -> DataFrame:
+    """Rows that any namespace of `extensions` (a map of maps) traces to a semantic source."""
+    return rows.where(F.exists(F.map_values(extensions), lambda x: F.coalesce(is_present(F.element_at(x, F.lit(field))), F.lit(False))))
+
+
+def objects_and_links(disciplines: DataFrame, loads: DataFrame, aliases: DataFrame, provenance: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(objects, links) that the semantic level adds to a graph. disciplines (id, document_id), loads (id, discipline_id), aliases (source_id, entity_id), provenance (document_id, source_url).
+
+    objects: id, type, document_id, source_url (from the document's provenance, null if it has none). An entity lies in the document of its first discipline. links: source_id, relation, target_id;
+    those whose ends aren't both among the objects are left out.
+    """
+    placed = aliases.join(disciplines.select(F.col("id").alias("source_id"), "document_id"), "source_id", "left")
+    entities = placed.groupBy(F.col("entity_id").alias("id")).agg(F.min_by("document_id", "source_id").alias("document_id"))
+    of_loads = loads.select("id", "discipline_id").join(disciplines.select(F.col("id").alias("discipline_id"), "document_id"), "discipline_id", "left")
+    kinds = {"discipline": disciplines, "semester_load": of_loads, "discipline_entity": entities}
+    objects = _all([df.select("id", F.lit(kind).alias("type"), "document_id") for kind, df in kinds.items()]).join(provenance.select("document_id", "source_url"), "document_id", "left")
+    ends = [loads.select(F.col("id").alias("source_id"), F.lit("load_of").alias("relation"), F.col("discipline_id").alias("target_id")), aliases.select("source_id", F.lit("resolved_to").alias("relation"), F.col("entity_id").alias("target_id"))]
+    known = objects.select(F.col("id").alias("_id"))
+    both = _all(ends).join(known, F.col("source_id") == F.col("_id"), "left_semi").join(known, F.col("target_id") == F.col("_id"), "left_semi")
+    return objects.select("id", "type", "document_id", "source_url"), both
+
+
+def write(datasets: dict[str, DataFrame], path: str) -> None:
+    """Rows, disciplines, entities, loads, schemas and reports, each under its name."""
+    for name, df in datasets.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")

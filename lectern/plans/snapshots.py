@@ -101,3 +101,26 @@ def resume(inputs: DataFrame, ledger: DataFrame | None, key: str, fingerprint: s
 def ledger_of(done: DataFrame, key: str, fingerprint: str) -> DataFrame:
     """Ledger rows for finished inputs; of a key's fingerprints the newest run's is what counts."""
     return done.select(key, fingerprint).distinct().withColumn("marked_at", F.current_timestamp())
+
+
+ALIASES = "aliases array<struct<entity_type:string,legacy_id:string,canonical_id:string>>"
+
+
+def read_aliases(spark: SparkSession, snapshot: str) -> DataFrame:
+    """(entity_type, legacy_id, canonical_id) of a snapshot's id_aliases.json, without blank ids; empty if the file is missing or can't be read."""
+    text = read_text(spark, f"{snapshot}/id_aliases.json")
+    row = spark.createDataFrame([(text,)], "t string").select(F.explode(F.from_json("t", ALIASES)["aliases"]).alias("a")).select("a.*")
+    return row.select(F.trim(F.coalesce("entity_type", F.lit(""))).alias("entity_type"), "legacy_id", "canonical_id").where("legacy_id <> '' and canonical_id <> ''")
+
+
+def mark(done: DataFrame, path: str, key: str, fingerprint: str, run: int) -> None:
+    """Appends finished inputs to the ledger at `path`."""
+    done.select(key, fingerprint).distinct().withColumn("run", F.lit(run)).write.mode("append").parquet(path)
+
+
+def read_ledger(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Of each key the entry of its newest run."""
+    entries = spark.read.parquet(path)
+    rest = [c for c in entries.columns if c != key]
+    best = entries.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct("run", *[c for c in rest if c != "run"])).alias("_e"))
+    return best.select(key, "_e.*")

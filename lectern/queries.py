@@ -382,12 +382,12 @@ def first_schema(spark, d):
 
 
 @query("""
-SELECT doc_id, array_to_string(list_distinct_first, ',') AS tokens FROM (
-  SELECT doc_id, list_filter(['the', 'and', 'of'], lambda w: regexp_matches(lower(text), '\\b' || w || '\\b')) AS list_distinct_first FROM documents WHERE lang = 'en')
+SELECT doc_id, array_to_string(list_filter(found, lambda x, i: list_position(found, x) = i), ',') AS tokens FROM (
+  SELECT doc_id, regexp_extract_all(lower(text), 'the|and|of|que|der') AS found FROM documents)
 """)
 def control_tokens(spark, d):
-    found = t(spark, d, "documents").where("lang = 'en'").select("doc_id", F.transform(text.ordered_tokens(F.col("text"), r"(?i)\b(?:the|and|of)\b"), F.lower).alias("t"))
-    return found.select("doc_id", F.array_join(F.filter(F.array(F.lit("the"), F.lit("and"), F.lit("of")), lambda w: F.array_contains(F.col("t"), w)), ",").alias("tokens"))
+    found = tokens.control_tokens(F.col("text"), "(?i)(?:the|and|of|que|der)")
+    return t(spark, d, "documents").select("doc_id", F.array_join(F.transform(found, F.lower), ",").alias("tokens"))
 
 
 @query("""

@@ -69,3 +69,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.option("ignoreNullFields", False).mode("overwrite").json(path)
+
+
+def replayed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The JSON documents under a path, one a file, with file (its name, by which they are to be taken in order)."""
+    return read_json(spark, path, schema).withColumn("file", F.regexp_extract(F.input_file_name(), r"([^/]*)$", 1))
+
+
+def folder_stats(spark: SparkSession, path: str) -> DataFrame:
+    """(n_files, n_bytes) under a path, from the listing alone."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("length")
+    return listed.agg(F.count("*").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes"))
