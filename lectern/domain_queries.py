@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from lectern.functions import ids, numbers, text
 from lectern.functions.lineage import cut, shared_folder
 from lectern.operators import cards, integrity, ordered, project, relations
-from lectern.plans import canonical, contracts, curriculum, extraction, semantic, snapshots
+from lectern.plans import canonical, contracts, curriculum, extraction, materialized, semantic, snapshots
 from lectern.registry import query, t
 from lectern.sources import files
 
@@ -640,3 +640,26 @@ def row_search_json(spark, d):
 
     found = paging.search(t(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size"), '"P_SIZE":1')
     return paging.page(found, ["p_partkey"], 0, 100, with_total=False)
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k, n, CASE WHEN n IS NULL THEN 'missing' ELSE 'ok' END AS status FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey), c AS (
+  SELECT 'all_manifest_references_attached' AS "check", count(*) AS n FROM o WHERE k % 31 = 0 UNION ALL SELECT 'all_referenced_files_exist', count(*) FROM o WHERE k % 31 > 0 AND k % 37 = 0
+  UNION ALL SELECT 'no_invalid_or_failed_documents', count(*) FROM o WHERE status = 'missing' UNION ALL SELECT 'all_pdf_tables_detected', count(*) FROM o WHERE n IS NULL AND k % 2 = 0
+  UNION ALL SELECT 'all_pdf_raw_layout_captured', count(*) FROM o WHERE k % 2 = 0 AND k % 5 = 0 UNION ALL SELECT 'source_sizes_match_metadata', count(*) FROM o WHERE k % 7 = 0
+  UNION ALL SELECT 'source_hashes_match_metadata', count(*) FROM o WHERE k % 11 = 0 UNION ALL SELECT 'document_counts_match_materialized_data', count(*) FROM o WHERE k % 13 = 0
+  UNION ALL SELECT 'table_counts_match_materialized_data', count(*) FROM o WHERE n IS NOT NULL AND k % 2 = 1 UNION ALL SELECT 'all_table_rows_and_cells_materialized', (SELECT count(*) FROM o WHERE k % 13 = 0) + (SELECT count(*) FROM o WHERE n IS NOT NULL AND k % 2 = 1)
+  UNION ALL SELECT 'no_unreferenced_downloads', count(*) FROM o WHERE k % 31 = 0 AND k % 37 > 0 UNION ALL SELECT 'all_manifest_references_valid', count(*) FROM o WHERE k % 17 = 0
+) SELECT "check", n = 0 AS passed, CAST(n AS BIGINT) AS n FROM c UNION ALL SELECT 'passed', bool_and(n = 0), CAST(sum(n) AS BIGINT) FROM c
+""")
+def materialized_checks(spark, d):
+    flat = extraction.flatten(_documents(spark, d))
+    k = F.col("document_id").cast("long")
+    counted = flat["documents"].join(flat["rows"].groupBy("document_id").agg(F.count("*").cast("int").alias("row_count")), "document_id", "left")
+    sources = counted.select(
+        "document_id", "status", F.when(k % 2 == 0, "pdf").otherwise("docx").alias("kind"), F.lit(9).alias("expected_size"), F.when(k % 7 > 0, 9).alias("source_size"), F.lit("AB").alias("expected_sha256"), F.when(k % 11 > 0, "ab").otherwise("cd").alias("source_sha256"),
+        F.when(k % 5 > 0, "text").otherwise(" ").alias("layout_text"), "table_count", F.when(k % 13 == 0, -1).otherwise(F.col("row_count")).alias("row_count"), F.lit(None).cast("int").alias("cell_count"),
+    )
+    references = sources.select("document_id", F.concat(F.lit("plans\\"), "document_id").alias("local_path"), F.lit("p").alias("program_id"), F.lit("u").alias("plan_url"), F.lit(None).cast("string").alias("resolved_url"), (k % 17 > 0).alias("valid"))
+    found = sources.where(k % 37 > 0).select(F.concat(F.lit("plans/"), "document_id").alias("path"))
+    return materialized.validate(sources, flat, references, references.where(k % 31 > 0).drop("valid"), found).select("check", "passed", "n")
