@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from lectern.functions.text import canonical_url, normalize_key
@@ -45,7 +46,9 @@ def source_keys(df: DataFrame, key: Sequence[str], payload: Sequence[str], posit
     their number from 1 in the order of `position`. Numbers restart for each payload, so two repeating payloads under one key
     get the same keys; `strict` adds the variant before the number and so keeps them apart.
     """
-    base = F.concat_ws("|", *[F.nullif(stable_part(F.col(c)), F.lit("")) for c in key])
+    # Only texts can be addresses or need normalising in Python.
+    part = lambda c: stable_part(F.col(c)) if isinstance(df.schema[c].dataType, StringType) else F.lower(F.col(c).cast("string"))
+    base = F.concat_ws("|", *[F.nullif(part(c), F.lit("")) for c in key])
     based = df.withColumn("_base", base)
     often = based.groupBy("_base").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("_base").alias("_often"))
     # Only rows of repeated keys are signed and numbered.
