@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.bpe import encode
+from lectern.llm.centroids import cluster_vectors
 from lectern.llm.chat import CHATML, format_chats, loss_text, read_turns
 from lectern.llm.common import table
 from lectern.llm.importance import resampled
@@ -88,12 +89,16 @@ def op10_suffix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_importance_resampling, op2_projected_neighbours, op3_harmonic_packing, op4_vector_approximation, op5_merge_replay, op6_prefix_sum_shards,
-            op7_license_scan, op8_ngram_jaccard, op9_chat_format, op10_suffix_intervals,
+            op7_license_scan, op8_ngram_jaccard, op9_chat_format, op10_suffix_intervals, op12_centroid_clustering,
         )
     }
 
@@ -150,5 +155,31 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 """
 
 
+def op12_sql(k: int = 40, rounds: int = 5, seed: int = 2) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        nearest = f"""SELECT kept.n, min(ROW(list_sum(list_transform(list_zip(kept.v, c.m), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c.cluster)) AS best FROM kept CROSS JOIN c{r} AS c GROUP BY kept.n"""
+        steps.append(f"a{r} AS MATERIALIZED (SELECT kept.n, kept.vec_id, kept.v, b.best[1] AS distance, b.best[2] AS cluster FROM kept JOIN ({nearest}) AS b ON b.n = kept.n)")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.m, c.m) AS m FROM c{r} AS c LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY d) AS m FROM (
+      SELECT cluster, d, sum(v[d])::BIGINT AS s, count(*) AS n FROM (SELECT cluster, v, unnest(range(1, 65)) AS d FROM a{r}) GROUP BY cluster, d
+    ) GROUP BY cluster
+  ) AS m ON m.cluster = c.cluster
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, v) - 1 AS INTEGER) AS cluster, v AS m FROM kept QUALIFY cluster < {k}
+), {", ".join(steps)}
+SELECT a.vec_id, a.cluster, CAST(a.distance AS BIGINT) AS distance, CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(a.distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.m, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS c ON c.cluster = a.cluster
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_vector_approximation": OP4_SQL, "op8_ngram_jaccard": OP8_SQL, "op9_chat_format": OP9_SQL}
+    return {"op4_vector_approximation": OP4_SQL, "op8_ngram_jaccard": OP8_SQL, "op9_chat_format": OP9_SQL, "op12_centroid_clustering": op12_sql()}
