@@ -14,7 +14,9 @@ from lectern.llm.common import table
 from lectern.llm.importance import resampled
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.licenses import scan_licenses
+from lectern.llm.outliers import BASE, quality_rules
 from lectern.llm.packing import pack
+from lectern.llm.ranked import rank_documents
 from lectern.llm.repeats import remove_repeats
 from lectern.llm.sharding import shard_by_bytes
 from lectern.llm.srs import nearest_products
@@ -89,16 +91,24 @@ def op10_suffix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", *BASE, "base_failed", "kept")
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2)
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_importance_resampling, op2_projected_neighbours, op3_harmonic_packing, op4_vector_approximation, op5_merge_replay, op6_prefix_sum_shards,
-            op7_license_scan, op8_ngram_jaccard, op9_chat_format, op10_suffix_intervals, op12_centroid_clustering,
+            op7_license_scan, op8_ngram_jaccard, op9_chat_format, op10_suffix_intervals, op11_robust_outliers, op12_centroid_clustering, op13_ranked_search,
         )
     }
 
@@ -180,6 +190,21 @@ SELECT a.vec_id, a.cluster, CAST(a.distance AS BIGINT) AS distance, CAST(sum(a.d
 FROM a{rounds} AS a JOIN c{rounds} AS c ON c.cluster = a.cluster
 """
 
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents), tf AS (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t
+), totals AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS n, CAST(sum(len(ts)) AS BIGINT) AS l FROM d), w AS (
+  SELECT t, CAST(floor(1000 * ln((2 * (SELECT n FROM totals) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf GROUP BY t
+), m AS (SELECT r, doc_id, 100 - 25 + (25 * len(ts) * (SELECT n FROM totals)) // (SELECT l FROM totals) AS m FROM d WHERE len(ts) > 0), q AS (
+  SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY item_id, t
+), scores AS (
+  SELECT q.item_id, m.r, m.doc_id, CAST(sum(q.times * w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * m.m))) AS BIGINT) AS score
+  FROM q JOIN w ON w.t = q.t JOIN tf ON tf.t = q.t JOIN m ON m.r = tf.r GROUP BY q.item_id, m.r, m.doc_id
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS k FROM scores WHERE score > 0)
+SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score FROM ranked WHERE k <= 20
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_vector_approximation": OP4_SQL, "op8_ngram_jaccard": OP8_SQL, "op9_chat_format": OP9_SQL, "op12_centroid_clustering": op12_sql()}
+    return {"op4_vector_approximation": OP4_SQL, "op8_ngram_jaccard": OP8_SQL, "op9_chat_format": OP9_SQL, "op12_centroid_clustering": op12_sql(), "op13_ranked_search": OP13_SQL}

@@ -14,23 +14,24 @@ from pyspark.sql.window import Window
 from lectern.llm.common import cut, finite, small, usual_size
 
 
-def chi_square_quantile(p: float, m: int) -> float:
-    """The value below which a chi-square variable with m degrees of freedom lies with probability p (bisection on the series of the incomplete gamma function)."""
-
-    def below(x: float) -> float:
-        a, x = m / 2, x / 2
-        term = total = 1 / a
-        n = a
-        while term > total * 1e-16:
-            n += 1
-            term *= x / n
-            total += term
-        return total * math.exp(-x + a * math.log(x) - math.lgamma(a))
+def chi_square_below(x: float, m: int) -> float:
+    """The probability that a chi-square variable with m degrees of freedom lies below x > 0 (series of the incomplete gamma function)."""
+    a, x = m / 2, x / 2
+    term = total = 1 / a
+    n = a
+    while term > total * 1e-16:
+        n += 1
+        term *= x / n
+        total += term
+    return total * math.exp(-x + a * math.log(x) - math.lgamma(a))
+
 
+def chi_square_quantile(p: float, m: int) -> float:
+    """The value below which a chi-square variable with m degrees of freedom lies with probability p, by bisection."""
     low, high = 0.0, 10.0 * m + 100
     while high - low > 1e-9:
         mid = (low + high) / 2
-        low, high = (mid, high) if below(mid) < p else (low, mid)
+        low, high = (mid, high) if chi_square_below(mid, m) < p else (low, mid)
     return high
 
 
