@@ -89,11 +89,36 @@ def line_numbers(df: DataFrame, group: str, value: str, tolerance: float = 1.6)
     return ordered.mapInArrow(scan, f"a {kinds[0]}, b {kinds[1]}, line int").withColumnsRenamed({"a": group, "b": value})
 
 
+def _level(width: Column) -> Column:
+    """The least power of two (its exponent, -20 at least) that a width doesn't exceed."""
+    up = F.greatest(F.ceil(F.log2(F.when(width > 0, width))), F.lit(-20))
+    return F.coalesce(F.when(F.pow(F.lit(2.0), up) < width, up + 1).otherwise(up), F.lit(-20)).cast("int")
+
+
+def _levels(df: DataFrame) -> Column:
+    """The levels that occur, at most the exponents of doubles."""
+    return F.array(*[F.lit(r[0]) for r in df.select("_level").distinct().orderBy("_level").collect()]).cast("array<int>")
+
+
+def _cell(x: Column) -> Column:
+    return F.floor(x / F.pow(F.lit(2.0), F.col("_level"))).cast("long")
+
+
+def _dealt(spans: DataFrame, left: Column, right: Column) -> DataFrame:
+    """Spans with each cell of their _level that they touch: two at most, as no span is wider than a cell."""
+    return spans.withColumn("_cell", F.explode(F.sequence(_cell(left), _cell(right))))
+
+
 def in_bands(points: DataFrame, x: str, bands: DataFrame, on: Sequence[str] = (), slack: float = 0.15) -> DataFrame:
-    """Each point with every band (left, right) that holds it within `slack`; a point may lie in two. With `on` columns these are equal, too. Sides of any size: the join is on cells as wide as
-    the widest band."""
-    widest = bands.agg(F.max(F.col("right") - F.col("left"))).first()[0]
-    return range_join(points, x, bands, max(widest or 0.0, 0.0) + 2 * slack or 1.0, slack, on)
+    """Each point with every band (left, right) that holds it within `slack`; a point may lie in two. With `on` columns these are equal, too.
+
+    For sides of any size and bands of any width: a band lies in cells of the next power of two of its width, a point in one cell of each such size that occurs; the join is on size and cell.
+    """
+    low, high = F.col("left") - slack, F.col("right") + slack
+    sized = bands.where(low <= high).withColumn("_level", _level(high - low))
+    spread = points.withColumn("_level", F.explode(_levels(sized))).withColumn("_cell", _cell(F.col(x)))
+    met = spread.join(_dealt(sized, low, high), [*on, "_level", "_cell"])
+    return met.where((F.col(x) >= low) & (F.col(x) <= high)).drop("_level", "_cell")
 
 
 def range_join(points: DataFrame, x: str, spans: DataFrame, width: float, slack: float = 0.0, on: Sequence[str] = ()) -> DataFrame:
@@ -120,8 +145,29 @@ def line_envelopes(words: DataFrame, line: Sequence[str]) -> DataFrame:
 
 
 def overlapping(left: DataFrame, right: DataFrame, on: Sequence[str], least: float = 0.1) -> DataFrame:
-    """Pairs with equal `on` columns whose spans (left, right and other_left, other_right) share more than `least`."""
-    return left.join(right, list(on)).withColumn("shared", overlap(F.col("left"), F.col("right"), F.col("other_left"), F.col("other_right"))).where(F.col("shared") > least)
+    """Pairs with equal `on` columns whose spans (left, right and other_left, other_right) share more than `least` (0 or more), each once.
+
+    For sides, groups and widths of any size: a span has the next power of two of its width as its level. Two spans meet in the cells of the wider one's level, of which each touches two at most,
+    and count in the cell that holds the greater left end. Narrow spans never meet in a wide cell, so candidates stay in proportion to the pairs. Spans with a null end share nothing.
+    """
+    if least < 0:
+        raise ValueError("least must be 0 or more")
+    sides = []
+    for df, a, b in ((left, "left", "right"), (right, "other_left", "other_right")):
+        sides.append((df.where(F.col(b) - F.col(a) > least).withColumn("_level", _level(F.col(b) - F.col(a))), F.col(a), F.col(b)))
+    (ours, a, b), (others, c, d) = sides
+    own_levels, other_levels = _levels(ours), _levels(others)
+
+    def raised(df: DataFrame, levels: Column, equal: bool) -> DataFrame:
+        """The rows on each of `levels` above their own (or equal to it)."""
+        above = F.filter(levels, lambda m: (m >= F.col("_level")) if equal else (m > F.col("_level")))
+        return df.withColumn("_level", F.explode(above))
+
+    keys = [*on, "_level", "_cell"]
+    wide_left = _dealt(ours, a, b).join(_dealt(raised(others, own_levels, True), c, d), keys)
+    wide_right = _dealt(raised(ours, other_levels, False), a, b).join(_dealt(others, c, d), keys)
+    met = wide_left.unionByName(wide_right).where(F.col("_cell") == _cell(F.greatest(a, c)))
+    return met.drop("_level", "_cell").withColumn("shared", overlap(a, b, c, d)).where(F.col("shared") > least)
 
 
 def nearest_band(x: Column, bands: Sequence[tuple[int, float, float]]) -> Column:
