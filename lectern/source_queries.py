@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from lectern.domain_queries import scratch
 from lectern.functions.lineage import cut
 from lectern.operators import ordered
-from lectern.plans import resumable
+from lectern.plans import extraction, resumable, runs
 from lectern.plans.snapshots import _fs
 from lectern.registry import query, t
-from lectern.sources import layout
+from lectern.sources import catalog, documents, layout
 
 
 # Bounding-box XML: a document for each part, a page for each line number, a line of one to three words for each item; every third document with a doctype and a body, every third broken off.
@@ -110,3 +115,110 @@ def resumed_batches(spark, d):
     changed = orders.withColumn("price", F.col("price") + F.when(F.col("o_orderkey") % 7 == 0, 1).otherwise(0)).where("o_orderkey % 5 > 0")
     go(changed, 2)
     return resumable.results(spark, print_(changed), root, "o_orderkey", "fingerprint").select("o_orderkey", "done_by", "price")
+
+
+# Catalogues: the web pages get addresses in five chains, each with three cards among what the page holds; the last page of a chain leads back to its first, one chain starts at its second page.
+def _catalog_pages(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("page_id")
+    chain, place = key % 5, F.expr("page_id div 5")
+    own = t(spark, d, "pages").select("page_id", "html", chain.alias("c"), place.alias("p"))
+    ends = own.groupBy("c").agg(F.max("p").alias("last"))
+    own = own.join(ends, "c")
+    number = lambda i: (F.col("page_id") * 7 + i) % 60
+    card = lambda i: F.concat(
+        F.lit('<a class="big e-card" href="/Prog/'), number(i).cast("string"), F.lit('?b=2&amp;a='), F.col("c").cast("string"), F.lit('#x"><span class="e-card__category">'),
+        F.when(number(i) % 4 == 0, "no code").otherwise(F.concat(F.lit("09.03.1"), (number(i) % 10).cast("string"), F.lit("  Field &amp; "), number(i).cast("string"))), F.lit('</span><b class="e-card__title-inner">'),
+        F.when(number(i) % 3 == 0, "").otherwise(F.concat(F.lit(" Name\n of "), F.col("page_id").cast("string"))), F.lit("</b></a>"),
+    )
+    onward = F.concat(F.lit('<link rel="up next" href="/c'), F.col("c").cast("string"), F.lit("/p"), F.when(F.col("p") == F.col("last"), 0).otherwise(F.col("p") + 1).cast("string"), F.lit('">'))
+    html = F.concat(F.coalesce("html", F.lit("")), onward, card(0), card(1), card(2), F.lit('<a class="e-card">nowhere</a>'))
+    return own.select(F.concat(F.lit("https://catalog.example.com/c"), F.col("c").cast("string"), F.lit("/p"), F.col("p").cast("string")).alias("url"), html.alias("html"))
+
+
+@query("""
+WITH p AS (SELECT page_id, page_id % 5 AS c, page_id // 5 AS p, max(page_id // 5) OVER (PARTITION BY page_id % 5) AS last FROM pages),
+o AS (SELECT *, CASE WHEN c = 3 THEN (p - 1 + last + 1) % (last + 1) ELSE p END AS place FROM p),
+k AS (SELECT o.*, i, (page_id * 7 + i) % 60 AS n FROM o CROSS JOIN (SELECT unnest([0, 1, 2]) AS i)),
+f AS (SELECT *, n % 4 > 0 AS coded, CASE WHEN n % 3 > 0 THEN 'Name of ' || page_id WHEN n % 4 > 0 THEN 'Field & ' || n ELSE '' END AS name FROM k),
+b AS (SELECT *, row_number() OVER (PARTITION BY c, n ORDER BY place, i) AS r FROM f WHERE name <> '')
+SELECT c AS catalog, 'https://catalog.example.com/Prog/' || n || '?a=' || c || '&b=2' AS source_key, name, CASE WHEN coded THEN '09.03.1' || (n % 10) ELSE '' END AS code, CASE WHEN coded THEN '09.03.1' || (n % 10) ELSE name END AS direction,
+  CASE WHEN coded THEN 'Field & ' || n ELSE name END AS direction_name, 'https://catalog.example.com/c' || c || '/p' || p AS catalog_page, place + 1 AS page_number FROM b WHERE r = 1
+""")
+def catalog_chain(spark, d):
+    pages = catalog.read_cards(_catalog_pages(spark, d), "url", "html")
+    starts = spark.createDataFrame([(c, f"https://catalog.example.com/c{c}/p{int(c == 3)}") for c in range(5)], "catalog long, url string")
+    return catalog.catalog_cards(cut(pages), starts).drop("category", "catalog_url")
+
+
+# Documents: a file for each supplier, a DOCX with its orders' prices in a table of merged cells, or one without a table, one broken, one of another kind, a PDF without a reader, or none at all.
+_W = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
+
+
+@F.pandas_udf(BinaryType())
+def _docx(key: pd.Series, name: pd.Series, parts: pd.Series) -> pd.Series:
+    def cell(text: str, more: str = "") -> str:
+        return f"<w:tc><w:tcPr>{more}</w:tcPr><w:p><w:r><w:t>{text}</w:t></w:r></w:p></w:tc>"
+
+    def write(key: int, name: str, parts: list) -> bytes:
+        rows = [f'<w:tr>{cell("items of " + name, "<w:gridSpan w:val=" + chr(34) + "2" + chr(34) + "/>")}{cell("size", "<w:vMerge w:val=" + chr(34) + "restart" + chr(34) + "/>")}</w:tr>']
+        rows += [f"<w:tr>{cell(str(k))}{cell('x' + str(s))}{cell('', '<w:vMerge/>')}</w:tr>" for k, s in parts]
+        table = "" if key % 7 == 1 else f"<w:tbl>{''.join(rows)}</w:tbl>"
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr("word/document.xml", f'<w:document xmlns:w="{_W}"><w:body><w:p><w:r><w:t>{name}</w:t><w:tab/><w:t>plan</w:t></w:r></w:p>{table}<w:p/></w:body></w:document>')
+        content = out.getvalue()
+        return {2: content[:60], 3: b"<!DOCTYPE html><p>", 4: b"%PDF-1.4 no reader"}.get(key % 7, content)
+
+    return pd.Series([write(*x) for x in zip(key, name, [[(p["k"], p["s"]) for p in ps] for ps in parts], strict=True)])
+
+
+def _manifest(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    s = t(spark, d, "supplier").select("s_suppkey", "s_name")
+    manifest = s.select(F.concat(F.lit("doc"), "s_suppkey").alias("document_id"), F.when(F.col("s_suppkey") % 7 != 6, F.concat(F.lit("plans\\"), "s_suppkey", F.lit(".docx"))).alias("local_path"))
+    parts = t(spark, d, "part").select((F.col("p_partkey") % 50).alias("s_suppkey"), F.struct(F.col("p_partkey").alias("k"), F.col("p_size").alias("s")).alias("p")).groupBy("s_suppkey").agg(F.array_sort(F.collect_list("p")).alias("parts"))
+    held = s.where("s_suppkey % 7 <> 5").join(parts, "s_suppkey", "left").withColumn("parts", F.coalesce("parts", F.array().cast("array<struct<k:bigint,s:int>>")))
+    files = held.select(F.concat(F.lit("plans/"), "s_suppkey", F.lit(".docx")).alias("local_path"), _docx("s_suppkey", "s_name", "parts").alias("content"))
+    return manifest, files.unionByName(spark.createDataFrame([("other/file.docx", b"PK\x03\x04")], "local_path string, content binary"))
+
+
+_PARTS = "(SELECT s_suppkey, s_name, (SELECT count(*) FROM part WHERE p_partkey % 50 = s_suppkey) AS n FROM supplier)"
+
+
+@query(f"""
+SELECT 'doc' || s_suppkey AS document_id, ['ok', 'ok_no_tables', 'error', 'invalid_source', 'error', 'missing', 'missing'][s_suppkey % 7 + 1] AS status, ['docx', 'docx', 'docx', 'html', 'pdf', 'missing', 'missing'][s_suppkey % 7 + 1] AS kind,
+  CASE WHEN s_suppkey % 7 < 2 THEN 2 ELSE 0 END AS paragraph_count, CASE WHEN s_suppkey % 7 = 0 THEN 1 ELSE 0 END AS table_count, CAST(CASE WHEN s_suppkey % 7 = 0 THEN n + 1 ELSE 0 END AS INTEGER) AS row_count,
+  CAST(CASE WHEN s_suppkey % 7 = 0 THEN 3 * (n + 1) ELSE 0 END AS INTEGER) AS cell_count, s_suppkey % 7 IN (5, 6) AS no_file FROM {_PARTS}
+""")
+def document_statuses(spark, d):
+    found = documents.extract(*_manifest(spark, d))
+    return found.select("document_id", "status", "kind", "paragraph_count", "table_count", "row_count", "cell_count", (F.col("source_size") == 0).alias("no_file"))
+
+
+@query(f"""
+WITH p AS (SELECT s_suppkey, s_name, p_partkey, p_size, CAST(row_number() OVER (PARTITION BY s_suppkey ORDER BY p_partkey) AS INTEGER) AS r FROM supplier JOIN part ON p_partkey % 50 = s_suppkey WHERE s_suppkey % 7 = 0)
+SELECT 'doc' || s_suppkey AS document_id, 0 AS row_index, c AS column_index, CASE WHEN c < 2 THEN 'items of ' || s_name ELSE 'size' END AS text FROM supplier CROSS JOIN (SELECT unnest([0, 1, 2]) AS c) WHERE s_suppkey % 7 = 0
+UNION ALL SELECT 'doc' || s_suppkey, r, c, CASE c WHEN 0 THEN CAST(p_partkey AS VARCHAR) WHEN 1 THEN 'x' || p_size ELSE 'size' END FROM p CROSS JOIN (SELECT unnest([0, 1, 2]) AS c)
+""")
+def document_grids(spark, d):
+    found = documents.extract(*_manifest(spark, d))
+    pages = F.transform("pages", lambda p: p.dropFields("lines"))
+    return extraction.flatten(found.select("document_id", "status", pages.alias("pages"), "tables"))["cells"].select("document_id", "row_index", "column_index", "text")
+
+
+# A run of three stages over orders and items, told by its manifest.
+@query("""
+WITH o AS (SELECT * FROM orders WHERE o_totalprice > 1000), i AS (SELECT l.* FROM lineitem AS l JOIN o ON o_orderkey = l_orderkey), s AS (SELECT o_orderkey FROM o JOIN i ON o_orderkey = l_orderkey GROUP BY 1 HAVING sum(l_quantity) > 100)
+SELECT 0 AS number, 'orders' AS name, count(*) AS n_rows, CAST(CAST(max(o_totalprice) AS INTEGER) AS VARCHAR) AS largest, true AS written, true AS read FROM o
+UNION ALL SELECT 1, 'items', count(*), CAST(CAST(max(l_quantity) AS INTEGER) AS VARCHAR), true, true FROM i UNION ALL SELECT 2, 'large', count(*), NULL, true, true FROM s
+""")
+def run_manifest_stages(spark, d):
+    root = scratch(spark)
+    largest = lambda c: {"largest": F.max(F.round(c).cast("int"))}
+    with runs.Run(spark, root, "run-1", "orders") as run:
+        orders = run.write("orders", t(spark, d, "orders").where("o_totalprice > 1000"), "orders", ["https://example.com/orders"], largest(F.col("o_totalprice")))
+        items = run.write("items", t(spark, d, "lineitem").join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey"), "items", ["orders"], largest(F.col("l_quantity")))
+        large = items.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("q")).where("q > 100")
+        run.write("large", large, "large", ["orders", "items"])
+    told = runs.stages(spark, f"{root}/runs/run-1.json").where("status = 'succeeded'")
+    written = F.exists("outputs", lambda o: o["available"] & (o["file_count"] > 0) & (o["size_bytes"] > 0))
+    return told.select("number", "name", F.col("rows").alias("n_rows"), F.try_element_at("metrics", F.lit("largest")).alias("largest"), written.alias("written"), F.forall("inputs", lambda i: i["available"]).alias("read"))

@@ -52,7 +52,7 @@ def _read(page: Column, number: Column) -> Column:
 def read_layout(documents: DataFrame, xml: str) -> DataFrame:
     """`documents` with status and pages in place of the XML text: of each page its number, size, words and lines.
 
-    Pages are numbered from 1 as they come, words (those with a text) over their page and lines (those with a word) from 0; a box's missing sides are 0. Tags may have name spaces. Lines may stand in
+    Pages are numbered from 1 as they come, words (those with a text that isn't all white space) over their page and lines (those with a word) from 0; a box's missing sides are 0. Tags may have name spaces. Lines may stand in
     pages, blocks or flows. A text that is null, no XML or has a side that is no number keeps its row with status error and no pages; XML without pages has status ok and none.
     What follows the root is not looked at.
     """

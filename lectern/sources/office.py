@@ -60,17 +60,58 @@ def sheet_rows(content: bytes, sheet: str | None = None) -> list[tuple[str, int,
     return [(chosen[0], r, values) for r, values in sorted(rows.items())]
 
 
-def document_cells(content: bytes) -> list[tuple[int, int, int, str]]:
-    """(table, row, column, text) of a DOCX file's tables, each from 0."""
-    root = ElementTree.fromstring(zipfile.ZipFile(io.BytesIO(content)).read("word/document.xml"))
+def _own_text(paragraph: ElementTree.Element) -> str:
+    """A paragraph's text: its runs and those of its links, tabs and breaks as characters."""
     out = []
-    for t, table in enumerate(root.iter(f"{_DOC}tbl")):
-        for r, row in enumerate(table.findall(f"{_DOC}tr")):
-            for c, cell in enumerate(row.findall(f"{_DOC}tc")):
-                out.append((t, r, c, "\n".join("".join(x.text or "" for x in p.iter(f"{_DOC}t")) for p in cell.iter(f"{_DOC}p")).strip()))
+    for run in [r for x in paragraph for r in ([x] if x.tag == f"{_DOC}r" else x.findall(f"{_DOC}r") if x.tag == f"{_DOC}hyperlink" else [])]:
+        for x in run:
+            kind = x.tag.removeprefix(_DOC)
+            out.append(x.text or "" if kind == "t" else "\t" if kind == "tab" else "\n" if kind in ("br", "cr") else "-" if kind == "noBreakHyphen" else "")
+    return "".join(out)
+
+
+def _number(element: ElementTree.Element | None, path: str, default: int) -> int:
+    found = None if element is None else element.find("/".join(_DOC + p for p in path.split("/")))
+    return default if found is None else int(found.get(f"{_DOC}val"))
+
+
+def _grid(table: ElementTree.Element) -> list[tuple[int, int, str, bool]]:
+    """(row, column, text, merged) of every place of a table's grid that a cell covers: cells over several columns or rows give their text at each; merged is true but for the first place."""
+    out, above = [], {}
+    for r, row in enumerate(table.findall(f"{_DOC}tr")):
+        column, now = _number(row, "trPr/gridBefore", 0), {}
+        for cell in row.findall(f"{_DOC}tc"):
+            merge = cell.find(f"{_DOC}tcPr/{_DOC}vMerge")
+            below = merge is not None and merge.get(f"{_DOC}val", "continue") == "continue" and column in above
+            text = above[column] if below else "\n".join(_own_text(p) for p in cell.findall(f"{_DOC}p"))
+            for c in range(column, column + _number(cell, "tcPr/gridSpan", 1)):
+                out.append((r, c, text, below or c > column))
+                now[c] = text
+            column += _number(cell, "tcPr/gridSpan", 1)
+        above = now
     return out
 
 
+def document_parts(content: bytes) -> list[tuple[int, str, int | None, int | None, int | None, str, bool]]:
+    """(place, kind, index, row, column, text, merged) of a DOCX file's body in its order: kind paragraph, with its number, or cell, with its table's number and place in the grid. All from 0.
+    Tables inside of cells are part of neither."""
+    body = ElementTree.fromstring(zipfile.ZipFile(io.BytesIO(content)).read("word/document.xml")).find(f"{_DOC}body")
+    out, paragraphs, tables = [], 0, 0
+    for place, x in enumerate([] if body is None else body):
+        if x.tag == f"{_DOC}p":
+            out.append((place, "paragraph", paragraphs, None, None, _own_text(x), False))
+            paragraphs += 1
+        elif x.tag == f"{_DOC}tbl":
+            out += [(place, "cell", tables, r, c, text, merged) for r, c, text, merged in _grid(x)]
+            tables += 1
+    return out
+
+
+def document_cells(content: bytes) -> list[tuple[int, int, int, str]]:
+    """(table, row, column, text) of a DOCX file's tables, each from 0, merged cells at every place they cover."""
+    return [(table, row, column, text) for _, kind, table, row, column, text, _ in document_parts(content) if kind == "cell"]
+
+
 def _read(spark: SparkSession, path: str, schema: str, columns: list[str], parse) -> DataFrame:
     """Rows of every file, or one row with the status for a file that can't be read."""
 
@@ -93,3 +134,9 @@ def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None) -> DataF
 
 def read_docx_tables(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, "table_index int, row_index int, column_index int, text string", ["table_index", "row_index", "column_index", "text"], document_cells)
+
+
+def read_docx(spark: SparkSession, path: str) -> DataFrame:
+    """(path, status, place, kind, index, row, column, text, merged) of document_parts(), or a row with the status of a file that is empty or can't be read."""
+    columns = ["place", "kind", "index", "row", "column", "text", "merged"]
+    return _read(spark, path, "place int, kind string, index int, row int, column int, text string, merged boolean", columns, document_parts)
