@@ -613,8 +613,7 @@ def known_verdicts(spark, d):
 def stored_aliases(spark, d):
     at = scratch(spark)
     rows = t(spark, d, "customer").select(F.lit(" customer").alias("entity_type"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("old"), "c_custkey")).alias("legacy_id"), F.col("c_custkey").cast("string").alias("canonical_id"))
-    text_of = rows.agg(F.to_json(F.struct(F.collect_list(F.struct("*")).alias("aliases")))).first()[0]
-    snapshots.write_text(spark, f"{at}/id_aliases.json", text_of)
+    snapshots.write_aliases(rows, at)
     return snapshots.read_aliases(spark, at).unionByName(snapshots.read_aliases(spark, f"{at}/absent"))
 
 

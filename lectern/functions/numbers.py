@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lectern.functions.text import stripped
+
 #: Texts that stand for no number (fixed values).
 NULL_MARKERS = ("-", "—", "–", "нет", "н/д", "н.д.", "none", "null")
 
 
 def stands_for_none(c: Column) -> Column:
     """Null, blank, or one of the texts that say that there is no number."""
-    return c.isNull() | F.lower(F.trim(c)).isin("", *NULL_MARKERS)
+    return c.isNull() | F.lower(stripped(c)).isin("", *NULL_MARKERS)
 
 
 def number_text(c: Column) -> Column:
@@ -57,7 +59,7 @@ def first_number(c: Column) -> Column:
 
 def positive_int(c: Column) -> Column:
     """A text of digits, or of a number with an integral value, as a positive integer; else null."""
-    value = F.when(F.trim(c).rlike(r"^\d+(\.0+)?$"), F.trim(c).try_cast("double").try_cast("int"))
+    value = F.when(stripped(c).rlike(r"^\d+(\.0+)?$"), stripped(c).try_cast("double").try_cast("int"))
     return F.when(value > 0, value)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.ids import legacy_id
 from lectern.functions.numbers import parse_decimal, parse_int
-from lectern.functions.text import bool_or_none, first_text, html_text
+from lectern.functions.text import bool_or_none, first_text, html_text, stripped
 from lectern.operators.project import array_or, lines
 
 _PLACE = "struct<slug:string,code:string,title:string>"
@@ -92,7 +92,7 @@ def disciplines(cards: DataFrame) -> DataFrame:
     courses = cards.select(F.lit("major").alias("scope"), "slug", F.col("slug").alias("owner"), F.explode("d.courses.items").alias("name"))
     special = cards.select(F.lit("department").alias("scope"), "slug", F.col("slug").alias("owner"), F.explode("d.specializations").alias("name"))
     nested = _items(cards, "departments").select("slug", F.explode("x.educationalProgram.items").alias("p")).select(F.lit("program").alias("scope"), "slug", first_text(F.col("p.id"), F.col("p.code"), F.col("p.name")).alias("owner"), F.explode("p.discipline").alias("name"))
-    return courses.unionByName(special).unionByName(nested).where(F.trim("name") != "")
+    return courses.unionByName(special).unionByName(nested).where(stripped(F.col("name")) != "")
 
 
 def study_plan_files(cards: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions.ids import legacy_id
-from lectern.functions.text import normalize_key
+from lectern.functions.text import normalize_key, stripped
 
 #: Largest difference that still counts as equal.
 TOLERANCE = 0.01
@@ -83,7 +83,7 @@ def entity_index(rows: DataFrame, scope: str, most: int = 20) -> dict[str, DataF
     names or codes: it is then ambiguous, and a conflict for each of the two. aliases: source id to entity. collisions: codes that stand for several names, with
     the first `most` names; they are hints and merge nothing. Lists hold names and codes, a few for each entity; ids stay rows, in `aliases`.
     """
-    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    text = lambda c: stripped(F.coalesce(F.col(c), F.lit("")))
     kind, value = entity_key("id", normalize_key(text("code")), normalize_key(text("name")), normalize_key(text("department")))
     keyed = rows.select("id", text("code").alias("code"), text("name").alias("name"), "document_id", kind.alias("kind"), value.alias("value"))
     keyed = keyed.withColumn("entity_id", legacy_id(scope, "entity", F.col("kind"), F.col("value")))

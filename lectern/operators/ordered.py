@@ -42,6 +42,21 @@ def first_present(df: DataFrame, group: Sequence[str], order: Sequence[str], val
     return df.where(F.col(value).isNotNull()).groupBy(*group).agg(F.min_by(value, F.struct(*order)).alias(value))
 
 
+def gaps(df: DataFrame, group: Sequence[str], number: str, first: int = 1) -> DataFrame:
+    """(group, from, to): the runs of whole numbers from `first` on up to the group's largest that none of its rows has. Repeats and nulls don't matter."""
+    once = df.where(F.col(number) >= first).groupBy(*group, F.col(number).alias("_n")).agg(F.lit(1).alias("_one"))
+    before = F.lag("_n", 1, first - 1).over(Window.partitionBy(*group).orderBy("_n"))
+    return once.select(*group, (before + 1).alias("from"), (F.col("_n") - 1).alias("to")).where(F.col("from") <= F.col("to"))
+
+
+def steps_back(df: DataFrame, group: Sequence[str], order: Sequence[str], number: str) -> DataFrame:
+    """(group, repeated, unordered): the numbers that a group's rows have more than once, each once in order, and whether any row's number is less than the one before it."""
+    moved = df.where(F.col(number).isNotNull()).withColumn("_back", F.col(number) < F.lag(number).over(Window.partitionBy(*group).orderBy(*order)))
+    counted = moved.groupBy(*group, number).agg(F.count("*").alias("_k"), F.max("_back").alias("_back"))
+    repeated = F.array_sort(F.collect_list(F.when(F.col("_k") > 1, F.col(number))))
+    return counted.groupBy(*group).agg(repeated.alias("repeated"), F.coalesce(F.max("_back"), F.lit(False)).alias("unordered"))
+
+
 def cluster_lines(values: Column, tolerance: float = 1.6) -> Column:
     """The line number of each value of a sorted array: a new line starts where a value is more than `tolerance` past the line's first value."""
     start = F.struct(F.lit(None).cast("double").alias("first"), F.lit(-1).alias("line"), F.array().cast("array<int>").alias("out"))

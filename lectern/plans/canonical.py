@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.ids import source_keys, stable_id
 from lectern.functions.numbers import positive_int
-from lectern.functions.text import canonical_url, first_text, is_present
+from lectern.functions.text import canonical_url, first_text, is_present, stripped
 from lectern.operators import integrity, resolve
 from lectern.operators.project import array_or, extensions, field_meta, relation_id
 from lectern.operators.relations import broken, first_wins, kept
@@ -66,7 +66,7 @@ def curricula(rows: DataFrame, scope: str, order: Sequence[str], chain: list[tup
     the `order` columns. A row counts if `discipline` (or `name`, where discipline is null) isn't blank. Hours are resolved by the chain: published total, sum of
     components, credits. A load without a positive integral semester is left out; a row without loads is its own load. The first curriculum that names a semester describes it.
     """
-    named = rows.where(F.trim(F.coalesce("discipline", "name", F.lit(""))) != "").withColumn("title", first_text(F.col("discipline"), F.col("name")))
+    named = rows.where(stripped(F.coalesce("discipline", "name", F.lit(""))) != "").withColumn("title", first_text(F.col("discipline"), F.col("name")))
     keyed = source_keys(named, ["curriculum_key", "code", "title", "department", "section_path"], [c for c in ("code", "title", "department", "section_path", "semester", "total_hours", "credits", "components")], order)
     keyed = keyed.withColumn("discipline_key", F.concat_ws(":", "curriculum_key", F.lit("discipline"), "source_key"))
 
@@ -158,7 +158,7 @@ def id_aliases(previous: DataFrame, current: DataFrame, existing: DataFrame | No
     """(aliases, conflicts), both (entity_type, legacy_id, ...): explicit legacy ids of current rows, and earlier ids of rows whose source key stayed. previous and current: entity_type,
     id, source_key, legacy_ids (current only). One legacy id with several targets is a conflict, which a publication must refuse."""
     explicit = current.select("entity_type", F.explode("legacy_ids").alias("legacy_id"), F.col("id").alias("canonical_id"))
-    key = lambda df: df.where(is_present(F.col("source_key"))).withColumn("k", canonical_url(F.trim("source_key")))
+    key = lambda df: df.where(is_present(F.col("source_key"))).withColumn("k", canonical_url(stripped(F.col("source_key"))))
     moved = key(previous).select("entity_type", "k", F.col("id").alias("legacy_id")).join(key(current).select("entity_type", "k", F.col("id").alias("canonical_id")), ["entity_type", "k"]).drop("k")
     every = explicit.unionByName(moved)
     if existing is not None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.text import is_present
+from lectern.functions.text import is_present, stripped
 
 LOCATORS = ("source_page", "list_api", "detail_api", "detail_page")
 
@@ -13,7 +13,7 @@ LOCATORS = ("source_page", "list_api", "detail_api", "detail_page")
 def violations(records: DataFrame, persists_raw: bool = False) -> DataFrame:
     """(source_key, rule) of records (source_key, provenance struct with the locators, source_key and raw_snapshot_path, legacy_ids array) that break the contract of sources: a key that isn't
     empty nor repeated (named once), provenance of the same key that names an address, with a raw snapshot where the source keeps these, and legacy ids without blanks."""
-    key = F.trim(F.coalesce("source_key", F.lit("")))
+    key = stripped(F.coalesce("source_key", F.lit("")))
     p = F.col("provenance")
     address = F.lit(False)
     for c in LOCATORS:
@@ -22,10 +22,10 @@ def violations(records: DataFrame, persists_raw: bool = False) -> DataFrame:
         F.array(
             F.when(key == "", "empty_source_key"),
             F.when(p.isNull(), "no_provenance"),
-            F.when(p.isNotNull() & (F.trim(F.coalesce(p["source_key"], F.lit(""))) != key), "provenance_of_another_key"),
+            F.when(p.isNotNull() & (stripped(F.coalesce(p["source_key"], F.lit(""))) != key), "provenance_of_another_key"),
             F.when(p.isNotNull() & ~address, "no_locator"),
             F.when(p.isNotNull() & F.lit(persists_raw) & ~is_present(p["raw_snapshot_path"]), "no_lineage"),
-            F.when(F.exists(F.coalesce("legacy_ids", F.array().cast("array<string>")), lambda x: ~F.coalesce(is_present(F.trim(x)), F.lit(False))), "blank_legacy_id"),
+            F.when(F.exists(F.coalesce("legacy_ids", F.array().cast("array<string>")), lambda x: ~F.coalesce(is_present(stripped(x)), F.lit(False))), "blank_legacy_id"),
         )
     )
     each = records.select("source_key", F.explode(rules).alias("rule"))

@@ -11,13 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lectern.functions.ids import legacy_id
-from lectern.functions.numbers import first_number, overlap
+from lectern.functions.numbers import first_number
 from lectern.functions.text import clean
 from lectern.functions.tokens import CONTROL_PATTERN, control_kinds, control_tokens, part_type, row_kind, semester_headers
-from lectern.operators.ordered import carry_forward, first_present, section_path
+from lectern.operators.ordered import carry_forward, first_present, gaps, in_bands, overlapping, section_path, steps_back
 
 HEADER_ROWS = 4
 SLACK = 0.15
@@ -42,8 +41,8 @@ def _clamped(x: Column, left: Column, width: Column) -> Column:
 
 
 def discover_schemas(tables: DataFrame, cells: DataFrame) -> DataFrame:
-    """(document_id, start, count, weeks, spans): of each document the first table whose heading names semesters. start is where they begin (0..1), weeks a map from
-    semester, spans a map from field to (left, right) in 0..1."""
+    """(document_id, start, count, weeks, spans, warnings): of each document the first table whose heading names semesters. start is where they begin (0..1), weeks a map from
+    semester (of repeated ones the last in order), spans a map from field to (left, right) in 0..1. warnings tell of semesters that are missing, repeated or out of order, and of fields without a heading."""
     ours = tables.where("section = 'curriculum'").select("table_id", "document_id", "ordinal", F.col("x0").alias("t0"), F.col("x1").alias("t1"))
     head = cells.where(F.col("row_index") < HEADER_ROWS).select("table_id", "row_index", "text", "x0", "x1").join(ours, "table_id").withColumn("h", F.lower(clean(F.col("text"))))
     box = head.groupBy("table_id").agg(
@@ -51,16 +50,24 @@ def discover_schemas(tables: DataFrame, cells: DataFrame) -> DataFrame:
     ).select("table_id", "left", F.greatest(F.col("right") - F.col("left"), F.lit(1.0)).alias("width"))
     head = head.join(box, "table_id")
     named = head.where("row_index = 0 and x0 is not null").withColumn("headers", semester_headers(F.col("h"))).where("size(headers) > 0")
-    semesters = named.select("table_id", "x0", "left", "width", F.explode("headers").alias("s")).groupBy("table_id").agg(
-        _clamped(F.min("x0"), F.first("left"), F.first("width")).alias("start"), F.max("s.number").alias("count"),
-        F.map_from_entries(F.array_distinct(F.collect_list(F.struct("s.number", "s.weeks")))).alias("weeks"),
-    )
+    headers = named.select("table_id", "x0", "left", "width", F.posexplode("headers").alias("place", "s")).select("table_id", "x0", "left", "width", "place", "s.number", "s.weeks")
+    weeks = headers.groupBy("table_id", "number").agg(F.max_by("weeks", F.struct("x0", "place")).alias("weeks")).groupBy("table_id").agg(F.map_from_entries(F.collect_list(F.struct("number", "weeks"))).alias("weeks"))
+    semesters = headers.groupBy("table_id").agg(_clamped(F.min("x0"), F.first("left"), F.first("width")).alias("start"), F.max("number").alias("count")).join(weeks, "table_id")
+    run = F.when(F.col("from") == F.col("to"), F.col("from").cast("string")).otherwise(F.concat_ws("-", "from", "to"))
+    missing = gaps(headers, ["table_id"], "number").groupBy("table_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("from", run.alias("run")))), lambda x: x["run"]), ",").alias("missing"))
+    odd = steps_back(headers, ["table_id"], ["x0", "place"], "number").join(missing, "table_id", "left")
     tests = F.array(*[F.when(F.expr(f"(row_index = {row}{' or row_index = 3' if row else ''}) and (h {test})"), F.lit(name)) for name, (row, test) in HEADINGS.items()])
     span = F.struct(_clamped(F.col("x0"), F.col("left"), F.col("width")).alias("left"), _clamped(F.col("x1"), F.col("left"), F.col("width")).alias("right"))
     found = head.where("x0 is not null").select("table_id", "row_index", "x0", span.alias("span"), F.explode(F.array_compact(tests)).alias("field"))
     best = found.groupBy("table_id", "field").agg(F.min_by("span", F.struct("row_index", "x0")).alias("span"))
     spans = best.groupBy("table_id").agg(F.map_from_entries(F.collect_list(F.struct("field", "span"))).alias("spans"))
-    candidates = ours.join(semesters, "table_id").join(spans, "table_id", "left").select("document_id", "ordinal", F.struct("start", "count", "weeks", "spans").alias("schema"))
+    unnamed = F.array_except(F.array(*map(F.lit, HEADINGS)), F.coalesce(F.map_keys("spans"), F.array().cast("array<string>")))
+    told = [
+        F.when(F.col("missing").isNotNull(), F.concat(F.lit("missing_semesters:"), "missing")), F.when(F.size("repeated") > 0, F.concat(F.lit("repeated_semesters:"), F.array_join(F.col("repeated").cast("array<string>"), ","))),
+        F.when(F.col("unordered"), F.lit("unordered_semesters")), F.when(F.size(unnamed) > 0, F.concat(F.lit("missing_fields:"), F.array_join(unnamed, ","))),
+    ]
+    whole = ours.join(semesters, "table_id").join(odd, "table_id").join(spans, "table_id", "left").withColumn("warnings", F.array_compact(F.array(*told)))
+    candidates = whole.select("document_id", "ordinal", F.struct("start", "count", "weeks", "spans", "warnings").alias("schema"))
     return first_present(candidates, ["document_id"], ["ordinal"], "schema").select("document_id", "schema.*")
 
 
@@ -75,12 +82,8 @@ def _bands(schemas: DataFrame) -> DataFrame:
     return base.unionByName(fields.select("document_id", "semester", "field", left.alias("left"), (left + F.col("w") / parts).alias("right")))
 
 
-def band_texts(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame) -> DataFrame:
-    """(table_id, row_index, document_id, ordinal, page_number, base, bands, cell_ids, control): per row a map from base field to its text, one from
-    semester to a map of its fields' texts, and (semester, token) of control words by their left edge.
-
-    A word belongs to every band that holds its middle within the slack. Cell texts stand in only for rows without words.
-    """
+def _placed(tables: DataFrame, cells: DataFrame, schemas: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The cells of data rows, the rows with their width, and each row's bands where they lie."""
     ours = tables.where("section = 'curriculum'").select("table_id", "document_id", "page_number", "ordinal", F.col("x0").alias("t0"), F.col("x1").alias("t1"))
     own = cells.select("table_id", "row_index", "column_index", "cell_id", "text", "x0", "x1", "word_ids")
     data = own.where(F.col("row_index") >= HEADER_ROWS).join(ours, "table_id")
@@ -91,6 +94,17 @@ def band_texts(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: D
     ).withColumn("width", F.greatest(F.col("b") - F.col("a"), F.lit(1.0)))
     bands = _bands(schemas)
     placed = rows.join(bands, "document_id").select(*key, "document_id", "semester", "field", (F.col("a") + F.col("left") * F.col("width")).alias("left"), (F.col("a") + F.col("right") * F.col("width")).alias("right"))
+    return data, rows, placed
+
+
+def band_texts(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame) -> DataFrame:
+    """(table_id, row_index, document_id, ordinal, page_number, base, bands, cell_ids, control): per row a map from base field to its text, one from
+    semester to a map of its fields' texts, and (semester, token) of control words by their left edge.
+
+    A word belongs to every band that holds its middle within the slack. Cell texts stand in only for rows without words.
+    """
+    key = ["table_id", "row_index"]
+    data, rows, placed = _placed(tables, cells, schemas)
     named = data.select(*key, "document_id", "page_number", F.explode("word_ids").alias("word_id")).distinct()
     found = named.join(words.dropDuplicates(["document_id", "page_number", "word_id"]), ["document_id", "page_number", "word_id"])
     middle = (F.col("x0") + F.col("x1")) / 2
@@ -172,10 +186,15 @@ def semester_loads(found: DataFrame, scope: str = "plan") -> DataFrame:
     )
 
 
-def cells_in_band(cells: DataFrame, bands: DataFrame, least: float = 0.1) -> DataFrame:
-    """(table_id, row_index, field, cell_id) of cells that share more than `least` with a band (table_id, row_index, field, left, right)."""
-    return cells.join(bands, ["table_id", "row_index"]).where(overlap(F.col("x0"), F.col("x1"), F.col("left"), F.col("right")) > least).select("table_id", "row_index", "field", "cell_id")
-
-
-def rows_in_order(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("row_no", F.row_number().over(Window.partitionBy("document_id").orderBy("ordinal", "row_index")))
+def band_sources(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame, least: float = 0.1) -> DataFrame:
+    """(table_id, row_index, semester, field, cell_ids, word_ids): where each band's text comes from: the row's cells that share more than `least` with it, and its words whose middle lies in it, both
+    as sorted sets. semester is 0 for base fields. Bands without either are left out."""
+    key = ["table_id", "row_index"]
+    data, _, placed = _placed(tables, cells, schemas)
+    bands = placed.select(*key, "semester", "field", F.col("left").alias("other_left"), F.col("right").alias("other_right"))
+    boxed = data.select(*key, "cell_id", F.col("x0").alias("left"), F.col("x1").alias("right"))
+    by_cell = overlapping(boxed, bands, key, least).select(*key, "semester", "field", "cell_id", F.lit(None).cast("string").alias("word_id"))
+    named = data.select(*key, "document_id", "page_number", F.explode("word_ids").alias("word_id")).distinct()
+    found = named.join(words.dropDuplicates(["document_id", "page_number", "word_id"]), ["document_id", "page_number", "word_id"]).select(*key, "word_id", ((F.col("x0") + F.col("x1")) / 2).alias("x"))
+    by_word = in_bands(found, "x", placed.select(*key, "semester", "field", "left", "right"), key, SLACK).select(*key, "semester", "field", F.lit(None).cast("string").alias("cell_id"), "word_id")
+    return by_cell.unionByName(by_word).groupBy(*key, "semester", "field").agg(F.array_sort(F.collect_set("cell_id")).alias("cell_ids"), F.array_sort(F.collect_set("word_id")).alias("word_ids"))

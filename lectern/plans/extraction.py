@@ -65,7 +65,7 @@ def quality(flat: dict[str, DataFrame], examples: int = 20) -> dict:
     for check, df in failed.items():
         one = df.distinct().select(F.lit(check).alias("check"), "name")
         every = one if every is None else every.unionByName(one)
-    found = every.groupBy("check").agg(F.count("*").alias("n"), F.slice(F.sort_array(F.collect_list("name")), 1, examples).alias("examples")).collect()
+    found = integrity.first_values(every, ["check"], "name", examples).collect()
     statuses = {r.value: r.n for r in integrity.histogram(flat["documents"], "status", "documents").collect()}
     return {"passed": not found, "statuses": statuses, "failed": {r.check: {"n": r.n, "examples": list(r.examples)} for r in found}}
 

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions.text import stripped
 from lectern.operators.integrity import first_values
 from lectern.operators.relations import multiset_difference
 
@@ -54,7 +55,7 @@ def findings(sources: DataFrame, flat: dict[str, DataFrame], manifest: DataFrame
         _named("all_referenced_files_exist", known.join(there, "path", "left_anti"), "path"),
         _named("no_invalid_or_failed_documents", sources.where(F.col("status").isin(*FAILED)), "document_id"),
         _named("all_pdf_tables_detected", documents.where(pdf & (F.coalesce("table_count", F.lit(0)) == 0)), "document_id"),
-        _named("all_pdf_raw_layout_captured", sources.where(pdf & (F.trim(blank("layout_text")) == "")), "document_id"),
+        _named("all_pdf_raw_layout_captured", sources.where(pdf & (stripped(blank("layout_text")) == "")), "document_id"),
         _named("source_sizes_match_metadata", sources.where(F.col("expected_size").isNotNull() & ~F.col("expected_size").eqNullSafe(F.col("source_size"))), "document_id"),
         _named("source_hashes_match_metadata", sources.where((blank("expected_sha256") != "") & (F.lower("expected_sha256") != F.lower(blank("source_sha256")))), "document_id"),
         _named("document_counts_match_materialized_data", wrong_documents, "document_id"),

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.text import clean, is_present
+from lectern.functions.text import clean, is_present, stripped
 from lectern.functions.tokens import control_tokens
 from lectern.operators.integrity import duplicate_ids, first_values, reconcile
 from lectern.operators.relations import broken
@@ -31,7 +31,7 @@ def _all(parts: list[DataFrame]) -> DataFrame:
 
 def contract_violations(rows: DataFrame, disciplines: DataFrame, loads: DataFrame) -> DataFrame:
     """(rule, severity, name) of what breaks the typed contract. Repeated ids are named once, other rows each; empty ids count for the rules about content only. A part type that is unknown is a warning."""
-    subject = ~is_present(F.trim("code")) | ~is_present(F.trim("name"))
+    subject = ~is_present(stripped(F.col("code"))) | ~is_present(stripped(F.col("name")))
     errors = [
         _named("unique_discipline_ids", duplicate_ids(disciplines, "id")),
         _named("discipline_code_and_name_present", disciplines.where(F.coalesce(subject, F.lit(True)))),

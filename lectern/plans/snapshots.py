@@ -5,12 +5,14 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.functions.text import stripped
 from lectern.operators.integrity import dataset_counts, gate
+from lectern.sources.files import write_jsonl
 
 
 def _fs(spark: SparkSession, path: str):
@@ -50,14 +52,17 @@ def checked_run_id(run_id: str) -> str:
     return run_id
 
 
-def publish(spark: SparkSession, root: str, run_id: str, datasets: dict[str, DataFrame], required: tuple[str, ...] = (), keys: dict[str, str] | None = None, checks: DataFrame | None = None) -> dict:
-    """Writes the datasets to root/staging/run_id, runs the gate on what was written and, only if it passes, moves the snapshot to root/snapshots/run_id and points
-    root/current at it. A snapshot that fails leaves the pointer as it was. Returns the report."""
+def publish(spark: SparkSession, root: str, run_id: str, datasets: dict[str, DataFrame], required: tuple[str, ...] = (), keys: Mapping[str, str | None] | None = None, checks: DataFrame | None = None, available: Collection[str] | None = None) -> dict:
+    """Writes the datasets (those in `available`, if given) to root/staging/run_id, runs the gate on what was written and, only if it passes, moves the snapshot to root/snapshots/run_id and points
+    root/current at it. A snapshot that fails leaves the pointer as it was. Returns the report. keys: the column of
+    each dataset's ids, "id" where none is given, None for a dataset without ids, which the gate doesn't count."""
     staging, final = f"{root}/staging/{checked_run_id(run_id)}", f"{root}/snapshots/{run_id}"
+    datasets = {name: df for name, df in datasets.items() if available is None or name in available}
     for name, df in datasets.items():
         df.write.mode("overwrite").parquet(f"{staging}/{name}")
     written = {name: spark.read.parquet(f"{staging}/{name}") for name in datasets}
-    counted = dataset_counts({name: (df, (keys or {}).get(name, "id")) for name, df in written.items()})
+    named = {name: (keys or {}).get(name, "id") for name in written}
+    counted = dataset_counts({name: (written[name], key) for name, key in named.items() if key is not None})
     report = gate(counted, checks if checks is not None else spark.createDataFrame([], "name string, passed boolean"), required)
     fs, at = _fs(spark, staging)
     if not report["passed"]:
@@ -87,6 +92,28 @@ def active(spark: SparkSession, root: str) -> str | None:
     return f"{root}/snapshots/{run_id}" if fs.exists(p) else None
 
 
+def datasets_of(spark: SparkSession, snapshot: str) -> list[str]:
+    """The names of a snapshot's datasets: its folders that were written to their end."""
+    fs, at = _fs(spark, snapshot)
+    return sorted(str(s.getPath().getParent().getName()) for s in fs.globStatus(at.suffix("/*/_SUCCESS")))
+
+
+def open_views(spark: SparkSession, root: str, prefix: str = "") -> dict[str, str]:
+    """Points this session's views <prefix><dataset> at the current snapshot and returns the snapshot's path by view name; empty before the first publication.
+
+    The pointer is read once, so all views show one snapshot, whatever is published meanwhile; a snapshot's files never change, so queries under way go on as they began. Views of datasets that
+    the snapshot no longer has are dropped. A session moves on to a later snapshot when it calls this again.
+    """
+    at = active(spark, root)
+    names = datasets_of(spark, at) if at else []
+    for old in spark.catalog.listTables():
+        if old.isTemporary and old.name.startswith(prefix.lower()) and prefix and old.name not in {f"{prefix}{n}".lower() for n in names}:
+            spark.catalog.dropTempView(old.name)
+    for name in names:
+        spark.read.parquet(f"{at}/{name}").createOrReplaceTempView(f"{prefix}{name}")
+    return {f"{prefix}{name}": at for name in names}
+
+
 def config_hash(config: dict) -> str:
     return hashlib.sha256(json.dumps(config, sort_keys=True, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest()
 
@@ -103,14 +130,26 @@ def ledger_of(done: DataFrame, key: str, fingerprint: str) -> DataFrame:
     return done.select(key, fingerprint).distinct().withColumn("marked_at", F.current_timestamp())
 
 
-ALIASES = "aliases array<struct<entity_type:string,legacy_id:string,canonical_id:string>>"
+ALIAS = "entity_type string, legacy_id string, canonical_id string"
+
+
+def write_aliases(aliases: DataFrame, snapshot: str) -> None:
+    """Aliases (entity_type, legacy_id, canonical_id) as lines of JSON in the folder id_aliases of a snapshot, written by the tasks that hold them."""
+    write_jsonl(aliases.select("entity_type", "legacy_id", "canonical_id"), f"{snapshot}/id_aliases")
 
 
 def read_aliases(spark: SparkSession, snapshot: str) -> DataFrame:
-    """(entity_type, legacy_id, canonical_id) of a snapshot's id_aliases.json, without blank ids; empty if the file is missing or can't be read."""
-    text = read_text(spark, f"{snapshot}/id_aliases.json")
-    row = spark.createDataFrame([(text,)], "t string").select(F.explode(F.from_json("t", ALIASES)["aliases"]).alias("a")).select("a.*")
-    return row.select(F.trim(F.coalesce("entity_type", F.lit(""))).alias("entity_type"), "legacy_id", "canonical_id").where("legacy_id <> '' and canonical_id <> ''")
+    """(entity_type, legacy_id, canonical_id) of a snapshot's folder id_aliases, or of a file id_aliases.json with all in one array, without blank ids; empty where neither is there. What can't be read is left out.
+    The folder is read in parallel; a single file is read by one task, and never by the driver."""
+    fs, folder = _fs(spark, f"{snapshot}/id_aliases")
+    if fs.exists(folder):
+        rows = spark.read.schema(ALIAS).json(f"{snapshot}/id_aliases")
+    elif fs.exists(_fs(spark, f"{snapshot}/id_aliases.json")[1]):
+        whole = spark.read.schema(f"aliases array<struct<{ALIAS}>>".replace(" string", ":string")).option("multiLine", True).json(f"{snapshot}/id_aliases.json")
+        rows = whole.select(F.explode("aliases").alias("a")).select("a.*")
+    else:
+        rows = spark.createDataFrame([], ALIAS)
+    return rows.select(stripped(F.coalesce("entity_type", F.lit(""))).alias("entity_type"), "legacy_id", "canonical_id").where("legacy_id <> '' and canonical_id <> ''")
 
 
 def mark(done: DataFrame, path: str, key: str, fingerprint: str, run: int) -> None:

@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
+from pyspark.sql.window import Window
 
 from lectern.domain_queries import scratch
 from lectern.functions.lineage import cut
 from lectern.operators import ordered
-from lectern.plans import extraction, resumable, runs
+from lectern.plans import curriculum, extraction, migration, resumable, runs, snapshots
 from lectern.plans.snapshots import _fs
 from lectern.registry import query, t
 from lectern.sources import catalog, documents, layout
@@ -222,3 +223,129 @@ def run_manifest_stages(spark, d):
     told = runs.stages(spark, f"{root}/runs/run-1.json").where("status = 'succeeded'")
     written = F.exists("outputs", lambda o: o["available"] & (o["file_count"] > 0) & (o["size_bytes"] > 0))
     return told.select("number", "name", F.col("rows").alias("n_rows"), F.try_element_at("metrics", F.lit("largest")).alias("largest"), written.alias("written"), F.forall("inputs", lambda i: i["available"]).alias("read"))
+
+
+# Curriculum tables with words: a table for each supplier, headings that differ (semesters missing, repeated, out of order, or none), a row for each part.
+_HEADS = {0: (1, 2), 1: (1, 3), 2: (2, 1, 2), 3: ()}
+_CELLS = ((0, 0.0, 5.0), (1, 5.0, 10.0), (2, 10.0, 15.0), (3, 50.0, 75.0))
+
+
+def _tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    k = F.col("s_suppkey")
+    own = t(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("t"), k).alias("table_id"), F.concat(F.lit("d"), k).alias("document_id"))
+    tables = own.select("table_id", "document_id", F.lit(1).alias("page_number"), F.lit(0).alias("ordinal"), F.lit("curriculum").alias("section"), F.lit(0.0).alias("x0"), F.lit(100.0).alias("x1"))
+    weeks = (10 + k % 9).cast("string")
+    heading = lambda kind: F.concat_ws(" ", *[F.concat(F.lit(f"Семестр {n} – "), (weeks if i < 2 else (k % 9).cast("string")), F.lit(" недель")) for i, n in enumerate(_HEADS[kind])])
+    cell = lambda row, at, text, x0: F.struct(F.lit(row).alias("row_index"), F.lit(at).alias("column_index"), text.alias("text"), F.lit(x0).alias("x0"), F.lit(x0 + 5).alias("x1"))
+    head = F.array(
+        cell(0, 0, F.lit(" ШИФР"), 0.0), cell(0, 1, F.lit("Наименование\nдисциплины"), 5.0), cell(0, 2, F.when(k % 5 > 0, "Кафедра").otherwise("?"), 10.0), cell(2, 3, F.lit("Общая, з.е."), 15.0), cell(3, 4, F.lit("Общая, час"), 20.0),
+        cell(0, 9, F.when(k % 4 == 0, heading(0)).when(k % 4 == 1, heading(1)).when(k % 4 == 2, heading(2)).otherwise("no semesters"), 50.0),
+    )
+    heads = own.select("table_id", F.explode(head).alias("h")).select("table_id", "h.*", F.array().cast("array<string>").alias("word_ids"))
+    part = t(spark, d, "part").withColumn("s_suppkey", F.col("p_partkey") % 40).join(own, "s_suppkey")
+    part = part.withColumn("row_index", (3 + F.row_number().over(Window.partitionBy("table_id").orderBy("p_partkey"))).cast("int"))
+    p, size = F.col("p_partkey"), F.col("p_size")
+    texts = [(0, p.cast("string"), 1.0, 3.0), (1, F.concat(F.lit("part"), p), 6.0, 7.0), (1, F.col("p_type"), 8.0, 9.0), (2, F.col("p_brand"), 11.0, 13.0), (3, size.cast("string"), 50.5, 51.5), (3, (size * 36).cast("string"), 55.5, 56.5), (3, F.when(p % 3 == 0, "Экз").otherwise("Зчт"), 71.0, 73.0)]
+    name = lambda i: F.concat(F.lit("w"), p, F.lit("-"), F.lit(i))
+    word = F.explode(F.array(*[F.struct(name(i).alias("word_id"), text.alias("text"), F.lit(a).alias("x0"), F.lit(b).alias("x1")) for i, (_, text, a, b) in enumerate(texts)])).alias("w")
+    words = part.select("document_id", F.lit(1).alias("page_number"), word, F.col("row_index").cast("double").alias("top")).select("document_id", "page_number", "w.*", "top")
+    box = F.explode(F.array(*[F.struct(F.lit(c).alias("column_index"), F.lit("").alias("text"), F.lit(a).alias("x0"), F.lit(b).alias("x1"), F.array(*[name(i) for i, w in enumerate(texts) if w[0] == c]).alias("word_ids")) for c, a, b in _CELLS])).alias("c")
+    cells = heads.unionByName(part.select("table_id", "row_index", box).select("table_id", "row_index", "c.*"))
+    return tables, cells.withColumn("cell_id", F.concat_ws("-", "table_id", "row_index", "column_index")), words
+
+
+@query("""
+SELECT 'd' || s_suppkey AS document_id, 0.5::DOUBLE AS start, [2, 3, 2][s_suppkey % 4 + 1] AS n_semesters, CASE WHEN s_suppkey % 4 = 2 THEN s_suppkey % 9 WHEN s_suppkey % 4 = 0 THEN 10 + s_suppkey % 9 END AS weeks_of_second,
+  array_to_string(list_filter([CASE WHEN s_suppkey % 4 = 1 THEN 'missing_semesters:2' END, CASE WHEN s_suppkey % 4 = 2 THEN 'repeated_semesters:2' END, CASE WHEN s_suppkey % 4 = 2 THEN 'unordered_semesters' END,
+    'missing_fields:' || CASE WHEN s_suppkey % 5 = 0 THEN 'department,' ELSE '' END || 'audited_hours,lecture_hours,seminar_hours,lab_hours,independent_or_other_hours'], lambda x: x IS NOT NULL), ' ') AS warnings
+FROM supplier WHERE s_suppkey % 4 < 3
+""")
+def curriculum_warnings(spark, d):
+    tables, cells, _ = _tables(spark, d)
+    return curriculum.discover_schemas(tables, cells).select("document_id", "start", F.col("count").alias("n_semesters"), F.try_element_at("weeks", F.lit(2)).cast("long").alias("weeks_of_second"), F.array_join("warnings", " ").alias("warnings"))
+
+
+_ROWS = "(SELECT *, p_partkey % 40 AS s, 3 + row_number() OVER (PARTITION BY p_partkey % 40 ORDER BY p_partkey) AS r FROM part WHERE p_partkey % 40 IN (SELECT s_suppkey FROM supplier))"
+
+
+@query(f"""
+SELECT 't' || s AS table_id, CAST(r AS INTEGER) AS row_index, CASE WHEN s % 4 = 3 THEN 'unresolved_schema' ELSE 'discipline' END AS row_kind, CASE WHEN s % 4 = 3 THEN '' ELSE CAST(p_partkey AS VARCHAR) END AS code,
+  CASE WHEN s % 4 = 3 THEN '' ELSE 'part' || p_partkey || ' ' || p_type END AS name, CASE WHEN s % 4 = 3 OR s % 5 = 0 THEN '' ELSE p_brand END AS department FROM {_ROWS}
+""")
+def curriculum_word_rows(spark, d):
+    tables, cells, words = _tables(spark, d)
+    schemas = cut(curriculum.discover_schemas(tables, cells))
+    return curriculum.semantic_rows(curriculum.band_texts(tables, cells, words, schemas)).select("table_id", "row_index", "row_kind", "code", "name", "department")
+
+
+@query(f"""
+SELECT p_partkey, CAST(n AS INTEGER) AS semester, CASE WHEN n = 1 THEN CAST(p_size AS DOUBLE) END AS credits, CASE WHEN n = 1 THEN CAST(p_size * 36 AS DOUBLE) END AS hours, CASE WHEN n > 1 THEN '' WHEN p_partkey % 3 = 0 THEN 'exam' ELSE 'credit' END AS control_kinds,
+  n = 1 AS active, CASE WHEN s % 4 <> 1 OR n = 3 THEN '' WHEN n = 1 THEN 'control_reassigned_by_word_start' ELSE 'control_token_removed_from_hours' END AS notes
+FROM {_ROWS} CROSS JOIN (SELECT unnest([1, 2, 3]) AS n) WHERE s % 4 < 3 AND n <= [2, 3, 2][s % 4 + 1]
+""")
+def curriculum_word_loads(spark, d):
+    tables, cells, words = _tables(spark, d)
+    schemas = cut(curriculum.discover_schemas(tables, cells))
+    found = curriculum.disciplines(cut(curriculum.semantic_rows(curriculum.band_texts(tables, cells, words, schemas))))
+    loads = curriculum.semester_loads(found)
+    return loads.select(F.col("code").cast("long").alias("p_partkey"), "semester", "credits", "hours", F.array_join("control_kinds", ",").alias("control_kinds"), "active", F.array_join("normalization_notes", ",").alias("notes"))
+
+
+@query(f"""
+WITH r AS (SELECT *, [2, 3, 2][s % 4 + 1] AS n FROM {_ROWS} WHERE s % 4 < 3),
+b AS (
+  SELECT s, r, p_partkey, 0 AS semester, u.f AS field, u.a, u.b FROM r CROSS JOIN (VALUES ('code', 0.0, 5.0), ('name', 5.0, 10.0), ('department', 10.0, 15.0), ('total_credits', 15.0, 20.0), ('total_hours', 20.0, 25.0)) AS u(f, a, b) WHERE u.f <> 'department' OR s % 5 > 0
+  UNION ALL SELECT s, r, p_partkey, m, ['credits', 'hours', 'audited_hours', 'independent_or_other_hours', 'control'][i + 1], 50 + 50.0::DOUBLE / n * (m - 1 + i / 5.0::DOUBLE), 50 + 50.0::DOUBLE / n * (m - 1 + (i + 1) / 5.0::DOUBLE)
+  FROM r CROSS JOIN (SELECT unnest([1, 2, 3]) AS m) CROSS JOIN (SELECT unnest([0, 1, 2, 3, 4]) AS i) WHERE m <= n
+), c AS (SELECT * FROM (VALUES (0, 0.0, 5.0), (1, 5.0, 10.0), (2, 10.0, 15.0), (3, 50.0, 75.0)) AS u(c, a, b)),
+w AS (SELECT * FROM (VALUES (0, 2.0), (1, 6.5), (2, 8.5), (3, 12.0), (4, 51.0), (5, 56.0), (6, 72.0)) AS u(w, x))
+SELECT 't' || s AS table_id, CAST(r AS INTEGER) AS row_index, CAST(semester AS INTEGER) AS semester, field,
+  coalesce((SELECT string_agg('t' || s || '-' || r || '-' || c.c, ',' ORDER BY c.c) FROM c WHERE least(c.b, b.b) - greatest(c.a, b.a) > 0.1), '') AS cell_ids,
+  coalesce((SELECT string_agg('w' || p_partkey || '-' || w.w, ',' ORDER BY w.w) FROM w WHERE w.x BETWEEN b.a - 0.15 AND b.b + 0.15), '') AS word_ids
+FROM b WHERE cell_ids <> '' OR word_ids <> ''
+""")
+def curriculum_sources(spark, d):
+    tables, cells, words = _tables(spark, d)
+    schemas = cut(curriculum.discover_schemas(tables, cells))
+    return curriculum.band_sources(tables, cells, words, schemas).withColumns({c: F.array_join(c, ",") for c in ("cell_ids", "word_ids")})
+
+
+# A migration: parts under old ids, replayed under new ones, twice.
+@query("""
+SELECT 'old-' || p_partkey AS legacy_id, 'new-' || p_partkey AS canonical_id, true AS first_changed, false AS again, (SELECT count(*) FROM part) AS n_raw FROM part WHERE p_partkey % 3 > 0
+UNION ALL SELECT 'ancient-' || p_partkey, 'old-' || p_partkey, true, false, (SELECT count(*) FROM part) FROM part WHERE p_partkey % 10 = 0
+UNION ALL SELECT 'told-' || p_partkey, 'new-' || p_partkey, true, false, (SELECT count(*) FROM part) FROM part WHERE p_partkey % 7 = 0
+""")
+def migrated_snapshot(spark, d):
+    root, part = scratch(spark), t(spark, d, "part").select(F.col("p_partkey").cast("string").alias("k"), "p_name", "p_size")
+    number = F.col("k").cast("long")
+    alias = lambda where, a, b: part.where(where).select(F.lit("parts").alias("entity_type"), F.concat(F.lit(a), "k").alias("legacy_id"), F.concat(F.lit(b), "k").alias("canonical_id"))
+    old = part.select(F.concat(F.when(number % 3 == 0, "new-").otherwise("old-"), "k").alias("id"), "k", "p_name")
+    snapshots.publish(spark, root, "run-0", {"parts": old, "aliases": alias(number % 10 == 0, "ancient-", "old-")}, keys={"aliases": None})
+    go = lambda run: migration.migrate(spark, root, run, part, lambda raw: {"parts": raw.select(F.concat(F.lit("new-"), "k").alias("id"), "k", "p_name")}, {"parts": "k"}, alias(number % 7 == 0, "told-", "new-"), required=("parts",))
+    first, again = go("run-1"), go("run-2")
+    now = snapshots.active(spark, root)
+    n_raw = spark.read.parquet(f"{now}/raw").count()
+    return spark.read.parquet(f"{now}/aliases").select("legacy_id", "canonical_id", F.lit(first["changed"]).alias("first_changed"), F.lit(again["changed"] or now != first["snapshot"]).alias("again"), F.lit(n_raw).alias("n_raw"))
+
+
+# Views of the current snapshot: a session sees one snapshot until it moves on; datasets that are gone lose their view.
+@query("""
+SELECT 'before' AS phase, o_orderstatus AS status, count(*) AS n, true AS has_parts FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'meanwhile', o_orderstatus, count(*), true FROM orders GROUP BY o_orderstatus UNION ALL SELECT 'after', o_orderstatus, count(*), false FROM orders WHERE o_totalprice > 1000 GROUP BY o_orderstatus
+""")
+def snapshot_views(spark, d):
+    root, prefix = scratch(spark), "snapshot_views_"
+    orders, part = t(spark, d, "orders").withColumnRenamed("o_orderkey", "id"), t(spark, d, "part").withColumnRenamed("p_partkey", "id")
+
+    def seen(phase: str) -> DataFrame:
+        has_parts = spark.catalog.tableExists(f"{prefix}parts")
+        return cut(spark.sql(f"SELECT '{phase}' AS phase, o_orderstatus AS status, count(*) AS n FROM {prefix}orders GROUP BY o_orderstatus").withColumn("has_parts", F.lit(has_parts)))
+
+    snapshots.publish(spark, root, "run-1", {"orders": orders, "parts": part})
+    snapshots.open_views(spark, root, prefix)
+    before = seen("before")
+    snapshots.publish(spark, root, "run-2", {"orders": orders.where("o_totalprice > 1000"), "parts": part}, available={"orders"})
+    meanwhile = seen("meanwhile")
+    snapshots.open_views(spark, root, prefix)
+    return before.unionByName(meanwhile).unionByName(seen("after"))

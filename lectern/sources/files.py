@@ -51,13 +51,14 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_snapshot(spark: SparkSession, path: str, datasets: Sequence[str]) -> dict[str, DataFrame]:
-    """The datasets of a snapshot that are there."""
+    """The datasets of a snapshot that are there. One that is there and can't be read is an error."""
     found = {}
     for name in datasets:
         try:
             found[name] = spark.read.parquet(f"{path}/{name}")
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     return found
 
 
