@@ -643,7 +643,8 @@ def row_search_json(spark, d):
 
 @query("""
 WITH o AS (SELECT o_orderkey AS k, n, CASE WHEN n IS NULL THEN 'missing' ELSE 'ok' END AS status FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey), c AS (
-  SELECT 'all_manifest_references_attached' AS "check", count(*) AS n FROM o WHERE k % 31 = 0 UNION ALL SELECT 'all_referenced_files_exist', count(*) FROM o WHERE k % 31 > 0 AND k % 37 = 0
+  SELECT 'canonical_document_count_matches_manifest' AS "check", 0 AS n UNION ALL SELECT 'manifest_reference_count_matches_attached', CAST((SELECT count(*) FROM o WHERE k % 31 = 0) > 0 AS INTEGER)
+  UNION ALL SELECT 'all_manifest_references_attached' AS "check", count(*) AS n FROM o WHERE k % 31 = 0 UNION ALL SELECT 'all_referenced_files_exist', count(*) FROM o WHERE k % 31 > 0 AND k % 37 = 0
   UNION ALL SELECT 'no_invalid_or_failed_documents', count(*) FROM o WHERE status = 'missing' UNION ALL SELECT 'all_pdf_tables_detected', count(*) FROM o WHERE n IS NULL AND k % 2 = 0
   UNION ALL SELECT 'all_pdf_raw_layout_captured', count(*) FROM o WHERE k % 2 = 0 AND k % 5 = 0 UNION ALL SELECT 'source_sizes_match_metadata', count(*) FROM o WHERE k % 7 = 0
   UNION ALL SELECT 'source_hashes_match_metadata', count(*) FROM o WHERE k % 11 = 0 UNION ALL SELECT 'document_counts_match_materialized_data', count(*) FROM o WHERE k % 13 = 0

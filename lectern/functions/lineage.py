@@ -6,6 +6,7 @@ import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,3 +24,9 @@ def cut(df: DataFrame) -> DataFrame:
     """checkpoint() to the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def small(keys: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A table of keys, checkpointed, and marked for broadcast if it has at most `most` rows; a larger one is for a shuffle."""
+    kept = cut(keys)
+    return F.broadcast(kept) if kept.count() <= most else kept

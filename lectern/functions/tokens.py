@@ -67,5 +67,5 @@ def semester_headers(c: Column) -> Column:
 
 
 def table_class(columns: Column, left: Column) -> Column:
-    """curriculum (60 columns or more), calendar (25 or more), side (far right or at the very left) or other."""
-    return F.when(columns >= 60, "curriculum").when(columns >= 25, "calendar").when((left >= 700) | (left <= 10), "side").otherwise("other")
+    """What a table is by its number of columns, or by its left edge: curriculum (60 or more), calendar_schedule (25 or more), time_budget_summary (10 or fewer, or far to the right), else other."""
+    return F.when(columns >= 60, "curriculum").when(columns >= 25, "calendar_schedule").when((columns <= 10) | (left >= 700), "time_budget_summary").otherwise("other")

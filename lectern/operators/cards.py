@@ -7,11 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from lectern.functions.ids import legacy_id
 from lectern.functions.numbers import parse_decimal, parse_int
 from lectern.functions.text import bool_or_none, first_text, html_text, stripped
 from lectern.operators.project import array_or, lines
+from lectern.sources.files import write_csv
 
 _PLACE = "struct<slug:string,code:string,title:string>"
 SUMMARY = f"struct<slug:string,name:string,code:string,faculties:array<struct<slug:string,code:string,title:string,chairs:array<{_PLACE}>>>>"
@@ -115,3 +117,19 @@ def plan_manifest(cards: DataFrame, resolved: DataFrame) -> DataFrame:
     return found.select(
         identity, "local_path", "major_id", F.col("slug").alias("major_slug"), "major_code", "major_name", "program_id", "program_code", "program_name", "plan_url", "plan_status", F.col("plan_url").alias("source_url"), "resolved_url", "size", "sha256", "mime_type"
     )
+
+
+def projections(cards: DataFrame, resolved: DataFrame) -> dict[str, DataFrame]:
+    """The flat tables of cards by the names of their files."""
+    flat = lambda df: df.select(*[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, ArrayType) else F.col(f.name) for f in df.schema])
+    tables = {
+        "majors": majors(cards), "departments": departments(cards), "educational_programs": educational_programs(cards), "entrance_subjects": entrance_subjects(cards), "tuition": tuition(cards),
+        "disciplines": disciplines(cards), "historical_passing_scores": historical_scores(cards), "study_plan_files": plan_manifest(cards, resolved),
+    }
+    return {name: flat(df) for name, df in tables.items()}
+
+
+def write_dataset(cards: DataFrame, resolved: DataFrame, path: str) -> None:
+    """The eight tables of projections() as CSV folders with sorted headers, written by the tasks that hold them."""
+    for name, df in projections(cards, resolved).items():
+        write_csv(df, f"{path}/{name}.csv")

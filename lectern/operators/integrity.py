@@ -121,6 +121,12 @@ def gate(counts: DataFrame, checks: DataFrame, required: Sequence[str] = ()) ->
     return {"passed": not errors, "errors": sorted(errors), "records": {d: r.n_rows for d, r in seen.items()}}
 
 
+def metric_sums(metrics: DataFrame) -> DataFrame:
+    """One row of the sums of records, warnings, gaps, failures and duration_ms (to three decimals) over capabilities' metrics; what is null, or no column, counts as 0."""
+    there = lambda c: F.coalesce(F.sum(c), F.lit(0)) if c in metrics.columns else F.lit(0)
+    return metrics.agg(F.lit(0).alias("_none"), *[there(c).cast("long").alias(c) for c in ("records", "warnings", "gaps", "failures")], F.round(there("duration_ms").cast("double"), 3).alias("duration_ms")).drop("_none")
+
+
 def verdict(c: Column) -> Column:
     """Whether all known checks passed; null if none is known."""
     return F.bool_and(c)

@@ -183,9 +183,39 @@ def semester_loads(found: DataFrame, scope: str = "plan") -> DataFrame:
         legacy_id(scope, "semester_load", F.col("discipline_id"), F.col("semester")).alias("load_id"), "discipline_id", "document_id", "table_id", "row_index", "code", "name", "semester",
         F.element_at("weeks", F.col("semester")).alias("weeks"), any_text.alias("active"), any_number.alias("has_numeric_load"), *numeric, F.col("told").alias("control"),
         control_tokens(F.col("told")).alias("control_tokens"), control_kinds(control_tokens(F.col("told"))).alias("control_kinds"), F.col("notes").alias("normalization_notes"),
+        "page_number", legacy_id(scope, "row", F.col("table_id"), F.col("row_index")).alias("source_row_id"), F.struct(*[raw[f].alias(f) for f in SEMESTER_FIELDS]).alias("raw"),
     )
 
 
+#: The columns of loads in a CSV file, in order (fixed values).
+LOAD_COLUMNS = (
+    "id", "discipline_id", "document_id", "table_id", "page_number", "row_index", "source_row_id", "code", "name", "semester", "weeks", "active", "has_numeric_load", "credits", "hours", "audited_hours", "independent_or_other_hours",
+    "control", "control_tokens", "control_kinds", "raw", "raw_bands", "normalization_notes", "source_cell_ids", "source_word_ids",
+)
+
+
+def load_rows(loads: DataFrame, sources: DataFrame) -> DataFrame:
+    """Loads of semester_loads() as the LOAD_COLUMNS of a CSV file, with the cells and words behind each band (band_sources()). Lists and objects are JSON: raw holds each band's text, raw_bands its
+    text, cells and words; source_cell_ids and source_word_ids are those of all bands, each once, in order."""
+    key = ["table_id", "row_index", "semester"]
+    found = sources.where("semester > 0").groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("cell_ids", "word_ids")))).alias("_bands"))
+    joined = loads.join(found, key, "left")
+    none = F.array().cast("array<string>")
+    ids = lambda f, kind: F.coalesce(F.try_element_at("_bands", F.lit(f))[kind], none)
+    bands = F.struct(*[F.struct(F.col(f"raw.{f}").alias("text"), ids(f, "cell_ids").alias("cell_ids"), ids(f, "word_ids").alias("word_ids")).alias(f) for f in SEMESTER_FIELDS])
+    every = lambda kind: F.to_json(F.array_sort(F.array_distinct(F.concat(*[ids(f, kind) for f in SEMESTER_FIELDS]))))
+    made = {
+        "id": F.col("load_id"), "raw_bands": F.to_json(bands), "raw": F.to_json("raw"), "source_cell_ids": every("cell_ids"), "source_word_ids": every("word_ids"),
+        **{c: F.to_json(F.coalesce(c, none)) for c in ("control_tokens", "control_kinds", "normalization_notes")},
+    }
+    return joined.select(*[made.get(c, F.col(c)).alias(c) for c in LOAD_COLUMNS])
+
+
+def write_loads(rows: DataFrame, path: str) -> None:
+    """load_rows() as CSV files with a header, null as ""."""
+    rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LOAD_COLUMNS]).write.option("header", True).option("escape", '"').mode("overwrite").csv(path)
+
+
 def band_sources(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame, least: float = 0.1) -> DataFrame:
     """(table_id, row_index, semester, field, cell_ids, word_ids): where each band's text comes from: the row's cells that share more than `least` with it, and its words whose middle lies in it, both
     as sorted sets. semester is 0 for base fields. Bands without either are left out."""

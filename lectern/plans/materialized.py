@@ -18,8 +18,9 @@ from lectern.operators.relations import multiset_difference
 REFERENCE = ("document_id", "local_path", "program_id", "plan_url", "resolved_url")
 #: Statuses of documents that failed (fixed values).
 FAILED = ("missing", "invalid_source", "error")
+#: Names of the checks (fixed values).
 CHECKS = (
-    "all_manifest_references_attached", "all_referenced_files_exist", "no_invalid_or_failed_documents", "all_pdf_tables_detected", "all_pdf_raw_layout_captured", "source_sizes_match_metadata", "source_hashes_match_metadata",
+    "canonical_document_count_matches_manifest", "manifest_reference_count_matches_attached", "all_manifest_references_attached", "all_referenced_files_exist", "no_invalid_or_failed_documents", "all_pdf_tables_detected", "all_pdf_raw_layout_captured", "source_sizes_match_metadata", "source_hashes_match_metadata",
     "document_counts_match_materialized_data", "table_counts_match_materialized_data", "all_table_rows_and_cells_materialized", "no_unreferenced_downloads", "all_manifest_references_valid",
 )
 
@@ -50,7 +51,12 @@ def findings(sources: DataFrame, flat: dict[str, DataFrame], manifest: DataFrame
     known, there = attached.select(path.alias("path")).where("path <> ''"), files.select("path")
     empty = flat["cells"].agg(F.count("*").alias("n")).where("n = 0")
     pdf = F.col("kind") == "pdf"
+    counts = lambda left, right: left.agg(F.count("*").alias("a")).join(F.broadcast(right.agg(F.count("*").alias("b")))).where("a <> b")  # noqa: E731 - one row each
+    told = F.concat_ws(" and ", "a", "b")
+    once = manifest.where(path != "").select("document_id").distinct()
     parts = [
+        _named("canonical_document_count_matches_manifest", counts(once, sources), told),
+        _named("manifest_reference_count_matches_attached", counts(manifest, attached), told),
         _named("all_manifest_references_attached", multiset_difference(key(manifest), key(attached)), F.concat_ws("|", *REFERENCE)),
         _named("all_referenced_files_exist", known.join(there, "path", "left_anti"), "path"),
         _named("no_invalid_or_failed_documents", sources.where(F.col("status").isin(*FAILED)), "document_id"),

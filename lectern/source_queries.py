@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 from pyspark.sql.window import Window
 
-from lectern.domain_queries import scratch
+from lectern.domain_queries import _cards, scratch
+from lectern.functions import ids, tokens
 from lectern.functions.lineage import cut
-from lectern.operators import ordered
-from lectern.plans import curriculum, extraction, migration, resumable, runs, snapshots
+from lectern.operators import cards, integrity, ordered
+from lectern.plans import canonical, curriculum, extraction, migration, resumable, runs, semantic, snapshots
 from lectern.plans.snapshots import _fs
 from lectern.registry import query, t
-from lectern.sources import catalog, documents, layout
+from lectern.sources import catalog, documents, files, layout, office
 
 
 # Bounding-box XML: a document for each part, a page for each line number, a line of one to three words for each item; every third document with a doctype and a body, every third broken off.
@@ -349,3 +350,173 @@ def snapshot_views(spark, d):
     meanwhile = seen("meanwhile")
     snapshots.open_views(spark, root, prefix)
     return before.unionByName(meanwhile).unionByName(seen("after"))
+
+
+# Loads as the rows of a CSV file, read back from it.
+_LOADS = f"""
+l AS (SELECT *, [2, 3, 2][s % 4 + 1] AS k, 't' || s || '-' || r || '-3' AS cell FROM {_ROWS} CROSS JOIN (SELECT unnest([1, 2, 3]) AS n) WHERE s % 4 < 3 AND n <= [2, 3, 2][s % 4 + 1]),
+f AS (SELECT *, CASE WHEN n = 1 THEN CAST(p_size AS VARCHAR) ELSE '' END AS c, CASE WHEN n = 1 THEN CAST(p_size * 36 AS VARCHAR) WHEN n = 2 AND k = 3 THEN token ELSE '' END AS h, CASE WHEN n = 1 AND k = 2 THEN token ELSE '' END AS x
+  FROM (SELECT *, CASE WHEN p_partkey % 3 = 0 THEN 'Экз' ELSE 'Зчт' END AS token FROM l))
+"""
+
+
+@query(f"""
+WITH {_LOADS}
+SELECT CAST(p_partkey AS VARCHAR) AS code, CAST(n AS VARCHAR) AS semester, 'd' || s AS document_id, '1' AS page_number, CAST(n = 1 AS VARCHAR) AS active, CASE WHEN n = 1 THEN p_size || '.0' ELSE '' END AS credits, CASE WHEN n = 1 THEN token ELSE '' END AS control,
+  CASE WHEN n = 1 THEN '["' || token || '"]' ELSE '[]' END AS control_tokens, '{{"credits":"' || c || '","hours":"' || h || '","audited_hours":"","independent_or_other_hours":"","control":"' || x || '"}}' AS raw,
+  CASE WHEN n = 1 OR (k = 3 AND n = 2) THEN '["' || cell || '"]' ELSE '[]' END AS source_cell_ids,
+  CASE WHEN n = 1 THEN '["w' || p_partkey || '-4","w' || p_partkey || '-5"' || CASE WHEN k = 2 THEN ',"w' || p_partkey || '-6"]' ELSE ']' END WHEN n = 2 AND k = 3 THEN '["w' || p_partkey || '-6"]' ELSE '[]' END AS source_word_ids
+FROM f
+""")
+def curriculum_load_files(spark, d):
+    tables, cells, words = _tables(spark, d)
+    schemas = cut(curriculum.discover_schemas(tables, cells))
+    found = curriculum.disciplines(cut(curriculum.semantic_rows(curriculum.band_texts(tables, cells, words, schemas))))
+    at = scratch(spark)
+    curriculum.write_loads(curriculum.load_rows(curriculum.semester_loads(found), curriculum.band_sources(tables, cells, words, schemas)), at)
+    back = files.read_csv(spark, at, curriculum.LOAD_COLUMNS)
+    return back.select("code", "semester", "document_id", "page_number", "active", "credits", "control", "control_tokens", "raw", "source_cell_ids", "source_word_ids")
+
+
+# The semantic level written and read back.
+@query(f"""
+SELECT 'rows' AS dataset, count(*) AS n FROM {_ROWS} UNION ALL SELECT 'disciplines', count(*) FROM {_ROWS} WHERE s % 4 < 3
+UNION ALL SELECT 'loads', CAST(sum([2, 3, 2][s % 4 + 1]) AS BIGINT) FROM {_ROWS} WHERE s % 4 < 3 UNION ALL SELECT 'schemas', count(*) FROM supplier WHERE s_suppkey % 4 < 3
+""")
+def semantic_dataset(spark, d):
+    tables, cells, words = _tables(spark, d)
+    schemas = cut(curriculum.discover_schemas(tables, cells))
+    rows = cut(curriculum.semantic_rows(curriculum.band_texts(tables, cells, words, schemas)))
+    found, at = curriculum.disciplines(rows), scratch(spark)
+    semantic.write({"rows": rows, "disciplines": found, "loads": curriculum.semester_loads(found), "schemas": schemas}, at)
+    back = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("dataset"), "n") for name, df in files.read_snapshot(spark, at, ["rows", "disciplines", "loads", "schemas", "absent"]).items()]
+    return back[0].unionByName(back[1]).unionByName(back[2]).unionByName(back[3])
+
+
+# The eight files of cards, read back: their rows and their headers.
+@query("""
+WITH s AS (SELECT s_suppkey % 2 = 1 AS odd FROM supplier JOIN nation ON n_nationkey = s_nationkey), c AS (SELECT count(*) AS n, count(*) FILTER (WHERE odd) AS o FROM s)
+SELECT 'majors' AS file, n AS n_rows, 'code,faculty_name,id,military,n_departments,n_prices,n_requirements,name,qualification,slug' AS header FROM c UNION ALL SELECT 'departments', n, 'about,department_key,faculty,ordinal,realized_programs,slug,title' FROM c
+UNION ALL SELECT 'educational_programs', o, 'code,department,name,ordinal,places,places_raw,places_warning,plan_url,program_key,slug' FROM c UNION ALL SELECT 'entrance_subjects', 2 * n, 'is_choice,legacy_id,ordinal,point,point_raw,point_warning,slug,title' FROM c
+UNION ALL SELECT 'tuition', n, 'currency,discount,discount_raw,discount_warning,ordinal,slug,study_form,term,value,value_raw,value_warning' FROM c UNION ALL SELECT 'disciplines', 2 * n + o, 'name,owner,scope,slug' FROM c
+UNION ALL SELECT 'historical_passing_scores', o, 'count,count_raw,count_warning,department,ordinal,slug,year,year_raw,year_warning' FROM c
+UNION ALL SELECT 'study_plan_files', o, 'id,local_path,major_code,major_id,major_name,major_slug,mime_type,plan_status,plan_url,program_code,program_id,program_name,resolved_url,sha256,size,source_url' FROM c
+""")
+def card_files(spark, d):
+    resolved = t(spark, d, "nation").select(F.concat(F.lit("http://plan.example.com/"), "n_name").alias("plan_url"), F.lit("ok").alias("plan_status"), *[F.lit(None).cast("string").alias(c) for c in ("resolved_url", "local_path", "size", "sha256", "mime_type")])
+    at, names = scratch(spark), ["majors", "departments", "educational_programs", "entrance_subjects", "tuition", "disciplines", "historical_passing_scores", "study_plan_files"]
+    cards.write_dataset(_cards(spark, d), resolved, at)
+    out = None
+    for name in names:
+        back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{at}/{name}.csv")
+        one = back.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("file"), "n_rows", F.lit(",".join(back.columns)).alias("header"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# Lines of JSON, some broken off, some blank: the good ones are read.
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 10 > 0 AND o_orderkey % 7 > 0")
+def broken_lines(spark, d):
+    at, orders = scratch(spark), t(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    whole = F.to_json(F.struct("*"))
+    orders.select(F.when(F.col("o_orderkey") % 10 == 0, F.substr(whole, F.lit(1), F.lit(9))).when(F.col("o_orderkey") % 7 == 0, "  ").otherwise(whole).alias("value")).write.text(at)
+    read = files.read_jsonl(spark, at, orders.schema, bad="skip")
+    return read.unionByName(files.read_jsonl(spark, f"{at}/absent", orders.schema, missing="empty"))
+
+
+# Spreadsheets: one for each supplier, its parts as rows, its name in a merged column.
+@F.pandas_udf(BinaryType())
+def _xlsx(name: pd.Series, parts: pd.Series) -> pd.Series:
+    sheet, link = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    text = lambda at, x: f'<c r="{at}" t="inlineStr"><is><t>{x}</t></is></c>'
+
+    def write(name: str, parts: list) -> bytes:
+        rows = [f'<row r="1">{text("A1", "part")}{text("B1", " size ")}{text("C1", "supplier")}</row>']
+        rows += [f'<row r="{i}"><c r="A{i}"><v>{p["k"]}</v></c><c r="B{i}"><v>{p["s"]}</v></c>{text("C2", name) if i == 2 else ""}</row>' for i, p in enumerate(parts, 2)]
+        merged = f'<mergeCells><mergeCell ref="C2:C{len(parts) + 1}"/></mergeCells>' if len(parts) > 1 else ""
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr("xl/workbook.xml", f'<workbook xmlns="{sheet}" xmlns:r="{link}"><sheets><sheet name="Plan" sheetId="1" r:id="r1"/></sheets></workbook>')
+            z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>')
+            z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{sheet}"><sheetData>{"".join(rows)}</sheetData>{merged}</worksheet>')
+        return out.getvalue()
+
+    return pd.Series([write(*x) for x in zip(name, parts, strict=True)])
+
+
+@query("""
+SELECT s_name AS path, 'ok' AS status, CAST(1 + row_number() OVER (PARTITION BY s_suppkey ORDER BY p_partkey) AS INTEGER) AS row, CAST(p_partkey AS VARCHAR) AS part, CAST(p_size AS VARCHAR) AS size, s_name AS supplier
+FROM supplier JOIN part ON p_partkey % 50 = s_suppkey
+""")
+def spreadsheet_rows(spark, d):
+    parts = t(spark, d, "part").select((F.col("p_partkey") % 50).alias("s_suppkey"), F.struct(F.col("p_partkey").alias("k"), F.col("p_size").alias("s")).alias("p")).groupBy("s_suppkey").agg(F.array_sort(F.collect_list("p")).alias("parts"))
+    sheets = t(spark, d, "supplier").join(parts, "s_suppkey").select(F.col("s_name").alias("path"), _xlsx("s_name", "parts").alias("content"))
+    rows = office.xlsx_rows(sheets, "Plan")
+    return rows.select("path", "status", "row", *[F.col("values")[c].alias(c) for c in ("part", "size", "supplier")])
+
+
+# Identities with what distinguishes rows of one key: whole signatures.
+@query("""
+WITH k AS (SELECT *, l_partkey || '|' || l_linenumber AS b, sha256('{"l_returnflag":"' || l_returnflag || '","l_suppkey":"' || l_suppkey || '"}') AS sig FROM lineitem), n AS (
+  SELECT *, count(*) OVER (PARTITION BY b) AS n, count(*) OVER (PARTITION BY b, sig) AS same, row_number() OVER (PARTITION BY b, sig ORDER BY l_shipdate, l_extendedprice, l_orderkey, l_quantity) AS r FROM k)
+SELECT l_orderkey, l_partkey, l_linenumber, b || CASE WHEN n = 1 THEN '' WHEN same = 1 THEN '|variant:' || substr(sig, 1, 16) ELSE '|duplicate:' || r END AS source_key FROM n
+""")
+def source_key_signatures(spark, d):
+    rows = ids.source_keys(t(spark, d, "lineitem"), ["l_partkey", "l_linenumber"], ["l_suppkey", "l_returnflag"], ["l_shipdate", "l_extendedprice", "l_orderkey", "l_quantity"])
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", "source_key")
+
+
+@query("""
+WITH k AS (SELECT *, 'part|' || lower(p_brand) || '|' || p_size AS b, sha256('{"p_type":"' || p_type || '"}') AS sig FROM part), n AS (
+  SELECT *, count(*) OVER (PARTITION BY b) AS n, count(*) OVER (PARTITION BY b, sig) AS same, row_number() OVER (PARTITION BY b, sig ORDER BY p_partkey) AS r FROM k)
+SELECT p_partkey, 'shop:part:' || substr(sha1(b || CASE WHEN n = 1 THEN '' WHEN same = 1 THEN '|variant|' || sig ELSE '|duplicate|' || r END), 1, 20) AS id, 'shop:part:' || substr(sha1('part|' || p_partkey), 1, 20) AS legacy_id FROM n
+""")
+def variant_ids(spark, d):
+    return ids.variant_ids(t(spark, d, "part"), "shop", "part", ["p_brand", "p_size"], ["p_type"], ["p_partkey"], ["p_partkey"]).select("p_partkey", "id", "legacy_id")
+
+
+# Tables by their size and place, sums of metrics, checks over all rows, what an index of entities verifies, curriculum rows without a name.
+@query("SELECT p_partkey, CASE WHEN 2 * p_size >= 60 THEN 'curriculum' WHEN 2 * p_size >= 25 THEN 'calendar_schedule' WHEN 2 * p_size <= 10 OR p_retailprice >= 1000 THEN 'time_budget_summary' ELSE 'other' END AS class FROM part")
+def table_classes(spark, d):
+    return t(spark, d, "part").select("p_partkey", tokens.table_class(F.col("p_size") * 2, F.col("p_retailprice") - 300).alias("class"))
+
+
+@query("""
+WITH m AS (SELECT o_custkey, count(*) AS records, count(*) FILTER (WHERE o_orderstatus = 'F') AS failures, sum(o_totalprice) / 1000 AS ms FROM orders GROUP BY 1)
+SELECT CAST(sum(records) AS BIGINT) AS records, 0::BIGINT AS warnings, 0::BIGINT AS gaps, CAST(sum(failures) AS BIGINT) AS failures, round(sum(ms), 2) AS duration_ms FROM m
+""")
+def metric_sums(spark, d):
+    metrics = t(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("records"), F.count_if(F.col("o_orderstatus") == "F").alias("failures"), (F.sum("o_totalprice") / 1000).alias("duration_ms"))
+    return integrity.metric_sums(metrics).withColumn("duration_ms", F.round("duration_ms", 2))
+
+
+@query("SELECT o_orderstatus AS status, bool_and(o_totalprice > 2000) AS holds FROM orders GROUP BY 1 UNION ALL SELECT 'none', true")
+def checks_of_all_rows(spark, d):
+    orders = t(spark, d, "orders")
+    cheap = integrity.all_true(F.col("o_totalprice") > 2000).alias("holds")
+    return orders.groupBy(F.col("o_orderstatus").alias("status")).agg(cheap).unionByName(orders.where("o_orderkey < 0").agg(cheap).select(F.lit("none").alias("status"), "holds"))
+
+
+@query("""
+SELECT true AS all_mapped, (SELECT count(*) FROM (SELECT 1 FROM part GROUP BY lower(p_name), p_brand HAVING count(DISTINCT CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END) > 1)) = 0 AS no_ambiguous_entities, true AS passed
+UNION ALL SELECT true, true, true
+""")
+def entity_verification(spark, d):
+    part = t(spark, d, "part")
+    name = F.when(F.col("p_partkey") % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
+    rows = lambda c: part.select(F.col("p_partkey").cast("string").alias("id"), F.col("p_brand").alias("code"), c.alias("name"), F.col("p_type").alias("department"), F.col("p_size").alias("document_id"))
+    index = lambda c: integrity.entity_index(rows(c), "shop")["verification"]
+    return index(name).unionByName(index(F.col("p_name")))
+
+
+@query("SELECT CASE WHEN o_orderkey % 5 = 1 THEN 'named' ELSE o_orderstatus END AS name, count(*) AS n, round(sum(o_totalprice), 2) AS hours FROM orders WHERE o_orderkey % 5 NOT IN (2, 3, 4) GROUP BY 1")
+def curriculum_names(spark, d):
+    k, status = F.col("o_orderkey") % 5, F.col("o_orderstatus")
+    text = lambda x: F.lit(x).cast("string")
+    rows = t(spark, d, "orders").select(
+        F.col("o_custkey").cast("string").alias("curriculum_key"), F.col("o_orderkey").cast("string").alias("code"), F.when(k == 0, status).when(k == 2, "\t \u00a0").when(k == 3, "").alias("discipline"), F.when(k == 1, " named ").when(k == 4, "\n").otherwise("other").alias("name"), text("").alias("department"),
+        text("").alias("section_path"), text("1").alias("semester"), F.col("o_totalprice").cast("double").alias("total_hours"), F.lit(None).cast("double").alias("credits"), F.lit(None).cast("map<string,double>").alias("components"), F.lit(None).cast(canonical.LOADS).alias("semester_loads"),
+        F.struct(F.lit("https://example.com").alias("source_url"), F.col("o_orderkey").cast("string").alias("source_key")).alias("provenance"), "o_orderkey",
+    )
+    found = canonical.curricula(rows, "shop", ["o_orderkey"])["disciplines"]
+    return found.groupBy("name").agg(F.count("*").alias("n"), F.round(F.sum("total_hours"), 2).alias("hours"))

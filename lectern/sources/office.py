@@ -112,8 +112,8 @@ def document_cells(content: bytes) -> list[tuple[int, int, int, str]]:
     return [(table, row, column, text) for _, kind, table, row, column, text, _ in document_parts(content) if kind == "cell"]
 
 
-def _read(spark: SparkSession, path: str, schema: str, columns: list[str], parse) -> DataFrame:
-    """Rows of every file, or one row with the status for a file that can't be read."""
+def _parsed(files: DataFrame, schema: str, columns: list[str], parse) -> DataFrame:
+    """Rows of every file (path, content), or one row with the status for a file that can't be read."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -125,18 +125,27 @@ def _read(spark: SparkSession, path: str, schema: str, columns: list[str], parse
                     out.append((p, f"error: {type(e).__name__}", *[None] * len(columns)))
             yield pd.DataFrame(out, columns=["path", "status", *columns])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, f"path string, status string, {schema}")
+    return files.select("path", "content").mapInPandas(run, f"path string, status string, {schema}")
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path)
+
+
+def xlsx_rows(files: DataFrame, sheet: str | None = None) -> DataFrame:
+    """(path, status, sheet, row, values) of spreadsheets (path, content)."""
+    return _parsed(files, "sheet string, row int, values map<string,string>", ["sheet", "row", "values"], lambda content: sheet_rows(content, sheet)).withColumn("row", F.col("row").cast("int"))
 
 
 def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
-    return _read(spark, path, "sheet string, row int, values map<string,string>", ["sheet", "row", "values"], lambda content: sheet_rows(content, sheet)).withColumn("row", F.col("row").cast("int"))
+    return xlsx_rows(_files(spark, path), sheet)
 
 
 def read_docx_tables(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, "table_index int, row_index int, column_index int, text string", ["table_index", "row_index", "column_index", "text"], document_cells)
+    return _parsed(_files(spark, path), "table_index int, row_index int, column_index int, text string", ["table_index", "row_index", "column_index", "text"], document_cells)
 
 
 def read_docx(spark: SparkSession, path: str) -> DataFrame:
     """(path, status, place, kind, index, row, column, text, merged) of document_parts(), or a row with the status of a file that is empty or can't be read."""
     columns = ["place", "kind", "index", "row", "column", "text", "merged"]
-    return _read(spark, path, "place int, kind string, index int, row int, column int, text string, merged boolean", columns, document_parts)
+    return _parsed(_files(spark, path), "place int, kind string, index int, row int, column int, text string, merged boolean", columns, document_parts)

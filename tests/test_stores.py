@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.functions import numbers, text
-from lectern.operators import ordered
+from lectern.functions import ids, numbers, text, tokens
+from lectern.operators import integrity, ordered
 from lectern.plans import contracts, curriculum, extraction, migration, snapshots
 from lectern.sources import files
 
@@ -99,3 +99,58 @@ def test_examples_of_failed_checks_are_few(spark):
     documents = spark.createDataFrame([(f"d{i % 40:02d}", "ok", [], []) for i in range(80)], schema)
     found = extraction.quality(extraction.flatten(documents), examples=5)
     assert found["failed"]["duplicate_documents"] == {"n": 40, "examples": [f"d{i:02d}" for i in range(5)]}
+
+
+def test_variant_ids(spark):
+    rows = spark.createDataFrame([("A", "x", 0), ("a ", "y", 1), ("a", "y", 2), ("B", "x", 3), (None, "x", 4), ("", "z", 5)], "k string, v string, at int")
+    got = {r["at"]: r for r in ids.variant_ids(rows, "s", "kind", ["k"], ["v"], ["at"], ["at"]).collect()}
+    plain = spark.range(1).select(ids.legacy_id("s", "kind", F.lit("b")).alias("b"), ids.legacy_id("s", "kind", F.lit("a"), F.lit("duplicate"), F.lit(2)).alias("second"), ids.legacy_id("s", "kind", F.lit(5)).alias("five")).first()
+    assert (got[3].id, got[2].id, got[5].legacy_id) == (plain.b, plain.second, plain.five)
+    assert len({r.id for r in got.values()}) == 6
+
+
+def test_whole_numbers_need_no_python(spark):
+    plan = spark.range(3).select(ids.stable_id("s", "k", F.col("id"), F.col("id").cast("double")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    keyed = ids.source_keys(spark.createDataFrame([(1, 2), (1, 3), (2, 2)], "k int, v int"), ["k"], ["v"], ["v"])
+    assert "Python" not in keyed._jdf.queryExecution().executedPlan().toString()
+    assert keyed.where("source_key = '2'").count() == 1
+
+
+def test_table_class(spark):
+    rows = spark.createDataFrame([(60, 900.0), (25, 0.0), (24, 699.0), (24, 700.0), (10, 5.0), (11, 5.0), (11, None)], "n int, x double")
+    assert [r[0] for r in rows.select(tokens.table_class(F.col("n"), F.col("x"))).collect()] == ["curriculum", "calendar_schedule", "other", "time_budget_summary", "time_budget_summary", "other", "other"]
+
+
+def test_metric_sums(spark):
+    rows = spark.createDataFrame([(1, None, 0.0004), (2, 3, 1.0004)], "records int, failures int, duration_ms double")
+    assert tuple(integrity.metric_sums(rows).first()) == (3, 0, 0, 3, 1.001)
+    assert tuple(integrity.metric_sums(rows.limit(0)).first()) == (0, 0, 0, 0, 0.0)
+
+
+def test_load_rows(spark):
+    loads = spark.createDataFrame(
+        [("l1", "d1", "doc", "t", 4, "1", "n", 1, None, True, True, 2.0, None, None, None, "Э", ["Э"], None, ["note"], 7, "row", ("2", "", "", "", "Э")), ("l2", "d1", "doc", "t", 4, "1", "n", 2, 17, False, False, None, None, None, None, "", [], [], [], 7, "row", ("", "", "", "", ""))],
+        "load_id string, discipline_id string, document_id string, table_id string, row_index int, code string, name string, semester int, weeks int, active boolean, has_numeric_load boolean, credits double, hours double, audited_hours double, independent_or_other_hours double, "
+        "control string, control_tokens array<string>, control_kinds array<string>, normalization_notes array<string>, page_number int, source_row_id string, raw struct<credits:string,hours:string,audited_hours:string,independent_or_other_hours:string,control:string>",
+    )
+    sources = spark.createDataFrame([("t", 4, 1, "credits", ["c2", "c1"], ["w1"]), ("t", 4, 1, "control", ["c1"], ["w9"]), ("t", 4, 0, "name", ["c0"], ["w0"])], "table_id string, row_index int, semester int, field string, cell_ids array<string>, word_ids array<string>")
+    rows = curriculum.load_rows(loads, sources)
+    assert tuple(rows.columns) == curriculum.LOAD_COLUMNS
+    one, two = rows.orderBy("id").collect()
+    assert (one.source_cell_ids, one.source_word_ids, one.control_tokens, one.control_kinds) == ('["c1","c2"]', '["w1","w9"]', '["Э"]', "[]")
+    assert one.raw_bands.startswith('{"credits":{"text":"2","cell_ids":["c2","c1"],"word_ids":["w1"]},"hours":{"text":"","cell_ids":[],"word_ids":[]}')
+    assert (two.source_cell_ids, two.raw) == ("[]", '{"credits":"","hours":"","audited_hours":"","independent_or_other_hours":"","control":""}')
+
+
+def test_counts_of_manifest_and_documents(spark):
+    from lectern.plans import materialized
+
+    schema = "document_id string, status string, kind string, expected_size int, source_size int, expected_sha256 string, source_sha256 string, layout_text string, table_count int, row_count int, cell_count int"
+    sources = spark.createDataFrame([("d1", "ok", "docx", None, 1, None, "x", "t", None, None, None)], schema)
+    flat = {"tables": spark.createDataFrame([], "document_id string, table_id string, row_count int, column_count int"), "rows": spark.createDataFrame([], "table_id string, document_id string, row_index int"), "cells": spark.createDataFrame([], "table_id string, document_id string, row_index int")}
+    manifest = spark.createDataFrame([("d1", "a", "p", "u", None, True), ("d1", "a", "q", "u", None, True), ("d2", "b", "p", "u", None, True), ("d3", "", "p", "u", None, False)], "document_id string, local_path string, program_id string, plan_url string, resolved_url string, valid boolean")
+    found = {r.check: (r.passed, list(r.examples)) for r in materialized.validate(sources, flat, manifest, manifest.drop("valid").limit(2), spark.createDataFrame([("a",)], "path string")).collect()}
+    assert found["canonical_document_count_matches_manifest"] == (False, ["2 and 1"])
+    assert found["manifest_reference_count_matches_attached"] == (False, ["4 and 2"])
+    assert len(found) == 15
