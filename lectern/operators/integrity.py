@@ -49,6 +49,18 @@ def reconcile(declared: DataFrame, key: str, detail: DataFrame, foreign: str, me
     return joined.withColumn("class", F.when(~off, "exact").when(F.col("n_active") == 0, "unallocated").otherwise("mismatch"))
 
 
+def differences(reconciled: DataFrame, measures: Sequence[str], tolerance: float = TOLERANCE) -> Column:
+    """A map from measure to difference of reconcile()'s rows, with those beyond the tolerance only."""
+    every = F.create_map(*[x for m in measures for x in (F.lit(m), reconciled[f"diff_{m}"].cast("double"))])
+    return F.map_filter(every, lambda _, d: F.coalesce(F.abs(d) > tolerance, F.lit(False)))
+
+
+def reconciliation_examples(reconciled: DataFrame, measures: Sequence[str], order: Sequence[Column | str], most: int = 20, tolerance: float = TOLERANCE) -> DataFrame:
+    """The first `most` rows of reconcile() that don't agree, unallocated ones first, then in `order`, with their differences. A top-k, so no more than `most` rows leave a task."""
+    wrong = reconciled.withColumn("differences", differences(reconciled, measures, tolerance)).where("class <> 'exact'")
+    return wrong.orderBy(F.when(F.col("class") == "unallocated", 0).otherwise(1), *order).limit(most)
+
+
 def first_values(df: DataFrame, key: Sequence[str], value: str, most: int, alias: str = "examples") -> DataFrame:
     """(key, n, alias): the number of different values of each key, nulls left out, and the first `most` of them in order. Only these are collected."""
     once = df.where(F.col(value).isNotNull()).select(*key, value).distinct()
@@ -57,9 +69,11 @@ def first_values(df: DataFrame, key: Sequence[str], value: str, most: int, alias
     return once.groupBy(*key).agg(F.count("*").alias("n")).join(listed, list(key))
 
 
-def code_collisions(df: DataFrame, code: str, name: str, most: int = 20) -> DataFrame:
-    """(code, n_names, names): codes with several different names, and the first `most` names."""
-    return first_values(df.where(F.col(code).isNotNull() & (F.col(code) != "")), [code], name, most, "names").where("n > 1").withColumnRenamed("n", "n_names")
+def code_collisions(df: DataFrame, code: str, name: str, most: int = 20, identity: str | None = None) -> DataFrame:
+    """(code, n_names, names): codes with several different names, and the first `most` names; with `identity` also ids, the first `most` ids of their rows."""
+    coded = df.where(F.col(code).isNotNull() & (F.col(code) != ""))
+    found = first_values(coded, [code], name, most, "names").where("n > 1").withColumnRenamed("n", "n_names")
+    return found if identity is None else found.join(first_values(coded, [code], identity, most, "ids").drop("n"), code)
 
 
 def entity_key(identity: str, code: Column, name: Column, place: Column) -> tuple[Column, Column]:
@@ -81,7 +95,7 @@ def entity_index(rows: DataFrame, scope: str, most: int = 20) -> dict[str, DataF
 
     entities: id, kind, value, code, name, status, n (rows), n_documents, names (aliases), conflicts. Keys are compared after normalising, names as they are written, so an entity may have several
     names or codes: it is then ambiguous, and a conflict for each of the two. aliases: source id to entity. collisions: codes that stand for several names, with
-    the first `most` names; they are hints and merge nothing. Lists hold names and codes, a few for each entity; ids stay rows, in `aliases`.
+    the first `most` names and ids; they are hints and merge nothing. Lists hold names and codes, a few for each entity; ids stay rows, in `aliases`.
     """
     text = lambda c: stripped(F.coalesce(F.col(c), F.lit("")))
     kind, value = entity_key("id", normalize_key(text("code")), normalize_key(text("name")), normalize_key(text("department")))
@@ -96,7 +110,7 @@ def entity_index(rows: DataFrame, scope: str, most: int = 20) -> dict[str, DataF
     )
     aliases = keyed.select(F.col("id").alias("source_id"), "entity_id").join(entities.select(F.col("id").alias("entity_id"), "status"), "entity_id")
     conflicts = entities.select(F.col("id").alias("entity_id"), F.explode("conflicts").alias("c")).select("entity_id", "c.kind", "c.values")
-    collisions = code_collisions(keyed, "code", "name", most)
+    collisions = code_collisions(keyed, "code", "name", most, "id")
     counted = rows.select(F.lit(1).alias("rows"), F.lit(0).alias("mapped"), F.lit(0).alias("doubtful")).unionByName(aliases.select(F.lit(0).alias("rows"), F.lit(1).alias("mapped"), F.when(F.col("status") == "ambiguous", 1).otherwise(0).alias("doubtful")))
     sums = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counted.columns])
     verified = sums.select((F.col("rows") == F.col("mapped")).alias("all_mapped"), (F.col("doubtful") == 0).alias("no_ambiguous_entities"), (F.col("rows") == F.col("mapped")).alias("passed"))

@@ -116,9 +116,10 @@ def has_locator(provenance: str = "provenance") -> Column:
     return F.coalesce(F.col(f"{provenance}.source_url").rlike(r"(?i)^(https?://[^/\s]+|file:)"), F.lit(False)) & is_present(F.col(f"{provenance}.source_key"))
 
 
-def quality_report(records: dict[str, DataFrame], scope: str, capabilities: dict[str, bool], primary: dict[str, str], links: DataFrame | None = None, states: dict[str, str] | None = None, allow_partial: Sequence[str] = (), warnings: dict[str, Sequence[str]] | None = None) -> dict:
+def quality_report(records: dict[str, DataFrame], scope: str, capabilities: dict[str, bool], primary: dict[str, str], links: DataFrame | None = None, states: dict[str, str] | None = None, allow_partial: Sequence[str] = (), warnings: dict[str, Sequence[str]] | None = None, gaps: dict[str, Sequence[str]] | None = None, metrics: DataFrame | None = None) -> dict:
     """The verdict: a status for each capability (not_supported, failed, not_published, degraded, published), counts, checks and errors; passed if there are none. One
-    aggregate for each dataset reaches the driver."""
+    aggregate for each dataset reaches the driver. metrics (records, failures, duration_ms of each capability) are told as sums, next to the numbers of warnings and gaps; an entry for a capability
+    that isn't known is an error, as is a blank warning or gap."""
     states, errors, counts, checks = states or {}, [], {}, {"records_scoped": True, "provenance_present": True, "record_ids_unique": True, "record_ids_present": True}
     for name, df in records.items():
         located = integrity.all_true(has_locator()) if "provenance" in df.columns and name != "universities" else F.lit(True)
@@ -144,8 +145,13 @@ def quality_report(records: dict[str, DataFrame], scope: str, capabilities: dict
         else:
             statuses[name] = states.get(name, "published")
     errors += [name for name, passed in checks.items() if not passed] + ([f"{orphans} orphan links"] if orphans else [])
-    told = {k: list(v) for k, v in (warnings or {}).items()}
-    return {"passed": not errors, "errors": errors, "capability_status": statuses, "counts": counts, "checks": checks | {"orphan_links": orphans}, "warnings": sum(map(len, told.values()))}
+    told, open_ = ({k: list(v) for k, v in (x or {}).items()} for x in (warnings, gaps))
+    for kind, entries in (("warnings", told), ("gaps", open_)):
+        errors += [f"{kind} of {name}, which isn't a capability" for name in entries if name not in capabilities]
+        errors += [f"blank {kind} of {name}" for name, texts in entries.items() if any(not x.strip() for x in texts)]
+    sums = integrity.metric_sums(metrics).first().asDict() if metrics is not None else {"records": 0, "failures": 0, "duration_ms": 0.0}
+    sums |= {"warnings": sum(map(len, told.values())), "gaps": sum(map(len, open_.values()))}
+    return {"passed": not errors, "errors": errors, "capability_status": statuses, "counts": counts, "checks": checks | {"orphan_links": orphans}, "warnings": sums["warnings"], "metrics": sums}
 
 
 def unresolved_references(df: DataFrame, scope: str) -> DataFrame:

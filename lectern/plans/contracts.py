@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,21 @@ from lectern.functions.text import is_present, stripped
 LOCATORS = ("source_page", "list_api", "detail_api", "detail_page")
 
 
+#: An address of the web with a host, or of a file with a place.
+ADDRESS = r"(?i)^(https?://[^/?#\s]+|file:(//)?[^\s/]|file:/+[^\s/])"
+
+
+def has_locator(observations: Column) -> Column:
+    """Any of the source observations (an array of structs with the LOCATORS) names an address where the record can be looked up. Never null."""
+    named = lambda o: reduce(or_, [F.coalesce(stripped(o[c]).rlike(ADDRESS), F.lit(False)) for c in LOCATORS])
+    return F.coalesce(F.exists(observations, named), F.lit(False))
+
+
+def has_lineage(observations: Column) -> Column:
+    """Any of the source observations names a raw snapshot. Never null."""
+    return F.coalesce(F.exists(observations, lambda o: is_present(o["raw_snapshot_path"])), F.lit(False))
+
+
 def violations(records: DataFrame, persists_raw: bool = False) -> DataFrame:
     """(source_key, rule) of records (source_key, provenance struct with the locators, source_key and raw_snapshot_path, legacy_ids array) that break the contract of sources: a key that isn't
     empty nor repeated (named once), provenance of the same key that names an address, with a raw snapshot where the source keeps these, and legacy ids without blanks."""
@@ -17,7 +35,7 @@ def violations(records: DataFrame, persists_raw: bool = False) -> DataFrame:
     p = F.col("provenance")
     address = F.lit(False)
     for c in LOCATORS:
-        address = address | F.coalesce(p[c].rlike(r"(?i)^(https?://[^/\s]+|file:)"), F.lit(False))
+        address = address | F.coalesce(stripped(p[c]).rlike(ADDRESS), F.lit(False))
     rules = F.array_compact(
         F.array(
             F.when(key == "", "empty_source_key"),

@@ -44,6 +44,12 @@ def flatten(documents: DataFrame, scope: str = "plan") -> dict[str, DataFrame]:
     }
 
 
+def row_cells(flat: dict[str, DataFrame]) -> DataFrame:
+    """The rows with cell_ids, the ids of their cells from left to right."""
+    lists = flat["cells"].groupBy("table_id", "row_index").agg(F.transform(F.array_sort(F.collect_list(F.struct("column_index", "cell_id"))), lambda c: c["cell_id"]).alias("cell_ids"))
+    return flat["rows"].join(lists, ["table_id", "row_index"], "left").withColumn("cell_ids", F.coalesce("cell_ids", F.array().cast("array<string>")))
+
+
 def quality(flat: dict[str, DataFrame], examples: int = 20) -> dict:
     """Statuses, counts, and failed checks with up to `examples` names each; passed if none fails. A document that failed is a fact, not a failure."""
     counted = flat["rows"].groupBy("table_id").agg(F.count("*").alias("actual_rows"), F.max("cell_count").alias("actual_columns"))

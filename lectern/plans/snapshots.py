@@ -7,7 +7,7 @@ import json
 import re
 from collections.abc import Callable, Collection, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.text import stripped
@@ -152,6 +152,12 @@ def read_aliases(spark: SparkSession, snapshot: str) -> DataFrame:
     return rows.select(stripped(F.coalesce("entity_type", F.lit(""))).alias("entity_type"), "legacy_id", "canonical_id").where("legacy_id <> '' and canonical_id <> ''")
 
 
+def unexpired(entries: DataFrame, at: str, seconds: int, now: Column | None = None) -> DataFrame:
+    """Entries that aren't older than `seconds` before `now` (the time of the query). Entries without a time are kept, as nothing says that they are old."""
+    cutoff = (F.current_timestamp() if now is None else now) - F.make_dt_interval(secs=F.lit(seconds))
+    return entries.where(F.col(at).isNull() | (F.col(at) >= cutoff))
+
+
 def mark(done: DataFrame, path: str, key: str, fingerprint: str, run: int) -> None:
     """Appends finished inputs to the ledger at `path`."""
     done.select(key, fingerprint).distinct().withColumn("run", F.lit(run)).write.mode("append").parquet(path)

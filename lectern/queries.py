@@ -104,7 +104,13 @@ def html_text(spark, d):
     return t(spark, d, "pages").select("page_id", text.html_text("html").alias("text"))
 
 
-@query()
+@query(r"""
+WITH a AS (SELECT page_id, lower(regexp_extract(url, '^(https?://[^/?#]+)', 1)) AS host, html, len(regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>')) AS n FROM pages),
+l AS (SELECT page_id, host, i - 1 AS ordinal, regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a>', 1)[i] AS href, regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)[i] AS title FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM a)),
+t AS (SELECT page_id, ordinal, host || href AS address, trim(regexp_replace(title, '\s+', ' ', 'g')) AS title FROM l),
+b AS (SELECT *, row_number() OVER (PARTITION BY address ORDER BY page_id, ordinal) AS r FROM t)
+SELECT address, page_id, CAST(ordinal AS INTEGER) AS ordinal, title, regexp_extract(title, '(\d{2}\.\d{2}\.\d{2})', 1) AS code FROM b WHERE r = 1
+""")
 def page_catalog(spark, d):
     found = catalog.catalog(catalog.page_links(t(spark, d, "pages"), "page_id", "url", "html"))
     return found.select("address", "page_id", "ordinal", "title", "code")

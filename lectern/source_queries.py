@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 from pyspark.sql.window import Window
 
-from lectern.domain_queries import _cards, scratch
+from lectern.domain_queries import _LINES, _SUPPLIERS, _cards, _documents, _level, _sha, scratch
 from lectern.functions import ids, tokens
 from lectern.functions.lineage import cut
 from lectern.operators import cards, integrity, ordered
-from lectern.plans import canonical, curriculum, extraction, migration, resumable, runs, semantic, snapshots
+from lectern.plans import canonical, contracts, curriculum, entities, extraction, migration, resumable, runs, semantic, snapshots
 from lectern.plans.snapshots import _fs
 from lectern.registry import query, t
 from lectern.sources import catalog, documents, files, layout, office
@@ -520,3 +520,152 @@ def curriculum_names(spark, d):
     )
     found = canonical.curricula(rows, "shop", ["o_orderkey"])["disciplines"]
     return found.groupBy("name").agg(F.count("*").alias("n"), F.round(F.sum("total_hours"), 2).alias("hours"))
+
+
+# Reconciliation with examples: two declared totals an order, what is off and by how much.
+_TOTALS = """
+(SELECT o_orderkey, coalesce(q, 0) AS q, coalesce(n, 0) AS n, coalesce(q, 0) - CASE o_orderkey % 3 WHEN 0 THEN coalesce(q, 0) + 0.005 WHEN 1 THEN coalesce(q, 0) + 7 ELSE 1 END::DOUBLE AS dq, CASE WHEN o_orderkey % 2 = 0 THEN coalesce(n, 0) - 3.0::DOUBLE END AS dn
+FROM orders LEFT JOIN (SELECT l_orderkey, CAST(sum(l_quantity) AS DOUBLE) AS q, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey)
+"""
+
+
+def _reconciled(spark: SparkSession, d: str) -> DataFrame:
+    lines, k = t(spark, d, "lineitem"), F.col("o_orderkey")
+    sums = lines.groupBy("l_orderkey").agg(F.sum("l_quantity").cast("double").alias("x"))
+    quantity = F.coalesce("x", F.lit(0.0))
+    orders = t(spark, d, "orders").join(sums, k == F.col("l_orderkey"), "left").select("o_orderkey", F.when(k % 3 == 0, quantity + 0.005).when(k % 3 == 1, quantity + 7).otherwise(1.0).alias("hours"), F.when(k % 2 == 0, 3.0).alias("credits"))
+    return integrity.reconcile(orders, "o_orderkey", lines, "l_orderkey", {"hours": ("hours", F.col("l_quantity").cast("double")), "credits": ("credits", F.lit(1.0))}, F.col("l_quantity") > 0)
+
+
+@query(f"""
+SELECT o_orderkey, CASE WHEN n = 0 THEN 'unallocated' ELSE 'mismatch' END AS class, CASE WHEN abs(dq) > 0.01 THEN round(dq, 3) END AS hours, CASE WHEN abs(dn) > 0.01 THEN dn END AS credits
+FROM {_TOTALS} WHERE abs(dq) > 0.01 OR abs(dn) > 0.01 ORDER BY n > 0, o_orderkey LIMIT 20
+""")
+def reconcile_examples(spark, d):
+    found = integrity.reconciliation_examples(_reconciled(spark, d), ["hours", "credits"], ["o_orderkey"])
+    told = lambda m: F.round(F.try_element_at("differences", F.lit(m)), 3).alias(m)
+    return found.select("o_orderkey", "class", told("hours"), told("credits"))
+
+
+@query(f"""
+SELECT class, off, count(*) AS n FROM (SELECT CASE WHEN abs(dq) <= 0.01 AND coalesce(abs(dn), 0) <= 0.01 THEN 'exact' WHEN n = 0 THEN 'unallocated' ELSE 'mismatch' END AS class,
+  array_to_string(list_filter([CASE WHEN abs(dn) > 0.01 THEN 'credits' END, CASE WHEN abs(dq) > 0.01 THEN 'hours' END], lambda x: x IS NOT NULL), ',') AS off FROM {_TOTALS}) GROUP BY ALL
+""")
+def reconcile_differences(spark, d):
+    found = _reconciled(spark, d)
+    off = F.array_join(F.array_sort(F.map_keys(integrity.differences(found, ["hours", "credits"]))), ",")
+    return found.select("class", off.alias("off")).groupBy("class", "off").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT p_name, count(DISTINCT p_brand) AS n_names, array_to_string(list_sort(list(DISTINCT p_brand))[1:20], ',') AS names, array_to_string(list_sort(list(DISTINCT p_partkey))[1:20], ',') AS ids FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1
+""")
+def code_collision_ids(spark, d):
+    found = integrity.code_collisions(t(spark, d, "part"), "p_name", "p_brand", identity="p_partkey")
+    return found.select("p_name", "n_names", F.array_join("names", ",").alias("names"), F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+
+
+@query(f"""
+WITH r AS (SELECT *, 'plan:table:' || substr(sha1('table|' || l_orderkey || '|0'), 1, 20) AS tb FROM {_LINES})
+SELECT CAST(l_orderkey AS VARCHAR) AS document_id, CAST(i AS INTEGER) AS row_index, 'plan:cell:' || substr(sha1('cell|' || tb || '|' || i || '|0'), 1, 20) || ',plan:cell:' || substr(sha1('cell|' || tb || '|' || i || '|1'), 1, 20) AS cell_ids FROM r
+""")
+def extracted_row_cells(spark, d):
+    return extraction.row_cells(extraction.flatten(_documents(spark, d))).select("document_id", "row_index", F.array_join("cell_ids", ",").alias("cell_ids"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00' - INTERVAL 30 DAY")
+def unexpired_entries(spark, d):
+    return snapshots.unexpired(t(spark, d, "lineitem"), "l_shipdate", 30 * 86400, F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+# The semantic level in whole rows.
+def _entities(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    disciplines, loads = _level(spark, d)
+    aliases = disciplines.select(F.col("id").alias("source_id"), F.col("name").alias("entity_id"))
+    known = t(spark, d, "customer").where("c_custkey % 4 > 0").select(F.col("c_custkey").cast("string").alias("document_id"), F.concat(F.lit("https://example.com/"), "c_custkey").alias("source_url"))
+    return semantic.objects_and_links(disciplines, loads, aliases, known)
+
+
+_LOAD_ID = "l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey || ':' || CAST(l_extendedprice AS VARCHAR)"
+
+
+@query(f"""
+WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, 'discipline' AS type, o_custkey AS c FROM orders UNION ALL SELECT {_LOAD_ID}, 'semester_load', o_custkey FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey
+  UNION ALL SELECT o_orderpriority, 'discipline_entity', arg_min(o_custkey, CAST(o_orderkey AS VARCHAR)) FROM orders GROUP BY 1)
+SELECT id, type, CAST(c AS VARCHAR) AS document_id, CASE WHEN c % 4 > 0 AND c IN (SELECT c_custkey FROM customer) THEN 'https://example.com/' || c END AS source_url FROM o
+""")
+def semantic_objects(spark, d):
+    return _entities(spark, d)[0]
+
+
+@query(f"SELECT {_LOAD_ID} AS source_id, 'load_of' AS relation, CAST(l_orderkey AS VARCHAR) AS target_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'resolved_to', o_orderpriority FROM orders")
+def semantic_links(spark, d):
+    return _entities(spark, d)[1]
+
+
+@query("""
+WITH l AS (SELECT l_orderkey, string_agg(l_linenumber || ':' || CAST(CAST(l_quantity AS DOUBLE) AS VARCHAR) || ':1.0', ';' ORDER BY l_linenumber, l_quantity) AS loads FROM lineitem GROUP BY 1)
+SELECT CAST(o_orderkey AS VARCHAR) AS source_key, CAST(o_custkey AS VARCHAR) AS document_id, o_orderstatus AS code, o_orderpriority AS name, 36.0::DOUBLE AS total_hours, coalesce(loads, '') AS loads,
+  array_to_string(list_filter([CASE WHEN o_custkey % 2 > 0 THEN 'independent_or_other=1.0' END, CASE WHEN o_orderkey % 2 > 0 THEN 'lecture=1.0' END, CASE WHEN o_orderkey % 3 > 0 THEN 'seminar=' || (o_orderkey % 3) || '.0' END], lambda x: x IS NOT NULL), ',') AS components
+FROM orders LEFT JOIN l ON l_orderkey = o_orderkey
+""")
+def semantic_source_contents(spark, d):
+    rows = semantic.source_rows(*_level(spark, d))
+    load = lambda x: F.concat_ws(":", x["semester"].cast("string"), x["hours"].cast("string"), x["credits"].cast("string"))
+    parts = F.array_sort(F.transform(F.map_entries("components"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))))
+    return rows.select("source_key", "document_id", "code", "name", "total_hours", F.array_join(F.transform("semester_loads", load), ";").alias("loads"), F.array_join(parts, ",").alias("components"))
+
+
+@query(f"""
+SELECT 'card:study-plan:' || substr(sha1('study-plan|card:major:' || substr(sha1('major|' || lower(s_name)), 1, 20) || '|p' || k || '|http://plan.example.com/' || n_name), 1, 20) AS id, 'card:major:' || substr(sha1('major|' || lower(s_name)), 1, 20) AS major_id, 'p' || k AS program_id,
+  'http://plan.example.com/' || n_name AS source_url, CASE WHEN s_nationkey % 2 = 0 THEN 'files/' || n_name ELSE NULL END AS local_path, CASE WHEN s_nationkey % 2 = 0 THEN sha256(n_name) END AS sha256, CASE WHEN s_nationkey % 2 = 0 THEN 'application/pdf' END AS mime_type,
+  CASE WHEN s_nationkey % 2 = 0 THEN 'https://files.example.com/' || n_name END AS resolved_url, CASE WHEN s_nationkey % 2 = 0 THEN 'ok' ELSE 'error' END AS plan_status FROM {_SUPPLIERS} WHERE odd
+""")
+def plan_manifest_files(spark, d):
+    n = F.col("n_name")
+    resolved = t(spark, d, "nation").where("n_nationkey % 2 = 0").select(
+        F.concat(F.lit("http://plan.example.com/"), n).alias("plan_url"), F.lit("ok").alias("plan_status"), F.concat(F.lit("https://files.example.com/"), n).alias("resolved_url"), F.concat(F.lit("files/"), n).alias("local_path"), F.lit(1).alias("size"),
+        F.sha2(n, 256).alias("sha256"), F.lit("application/pdf").alias("mime_type"),
+    )
+    return cards.plan_manifest(_cards(spark, d), resolved).select("id", "major_id", "program_id", "source_url", "local_path", "sha256", "mime_type", "resolved_url", "plan_status")
+
+
+# Typed entities: programs with a department that isn't published, tuition with prices as decimals, loads of lines.
+@query(f"""
+SELECT {_sha("program", "p_partkey")} AS id, p_name AS name, '' AS code, '' AS description, {_sha("study_direction", "lower(p_type)")} AS study_direction_id, '' AS department_id, '{{"department_key":"' || p_brand || '"}}' AS unresolved, 'published' AS name_status, 'not_published' AS code_status FROM part
+""")
+def entity_programs(spark, d):
+    source = t(spark, d, "part").select(F.col("p_partkey").cast("string").alias("source_key"), F.col("p_name").alias("name"), F.col("p_type").alias("study_direction_key"), F.col("p_brand").alias("department_key"))
+    rows = entities.project("program", source, "Shop", {"programs": True, "departments": False})
+    meta = lambda c: F.element_at("field_meta", F.lit(c))["status"]
+    open_ = F.element_at(F.element_at("extensions", F.lit("Shop")), F.lit("unresolved_references"))
+    return rows.select("id", "name", "code", "description", "study_direction_id", "department_id", open_.alias("unresolved"), meta("name").alias("name_status"), meta("code").alias("code_status"))
+
+
+@query(f"""
+SELECT {_sha("tuition_option", "o_orderkey")} AS id, o_orderstatus AS study_form, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey AS DOUBLE) + 0.25 END AS value, CASE WHEN o_orderkey % 3 > 0 THEN 'published' ELSE 'not_published' END AS status,
+  CASE WHEN o_custkey % 2 = 0 THEN '' ELSE {_sha("program", "o_custkey")} END AS program_id, '' AS study_direction_id FROM orders
+""")
+def entity_tuition(spark, d):
+    k = F.col("o_orderkey")
+    value = F.when(k % 3 == 0, "on request").when(k % 3 == 1, F.concat(F.lit(" "), k, F.lit(".25\n"))).otherwise(F.concat(k, F.lit(".2500")))
+    source = t(spark, d, "orders").select(k.cast("string").alias("source_key"), F.col("o_orderstatus").alias("study_form"), value.alias("value"), F.when(F.col("o_custkey") % 2 == 0, "").otherwise(F.col("o_custkey").cast("string")).alias("program_key"))
+    rows = entities.project("tuition_option", source, "Shop")
+    return rows.select("id", "study_form", F.col("value").cast("double").alias("value"), F.element_at("field_meta", F.lit("value"))["status"].alias("status"), "program_id", "study_direction_id")
+
+
+@query(f"""
+SELECT {_sha("semester_load", "l_orderkey || '|' || l_linenumber")} AS id, {_sha("discipline", "l_orderkey")} AS discipline_id, {_sha("semester", "l_linenumber")} AS semester_id, '' AS curriculum_id, CAST(l_quantity AS DOUBLE) AS hours, NULL::DOUBLE AS credits FROM lineitem
+""")
+def entity_loads(spark, d):
+    source = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("discipline_key"), F.col("l_linenumber").alias("semester"), F.col("l_quantity").cast("double").alias("hours"))
+    return entities.project("semester_load", source, "Shop").select("id", "discipline_id", "semester_id", "curriculum_id", "hours", "credits")
+
+
+@query("SELECT o_orderkey, o_orderkey % 4 IN (0, 1) AS located, o_orderkey % 3 = 0 AS traced FROM orders")
+def provenance_predicates(spark, d):
+    k = F.col("o_orderkey")
+    observation = lambda page, file, raw: F.struct(page.alias("source_page"), F.lit("").alias("list_api"), F.lit(None).cast("string").alias("detail_api"), file.alias("detail_page"), raw.alias("raw_snapshot_path"))
+    none = F.lit(None).cast("string")
+    seen = F.array(observation(F.lit("not an address"), F.lit("file:"), F.lit("")), observation(F.when(k % 4 == 0, " HTTPS://h.example/x").otherwise("https:///x"), F.when(k % 4 == 1, F.concat(F.lit("file:///data/"), k)).otherwise(none), F.when(k % 3 == 0, F.concat(F.lit("raw/"), k)).otherwise(none)))
+    return t(spark, d, "orders").select("o_orderkey", contracts.has_locator(seen).alias("located"), contracts.has_lineage(seen).alias("traced"))

@@ -154,3 +154,58 @@ def test_counts_of_manifest_and_documents(spark):
     assert found["canonical_document_count_matches_manifest"] == (False, ["2 and 1"])
     assert found["manifest_reference_count_matches_attached"] == (False, ["4 and 2"])
     assert len(found) == 15
+
+
+def test_every_kind_of_entity(spark):
+    from lectern.plans import entities
+
+    source = spark.createDataFrame(
+        [("k", "Name", None, "3", "", "7,5", "x", "f", {"a": "1"}, ["old"], ("k", "https://h/x", None))],
+        "source_key string, name string, code string, number string, department_key string, minimum_score string, program_key string, faculty_key string, raw map<string,string>, legacy_ids array<string>, provenance struct<source_key:string,source_url:string,raw_snapshot_path:string>",
+    )
+    for kind, spec in entities.ENTITIES.items():
+        rows = entities.project(kind, source, "S")
+        assert rows.columns == ["id", "scope", *spec.values, *spec.references, *spec.always, "field_meta", "extensions", "provenance"]
+        row = rows.first()
+        assert row.id.startswith(f"university:s:{kind}:")
+        assert set(row.field_meta) == set(spec.meta)
+        assert row.extensions["S"]["legacy_ids"] == '["old"]'
+    off = entities.project("department", source, "S", {"faculties": False}).first()
+    assert (off.faculty_id, off.extensions["S"]["unresolved_references"]) == ("", '{"faculty_key":"f"}')
+    assert entities.project("teacher", source, "S", {}).first().extensions["S"].get("unresolved_references") is None
+    assert entities.project("semester", source, "S").first().number == 3
+    score = entities.project("admission_requirement", source, "S").first()
+    assert (score.minimum_score, score.field_meta["minimum_score"].status) == (None, "not_published")
+    told = source.withColumn("resolution", F.struct(F.lit(36).alias("value"), F.lit("derived").alias("status"), F.lit("m").alias("method"), F.lit(0.5).alias("confidence"), F.array(F.lit("w")).alias("warnings")))
+    hours = entities.project("discipline", told, "S").first()
+    assert (hours.total_hours, hours.field_meta["total_hours"].status, hours.field_meta["total_hours"].warnings) == (36.0, "derived", ["w"])
+    assert entities.project("program", source.limit(0), "S").count() == 0
+
+
+def test_quality_report_tells_sums_and_refuses_strangers(spark):
+    from lectern.plans import canonical
+
+    metrics = spark.createDataFrame([("a", 3, 1, 0.5), ("b", 4, 0, 0.25)], "capability string, records int, failures int, duration_ms double")
+    told = canonical.quality_report({}, "s", {"a": False}, {}, warnings={"a": ["w"]}, gaps={"a": ["g", "h"]}, metrics=metrics)
+    assert told["metrics"] == {"records": 7, "warnings": 1, "gaps": 2, "failures": 1, "duration_ms": 0.75}
+    assert told["passed"]
+    assert not canonical.quality_report({}, "s", {"a": False}, {}, warnings={"z": ["w"]})["passed"]
+    assert not canonical.quality_report({}, "s", {"a": False}, {}, gaps={"a": [" \t"]})["passed"]
+
+
+def test_rows_with_their_cells_and_old_entries(spark):
+    flat = {"rows": spark.createDataFrame([("t", 0), ("t", 1)], "table_id string, row_index int"), "cells": spark.createDataFrame([("t", 0, i, f"c{i}") for i in (2, 0, 10)], "table_id string, row_index int, column_index int, cell_id string")}
+    assert {r.row_index: r.cell_ids for r in extraction.row_cells(flat).collect()} == {0: ["c0", "c2", "c10"], 1: []}
+    entries = spark.sql("SELECT * FROM VALUES (1, timestamp'2026-01-01 00:00:00'), (2, timestamp'2026-01-01 00:00:11'), (3, null) AS e(k, at)")
+    kept = snapshots.unexpired(entries, "at", 10, F.lit("2026-01-01 00:00:20").cast("timestamp"))
+    assert {r.k for r in kept.collect()} == {2, 3}
+
+
+def test_examples_of_a_reconciliation(spark):
+    declared = spark.createDataFrame([(i, 5.0 if i % 2 else None, 1.0) for i in range(30)], "k int, a double, b double")
+    detail = spark.createDataFrame([(i, 5.0, 2.0) for i in range(10)], "f int, x double, y double")
+    found = integrity.reconcile(declared, "k", detail, "f", {"a": ("a", F.col("x")), "b": ("b", F.col("y"))}, F.col("x") > 0)
+    rows = integrity.reconciliation_examples(found, ["a", "b"], ["k"], most=22).collect()
+    assert [r.k for r in rows] == [*range(10, 30), 0, 1]
+    assert rows[0].differences == {"b": -1.0}
+    assert rows[1].differences == {"a": -5.0, "b": -1.0}
