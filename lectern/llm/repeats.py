@@ -122,13 +122,34 @@ def hashes(body) -> list:
 
 
 def placed(bits: int) -> list:
-    """at, left (bytes of the context before it), right (from it on) and done, out of one number."""
+    """at, left (bytes of the context before it), right (from it on) and done, out of one number; of a span that is done: its start, 0 and its length."""
     mask = (1 << bits) - 1
-    return [F.expr(f"cast(place >> {2 * bits + 1} as int) as at"), F.expr(f"cast((place >> {bits + 1}) & {mask} as int) as before_at"), F.expr(f"cast((place >> 1) & {mask} as int) as from_at"), F.expr("place & 1 = 1 as done")]
+    either = lambda done, open_, name: F.expr(f"cast(if(place & 1 = 1, {done}, {open_}) as int) as {name}")
+    return [either("place >> 32", f"place >> {2 * bits + 1}", "at"), either("0", f"(place >> {bits + 1}) & {mask}", "before_at"), either(f"(place >> 1) & {(1 << 31) - 1}", f"(place >> 1) & {mask}", "from_at"), F.expr("place & 1 = 1 as done")]
+
+
+def stretches(data: np.ndarray, offsets: np.ndarray, least: int, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(bytes, offsets, where they begin) of a slice: the slice itself, or stretches of one long text with `most` places each where strings of `least` bytes start. What two of them share is shorter
+    than such a string, so each string lies in one, and no context meets itself."""
+    if len(offsets) != 2 or len(data) <= most:
+        yield data, offsets, 0
+        return
+    for at in range(0, len(data) - least + 1, most):
+        part = data[at : at + most + least - 1]
+        yield part, np.array([0, len(part)]), at
+
+
+def joined_up(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of spans in order, those of a row that touch or overlap as one."""
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (low[1:] > high[:-1])
+    first = np.flatnonzero(new)
+    return row[first], low[first], high[np.append(first[1:], len(row)) - 1] if len(row) else high
 
 
 def sampled(texts: DataFrame, least: int, k: int) -> DataFrame:
-    """Anchors of all texts, ready to be dealt by `route`: route, context, h1, h2, place. Of a context met in one task over and over, only two go on; the others are known to repeat (done) and are dealt out anywhere."""
+    """Anchors of all texts, ready to be dealt by `route`: route, context, h1, h2, place. Of a context met in one task over and over, only two go on; the others are known to repeat (done): they go on as spans,
+    neighbours of a text as one, dealt out anywhere. So a text that repeats itself at every byte or few gives a row or two, not one for each."""
     bits = least.bit_length()
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,22 +160,28 @@ def sampled(texts: DataFrame, least: int, k: int) -> DataFrame:
             for i, h in enumerate(zip(h1.tolist(), h2.tolist(), strict=True)):  # a text met before gives the same rows
                 fresh[i] = h not in met
                 met.add(h)
-            data, offsets = text_buffer(batch.column(2))
-            row, at, low, high, anchor = anchors(data, offsets, least, k)
-            row, at, low, high, anchor = (x[fresh[row]] for x in (row, at, low, high, anchor))
-            context = mix(span_hashes(data, low, high) + (at - low).astype(np.uint64))
-            done = np.zeros(len(row), bool)
-            for i, c in enumerate((anchor ^ context).tolist()):
-                times = seen.get(c, 0)
-                done[i] = times >= 2
-                seen[c] = times + 1
-            if len(seen) > 1 << 16:
-                seen.clear()
+            for data, offsets, base in stretches(*text_buffer(batch.column(2)), least):
+                row, at, low, high, anchor = anchors(data, offsets, least, k)
+                row, at, low, high, anchor = (x[fresh[row]] for x in (row, at, low, high, anchor))
+                context = mix(span_hashes(data, low, high) + (at - low).astype(np.uint64))
+                done = np.zeros(len(row), bool)
+                for i, c in enumerate((anchor ^ context).tolist()):
+                    times = seen.get(c, 0)
+                    done[i] = times >= 2
+                    seen[c] = times + 1
+                begin = base - offsets[row]
+                own, start, end = joined_up(row[done], (low + begin)[done], (high + begin)[done])
+                open_ = ~done
+                place = (((at + begin << bits) + at - low) << bits) + high - at << 1
+                columns = [
+                    np.concatenate([anchor[open_], mix(h1.view(np.uint64)[own] ^ mix(start.astype(np.uint64)))]).view(np.int64), np.concatenate([context[open_], start.astype(np.uint64)]).view(np.int64),
+                    np.concatenate([h1[row[open_]], h1[own]]), np.concatenate([h2[row[open_]], h2[own]]), np.concatenate([place[open_], ((start << 31) + end - start << 1) + 1]),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["route", "context", "h1", "h2", "place"])
+                if len(seen) > 1 << 16:
+                    seen.clear()
             if len(met) > 1 << 16:
                 met.clear()
-            route = np.where(done, mix(anchor ^ h1.view(np.uint64)[row] ^ at.astype(np.uint64)), anchor)
-            place = ((((at - offsets[row] << bits) + at - low) << bits) + high - at << 1) + done
-            yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(context.view(np.int64)), pa.array(h1[row]), pa.array(h2[row]), pa.array(place)], ["route", "context", "h1", "h2", "place"])
 
     return texts.select("h1", "h2", "text").mapInArrow(sample, "route long, context long, h1 long, h2 long, place long")
 
@@ -341,7 +368,7 @@ def remove_repeats(docs: DataFrame, least: int = 200, key: str = "doc_id", text:
     Texts are UTF-8 bytes, null is empty; matches do not cross rows; the place may be in the same text, and strings may overlap.
     Strings are judged on the input. A row that repeats another counts as another place, whatever its key, which takes no part. With `whole_characters` a character
     goes only if all its bytes go, so what is left is text. An empty table gives an empty result; all columns are kept, but columns of the four names are
-    replaced. A text of more than 256 MB raises an error.
+    replaced. Long texts are sampled in stretches, and what repeats at every few bytes is one span from the start, so texts of little variety cost no more than others.
 
     Rows are told apart by 128 bits of their text, so rows with equal texts are one; such a text of `least` bytes or more goes as a whole.
     """

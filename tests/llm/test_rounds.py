@@ -12,6 +12,7 @@ import pytest
 from lectern.llm.centroids import cluster_vectors, nearest
 from lectern.llm.outliers import LEAST_SPREAD, quality_rules
 from lectern.llm.ranked import Shard, block_starts, rank_documents, search
+from lectern.llm.repeats import remove_repeats
 from lectern.llm.srs import chi_square_below, chi_square_quantile
 
 
@@ -233,3 +234,41 @@ def test_quality_rules_of_few_and_of_equal_rows(spark):
     assert [(r.base_failed, r.distance, r.kept) for r in few] == [(False, None, True), (True, None, False)]
     equal = quality_rules(spark.createDataFrame([(i, text + " more" * (i % 2), "en", "a") for i in range(40)], schema), least_points=1).collect()
     assert all(r.kept and r.distance is not None for r in equal)
+
+
+def removed(raw, least):
+    """(bytes left, runs) of a text by the definition, strings told apart by Python's hashes of a byte's window."""
+    windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), least)
+    keys = np.zeros(len(windows), np.uint64)
+    for j in range(least):
+        keys = keys * np.uint64(0x9E3779B97F4A7C15) + windows[:, j] + np.uint64(1)
+    _, where, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    edges = np.zeros(len(raw) + 1, np.int64)
+    np.add.at(edges, np.flatnonzero(counts[where] > 1), 1)
+    np.add.at(edges, np.flatnonzero(counts[where] > 1) + least, -1)
+    gone = np.cumsum(edges)[:-1] > 0
+    return int((~gone).sum()), int(np.count_nonzero(gone & ~np.append(False, gone[:-1])))
+
+
+def test_long_texts_of_little_variety_and_long_texts_in_stretches(spark):
+    rng = np.random.default_rng(4)
+    long = rng.integers(97, 123, 4_300_000).astype(np.uint8)
+    for a, b, n in ((2_097_000, 10, 400), (2_097_152 - 199, 5000, 200), (2_097_152 - 200, 9000, 199), (4_194_304 - 100, 2_000_000, 350)):
+        long[a : a + n] = long[b : b + n]
+    rows = [(1, "a" * 3_000_000), (2, "abcdefg" * 500_000 + "x"), (3, bytes(long).decode()), (4, "yyz" * 67), (5, "ab" * 101 + "c")]
+    got = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), 200).collect()}
+    assert (got[1].n_removed, got[1].n_spans) == (3_000_000, 1)
+    assert (got[2].n_removed, got[2].n_spans, bytes(got[2].kept)) == (3_500_000, 1, b"x")
+    assert (len(got[3].kept), got[3].n_spans) == removed(bytes(long), 200)
+    assert got[3].n_removed > 1000
+    assert got[4].n_removed == 0
+    assert (got[5].n_removed, bytes(got[5].kept)) == (202, b"c")
+
+
+def test_what_repeats_at_every_byte_is_a_row_or_two(spark):
+    from lectern.llm.repeats import identified, sampled
+
+    texts = spark.createDataFrame([(1, "a" * 500_000), (2, "abc" * 200_000), (3, " ".join(map(str, range(5000))))], "doc_id long, text string").coalesce(1)
+    rows = sampled(identified(texts, "text"), 200, 32)
+    plain = sampled(identified(texts.where("doc_id = 3"), "text"), 200, 32).count()
+    assert rows.count() < plain + 20
