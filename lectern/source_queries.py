@@ -19,6 +19,7 @@ from lectern.plans import canonical, contracts, curriculum, entities, extraction
 from lectern.plans.snapshots import _fs
 from lectern.registry import query, t
 from lectern.sources import catalog, documents, files, layout, office
+from lectern.streaming import ingest
 
 
 # Bounding-box XML: a document for each part, a page for each line number, a line of one to three words for each item; every third document with a doctype and a body, every third broken off.
@@ -669,3 +670,23 @@ def provenance_predicates(spark, d):
     none = F.lit(None).cast("string")
     seen = F.array(observation(F.lit("not an address"), F.lit("file:"), F.lit("")), observation(F.when(k % 4 == 0, " HTTPS://h.example/x").otherwise("https:///x"), F.when(k % 4 == 1, F.concat(F.lit("file:///data/"), k)).otherwise(none), F.when(k % 3 == 0, F.concat(F.lit("raw/"), k)).otherwise(none)))
     return t(spark, d, "orders").select("o_orderkey", contracts.has_locator(seen).alias("located"), contracts.has_lineage(seen).alias("traced"))
+
+
+# Streams: events come in two deliveries, each taken by a run that goes on from the checkpoint of the one before.
+def _streamed(spark: SparkSession, d: str, plan, batch, mode: str) -> DataFrame:
+    at, events = scratch(spark), t(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    for part in range(2):
+        events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{at}/in")
+        ingest.run_once(plan(ingest.new_rows(spark, f"{at}/in", events.schema)), f"{at}/state", batch(f"{at}/out"), mode).awaitTermination()
+    return spark.read.parquet(f"{at}/out")
+
+
+@query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def streamed_counts(spark, d):
+    return _streamed(spark, d, lambda s: ingest.windowed_counts(s, "ts", "1 hour", "1 hour", "event_type"), ingest.keep_latest, "complete").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def streamed_first_events(spark, d):
+    first = lambda s: ingest.first_per_key(s, ["user_id", "event_type"], "ts", "1000 days").select("user_id", "event_type")
+    return _streamed(spark, d, first, ingest.keep_batches, "append").select("user_id", "event_type")

@@ -27,6 +27,16 @@ def windowed_counts(stream: DataFrame, time: str, width: str, delay: str, *key:
     return grouped.select(F.col("w.start").alias("window_start"), *key, "n")
 
 
-def run_once(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    """All that is new, in batches, and then an end. `batch` must give the same result if a batch comes again."""
-    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(batch).start()
+def run_once(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
+    """All that is new, in batches, and then an end. `batch` must give the same result if a batch comes again. mode complete gives the whole result of an aggregation each time."""
+    return stream.writeStream.option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).foreachBatch(batch).start()
+
+
+def keep_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """A `batch` that writes each batch to a folder of its own under `path`, so one that comes again takes its own place."""
+    return lambda df, n: df.write.mode("overwrite").parquet(f"{path}/batch={n}")
+
+
+def keep_latest(path: str) -> Callable[[DataFrame, int], None]:
+    """A `batch` for complete results: each takes the place of the one before."""
+    return lambda df, n: df.write.mode("overwrite").parquet(path)
