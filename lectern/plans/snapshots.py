@@ -102,7 +102,7 @@ def open_views(spark: SparkSession, root: str, prefix: str = "") -> dict[str, st
     """Points this session's views <prefix><dataset> at the current snapshot and returns the snapshot's path by view name; empty before the first publication.
 
     The pointer is read once, so all views show one snapshot, whatever is published meanwhile; a snapshot's files never change, so queries under way go on as they began. Views of datasets that
-    the snapshot no longer has are dropped. A session moves on to a later snapshot when it calls this again.
+    the snapshot no longer has are dropped, where a prefix tells them from others. A session moves on to a later snapshot when it calls this again.
     """
     at = active(spark, root)
     names = datasets_of(spark, at) if at else []

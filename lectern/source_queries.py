@@ -110,14 +110,14 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 OR o_orderkey % 7 = 0 THEN 2 ELS
 def resumed_batches(spark, d):
     root = scratch(spark)
     orders = t(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
-    print_ = lambda df: df.withColumn("fingerprint", F.sha2(F.col("price").cast("string"), 256))
-    go = lambda df, n: resumable.run(spark, print_(df), root, n, lambda part: part.select("o_orderkey", "price", F.lit(n).alias("done_by")), "o_orderkey", "fingerprint", batches=4, deal=F.col("o_orderkey"))
+    stamped = lambda df: df.withColumn("fingerprint", F.sha2(F.col("price").cast("string"), 256))
+    go = lambda df, n: resumable.run(spark, stamped(df), root, n, lambda part: part.select("o_orderkey", "price", F.lit(n).alias("done_by")), "o_orderkey", "fingerprint", batches=4, deal=F.col("o_orderkey"))
     go(orders, 1)
     fs, lost = _fs(spark, f"{root}/results/00000001-1")
     fs.delete(lost, True)
     changed = orders.withColumn("price", F.col("price") + F.when(F.col("o_orderkey") % 7 == 0, 1).otherwise(0)).where("o_orderkey % 5 > 0")
     go(changed, 2)
-    return resumable.results(spark, print_(changed), root, "o_orderkey", "fingerprint").select("o_orderkey", "done_by", "price")
+    return resumable.results(spark, stamped(changed), root, "o_orderkey", "fingerprint").select("o_orderkey", "done_by", "price")
 
 
 # Catalogues: the web pages get addresses in five chains, each with three cards among what the page holds; the last page of a chain leads back to its first, one chain starts at its second page.
