@@ -6,10 +6,11 @@ row_count, column_count, x0, x1, rows array<array<struct<text,x0,x1,word_ids>>>>
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.ids import legacy_id
+from lectern.functions.text import _normalize_key
 from lectern.operators import integrity
 from lectern.operators.relations import broken
 
@@ -19,18 +20,38 @@ DOCUMENTS = (
 )
 
 
-def flatten(documents: DataFrame, scope: str = "plan") -> dict[str, DataFrame]:
-    """documents, pages, words, tables, rows and cells. Ordinals come from the places in the arrays; null rows and cells keep their place and are left out."""
+def _part_id(scope: str, kind: str, *parts: Column) -> Column:
+    """legacy_id() of parts that are in its form already: a table's _key and ordinals. So rows and cells need no Python."""
+    return F.concat(F.lit(f"{scope}:{kind}:"), F.substr(F.sha1(F.concat_ws("|", F.lit(kind), *parts)), F.lit(1), F.lit(20)))
+
+
+def _tables(documents: DataFrame, scope: str) -> DataFrame:
+    """The tables with their rows and _key, the table's id as a part of other ids."""
     tables = documents.select("document_id", F.posexplode("tables").alias("ordinal", "t")).where("t is not null")
     tables = tables.select(legacy_id(scope, "table", F.col("document_id"), F.col("t.table_index")).alias("table_id"), "document_id", "ordinal", "t.*")
-    spread = tables.select("table_id", "document_id", "page_number", "section", F.posexplode("rows").alias("row_index", "row")).where("row is not null")
-    cells = spread.select("table_id", "document_id", "page_number", "section", "row_index", F.posexplode("row").alias("column_index", "c")).where("c is not null")
-    cells = cells.select(legacy_id(scope, "cell", F.col("table_id"), F.col("row_index"), F.col("column_index")).alias("cell_id"), "table_id", "document_id", "page_number", "section", "row_index", "column_index", "c.*")
+    prefix = f"{scope}:table:"
+    # The id is a fixed prefix and hex digits: what is normalised is the prefix.
+    return tables.withColumn("_key", F.concat(F.lit(_normalize_key(prefix)), F.substr("table_id", F.lit(len(prefix) + 1))))
+
+
+def _rows(tables: DataFrame) -> DataFrame:
+    return tables.select("table_id", "document_id", "page_number", "section", "_key", F.posexplode("rows").alias("row_index", "row")).where("row is not null")
+
+
+def _told_rows(spread: DataFrame, scope: str, *more: Column) -> DataFrame:
     text = lambda i: F.coalesce(F.get("row", F.lit(i))["text"], F.lit(""))
-    rows = spread.select(
-        legacy_id(scope, "row", F.col("table_id"), F.col("row_index")).alias("row_id"), "table_id", "document_id", "page_number", "section", "row_index", text(0).alias("first_cell"), text(1).alias("second_cell"),
-        F.size(F.array_compact("row")).alias("cell_count"),
+    return spread.select(
+        _part_id(scope, "row", F.col("_key"), F.col("row_index")).alias("row_id"), "table_id", "document_id", "page_number", "section", "row_index", text(0).alias("first_cell"), text(1).alias("second_cell"),
+        F.size(F.array_compact("row")).alias("cell_count"), *more,
     )
+
+
+def flatten(documents: DataFrame, scope: str = "plan") -> dict[str, DataFrame]:
+    """documents, pages, words, tables, rows and cells. Ordinals come from the places in the arrays; null rows and cells keep their place and are left out."""
+    tables = _tables(documents, scope)
+    spread = _rows(tables)
+    cells = spread.select("table_id", "document_id", "page_number", "section", "_key", "row_index", F.posexplode("row").alias("column_index", "c")).where("c is not null")
+    cells = cells.select(_part_id(scope, "cell", F.col("_key"), F.col("row_index"), F.col("column_index")).alias("cell_id"), "table_id", "document_id", "page_number", "section", "row_index", "column_index", "c.*")
     pages = documents.select("document_id", F.explode("pages").alias("p")).select("document_id", "p.*")
     words = pages.select("document_id", "page_number", F.explode("words").alias("w")).select("document_id", "page_number", F.col("w.id").alias("word_id"), "w.text", "w.x0", "w.x1", "w.top")
     size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
@@ -38,14 +59,20 @@ def flatten(documents: DataFrame, scope: str = "plan") -> dict[str, DataFrame]:
         "documents": documents.select("document_id", "status", size("pages").alias("page_count"), size("tables").alias("table_count")),
         "pages": pages.drop("words"),
         "words": words.dropDuplicates(["document_id", "page_number", "word_id"]),
-        "tables": tables.drop("rows"),
-        "rows": rows,
+        "tables": tables.drop("rows", "_key"),
+        "rows": _told_rows(spread, scope),
         "cells": cells,
     }
 
 
+def rows_with_cells(documents: DataFrame, scope: str = "plan") -> DataFrame:
+    """The rows of flatten() with cell_ids, the ids of their cells from left to right. Each row holds its cells, so nothing is joined."""
+    named = F.transform("row", lambda c, i: F.when(c.isNotNull(), _part_id(scope, "cell", F.col("_key"), F.col("row_index"), i)))
+    return _told_rows(_rows(_tables(documents, scope)), scope, F.array_compact(named).alias("cell_ids"))
+
+
 def row_cells(flat: dict[str, DataFrame]) -> DataFrame:
-    """The rows with cell_ids, the ids of their cells from left to right."""
+    """rows_with_cells() of tables that are stored flat."""
     lists = flat["cells"].groupBy("table_id", "row_index").agg(F.transform(F.array_sort(F.collect_list(F.struct("column_index", "cell_id"))), lambda c: c["cell_id"]).alias("cell_ids"))
     return flat["rows"].join(lists, ["table_id", "row_index"], "left").withColumn("cell_ids", F.coalesce("cell_ids", F.array().cast("array<string>")))
 

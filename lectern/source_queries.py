@@ -571,7 +571,7 @@ WITH r AS (SELECT *, 'plan:table:' || substr(sha1('table|' || l_orderkey || '|0'
 SELECT CAST(l_orderkey AS VARCHAR) AS document_id, CAST(i AS INTEGER) AS row_index, 'plan:cell:' || substr(sha1('cell|' || tb || '|' || i || '|0'), 1, 20) || ',plan:cell:' || substr(sha1('cell|' || tb || '|' || i || '|1'), 1, 20) AS cell_ids FROM r
 """)
 def extracted_row_cells(spark, d):
-    return extraction.row_cells(extraction.flatten(_documents(spark, d))).select("document_id", "row_index", F.array_join("cell_ids", ",").alias("cell_ids"))
+    return extraction.rows_with_cells(_documents(spark, d)).select("document_id", "row_index", F.array_join("cell_ids", ",").alias("cell_ids"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00' - INTERVAL 30 DAY")
