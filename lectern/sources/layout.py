@@ -39,12 +39,14 @@ def _read(page: Column, number: Column) -> Column:
 
     def whole(lines: Column) -> Column:
         words = F.transform(F.flatten(lines), lambda w, n: F.struct(name(n).alias("id"), w["text"].alias("text"), w["x0"].alias("x0"), w["top"].alias("top"), w["x1"].alias("x1"), w["bottom"].alias("bottom")))
-        first = lambda i: F.aggregate(F.slice(lines, 1, i), F.lit(0), lambda s, ws: s + F.size(ws))
-        line = lambda ws, i: F.struct(
+        # The place of each line's first word, summed up once a page.
+        starts = F.aggregate(lines, F.array(F.lit(0)), lambda s, ws: F.concat(s, F.array(F.element_at(s, -1) + F.size(ws))))
+        line = lambda ws, i, first: F.struct(
             i.cast("int").alias("line_index"), F.array_join(F.transform(ws, lambda w: w["text"]), " ").alias("text"), F.array_min(F.transform(ws, lambda w: w["top"])).alias("top"),
-            F.array_max(F.transform(ws, lambda w: w["bottom"])).alias("bottom"), F.transform(F.sequence(first(i), first(i) + F.size(ws) - 1), name).alias("word_ids"),
+            F.array_max(F.transform(ws, lambda w: w["bottom"])).alias("bottom"), F.transform(ws, lambda _, n: name(first + n)).alias("word_ids"),
         )
-        return F.struct(number.cast("int").alias("page_number"), zero(page["_width"]).alias("width"), zero(page["_height"]).alias("height"), words.alias("words"), F.transform(lines, line).alias("lines"))
+        told = F.transform(F.array(starts), lambda s: F.transform(lines, lambda ws, i: line(ws, i, F.get(s, i))))[0]
+        return F.struct(number.cast("int").alias("page_number"), zero(page["_width"]).alias("width"), zero(page["_height"]).alias("height"), words.alias("words"), told.alias("lines"))
 
     return F.transform(F.array(kept), whole)[0]
 
@@ -63,11 +65,12 @@ def read_layout(documents: DataFrame, xml: str) -> DataFrame:
     return parsed.select(*[F.col(c) for c in parsed.columns if c != "_xml"], F.when(ok, "ok").otherwise("error").alias("status"), F.when(ok, read).otherwise(F.array().cast(PAGES)).alias("pages"))
 
 
+# The outer forms read a document once: explode() would add a filter on the size of its pages that parses it again.
 def layout_words(documents: DataFrame, key: str) -> DataFrame:
     """(key, page_number, word_id, text, x0, top, x1, bottom) of read_layout()."""
-    return documents.select(key, F.explode("pages").alias("p")).select(key, "p.page_number", F.explode("p.words").alias("w")).select(key, "page_number", F.col("w.id").alias("word_id"), "w.text", "w.x0", "w.top", "w.x1", "w.bottom")
+    return documents.select(key, F.explode_outer("pages").alias("p")).select(key, "p.page_number", F.explode_outer("p.words").alias("w")).where("w is not null").select(key, "page_number", F.col("w.id").alias("word_id"), "w.text", "w.x0", "w.top", "w.x1", "w.bottom")
 
 
 def layout_lines(documents: DataFrame, key: str) -> DataFrame:
     """(key, page_number, line_index, text, top, bottom, word_ids) of read_layout()."""
-    return documents.select(key, F.explode("pages").alias("p")).select(key, "p.page_number", F.explode("p.lines").alias("l")).select(key, "page_number", "l.*")
+    return documents.select(key, F.explode_outer("pages").alias("p")).select(key, "p.page_number", F.explode_outer("p.lines").alias("l")).where("l is not null").select(key, "page_number", "l.*")

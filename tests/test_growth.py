@@ -1,7 +1,8 @@
 """Plans and helpers whose cost must grow no faster than their tables."""
 
-from lectern import domain_queries
+from lectern import domain_queries, queries, source_queries
 from lectern.plans import extraction
+from lectern.sources import layout
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -29,3 +30,18 @@ def test_documents_gather_bare_keys_without_sorting(spark):
     found = domain_queries._documents(spark, SMALL)
     assert "Window" not in plan(found)
     assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_layouts_are_parsed_once_and_words_counted_once(spark):
+    found = source_queries.layout_lines(spark, SMALL)
+    assert plan(found).count("from_xml") == 1 and "slice(" not in plan(found)
+    page = lambda n: "<doc><page>" + "".join(f"<line><word>a{i}</word>{'<word>b</word>' * (i % 3)}</line>" for i in range(n)) + "</page></doc>"
+    docs = spark.createDataFrame([(1, page(40)), (2, "<doc/>"), (3, "<doc><page/></doc>")], "k long, x string")
+    lines = layout.layout_lines(layout.read_layout(docs, "x"), "k").orderBy("line_index").collect()
+    assert [w for r in lines for w in r.word_ids] == [f"word-1-{i}" for i in range(sum(1 + i % 3 for i in range(40)))]
+    assert [len(r.word_ids) for r in lines] == [1 + i % 3 for i in range(40)]
+
+
+def test_bands_are_dealt_out(spark):
+    found = queries.equal_bands(spark, SMALL)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) and plan(found).count("sequence(") == 1
