@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions import ids, numbers, text
-from lectern.functions.lineage import cut, shared_folder
+from lectern.functions.lineage import cut, shared_folder, written
 from lectern.operators import cards, integrity, ordered, project, relations
 from lectern.plans import canonical, contracts, curriculum, extraction, materialized, semantic, snapshots
 from lectern.registry import query, t
@@ -142,7 +142,7 @@ SELECT 'declared_row_counts' AS "check", count(DISTINCT l_orderkey) AS n FROM {_
 UNION ALL SELECT 'unknown_words', count(*) FROM {_LINES}
 """)
 def extraction_checks(spark, d):
-    failed = extraction.quality(extraction.flatten(_documents(spark, d)))["failed"]
+    failed = extraction.quality(extraction.flatten(written(_documents(spark, d))))["failed"]
     return spark.createDataFrame([(name, x["n"]) for name, x in failed.items()], "check string, n long")
 
 
@@ -150,7 +150,8 @@ def extraction_checks(spark, d):
 def extracted_tables(spark, d):
     tables = extraction.flatten(_documents(spark, d))["tables"]
     path = scratch(spark)
-    extraction.write({"tables": tables.unionByName(tables)}, path)
+    kept = written(tables)
+    extraction.write({"tables": kept.unionByName(kept)}, path)
     return extraction.first_tables(spark.read.parquet(f"{path}/tables")).select("document_id", "section", "row_count")
 
 
@@ -654,13 +655,14 @@ WITH o AS (SELECT o_orderkey AS k, n, CASE WHEN n IS NULL THEN 'missing' ELSE 'o
 ) SELECT "check", n = 0 AS passed, CAST(n AS BIGINT) AS n FROM c UNION ALL SELECT 'passed', bool_and(n = 0), CAST(sum(n) AS BIGINT) FROM c
 """)
 def materialized_checks(spark, d):
-    flat = extraction.flatten(_documents(spark, d))
+    flat = extraction.flatten(written(_documents(spark, d)))
     k = F.col("document_id").cast("long")
     counted = flat["documents"].join(flat["rows"].groupBy("document_id").agg(F.count("*").cast("int").alias("row_count")), "document_id", "left")
     sources = counted.select(
         "document_id", "status", F.when(k % 2 == 0, "pdf").otherwise("docx").alias("kind"), F.lit(9).alias("expected_size"), F.when(k % 7 > 0, 9).alias("source_size"), F.lit("AB").alias("expected_sha256"), F.when(k % 11 > 0, "ab").otherwise("cd").alias("source_sha256"),
         F.when(k % 5 > 0, "text").otherwise(" ").alias("layout_text"), "table_count", F.when(k % 13 == 0, -1).otherwise(F.col("row_count")).alias("row_count"), F.lit(None).cast("int").alias("cell_count"),
     )
+    sources = written(sources)
     references = sources.select("document_id", F.concat(F.lit("plans\\"), "document_id").alias("local_path"), F.lit("p").alias("program_id"), F.lit("u").alias("plan_url"), F.lit(None).cast("string").alias("resolved_url"), (k % 17 > 0).alias("valid"))
     found = sources.where(k % 37 > 0).select(F.concat(F.lit("plans/"), "document_id").alias("path"))
     return materialized.validate(sources, flat, references, references.where(k % 31 > 0).drop("valid"), found).select("check", "passed", "n")

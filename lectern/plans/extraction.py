@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.ids import legacy_id
+from lectern.functions.lineage import written
 from lectern.functions.text import _normalize_key
 from lectern.operators import integrity
 from lectern.operators.relations import broken
@@ -25,9 +26,10 @@ def _part_id(scope: str, kind: str, *parts: Column) -> Column:
     return F.concat(F.lit(f"{scope}:{kind}:"), F.substr(F.sha1(F.concat_ws("|", F.lit(kind), *parts)), F.lit(1), F.lit(20)))
 
 
+# The outer forms read an array once; posexplode() would add a filter on its size that makes it again. Null places are left out anyway.
 def _tables(documents: DataFrame, scope: str) -> DataFrame:
     """The tables with their rows and _key, the table's id as a part of other ids."""
-    tables = documents.select("document_id", F.posexplode("tables").alias("ordinal", "t")).where("t is not null")
+    tables = documents.select("document_id", F.posexplode_outer("tables").alias("ordinal", "t")).where("t is not null")
     tables = tables.select(legacy_id(scope, "table", F.col("document_id"), F.col("t.table_index")).alias("table_id"), "document_id", "ordinal", "t.*")
     prefix = f"{scope}:table:"
     # The id is a fixed prefix and hex digits: what is normalised is the prefix.
@@ -35,7 +37,7 @@ def _tables(documents: DataFrame, scope: str) -> DataFrame:
 
 
 def _rows(tables: DataFrame) -> DataFrame:
-    return tables.select("table_id", "document_id", "page_number", "section", "_key", F.posexplode("rows").alias("row_index", "row")).where("row is not null")
+    return tables.select("table_id", "document_id", "page_number", "section", "_key", F.posexplode_outer("rows").alias("row_index", "row")).where("row is not null")
 
 
 def _told_rows(spread: DataFrame, scope: str, *more: Column) -> DataFrame:
@@ -50,7 +52,7 @@ def flatten(documents: DataFrame, scope: str = "plan") -> dict[str, DataFrame]:
     """documents, pages, words, tables, rows and cells. Ordinals come from the places in the arrays; null rows and cells keep their place and are left out."""
     tables = _tables(documents, scope)
     spread = _rows(tables)
-    cells = spread.select("table_id", "document_id", "page_number", "section", "_key", "row_index", F.posexplode("row").alias("column_index", "c")).where("c is not null")
+    cells = spread.select("table_id", "document_id", "page_number", "section", "_key", "row_index", F.posexplode_outer("row").alias("column_index", "c")).where("c is not null")
     cells = cells.select(_part_id(scope, "cell", F.col("_key"), F.col("row_index"), F.col("column_index")).alias("cell_id"), "table_id", "document_id", "page_number", "section", "row_index", "column_index", "c.*")
     pages = documents.select("document_id", F.explode("pages").alias("p")).select("document_id", "p.*")
     words = pages.select("document_id", "page_number", F.explode("words").alias("w")).select("document_id", "page_number", F.col("w.id").alias("word_id"), "w.text", "w.x0", "w.x1", "w.top")
@@ -96,9 +98,9 @@ def quality(flat: dict[str, DataFrame], examples: int = 20) -> dict:
     }
     every = None
     for check, df in failed.items():
-        one = df.distinct().select(F.lit(check).alias("check"), "name")
+        one = df.select(F.lit(check).alias("check"), "name")
         every = one if every is None else every.unionByName(one)
-    found = integrity.first_values(every, ["check"], "name", examples).collect()
+    found = integrity.first_values(written(every), ["check"], "name", examples).collect()
     statuses = {r.value: r.n for r in integrity.histogram(flat["documents"], "status", "documents").collect()}
     return {"passed": not found, "statuses": statuses, "failed": {r.check: {"n": r.n, "examples": list(r.examples)} for r in found}}
 
