@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
@@ -157,12 +159,13 @@ def catalog_chain(spark, d):
 _W = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
 
 
-@F.pandas_udf(BinaryType())
-def _docx(key: pd.Series, name: pd.Series, parts: pd.Series) -> pd.Series:
+def _docx(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(local_path, content) of (local_path, key, name, parts), one document at a time."""
+
     def cell(text: str, more: str = "") -> str:
         return f"<w:tc><w:tcPr>{more}</w:tcPr><w:p><w:r><w:t>{text}</w:t></w:r></w:p></w:tc>"
 
-    def write(key: int, name: str, parts: list) -> bytes:
+    def write(key: int, name: str, parts: Iterable) -> bytes:
         rows = [f'<w:tr>{cell("items of " + name, "<w:gridSpan w:val=" + chr(34) + "2" + chr(34) + "/>")}{cell("size", "<w:vMerge w:val=" + chr(34) + "restart" + chr(34) + "/>")}</w:tr>']
         rows += [f"<w:tr>{cell(str(k))}{cell('x' + str(s))}{cell('', '<w:vMerge/>')}</w:tr>" for k, s in parts]
         table = "" if key % 7 == 1 else f"<w:tbl>{''.join(rows)}</w:tbl>"
@@ -172,7 +175,11 @@ def _docx(key: pd.Series, name: pd.Series, parts: pd.Series) -> pd.Series:
         content = out.getvalue()
         return {2: content[:60], 3: b"<!DOCTYPE html><p>", 4: b"%PDF-1.4 no reader"}.get(key % 7, content)
 
-    return pd.Series([write(*x) for x in zip(key, name, [[(p["k"], p["s"]) for p in ps] for ps in parts], strict=True)])
+    for batch in batches:
+        for i in range(batch.num_rows):
+            at, key, name, parts = (batch.column(c)[i] for c in range(4))
+            content = write(key.as_py(), name.as_py(), ((p["k"].as_py(), p["s"].as_py()) for p in parts))
+            yield pa.RecordBatch.from_arrays([pa.array([at.as_py()]), pa.array([content], pa.binary())], ["local_path", "content"])
 
 
 def _manifest(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -180,7 +187,8 @@ def _manifest(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     manifest = s.select(F.concat(F.lit("doc"), "s_suppkey").alias("document_id"), F.when(F.col("s_suppkey") % 7 != 6, F.concat(F.lit("plans\\"), "s_suppkey", F.lit(".docx"))).alias("local_path"))
     parts = t(spark, d, "part").select((F.col("p_partkey") % 50).alias("s_suppkey"), F.struct(F.col("p_partkey").alias("k"), F.col("p_size").alias("s")).alias("p")).groupBy("s_suppkey").agg(F.array_sort(F.collect_list("p")).alias("parts"))
     held = s.where("s_suppkey % 7 <> 5").join(parts, "s_suppkey", "left").withColumn("parts", F.coalesce("parts", F.array().cast("array<struct<k:bigint,s:int>>")))
-    files = held.select(F.concat(F.lit("plans/"), "s_suppkey", F.lit(".docx")).alias("local_path"), _docx("s_suppkey", "s_name", "parts").alias("content"))
+    held = held.select(F.concat(F.lit("plans/"), "s_suppkey", F.lit(".docx")).alias("local_path"), "s_suppkey", "s_name", "parts")
+    files = held.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "local_path").mapInArrow(_docx, "local_path string, content binary")
     return manifest, files.unionByName(spark.createDataFrame([("other/file.docx", b"PK\x03\x04")], "local_path string, content binary"))
 
 

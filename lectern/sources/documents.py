@@ -75,6 +75,8 @@ def extract(manifest: DataFrame, files: DataFrame, readers: Mapping[str, Callabl
                         status, error = "error", f"{type(e).__name__}: {e}"
                 yield pd.DataFrame([(at, kind, status, error, size, digest, pages, tables)], columns=["_path", "kind", "status", "error", "source_size", "source_sha256", "pages", "tables"])
 
+    # Files differ in size and a reader holds one whole, so they are dealt out by path, not gathered by their bytes.
+    found = found.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_path")
     extracted = found.mapInPandas(read, f"_path string, kind string, status string, error string, source_size long, source_sha256 string, {BODY}")
     out = asked.join(extracted, "_path", "left").drop("_path")
     none = F.col("status").isNull()

@@ -1,8 +1,10 @@
 """Plans and helpers whose cost must grow no faster than their tables."""
 
+import pyarrow as pa
+
 from lectern import domain_queries, queries, source_queries
 from lectern.plans import extraction
-from lectern.sources import layout
+from lectern.sources import layout, office
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -45,3 +47,18 @@ def test_layouts_are_parsed_once_and_words_counted_once(spark):
 def test_bands_are_dealt_out(spark):
     found = queries.equal_bands(spark, SMALL)
     assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) and plan(found).count("sequence(") == 1
+
+
+def test_documents_are_made_one_at_a_time():
+    part = pa.list_(pa.struct([("k", pa.int64()), ("s", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "b"]), pa.array([7, 8]), pa.array(["x", "y"]), pa.array([[{"k": 1, "s": 2}], []], part)], ["p", "k", "n", "l"])
+    made = list(source_queries._docx(iter([batch])))
+    assert [(b.num_rows, b.column(0)[0].as_py()) for b in made] == [(1, "a"), (1, "b")]
+    assert [c[3] for c in office.document_cells(made[0].column(1)[0].as_py())][3:] == ["1", "x2", "size"]
+
+
+def test_checks_say_the_same_of_stored_names(spark):
+    docs = domain_queries._documents(spark, SMALL)
+    failed = extraction.quality(extraction.flatten(docs), 3)["failed"]
+    names = docs.where("size(tables) > 0").selectExpr("document_id", "explode(tables[0].rows) as r").selectExpr("concat_ws(':', document_id, '1', r[1].word_ids[0]) as n")
+    assert failed["unknown_words"] == {"n": names.distinct().count(), "examples": [r.n for r in names.distinct().orderBy("n").limit(3).collect()]}
