@@ -62,7 +62,7 @@ def results(spark: SparkSession, inputs: DataFrame, root: str, key: str, fingerp
     if not done:
         return None
     entries = _entries(spark, root, done, key, fingerprint).join(inputs.select(key, fingerprint).distinct(), [key, fingerprint], "left_semi").select(key, F.col("batch").alias("_batch"))
-    rows = spark.read.option("mergeSchema", True).parquet(*[f"{root}/results/{b}" for b in done]).withColumn("_batch", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))
+    rows = spark.read.option("mergeSchema", True).parquet(*[f"{root}/results/{b}" for b in done]).withColumn("_batch", F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1))
     return rows.join(entries, [key, "_batch"]).drop("_batch")
 
 

@@ -3,7 +3,7 @@
 import pyarrow as pa
 
 from lectern import domain_queries, queries, source_queries
-from lectern.plans import extraction
+from lectern.plans import extraction, resumable
 from lectern.sources import layout, office
 
 SMALL = "/root/testdata/sf0.001"
@@ -62,3 +62,10 @@ def test_checks_say_the_same_of_stored_names(spark):
     failed = extraction.quality(extraction.flatten(docs), 3)["failed"]
     names = docs.where("size(tables) > 0").selectExpr("document_id", "explode(tables[0].rows) as r").selectExpr("concat_ws(':', document_id, '1', r[1].word_ids[0]) as n")
     assert failed["unknown_words"] == {"n": names.distinct().count(), "examples": [r.n for r in names.distinct().orderBy("n").limit(3).collect()]}
+
+
+def test_batches_are_named_without_a_pattern_per_row(spark, tmp_path):
+    inputs = spark.createDataFrame([(k, str(k)) for k in range(20)], "k long, f string")
+    assert resumable.run(spark, inputs, str(tmp_path), 1, lambda p: p.select("k"), "k", "f", batches=4) == 20
+    found = resumable.results(spark, inputs, str(tmp_path), "k", "f")
+    assert sorted(r.k for r in found.collect()) == list(range(20)) and "regexp" not in plan(found)
