@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from lectern.functions.lineage import small
-from lectern.functions.text import canonical_url, normalize_key
+from lectern.functions.text import stable_text
 
 
 #: Types whose values can be no address and hold ASCII only.
@@ -17,11 +18,10 @@ _NO_TEXT = "^(tinyint|smallint|int|bigint|float|double|decimal.*|boolean|date|ti
 
 
 def stable_part(c: Column) -> Column:
-    """Web addresses in canonical form, other values normalised; numbers as their text, null as "". Only addresses and texts beyond ASCII go to Python; a column of another type than text has neither, and
-    as its type is known when the query is planned, its plan has no Python at all."""
+    """Web addresses in canonical form, other values normalised; numbers as their text, null as "". Only addresses that aren't plain and texts beyond ASCII go to Python; a column of another type than text has
+    neither, and as its type is known when the query is planned, its plan has no Python at all."""
     text = F.coalesce(c.cast("string"), F.lit(""))
-    web = text.rlike(r"(?i)^\s*https?://")
-    return F.when(F.typeof(c).rlike(_NO_TEXT), F.lower(text)).when(web, canonical_url(F.when(web, text))).otherwise(normalize_key(F.when(~web, text)))
+    return F.when(F.typeof(c).rlike(_NO_TEXT), F.lower(text)).otherwise(stable_text(text))
 
 
 def stable_id(scope: str, kind: str, *parts: Column, prefix: str = "university") -> Column:
@@ -64,7 +64,9 @@ def source_keys(df: DataFrame, key: Sequence[str], payload: Sequence[str], posit
     their number from 1 in the order of `position`. Numbers restart for each payload, so two repeating payloads under one key
     get the same keys; `strict` adds the variant before the number and so keeps them apart.
     """
-    alone, shared = _shared(df, F.concat_ws("|", *[F.nullif(stable_part(F.col(c)), F.lit("")) for c in key]), payload, position)
+    texts = {f"_key{i}": F.coalesce(c, F.lit("")) for i, c in enumerate(key) if df.schema[c].dataType == StringType()}
+    parts = [F.col(f"_key{i}") if f"_key{i}" in texts else F.col(c) for i, c in enumerate(key)]
+    alone, shared = _shared(df.withColumns(texts), F.concat_ws("|", *[F.nullif(stable_part(c), F.lit("")) for c in parts]), payload, position)
     variant = F.concat(F.lit("|variant:"), F.substr("_payload", F.lit(1), F.lit(16)))
     repeat = F.concat(F.lit("|duplicate:"), F.col("_row").cast("string"))
     suffix = F.when(F.col("_same") == 1, variant).otherwise(F.concat(variant, repeat) if strict else repeat)

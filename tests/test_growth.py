@@ -1,8 +1,10 @@
 """Plans and helpers whose cost must grow no faster than their tables."""
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from lectern import domain_queries, queries, source_queries
+from lectern.functions import ids, text
 from lectern.plans import extraction, resumable
 from lectern.sources import layout, office
 
@@ -69,3 +71,15 @@ def test_batches_are_named_without_a_pattern_per_row(spark, tmp_path):
     assert resumable.run(spark, inputs, str(tmp_path), 1, lambda p: p.select("k"), "k", "f", batches=4) == 20
     found = resumable.results(spark, inputs, str(tmp_path), "k", "f")
     assert sorted(r.k for r in found.collect()) == list(range(20)) and "regexp" not in plan(found)
+
+
+def test_keys_send_one_column_to_python_each(spark):
+    rows = [("HTTP://Ex.com:80/A/#x",), ("https://ex.com//",), ("https://ex.com:8443/a/?b=2&a=1",), (" http://ex.com/Ж",), ("a  B",), ("A/b",), ("é",), ("x://Y z",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "c string")
+    found = df.select("c", ids.stable_part(F.col("c")).alias("k"))
+    told = lambda x: "" if x is None else text._canonical_url(x) if x.strip().lower().startswith("http") else text._normalize_key(x)
+    assert all(r.k == told(r.c) for r in found.collect())
+    assert plan(found).count("ArrowEvalPython [_stable_other(") == 1 and plan(found).count("pythonUDF1") == 0
+    assert [r[0] for r in df.select(text.canonical_url("c")).collect()] == [text._canonical_url(r[0]) for r in rows]
+    plain = df.where("c like '%Ex.com%' or c like '%//'").select("c", F.when(text.is_plain_url(F.col("c")), text.plain_url(F.col("c"))).alias("k"))
+    assert [r.k for r in plain.collect()] == ["http://ex.com/A", "https://ex.com"]
