@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.ids import source_keys, stable_id
+from lectern.functions.lineage import written
 from lectern.functions.numbers import positive_int
 from lectern.functions.text import canonical_url, first_text, is_present, stripped
 from lectern.operators import integrity, resolve
@@ -160,24 +161,33 @@ def unresolved_references(df: DataFrame, scope: str) -> DataFrame:
     return df.select("id", F.explode(F.from_json(text, "map<string,string>")).alias("field", "source_key"))
 
 
-def id_aliases(previous: DataFrame, current: DataFrame, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(aliases, conflicts), both (entity_type, legacy_id, ...): explicit legacy ids of current rows, and earlier ids of rows whose source key stayed. previous and current: entity_type,
-    id, source_key, legacy_ids (current only). One legacy id with several targets is a conflict, which a publication must refuse."""
+def _aliases(previous: DataFrame, current: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """(entity_type, legacy_id, canonical_id) of all sources of aliases, repeated ones too."""
     explicit = current.select("entity_type", F.explode("legacy_ids").alias("legacy_id"), F.col("id").alias("canonical_id"))
-    key = lambda df: df.where(is_present(F.col("source_key"))).withColumn("k", canonical_url(stripped(F.col("source_key"))))
-    moved = key(previous).select("entity_type", "k", F.col("id").alias("legacy_id")).join(key(current).select("entity_type", "k", F.col("id").alias("canonical_id")), ["entity_type", "k"]).drop("k")
+
+    def keyed(df: DataFrame, name: str) -> DataFrame:
+        there = df.where(is_present(F.col("source_key"))).select("entity_type", stripped(F.col("source_key")).alias("k"), F.col("id").alias(name))
+        return there.withColumn("k", canonical_url("k"))
+
+    moved = keyed(previous, "legacy_id").join(keyed(current, "canonical_id"), ["entity_type", "k"]).drop("k")
     every = explicit.unionByName(moved)
     if existing is not None:
         every = every.unionByName(existing.select("entity_type", "legacy_id", "canonical_id"))
-    every = every.where(is_present(F.col("legacy_id")) & is_present(F.col("canonical_id")) & (F.col("legacy_id") != F.col("canonical_id")))
-    grouped = every.groupBy("entity_type", "legacy_id").agg(F.min("canonical_id").alias("canonical_id"), F.count_distinct("canonical_id").alias("n"))
+    return every.where(is_present(F.col("legacy_id")) & is_present(F.col("canonical_id")) & (F.col("legacy_id") != F.col("canonical_id")))
+
+
+def id_aliases(previous: DataFrame, current: DataFrame, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(aliases, conflicts), both (entity_type, legacy_id, ...): explicit legacy ids of current rows, and earlier ids of rows whose source key stayed. previous and current: entity_type,
+    id, source_key, legacy_ids (current only). One legacy id with several targets is a conflict, which a publication must refuse."""
+    grouped = _aliases(previous, current, existing).groupBy("entity_type", "legacy_id").agg(F.min("canonical_id").alias("canonical_id"), F.count_distinct("canonical_id").alias("n"))
     return grouped.where("n = 1").drop("n"), grouped.where("n > 1").select("entity_type", "legacy_id", "n")
 
 
 def checked_aliases(previous: DataFrame, current: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """The aliases of id_aliases(); an error that names some conflicts, if there are any."""
-    aliases, conflicts = id_aliases(previous, current, existing)
-    some = [f"{r.entity_type} {r.legacy_id}" for r in conflicts.orderBy("entity_type", "legacy_id").limit(20).collect()]
+    """The aliases of id_aliases(); an error that names some conflicts, if there are any. Aliases are written once, and what is given back is read from there."""
+    ends = _aliases(previous, current, existing).groupBy("entity_type", "legacy_id").agg(F.min("canonical_id").alias("canonical_id"), F.max("canonical_id").alias("_last"))
+    grouped = written(ends.withColumn("_one", F.col("canonical_id") == F.col("_last")).drop("_last"))
+    some = [f"{r.entity_type} {r.legacy_id}" for r in grouped.where("not _one").orderBy("entity_type", "legacy_id").limit(20).collect()]
     if some:
         raise ValueError(f"aliases with several targets: {', '.join(some)}")
-    return aliases
+    return grouped.drop("_one")

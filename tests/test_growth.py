@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lectern import domain_queries, queries, source_queries
 from lectern.functions import ids, text
-from lectern.plans import extraction, resumable
+from lectern.plans import canonical, extraction, resumable
 from lectern.sources import layout, office
 
 SMALL = "/root/testdata/sf0.001"
@@ -83,3 +83,17 @@ def test_keys_send_one_column_to_python_each(spark):
     assert [r[0] for r in df.select(text.canonical_url("c")).collect()] == [text._canonical_url(r[0]) for r in rows]
     plain = df.where("c like '%Ex.com%' or c like '%//'").select("c", F.when(text.is_plain_url(F.col("c")), text.plain_url(F.col("c"))).alias("k"))
     assert [r.k for r in plain.collect()] == ["http://ex.com/A", "https://ex.com"]
+
+
+def test_aliases_are_made_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(canonical, "_aliases", lambda *sides: made.append(sides) or sides[0])
+    rows = spark.createDataFrame([("t", "a", "x"), ("t", "a", "x"), ("t", "b", "y")], "entity_type string, legacy_id string, canonical_id string")
+    found = canonical.checked_aliases(rows, rows)
+    assert sorted(map(tuple, found.collect())) == [("t", "a", "x"), ("t", "b", "y")] and len(made) == 1
+    assert "Aggregate" not in plan(found)
+
+
+def test_canonical_addresses_are_read_once_in_joins(spark):
+    keyed = lambda name: spark.range(3).select(text.canonical_url(F.concat(F.lit("http://h/"), "id")).alias("k"), F.col("id").alias(name))
+    assert plan(keyed("a").join(keyed("b"), "k")).count("ArrowEvalPython") == 2
