@@ -18,7 +18,7 @@ _NO_TEXT = "^(tinyint|smallint|int|bigint|float|double|decimal.*|boolean|date|ti
 
 
 def stable_part(c: Column) -> Column:
-    """Web addresses in canonical form, other values normalised; numbers as their text, null as "". Only addresses that aren't plain and texts beyond ASCII go to Python; a column of another type than text has
+    """Web addresses in canonical form, other values normalised; numbers as their text, null as "". Only addresses and texts beyond ASCII go to Python; a column of another type than text has
     neither, and as its type is known when the query is planned, its plan has no Python at all."""
     text = F.coalesce(c.cast("string"), F.lit(""))
     return F.when(F.typeof(c).rlike(_NO_TEXT), F.lower(text)).otherwise(stable_text(text))
