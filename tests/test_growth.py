@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lectern import domain_queries, queries, source_queries
 from lectern.functions import ids, text
+from lectern.operators import ordered
 from lectern.plans import canonical, extraction, resumable
 from lectern.sources import layout, office
 
@@ -97,3 +98,23 @@ def test_aliases_are_made_once(spark, monkeypatch):
 def test_canonical_addresses_are_read_once_in_joins(spark):
     keyed = lambda name: spark.range(3).select(text.canonical_url(F.concat(F.lit("http://h/"), "id")).alias("k"), F.col("id").alias(name))
     assert plan(keyed("a").join(keyed("b"), "k")).count("ArrowEvalPython") == 2
+
+
+def test_crowded_cells_are_dealt_to_several_tasks(spark):
+    n, crowded = 1200, 100
+    at = lambda i: (i * 37 % n) / 10
+    spans = [(i, i % 3 and 1, at(i), at(i) + (90.0 if i % 40 == 0 else 0.15)) for i in range(n)] + [(n, 0, 5.0, None), (n + 1, 0, 5.0, 5.05), (None, 0, 5.0, 9.0), (7, 1, 5.0, 9.0), (8, 1, 5.0, 9.0)]
+    df = spark.createDataFrame(spans, "i long, g int, left double, right double").repartition(4)
+    met = ordered.own_overlaps(df, "i", ["g"], crowded=crowded)
+    whole = [s for s in spans if s[0] is not None and s[3] is not None]
+    expected = sorted((a[1], a[0], b[0]) for a in whole for b in whole if a[1] == b[1] and a[0] < b[0] and min(a[3], b[3]) - max(a[2], b[2]) > 0.1)
+    assert sorted((r.g, r.i, r.other) for r in met.collect()) == expected
+    bands = df.where("i % 40 = 0").select("i", "left", "right")
+    points = df.select(F.col("i").alias("p"), F.col("left").alias("x"))
+    found = ordered.in_bands(points, "x", bands, crowded=crowded)
+    wide = [s for s in whole if s[0] % 40 == 0]
+    assert sorted((r.i, r.p or -1) for r in found.collect()) == sorted((b[0], p[0] or -1) for b in wide for p in spans if b[2] - 0.15 <= p[2] <= b[3] + 0.15)
+    for pairs, most in ((met, len(expected)), (found, found.count())):
+        per_task = [r["n"] for r in pairs.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert len(per_task) == 4 and max(per_task) < 0.6 * most
+    assert sorted(tuple(r) for r in met.collect()) == sorted(tuple(r) for r in ordered.own_overlaps(df, "i", ["g"]).collect())
