@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.ids import legacy_id
-from lectern.functions.numbers import first_number
+from lectern.functions.lineage import written
+from lectern.functions.numbers import first_number, overlap
 from lectern.functions.text import clean
 from lectern.functions.tokens import CONTROL_PATTERN, control_kinds, control_tokens, part_type, row_kind, semester_headers
-from lectern.operators.ordered import carry_forward, first_present, gaps, in_bands, overlapping, section_path, steps_back
+from lectern.operators.ordered import carry_forward, first_present, gaps, section_path, steps_back
 
 HEADER_ROWS = 4
 SLACK = 0.15
@@ -45,6 +46,7 @@ def discover_schemas(tables: DataFrame, cells: DataFrame) -> DataFrame:
     semester (of repeated ones the last in order), spans a map from field to (left, right) in 0..1. warnings tell of semesters that are missing, repeated or out of order, and of fields without a heading."""
     ours = tables.where("section = 'curriculum'").select("table_id", "document_id", "ordinal", F.col("x0").alias("t0"), F.col("x1").alias("t1"))
     head = cells.where(F.col("row_index") < HEADER_ROWS).select("table_id", "row_index", "text", "x0", "x1").join(ours, "table_id").withColumn("h", F.lower(clean(F.col("text"))))
+    head = written(head)  # few rows, read six times
     box = head.groupBy("table_id").agg(
         F.coalesce(F.first("t0"), F.min("x0"), F.lit(0.0)).alias("left"), F.coalesce(F.first("t1"), F.max("x1"), F.lit(1.0)).alias("right")
     ).select("table_id", "left", F.greatest(F.col("right") - F.col("left"), F.lit(1.0)).alias("width"))
@@ -82,45 +84,44 @@ def _bands(schemas: DataFrame) -> DataFrame:
     return base.unionByName(fields.select("document_id", "semester", "field", left.alias("left"), (left + F.col("w") / parts).alias("right")))
 
 
-def _placed(tables: DataFrame, cells: DataFrame, schemas: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The cells of data rows, the rows with their width, and each row's bands where they lie."""
+def placed(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The cells of data rows, the rows with their width, each row's bands where they lie, and each row's words. All but the rows are written once, as band_texts() and band_sources() read them several times."""
     ours = tables.where("section = 'curriculum'").select("table_id", "document_id", "page_number", "ordinal", F.col("x0").alias("t0"), F.col("x1").alias("t1"))
     own = cells.select("table_id", "row_index", "column_index", "cell_id", "text", "x0", "x1", "word_ids")
-    data = own.where(F.col("row_index") >= HEADER_ROWS).join(ours, "table_id")
+    data = written(own.where(F.col("row_index") >= HEADER_ROWS).join(ours, "table_id"))
     key = ["table_id", "row_index"]
     rows = data.groupBy(*key, "document_id", "page_number", "ordinal").agg(
         F.coalesce(F.first("t0"), F.min("x0"), F.lit(0.0)).alias("a"), F.coalesce(F.first("t1"), F.max("x1"), F.lit(1.0)).alias("b"),
         F.transform(F.array_sort(F.collect_list(F.struct("column_index", "cell_id"))), lambda c: c["cell_id"]).alias("cell_ids"),
     ).withColumn("width", F.greatest(F.col("b") - F.col("a"), F.lit(1.0)))
-    bands = _bands(schemas)
-    placed = rows.join(bands, "document_id").select(*key, "document_id", "semester", "field", (F.col("a") + F.col("left") * F.col("width")).alias("left"), (F.col("a") + F.col("right") * F.col("width")).alias("right"))
-    return data, rows, placed
+    at = rows.select(*key, "document_id", "a", "width").join(_bands(schemas), "document_id")
+    bands = written(at.select(*key, "document_id", "semester", "field", (F.col("a") + F.col("left") * F.col("width")).alias("left"), (F.col("a") + F.col("right") * F.col("width")).alias("right")))
+    named = data.select(*key, "document_id", "page_number", F.explode("word_ids").alias("word_id")).distinct()
+    found = named.join(words.dropDuplicates(["document_id", "page_number", "word_id"]), ["document_id", "page_number", "word_id"])
+    return data, rows, bands, written(found)
 
 
-def band_texts(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame) -> DataFrame:
+def band_texts(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame, parts: tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """(table_id, row_index, document_id, ordinal, page_number, base, bands, cell_ids, control): per row a map from base field to its text, one from
     semester to a map of its fields' texts, and (semester, token) of control words by their left edge.
 
-    A word belongs to every band that holds its middle within the slack. Cell texts stand in only for rows without words.
+    A word belongs to every band that holds its middle within the slack. Cell texts stand in only for rows without words. `parts`: placed() of the same tables, if it is there.
     """
     key = ["table_id", "row_index"]
-    data, rows, placed = _placed(tables, cells, schemas)
-    named = data.select(*key, "document_id", "page_number", F.explode("word_ids").alias("word_id")).distinct()
-    found = named.join(words.dropDuplicates(["document_id", "page_number", "word_id"]), ["document_id", "page_number", "word_id"])
+    data, rows, placed_bands, found = parts or placed(tables, cells, words, schemas)
     middle = (F.col("x0") + F.col("x1")) / 2
     inside = (middle >= F.col("left") - SLACK) & (middle <= F.col("right") + SLACK)
-    by_words = found.select(*key, "word_id", "text", "x0", "x1", "top").join(placed, key).where(inside)
+    by_words = found.select(*key, "word_id", "text", "x0", "x1", "top").join(placed_bands, key).where(inside)
     joined = lambda *order: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "text"))), lambda x: x["text"]), " ")
     texts = by_words.groupBy(*key, "semester", "field").agg(clean(joined("top", "x0", "word_id")).alias("text"))
     wordless = data.join(found.select(*key).distinct(), key, "left_anti").where("x0 is not null").where(clean(F.col("text")) != "")
-    by_cells = wordless.select(*key, "column_index", "text", "x0", "x1").join(placed, key).where(inside)
+    by_cells = wordless.select(*key, "column_index", "text", "x0", "x1").join(placed_bands, key).where(inside)
     texts = texts.unionByName(by_cells.groupBy(*key, "semester", "field").agg(clean(joined("column_index")).alias("text")))
-    entries = lambda c: F.map_from_entries(F.collect_list(F.struct("field", c)))
-    base = texts.where("semester = 0").groupBy(*key).agg(entries("text").alias("base"))
-    of_semester = texts.where("semester > 0").groupBy(*key, "semester").agg(entries("text").alias("fields"))
-    semesters = of_semester.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("semester", "fields"))).alias("bands"))
-    control_bands = placed.where("field = 'control'").select(*key, "semester", "left", "right")
-    first_band = placed.where("semester = 1 and field = 'credits'").select(*key, F.col("left").alias("begin"))
+    of_semester = texts.groupBy(*key, "semester").agg(F.map_from_entries(F.collect_list(F.struct("field", "text"))).alias("fields"))
+    listed = F.collect_list(F.when(F.col("semester") > 0, F.struct("semester", "fields")))
+    both = of_semester.groupBy(*key).agg(F.first(F.when(F.col("semester") == 0, F.col("fields")), ignorenulls=True).alias("base"), F.when(F.size(listed) > 0, F.map_from_entries(listed)).alias("bands"))
+    control_bands = placed_bands.where("field = 'control'").select(*key, "semester", "left", "right")
+    first_band = placed_bands.where("semester = 1 and field = 'credits'").select(*key, F.col("left").alias("begin"))
     tokens = found.withColumn("tokens", control_tokens(F.col("text"))).where("size(tokens) > 0").join(first_band, key).where("x0 >= begin - 1.0")
     away = F.when((F.col("x0") >= F.col("left")) & (F.col("x0") <= F.col("right")), 0.0).otherwise(F.least(F.abs(F.col("x0") - F.col("left")), F.abs(F.col("x0") - F.col("right"))))
     nearest = tokens.select(*key, "word_id", "tokens", "x0", "top").join(control_bands, key).groupBy(*key, "word_id").agg(
@@ -128,7 +129,7 @@ def band_texts(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: D
     )
     control = nearest.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("semester", "top", "x0", "tokens"))).alias("control"))
     has_words = found.select(*key).distinct().withColumn("has_words", F.lit(True))
-    out = rows.select(*key, "document_id", "page_number", "ordinal", "cell_ids").join(base, key, "left").join(semesters, key, "left").join(control, key, "left").join(has_words, key, "left")
+    out = rows.select(*key, "document_id", "page_number", "ordinal", "cell_ids").join(both, key, "left").join(control, key, "left").join(has_words, key, "left")
     return out.join(schemas.select("document_id", "count", "weeks"), "document_id", "left").withColumn("has_words", F.coalesce("has_words", F.lit(False)))
 
 
@@ -162,27 +163,30 @@ def semester_loads(found: DataFrame, scope: str = "plan") -> DataFrame:
     """A row for each discipline and semester: numbers of its bands (without control tokens), control tokens by the words' left edges, what they mean, whether anything
     (active) or any number (has_numeric_load) is there, and notes on what was moved."""
     each = found.withColumn("semester", F.explode(F.sequence(F.lit(1), "count"))).withColumn("raw", F.element_at("bands", F.col("semester")))
-    raw = {f: F.coalesce(F.element_at("raw", F.lit(f)), F.lit("")) for f in SEMESTER_FIELDS}
+    # Texts and what is left of them without tokens are columns, so that they are made once.
+    each = each.withColumns({f"_raw_{f}": F.coalesce(F.element_at("raw", F.lit(f)), F.lit("")) for f in SEMESTER_FIELDS})
+    each = each.withColumns({f"_bare_{f}": _without_tokens(F.col(f"_raw_{f}")) for f in SEMESTER_FIELDS})
+    raw, bare = ({f: F.col(f"_{kind}_{f}") for f in SEMESTER_FIELDS} for kind in ("raw", "bare"))
     numeric = SEMESTER_FIELDS[:-1]
     none = F.array().cast("array<string>")
     words = F.flatten(F.transform(F.filter(F.coalesce("control", F.array().cast("array<struct<semester:int,top:double,x0:double,tokens:array<string>>>")), lambda w: w["semester"] == F.col("semester")), lambda w: w["tokens"]))
     each = each.withColumn("assigned", control_tokens(F.array_join(words, " ")))
-    told = F.when(F.col("has_words"), clean(F.concat_ws(" ", F.nullif(_without_tokens(raw["control"]), F.lit("")), F.array_join("assigned", " ")))).otherwise(raw["control"])
+    told = F.when(F.col("has_words"), clean(F.concat_ws(" ", F.nullif(bare["control"], F.lit("")), F.array_join("assigned", " ")))).otherwise(raw["control"])
     low = lambda a: F.array_sort(F.transform(a, F.lower))
     in_numbers = F.array_join(F.array(*[raw[f] for f in numeric]), " ")
     moved = (F.size("assigned") > 0) & ((low(control_tokens(raw["control"])) != low(F.col("assigned"))) | (F.size(control_tokens(in_numbers)) > 0))
     notes = F.concat(
-        F.array_compact(F.array(*[F.when(_without_tokens(raw[f]) != raw[f], F.lit(f"control_token_removed_from_{f}")) for f in numeric])),
+        F.array_compact(F.array(*[F.when(bare[f] != raw[f], F.lit(f"control_token_removed_from_{f}")) for f in numeric])),
         F.when(moved, F.array(F.lit("control_reassigned_by_word_start"))).otherwise(none),
     )
-    out = each.withColumns({"told": told, "notes": notes}).withColumns({f: first_number(_without_tokens(raw[f])) for f in numeric})
+    out = each.withColumns({"told": told, "notes": notes}).withColumn("told_tokens", control_tokens(F.col("told"))).withColumns({f: first_number(bare[f]) for f in numeric})
     any_number, any_text = F.lit(False), F.col("told") != ""
     for f in numeric:
-        any_number, any_text = any_number | F.col(f).isNotNull(), any_text | (_without_tokens(raw[f]) != "")
+        any_number, any_text = any_number | F.col(f).isNotNull(), any_text | (bare[f] != "")
     return out.select(
         legacy_id(scope, "semester_load", F.col("discipline_id"), F.col("semester")).alias("load_id"), "discipline_id", "document_id", "table_id", "row_index", "code", "name", "semester",
         F.element_at("weeks", F.col("semester")).alias("weeks"), any_text.alias("active"), any_number.alias("has_numeric_load"), *numeric, F.col("told").alias("control"),
-        control_tokens(F.col("told")).alias("control_tokens"), control_kinds(control_tokens(F.col("told"))).alias("control_kinds"), F.col("notes").alias("normalization_notes"),
+        F.col("told_tokens").alias("control_tokens"), control_kinds(F.col("told_tokens")).alias("control_kinds"), F.col("notes").alias("normalization_notes"),
         "page_number", legacy_id(scope, "row", F.col("table_id"), F.col("row_index")).alias("source_row_id"), F.struct(*[raw[f].alias(f) for f in SEMESTER_FIELDS]).alias("raw"),
     )
 
@@ -216,15 +220,21 @@ def write_loads(rows: DataFrame, path: str) -> None:
     rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LOAD_COLUMNS]).write.option("header", True).option("escape", '"').mode("overwrite").csv(path)
 
 
-def band_sources(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame, least: float = 0.1) -> DataFrame:
+def band_sources(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame, least: float = 0.1, parts: tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """(table_id, row_index, semester, field, cell_ids, word_ids): where each band's text comes from: the row's cells that share more than `least` with it, and its words whose middle lies in it, both
-    as sorted sets. semester is 0 for base fields. Bands without either are left out."""
+    as sorted sets. semester is 0 for base fields. Bands without either are left out. `parts`: placed() of the same tables, if it is there.
+
+    A row's bands are as many as its document's schema has, so each is held against the row's own cells and words.
+    """
+    if least < 0:
+        raise ValueError("least must be 0 or more")
     key = ["table_id", "row_index"]
-    data, _, placed = _placed(tables, cells, schemas)
-    bands = placed.select(*key, "semester", "field", F.col("left").alias("other_left"), F.col("right").alias("other_right"))
-    boxed = data.select(*key, "cell_id", F.col("x0").alias("left"), F.col("x1").alias("right"))
-    by_cell = overlapping(boxed, bands, key, least).select(*key, "semester", "field", "cell_id", F.lit(None).cast("string").alias("word_id"))
-    named = data.select(*key, "document_id", "page_number", F.explode("word_ids").alias("word_id")).distinct()
-    found = named.join(words.dropDuplicates(["document_id", "page_number", "word_id"]), ["document_id", "page_number", "word_id"]).select(*key, "word_id", ((F.col("x0") + F.col("x1")) / 2).alias("x"))
-    by_word = in_bands(found, "x", placed.select(*key, "semester", "field", "left", "right"), key, SLACK).select(*key, "semester", "field", F.lit(None).cast("string").alias("cell_id"), "word_id")
+    data, _, placed_bands, found = parts or placed(tables, cells, words, schemas)
+    bands = placed_bands.select(*key, "semester", "field", "left", "right")
+    left, right, x0, x1 = (F.col(c) for c in ("left", "right", "x0", "x1"))
+    shared = (x1 - x0 > least) & (right - left > least) & (overlap(x0, x1, left, right) > least)
+    by_cell = data.select(*key, "cell_id", "x0", "x1").join(bands, key).where(shared).select(*key, "semester", "field", "cell_id", F.lit(None).cast("string").alias("word_id"))
+    middle = (x0 + x1) / 2
+    inside = (middle >= left - SLACK) & (middle <= right + SLACK)
+    by_word = found.select(*key, "word_id", "x0", "x1").join(bands, key).where(inside).select(*key, "semester", "field", F.lit(None).cast("string").alias("cell_id"), "word_id")
     return by_cell.unionByName(by_word).groupBy(*key, "semester", "field").agg(F.array_sort(F.collect_set("cell_id")).alias("cell_ids"), F.array_sort(F.collect_set("word_id")).alias("word_ids"))

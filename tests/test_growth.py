@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lectern import domain_queries, queries, source_queries
 from lectern.functions import ids, text
 from lectern.operators import ordered
-from lectern.plans import canonical, extraction, resumable
+from lectern.plans import canonical, curriculum, extraction, resumable
 from lectern.sources import layout, office
 
 SMALL = "/root/testdata/sf0.001"
@@ -118,3 +118,21 @@ def test_crowded_cells_are_dealt_to_several_tasks(spark):
         per_task = [r["n"] for r in pairs.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
         assert len(per_task) == 4 and max(per_task) < 0.6 * most
     assert sorted(tuple(r) for r in met.collect()) == sorted(tuple(r) for r in ordered.own_overlaps(df, "i", ["g"]).collect())
+
+
+def test_words_and_headings_of_curricula_are_read_once(spark):
+    tables, cells, words = source_queries._tables(spark, SMALL)
+    schemas = curriculum.discover_schemas(tables, cells)
+    assert "lower(" not in plan(schemas)
+    schemas = schemas.localCheckpoint()
+    texts = curriculum.band_texts(tables, cells, words, schemas)
+    assert plan(texts).count("explode(word_ids") == 0 and plan(texts).count("Window") == 0
+    told = curriculum.band_sources(tables, cells, words, schemas)
+    assert "explode(" not in plan(told) and "Window" not in plan(told)
+
+
+def test_texts_of_loads_are_cut_once(spark):
+    tables, cells, words = source_queries._tables(spark, SMALL)
+    found = curriculum.disciplines(curriculum.semantic_rows(curriculum.band_texts(tables, cells, words, curriculum.discover_schemas(tables, cells))))
+    patterns = [plan(df).count("regexp_replace(") for df in (found, curriculum.semester_loads(found))]
+    assert patterns[1] - patterns[0] < 25
