@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from lectern.domain_queries import _LINES, _SUPPLIERS, _cards, _documents, _level, _sha, scratch
 from lectern.functions import ids, tokens
-from lectern.functions.lineage import cut
+from lectern.functions.lineage import cut, written
 from lectern.operators import cards, integrity, ordered
 from lectern.plans import canonical, contracts, curriculum, entities, extraction, migration, resumable, runs, semantic, snapshots
 from lectern.plans.snapshots import _fs
@@ -379,9 +379,10 @@ FROM f
 def curriculum_load_files(spark, d):
     tables, cells, words = _tables(spark, d)
     schemas = cut(curriculum.discover_schemas(tables, cells))
-    found = curriculum.disciplines(cut(curriculum.semantic_rows(curriculum.band_texts(tables, cells, words, schemas))))
+    parts = curriculum.placed(tables, cells, words, schemas)
+    found = curriculum.disciplines(written(curriculum.semantic_rows(written(curriculum.band_texts(tables, cells, words, schemas, parts)))))
     at = scratch(spark)
-    curriculum.write_loads(curriculum.load_rows(curriculum.semester_loads(found), curriculum.band_sources(tables, cells, words, schemas)), at)
+    curriculum.write_loads(curriculum.load_rows(curriculum.semester_loads(found), curriculum.band_sources(tables, cells, words, schemas, parts=parts)), at)
     back = files.read_csv(spark, at, curriculum.LOAD_COLUMNS)
     return back.select("code", "semester", "document_id", "page_number", "active", "credits", "control", "control_tokens", "raw", "source_cell_ids", "source_word_ids")
 
@@ -394,8 +395,8 @@ UNION ALL SELECT 'loads', CAST(sum([2, 3, 2][s % 4 + 1]) AS BIGINT) FROM {_ROWS}
 def semantic_dataset(spark, d):
     tables, cells, words = _tables(spark, d)
     schemas = cut(curriculum.discover_schemas(tables, cells))
-    rows = cut(curriculum.semantic_rows(curriculum.band_texts(tables, cells, words, schemas)))
-    found, at = curriculum.disciplines(rows), scratch(spark)
+    rows = written(curriculum.semantic_rows(written(curriculum.band_texts(tables, cells, words, schemas))))
+    found, at = written(curriculum.disciplines(rows)), scratch(spark)
     semantic.write({"rows": rows, "disciplines": found, "loads": curriculum.semester_loads(found), "schemas": schemas}, at)
     back = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("dataset"), "n") for name, df in files.read_snapshot(spark, at, ["rows", "disciplines", "loads", "schemas", "absent"]).items()]
     return back[0].unionByName(back[1]).unionByName(back[2]).unionByName(back[3])
