@@ -27,11 +27,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the shared folder, read back: cuts lineage like checkpoint(), in a fraction of the space."""
+def written(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read back: cuts lineage like checkpoint(), in a fraction of the space.
+
+    Spark would take the files' size for the rows' and broadcast millions of rows that are much alike. So a table of more than `most` rows is marked for a merge in the next join."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    return kept if kept.count() <= most else kept.hint("merge")  # the files' footers tell the count
 
 
 def small(keys: DataFrame, most: int = 1_000_000) -> DataFrame:

@@ -21,6 +21,7 @@ from lectern.operators.ordered import carry_forward, first_present, gaps, sectio
 
 HEADER_ROWS = 4
 SLACK = 0.15
+BANDS = "array<struct<semester:int,field:string,left:double,right:double>>"
 SEMESTER_FIELDS = ("credits", "hours", "audited_hours", "independent_or_other_hours", "control")
 #: Which heading names a field: row (0; or 2, else 3) and test (fixed values).
 HEADINGS = {
@@ -74,63 +75,75 @@ def discover_schemas(tables: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def _bands(schemas: DataFrame) -> DataFrame:
-    """(document_id, semester, field, left, right): a row for each base field (semester 0) and each field of each semester."""
-    base = schemas.select("document_id", F.explode("spans").alias("field", "span")).select("document_id", F.lit(0).alias("semester"), "field", "span.left", "span.right")
-    width = (1 - F.col("start")) / F.col("count")
-    each = schemas.select("document_id", "start", width.alias("w"), F.explode(F.sequence(F.lit(1), "count")).alias("semester"))
-    parts = len(SEMESTER_FIELDS)
-    left = F.col("start") + F.col("w") * (F.col("semester") - 1 + F.col("i") / parts)
-    fields = each.select("*", F.posexplode(F.array(*map(F.lit, SEMESTER_FIELDS))).alias("i", "field"))
-    return base.unionByName(fields.select("document_id", "semester", "field", left.alias("left"), (left + F.col("w") / parts).alias("right")))
-
-
-def placed(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """The cells of data rows, the rows with their width, each row's bands where they lie, and each row's words. All but the rows are written once, as band_texts() and band_sources() read them several times."""
+    """(document_id, count, weeks, bands): bands lists (semester, field, left, right) in 0..1 for each base field (semester 0) and each field of each semester."""
+    band = lambda semester, field, left, right: F.struct(semester.alias("semester"), field.alias("field"), left.alias("left"), right.alias("right"))
+    base = F.transform(F.map_entries("spans"), lambda e: band(F.lit(0), e["key"], e["value"]["left"], e["value"]["right"]))
+    width, parts = (1 - F.col("start")) / F.col("count"), len(SEMESTER_FIELDS)
+
+    def fields(semester: Column) -> Column:
+        lefts = [F.col("start") + width * (semester - 1 + F.lit(i) / parts) for i in range(parts)]
+        return F.array(*[band(semester, F.lit(field), left, left + width / parts) for field, left in zip(SEMESTER_FIELDS, lefts, strict=True)])
+
+    none = F.array().cast(BANDS)
+    each = F.flatten(F.transform(F.sequence(F.lit(1), "count"), fields))
+    return schemas.select("document_id", "count", "weeks", F.concat(F.coalesce(base, none), F.coalesce(each, none)).alias("bands"))
+
+
+def placed(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame) -> DataFrame:
+    """(table_id, row_index, document_id, page_number, ordinal, cell_ids, cells, words, bands, count, weeks): each data row with its cells by column, its words from the top and the left, and its document's
+    bands where they lie in the row. These are lists of one row of a table, so band_texts() and band_sources() need no joins. Written once, as both read it."""
     ours = tables.where("section = 'curriculum'").select("table_id", "document_id", "page_number", "ordinal", F.col("x0").alias("t0"), F.col("x1").alias("t1"))
     own = cells.select("table_id", "row_index", "column_index", "cell_id", "text", "x0", "x1", "word_ids")
-    data = written(own.where(F.col("row_index") >= HEADER_ROWS).join(ours, "table_id"))
-    key = ["table_id", "row_index"]
-    rows = data.groupBy(*key, "document_id", "page_number", "ordinal").agg(
+    key, page = ["table_id", "row_index"], ["document_id", "page_number"]
+    rows = written(own.where(F.col("row_index") >= HEADER_ROWS).join(ours, "table_id").groupBy(*key, *page, "ordinal").agg(
         F.coalesce(F.first("t0"), F.min("x0"), F.lit(0.0)).alias("a"), F.coalesce(F.first("t1"), F.max("x1"), F.lit(1.0)).alias("b"),
         F.transform(F.array_sort(F.collect_list(F.struct("column_index", "cell_id"))), lambda c: c["cell_id"]).alias("cell_ids"),
-    ).withColumn("width", F.greatest(F.col("b") - F.col("a"), F.lit(1.0)))
-    at = rows.select(*key, "document_id", "a", "width").join(_bands(schemas), "document_id")
-    bands = written(at.select(*key, "document_id", "semester", "field", (F.col("a") + F.col("left") * F.col("width")).alias("left"), (F.col("a") + F.col("right") * F.col("width")).alias("right")))
-    named = data.select(*key, "document_id", "page_number", F.explode("word_ids").alias("word_id")).distinct()
-    found = named.join(words.dropDuplicates(["document_id", "page_number", "word_id"]), ["document_id", "page_number", "word_id"])
-    return data, rows, bands, written(found)
+        F.array_sort(F.collect_list(F.struct("column_index", "text", "x0", "x1", "cell_id"))).alias("cells"), F.array_distinct(F.flatten(F.collect_list("word_ids"))).alias("word_ids"),
+    ))
+    named = rows.select(*key, *page, F.explode("word_ids").alias("word_id")).join(words.dropDuplicates([*page, "word_id"]), [*page, "word_id"])
+    found = named.groupBy(*key, *page).agg(F.array_sort(F.collect_list(F.struct("top", "x0", "word_id", "text", "x1"))).alias("words"))
+    whole = rows.join(found, [*key, *page], "left").join(_bands(schemas), "document_id", "left")
+    a, width = F.col("a"), F.greatest(F.col("b") - F.col("a"), F.lit(1.0))
+    bands = F.transform(F.coalesce("bands", F.array().cast(BANDS)), lambda b: b.withField("left", a + b["left"] * width).withField("right", a + b["right"] * width))
+    words_there = F.coalesce("words", F.array().cast("array<struct<top:double,x0:double,word_id:string,text:string,x1:double>>"))
+    return written(whole.select(*key, *page, "ordinal", "cell_ids", "cells", words_there.alias("words"), bands.alias("bands"), "count", "weeks"))
 
 
-def band_texts(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame, parts: tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
+def _inside(thing: Column, band: Column) -> Column:
+    """Whether a word's or a cell's middle lies in a band within the slack."""
+    middle = (thing["x0"] + thing["x1"]) / 2
+    return (middle >= band["left"] - SLACK) & (middle <= band["right"] + SLACK)
+
+
+def band_texts(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame, parts: DataFrame | None = None) -> DataFrame:
     """(table_id, row_index, document_id, ordinal, page_number, base, bands, cell_ids, control): per row a map from base field to its text, one from
     semester to a map of its fields' texts, and (semester, token) of control words by their left edge.
 
     A word belongs to every band that holds its middle within the slack. Cell texts stand in only for rows without words. `parts`: placed() of the same tables, if it is there.
     """
-    key = ["table_id", "row_index"]
-    data, rows, placed_bands, found = parts or placed(tables, cells, words, schemas)
-    middle = (F.col("x0") + F.col("x1")) / 2
-    inside = (middle >= F.col("left") - SLACK) & (middle <= F.col("right") + SLACK)
-    by_words = found.select(*key, "word_id", "text", "x0", "x1", "top").join(placed_bands, key).where(inside)
-    joined = lambda *order: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "text"))), lambda x: x["text"]), " ")
-    texts = by_words.groupBy(*key, "semester", "field").agg(clean(joined("top", "x0", "word_id")).alias("text"))
-    wordless = data.join(found.select(*key).distinct(), key, "left_anti").where("x0 is not null").where(clean(F.col("text")) != "")
-    by_cells = wordless.select(*key, "column_index", "text", "x0", "x1").join(placed_bands, key).where(inside)
-    texts = texts.unionByName(by_cells.groupBy(*key, "semester", "field").agg(clean(joined("column_index")).alias("text")))
-    of_semester = texts.groupBy(*key, "semester").agg(F.map_from_entries(F.collect_list(F.struct("field", "text"))).alias("fields"))
-    listed = F.collect_list(F.when(F.col("semester") > 0, F.struct("semester", "fields")))
-    both = of_semester.groupBy(*key).agg(F.first(F.when(F.col("semester") == 0, F.col("fields")), ignorenulls=True).alias("base"), F.when(F.size(listed) > 0, F.map_from_entries(listed)).alias("bands"))
-    control_bands = placed_bands.where("field = 'control'").select(*key, "semester", "left", "right")
-    first_band = placed_bands.where("semester = 1 and field = 'credits'").select(*key, F.col("left").alias("begin"))
-    tokens = found.withColumn("tokens", control_tokens(F.col("text"))).where("size(tokens) > 0").join(first_band, key).where("x0 >= begin - 1.0")
-    away = F.when((F.col("x0") >= F.col("left")) & (F.col("x0") <= F.col("right")), 0.0).otherwise(F.least(F.abs(F.col("x0") - F.col("left")), F.abs(F.col("x0") - F.col("right"))))
-    nearest = tokens.select(*key, "word_id", "tokens", "x0", "top").join(control_bands, key).groupBy(*key, "word_id").agg(
-        F.min_by("semester", F.struct(away.alias("d"), "semester")).alias("semester"), F.first("tokens").alias("tokens"), F.min("top").alias("top"), F.min("x0").alias("x0")
-    )
-    control = nearest.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("semester", "top", "x0", "tokens"))).alias("control"))
-    has_words = found.select(*key).distinct().withColumn("has_words", F.lit(True))
-    out = rows.select(*key, "document_id", "page_number", "ordinal", "cell_ids").join(both, key, "left").join(control, key, "left").join(has_words, key, "left")
-    return out.join(schemas.select("document_id", "count", "weeks"), "document_id", "left").withColumn("has_words", F.coalesce("has_words", F.lit(False)))
+    rows = placed(tables, cells, words, schemas) if parts is None else parts
+    has_words = F.size("words") > 0
+    by_words = lambda b: F.filter("words", lambda w: _inside(w, b))
+    by_cells = lambda b: F.filter("cells", lambda c: c["x0"].isNotNull() & _inside(c, b) & (clean(c["text"]) != ""))
+    text_of = lambda things: F.transform(things, lambda x: x["text"])
+    met = F.transform("bands", lambda b: F.struct(b["semester"].alias("semester"), b["field"].alias("field"), F.when(has_words, text_of(by_words(b))).otherwise(text_of(by_cells(b))).alias("texts")))
+    texts = F.transform(F.filter(met, lambda m: F.size(m["texts"]) > 0), lambda m: F.struct(m["semester"].alias("semester"), m["field"].alias("field"), clean(F.array_join(m["texts"], " ")).alias("text")))
+    fields = lambda semester: F.map_from_entries(F.transform(F.filter("_texts", lambda t: t["semester"] == semester), lambda t: F.struct(t["field"], t["text"])))
+    semesters = F.array_distinct(F.transform(F.filter("_texts", lambda t: t["semester"] > 0), lambda t: t["semester"]))
+    begin = F.get(F.filter("bands", lambda b: (b["semester"] == 1) & (b["field"] == "credits")), F.lit(0))["left"]
+
+    def nearest(x0: Column) -> Column:
+        away = lambda b: F.when((x0 >= b["left"]) & (x0 <= b["right"]), 0.0).otherwise(F.least(F.abs(x0 - b["left"]), F.abs(x0 - b["right"])))
+        return F.array_min(F.transform(F.filter("bands", lambda b: b["field"] == "control"), lambda b: F.struct(away(b).alias("d"), b["semester"].alias("semester"))))["semester"]
+
+    told = F.filter(F.transform("words", lambda w: F.struct(w["top"].alias("top"), w["x0"].alias("x0"), control_tokens(w["text"]).alias("tokens"))), lambda w: (F.size(w["tokens"]) > 0) & (w["x0"] >= begin - 1.0))
+    control = F.filter(F.transform(told, lambda w: F.struct(nearest(w["x0"]).alias("semester"), w["top"].alias("top"), w["x0"].alias("x0"), w["tokens"].alias("tokens"))), lambda w: w["semester"].isNotNull())
+    some = lambda c, made: F.when(F.size(c) > 0, made)
+    made = rows.withColumns({"_texts": texts, "_control": control, "has_words": has_words}).drop("bands").withColumn("_semesters", semesters)
+    return made.select(
+        "table_id", "row_index", "document_id", "page_number", "ordinal", "cell_ids", F.when(F.exists("_texts", lambda t: t["semester"] == 0), fields(F.lit(0))).alias("base"),
+        some("_semesters", F.map_from_entries(F.transform("_semesters", lambda n: F.struct(n, fields(n))))).alias("bands"), some("_control", F.array_sort("_control")).alias("control"), "has_words", "count", "weeks",
+    )
 
 
 def semantic_rows(texts: DataFrame) -> DataFrame:
@@ -220,7 +233,7 @@ def write_loads(rows: DataFrame, path: str) -> None:
     rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LOAD_COLUMNS]).write.option("header", True).option("escape", '"').mode("overwrite").csv(path)
 
 
-def band_sources(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame, least: float = 0.1, parts: tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
+def band_sources(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas: DataFrame, least: float = 0.1, parts: DataFrame | None = None) -> DataFrame:
     """(table_id, row_index, semester, field, cell_ids, word_ids): where each band's text comes from: the row's cells that share more than `least` with it, and its words whose middle lies in it, both
     as sorted sets. semester is 0 for base fields. Bands without either are left out. `parts`: placed() of the same tables, if it is there.
 
@@ -228,13 +241,12 @@ def band_sources(tables: DataFrame, cells: DataFrame, words: DataFrame, schemas:
     """
     if least < 0:
         raise ValueError("least must be 0 or more")
-    key = ["table_id", "row_index"]
-    data, _, placed_bands, found = parts or placed(tables, cells, words, schemas)
-    bands = placed_bands.select(*key, "semester", "field", "left", "right")
-    left, right, x0, x1 = (F.col(c) for c in ("left", "right", "x0", "x1"))
-    shared = (x1 - x0 > least) & (right - left > least) & (overlap(x0, x1, left, right) > least)
-    by_cell = data.select(*key, "cell_id", "x0", "x1").join(bands, key).where(shared).select(*key, "semester", "field", "cell_id", F.lit(None).cast("string").alias("word_id"))
-    middle = (x0 + x1) / 2
-    inside = (middle >= left - SLACK) & (middle <= right + SLACK)
-    by_word = found.select(*key, "word_id", "x0", "x1").join(bands, key).where(inside).select(*key, "semester", "field", F.lit(None).cast("string").alias("cell_id"), "word_id")
-    return by_cell.unionByName(by_word).groupBy(*key, "semester", "field").agg(F.array_sort(F.collect_set("cell_id")).alias("cell_ids"), F.array_sort(F.collect_set("word_id")).alias("word_ids"))
+    rows = placed(tables, cells, words, schemas) if parts is None else parts
+    wide = lambda x: x["x1"] - x["x0"] > least
+    shares = lambda c, b: wide(c) & (b["right"] - b["left"] > least) & (overlap(c["x0"], c["x1"], b["left"], b["right"]) > least)
+    ids = lambda things, name: F.array_sort(F.array_distinct(F.array_compact(F.transform(things, lambda x: x[name]))))
+    met = F.transform("bands", lambda b: F.struct(
+        b["semester"].alias("semester"), b["field"].alias("field"), ids(F.filter("cells", lambda c: shares(c, b)), "cell_id").alias("cell_ids"), ids(F.filter("words", lambda w: _inside(w, b)), "word_id").alias("word_ids"),
+    ))
+    # The outer form reads the array once, as in extraction.py.
+    return rows.select("table_id", "row_index", F.inline_outer(met)).where((F.size("cell_ids") > 0) | (F.size("word_ids") > 0))

@@ -284,7 +284,7 @@ SELECT 't' || s AS table_id, CAST(r AS INTEGER) AS row_index, CASE WHEN s % 4 =
 def curriculum_word_rows(spark, d):
     tables, cells, words = _tables(spark, d)
     schemas = cut(curriculum.discover_schemas(tables, cells))
-    return curriculum.semantic_rows(curriculum.band_texts(tables, cells, words, schemas)).select("table_id", "row_index", "row_kind", "code", "name", "department")
+    return curriculum.semantic_rows(written(curriculum.band_texts(tables, cells, words, schemas))).select("table_id", "row_index", "row_kind", "code", "name", "department")
 
 
 @query(f"""
@@ -295,7 +295,7 @@ FROM {_ROWS} CROSS JOIN (SELECT unnest([1, 2, 3]) AS n) WHERE s % 4 < 3 AND n <=
 def curriculum_word_loads(spark, d):
     tables, cells, words = _tables(spark, d)
     schemas = cut(curriculum.discover_schemas(tables, cells))
-    found = curriculum.disciplines(cut(curriculum.semantic_rows(curriculum.band_texts(tables, cells, words, schemas))))
+    found = curriculum.disciplines(cut(curriculum.semantic_rows(written(curriculum.band_texts(tables, cells, words, schemas)))))
     loads = curriculum.semester_loads(found)
     return loads.select(F.col("code").cast("long").alias("p_partkey"), "semester", "credits", "hours", F.array_join("control_kinds", ",").alias("control_kinds"), "active", F.array_join("normalization_notes", ",").alias("notes"))
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lectern import domain_queries, queries, source_queries
 from lectern.functions import ids, text
+from lectern.functions.lineage import written
 from lectern.operators import ordered
 from lectern.plans import canonical, curriculum, extraction, resumable
 from lectern.sources import layout, office
@@ -136,3 +137,24 @@ def test_texts_of_loads_are_cut_once(spark):
     found = curriculum.disciplines(curriculum.semantic_rows(curriculum.band_texts(tables, cells, words, curriculum.discover_schemas(tables, cells))))
     patterns = [plan(df).count("regexp_replace(") for df in (found, curriculum.semester_loads(found))]
     assert patterns[1] - patterns[0] < 25
+
+
+def test_large_tables_of_rows_that_are_alike_are_not_broadcast(spark):
+    """Millions of rows that are alike take few bytes as a file, so Spark would send them through the driver."""
+    alike = spark.range(30_000).select((F.col("id") % 7).alias("k"), F.lit("x" * 50).alias("text"))
+    large, few = written(alike), written(alike.limit(100))
+    keys = spark.range(10_000).select((F.col("id") + 1_000_000).alias("k"))
+    joins = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for met in (keys.join(large, "k", "left"), keys.join(large.where("k > 2").groupBy("k").count(), "k"), large.join(keys, "k", "left_anti")):
+        assert "BroadcastHashJoin" not in joins(met)
+    assert large.join(keys, "k", "left_anti").count() == 30_000
+    assert "BroadcastHashJoin" in joins(spark.range(10).withColumnRenamed("id", "k").join(few, "k"))
+
+
+def test_bands_are_no_table_of_rows_times_bands(spark):
+    tables, cells, words = source_queries._tables(spark, SMALL)
+    schemas = curriculum.discover_schemas(tables, cells).localCheckpoint()
+    rows = curriculum.placed(tables, cells, words, schemas)
+    assert rows.count() == cells.where("row_index > 3").select("table_id", "row_index").distinct().count()
+    for made in (curriculum.band_texts(tables, cells, words, schemas, rows), curriculum.band_sources(tables, cells, words, schemas, parts=rows)):
+        assert "Join" not in plan(made) and "Aggregate" not in plan(made)
