@@ -177,7 +177,7 @@ def _grid(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]
 def _plan(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
     tables, cells, words = _grid(spark, d)
     cells = cut(cells)
-    schemas = cut(curriculum.discover_schemas(tables, cells))
+    schemas = written(curriculum.discover_schemas(tables, cells))
     rows = cut(curriculum.semantic_rows(written(curriculum.band_texts(tables, cells, words, schemas))))
     disciplines = curriculum.disciplines(rows)
     return tables, schemas, rows, disciplines, curriculum.semester_loads(disciplines)

@@ -283,7 +283,7 @@ SELECT 't' || s AS table_id, CAST(r AS INTEGER) AS row_index, CASE WHEN s % 4 =
 """)
 def curriculum_word_rows(spark, d):
     tables, cells, words = _tables(spark, d)
-    schemas = cut(curriculum.discover_schemas(tables, cells))
+    schemas = written(curriculum.discover_schemas(tables, cells))
     return curriculum.semantic_rows(written(curriculum.band_texts(tables, cells, words, schemas))).select("table_id", "row_index", "row_kind", "code", "name", "department")
 
 
@@ -294,7 +294,7 @@ FROM {_ROWS} CROSS JOIN (SELECT unnest([1, 2, 3]) AS n) WHERE s % 4 < 3 AND n <=
 """)
 def curriculum_word_loads(spark, d):
     tables, cells, words = _tables(spark, d)
-    schemas = cut(curriculum.discover_schemas(tables, cells))
+    schemas = written(curriculum.discover_schemas(tables, cells))
     found = curriculum.disciplines(cut(curriculum.semantic_rows(written(curriculum.band_texts(tables, cells, words, schemas)))))
     loads = curriculum.semester_loads(found)
     return loads.select(F.col("code").cast("long").alias("p_partkey"), "semester", "credits", "hours", F.array_join("control_kinds", ",").alias("control_kinds"), "active", F.array_join("normalization_notes", ",").alias("notes"))
@@ -315,7 +315,7 @@ FROM b WHERE cell_ids <> '' OR word_ids <> ''
 """)
 def curriculum_sources(spark, d):
     tables, cells, words = _tables(spark, d)
-    schemas = cut(curriculum.discover_schemas(tables, cells))
+    schemas = written(curriculum.discover_schemas(tables, cells))
     return curriculum.band_sources(tables, cells, words, schemas).withColumns({c: F.array_join(c, ",") for c in ("cell_ids", "word_ids")})
 
 
@@ -378,7 +378,7 @@ FROM f
 """)
 def curriculum_load_files(spark, d):
     tables, cells, words = _tables(spark, d)
-    schemas = cut(curriculum.discover_schemas(tables, cells))
+    schemas = written(curriculum.discover_schemas(tables, cells))
     parts = curriculum.placed(tables, cells, words, schemas)
     found = curriculum.disciplines(written(curriculum.semantic_rows(written(curriculum.band_texts(tables, cells, words, schemas, parts)))))
     at = scratch(spark)
@@ -394,7 +394,7 @@ UNION ALL SELECT 'loads', CAST(sum([2, 3, 2][s % 4 + 1]) AS BIGINT) FROM {_ROWS}
 """)
 def semantic_dataset(spark, d):
     tables, cells, words = _tables(spark, d)
-    schemas = cut(curriculum.discover_schemas(tables, cells))
+    schemas = written(curriculum.discover_schemas(tables, cells))
     rows = written(curriculum.semantic_rows(written(curriculum.band_texts(tables, cells, words, schemas))))
     found, at = written(curriculum.disciplines(rows)), scratch(spark)
     semantic.write({"rows": rows, "disciplines": found, "loads": curriculum.semester_loads(found), "schemas": schemas}, at)

@@ -158,3 +158,11 @@ def test_bands_are_no_table_of_rows_times_bands(spark):
     assert rows.count() == cells.where("row_index > 3").select("table_id", "row_index").distinct().count()
     for made in (curriculum.band_texts(tables, cells, words, schemas, rows), curriculum.band_sources(tables, cells, words, schemas, parts=rows)):
         assert "Join" not in plan(made) and "Aggregate" not in plan(made)
+
+
+def test_schemas_are_written_before_they_are_joined(spark, monkeypatch):
+    """As a checkpoint they would be broadcast at any number of documents."""
+    seen = []
+    monkeypatch.setattr(source_queries, "written", lambda df: seen.append(df.columns) or written(df))
+    source_queries.curriculum_sources(spark, SMALL)
+    assert any("spans" in columns for columns in seen)
